@@ -206,3 +206,112 @@ QUERIES["segment_delays"] = compose(
     ["fx_positions", "fx_stop_times", "fx_trips"],
     PUNCTUALITY_CHAIN + [SEGMENTS, ("segsel", SEG_SELECT), ROUTE_SHAPES],
     "SELECT g.*, s.shape_id FROM segsel g LEFT JOIN shapes s ON g.routeId = s.route_id")
+
+# ---------------------------------------------------------------- schedule
+
+ACTIVE = ("active", """
+SELECT service_id FROM fx_calendar
+WHERE strptime(start_date, '%Y%m%d')::DATE <= DATE '2023-12-01' AND strptime(end_date, '%Y%m%d')::DATE >= DATE '2023-12-01'
+  AND friday = 1""")
+FTRIPS = ("ftrips", "SELECT a.service_id, t.trip_id, t.route_id, t.trip_headsign, t.direction_id, t.shape_id, "
+                    "t.wheelchair_accessible FROM active a JOIN fx_trips t ON a.service_id = t.service_id")
+FSTOP_TIMES = ("fst", "SELECT * FROM fx_stop_times WHERE trip_id IN (SELECT trip_id FROM ftrips)")
+UNIX_EXPR = ("1701406800 + cast(split_part(arrival_time, ':', 1) AS BIGINT) * 3600 + cast(split_part(arrival_time, ':', 2) AS BIGINT) * 60"
+             " + cast(split_part(arrival_time, ':', 3) AS BIGINT)")
+
+QUERIES["active_services"] = compose(["fx_calendar"], [ACTIVE], "SELECT * FROM active")
+QUERIES["filtered_trips"] = compose(["fx_calendar", "fx_trips"], [ACTIVE, FTRIPS], "SELECT * FROM ftrips")
+QUERIES["filtered_stop_times"] = compose(["fx_calendar", "fx_trips", "fx_stop_times"], [ACTIVE, FTRIPS, FSTOP_TIMES],
+                                         "SELECT * FROM fst")
+QUERIES["stop_times_unix_wall"] = compose(["fx_stop_times"], [],
+                                          f"SELECT *, {UNIX_EXPR} AS arrival_time_unix FROM fx_stop_times")
+QUERIES["daily_stops_info"] = compose(
+    ["fx_calendar", "fx_trips", "fx_stop_times", "fx_stops", "fx_routes"], [ACTIVE, FTRIPS, FSTOP_TIMES], f"""
+SELECT t.route_id,
+ cast(t.route_id AS string) || ' ' || r.route_long_name || ' dir. ' ||
+   CASE right(t.trip_headsign, 1) WHEN 'E' THEN 'EST' WHEN 'O' THEN 'OUEST' WHEN 'S' THEN 'SUD' WHEN 'N' THEN 'NORD'
+   ELSE right(t.trip_headsign, 1) END AS route_info,
+ st.trip_id, t.shape_id, t.wheelchair_accessible, {UNIX_EXPR.replace('arrival_time', 'st.arrival_time')} AS arrival_time_unix,
+ cast(st.stop_id AS string) AS stop_id, s.stop_name, s.stop_lat, s.stop_lon, s.wheelchair_boarding
+FROM fst st LEFT JOIN ftrips t ON st.trip_id = t.trip_id
+ LEFT JOIN fx_stops s ON cast(st.stop_id AS string) = cast(s.stop_id AS string)
+ LEFT JOIN fx_routes r ON t.route_id = r.route_id""")
+
+# ---------------------------------------------------------------- feeds
+
+QUERIES["feed_flatten"] = compose(["fx_positions"], [], """
+SELECT id, vehicle_currentStatus, vehicle_currentStopSequence, vehicle_occupancyStatus, vehicle_timestamp,
+ vehicle_trip_routeId, vehicle_trip_tripId, vehicle_vehicle_id FROM fx_positions""")
+QUERIES["trip_updates_flatten"] = compose(["fx_stop_times"], [], """
+SELECT cast(trip_id AS string) AS tripUpdate_trip_tripId, count(*) AS stop_updates,
+ cast(sum(stop_sequence) AS BIGINT) AS stop_sequence_sum FROM fx_stop_times GROUP BY trip_id""")
+QUERIES["station_snapshot"] = compose(["fx_station_status"], [], "SELECT * FROM fx_station_status")
+QUERIES["merge_drifted_polls"] = compose(["fx_positions"], [], """
+SELECT id, poll_day, timefetch, vehicle_currentStatus, vehicle_currentStopSequence, NULL::VARCHAR AS vehicle_occupancyStatus,
+ vehicle_timestamp, vehicle_trip_routeId, vehicle_trip_tripId, vehicle_vehicle_id FROM fx_positions WHERE poll_day = 0
+UNION ALL
+SELECT id, poll_day, timefetch, vehicle_currentStatus, vehicle_currentStopSequence, vehicle_occupancyStatus,
+ vehicle_timestamp, vehicle_trip_routeId, vehicle_trip_tripId, NULL::VARCHAR AS vehicle_vehicle_id FROM fx_positions WHERE poll_day = 1""")
+
+# ---------------------------------------------------------------- bike share
+
+TRIPS = ("trips", """
+SELECT STARTSTATIONNAME AS startStationName, STARTSTATIONARRONDISSEMENT AS startStationArrondissement,
+ STARTSTATIONLATITUDE AS startStationLatitude, STARTSTATIONLONGITUDE AS startStationLongitude,
+ ENDSTATIONNAME AS endStationName, ENDSTATIONARRONDISSEMENT AS endStationArrondissement,
+ ENDSTATIONLATITUDE AS endStationLatitude, ENDSTATIONLONGITUDE AS endStationLongitude,
+ STARTTIMEMS AS startTimeMs, ENDTIMEMS AS endTimeMs FROM fx_bike_csv""")
+DURATIONS = ("dur", "SELECT startStationName, endStationName, startTimeMs, endTimeMs, endTimeMs - startTimeMs AS durationMs FROM trips")
+STATIONS = ("stations", """
+SELECT name, arrondissement, latitude, longitude FROM (
+ SELECT *, row_number() OVER (PARTITION BY name ORDER BY role, t, arrondissement, latitude, longitude) AS rn FROM (
+  SELECT startStationName AS name, startStationArrondissement AS arrondissement, startStationLatitude AS latitude,
+         startStationLongitude AS longitude, 0 AS role, startTimeMs AS t FROM trips
+  UNION ALL
+  SELECT endStationName, endStationArrondissement, endStationLatitude, endStationLongitude, 1, startTimeMs FROM trips))
+WHERE rn = 1""")
+
+QUERIES["bike_trip_durations"] = compose(["fx_bike_csv"], [TRIPS, DURATIONS], "SELECT * FROM dur")
+QUERIES["high_water_increment"] = compose(["fx_bike_csv"], [TRIPS, DURATIONS, (
+    "mark", "SELECT max(startTimeMs) AS m FROM dur WHERE startTimeMs <= 1710000000000")],
+    "SELECT dur.* FROM dur WHERE (SELECT m FROM mark) IS NULL OR startTimeMs > (SELECT m FROM mark)")
+QUERIES["station_locations"] = compose(["fx_bike_csv"], [TRIPS, STATIONS], "SELECT * FROM stations")
+QUERIES["stations_insert_if_absent"] = compose(["fx_bike_csv", "fx_stored_stations"], [TRIPS, STATIONS], """
+SELECT name, arrondissement, latitude, longitude FROM fx_stored_stations
+UNION ALL
+SELECT * FROM stations WHERE name NOT IN (SELECT name FROM fx_stored_stations)""")
+QUERIES["mean_trip_duration"] = compose(["fx_bike_csv"], [TRIPS, DURATIONS], """
+SELECT startStationName, endStationName, avg(durationMs) AS mean_duration_ms, count(*) AS trip_count
+FROM dur GROUP BY startStationName, endStationName""")
+
+BLOCKS = ("blocks", r"""
+SELECT page_id, unnest(b) AS block, generate_subscripts(b, 1) AS pos
+FROM (SELECT page_id, regexp_extract_all(html, '(?s)<div[^>]*class="[^"]*document-row[^"]*"[^>]*>.*?</div>') AS b FROM fx_catalogue)""")
+LINKS = ("links", r"""
+SELECT page_id, pos, cast(regexp_extract(block, '(?s)<h3[^>]*class="document-title title-4"[^>]*>\s*([0-9]+)\s*</h3>', 1) AS INTEGER) AS year,
+ regexp_extract(block, '<a[^>]*href="([^"]*)"', 1) AS url FROM blocks""")
+CATALOGUE = ("cat", """
+SELECT year, url FROM (
+ SELECT *, row_number() OVER (PARTITION BY year ORDER BY page_id DESC, pos DESC) AS rn FROM links
+ WHERE contains(url, 'cdn.example.com') AND year BETWEEN 2014 AND 2099) WHERE rn = 1""")
+
+QUERIES["catalogue_links"] = compose(["fx_catalogue"], [BLOCKS, LINKS, CATALOGUE], "SELECT * FROM cat")
+QUERIES["new_catalogue_entries"] = compose(["fx_catalogue", "fx_loaded_urls"], [BLOCKS, LINKS, CATALOGUE],
+                                           "SELECT year, url FROM cat WHERE url NOT IN (SELECT url FROM fx_loaded_urls)")
+QUERIES["trusted_urls"] = r"""
+SELECT page_id, url, 'https://cdn.example.com' ||
+ regexp_replace(regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://[^/?#]*)?([^?#]*)', 1), ';[^/]*$', '') AS trusted_url
+FROM pages"""
+QUERIES["year_layouts"] = compose(["fx_loaded_urls"], [], """
+SELECT url, year,
+ CASE WHEN year >= 2022 THEN '2022' WHEN year >= 2014 THEN '2014' END AS layout,
+ CASE WHEN year >= 2022 THEN 'load' WHEN year >= 2014 THEN 'skip' ELSE 'reject' END AS action
+FROM fx_loaded_urls""")
+
+# ---------------------------------------------------------------- static refresh
+
+QUERIES["freshness_gate"] = compose(["fx_source_versions"], [], """
+SELECT source_id, last_modified, stored_last_modified,
+ stored_last_modified IS NULL OR strptime(last_modified, '%a, %d %b %Y %H:%M:%S GMT')
+                                 > strptime(stored_last_modified, '%a, %d %b %Y %H:%M:%S GMT') AS reload
+FROM fx_source_versions""")

@@ -10,7 +10,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
+from .functions import labels as lb
+from .plans import bikeshare as bk
+from .plans import feeds as fd
 from .plans import punctuality as pn
+from .plans import schedule as sc
+from .plans import static_refresh as sr
 from .session import configure
 from .sources import fixtures as fx
 
@@ -117,3 +124,192 @@ def route_shape_map(spark, sf_dir):
 def segment_delays(spark, sf_dir):
     """C6 J9"""
     return pn.segment_delays(stop_punctuality(spark, sf_dir), fx.trips(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- bus schedule
+
+def _day_schedule(spark, sf_dir):
+    return sc.filter_service_day(fx.calendar(spark, sf_dir), fx.trips(spark, sf_dir),
+                                 fx.stop_times(spark, sf_dir), DAY)
+
+
+@query
+def active_services(spark, sf_dir):
+    """P10 F6 F7"""
+    return sc.active_services(fx.calendar(spark, sf_dir), DAY)
+
+
+@query
+def filtered_trips(spark, sf_dir):
+    """J1"""
+    return _day_schedule(spark, sf_dir)[1]
+
+
+@query
+def filtered_stop_times(spark, sf_dir):
+    """J2 A5"""
+    return _day_schedule(spark, sf_dir)[2]
+
+
+@query
+def stop_times_unix_wall(spark, sf_dir):
+    """F3"""
+    return sc.stop_times_wall_unix(fx.stop_times(spark, sf_dir), DAY, TZ)
+
+
+@query
+def daily_stops_info(spark, sf_dir):
+    """C2 J6-J8 F4 F5 P6"""
+    _, day_trips, day_stop_times = _day_schedule(spark, sf_dir)
+    return sc.daily_stops_info(day_stop_times, day_trips, fx.stops(spark, sf_dir),
+                               fx.routes(spark, sf_dir), DAY, TZ)
+
+
+# ---------------------------------------------------------------- feeds
+
+def _vehicle_messages(spark, sf_dir):
+    """fx positions as decoded feed messages; a message holds the polls of <= 64 trips."""
+    p = fx.positions(spark, sf_dir)
+    entity = F.struct(
+        F.col("id"),
+        F.struct(F.struct(F.col("vehicle_trip_tripId").alias("tripId"),
+                          F.col("vehicle_trip_routeId").alias("routeId")).alias("trip"),
+                 F.struct(F.col("vehicle_vehicle_id").alias("id")).alias("vehicle"),
+                 F.col("vehicle_timestamp").alias("timestamp"),
+                 F.col("vehicle_currentStatus").alias("currentStatus"),
+                 F.col("vehicle_currentStopSequence").alias("currentStopSequence"),
+                 F.col("vehicle_occupancyStatus").alias("occupancyStatus")).alias("vehicle"))
+    chunk = F.floor(F.col("vehicle_trip_tripId").cast("bigint") / 64)
+    entities = p.select("poll_day", chunk.alias("chunk"), entity.alias("e"))
+    schema = entities.schema["e"].dataType
+    messages = (entities.groupBy("poll_day", "chunk")
+                .agg(F.to_json(F.struct(F.collect_list("e").alias("entity"))).alias("value")))
+    return messages, schema
+
+
+@query
+def feed_flatten(spark, sf_dir):
+    """SRC2 F11 O2"""
+    messages, schema = _vehicle_messages(spark, sf_dir)
+    return fd.flatten_feed(messages, schema)
+
+
+@query
+def trip_updates_flatten(spark, sf_dir):
+    """SRC3: arrays stay arrays; compared through their size and sequence sum per trip"""
+    st = fx.stop_times(spark, sf_dir)
+    update = F.struct(F.col("stop_sequence").alias("stopSequence"),
+                      F.col("stop_id").cast("string").alias("stopId"))
+    # an entity carries at most 64 stop updates of one trip; a message at most 64 trip ids
+    ents = (st.groupBy("trip_id", F.floor(F.col("stop_sequence") / 64).alias("part"))
+            .agg(F.collect_list(update).alias("u"))
+            .select(F.floor(F.col("trip_id") / 64).alias("chunk"), F.struct(
+                F.concat_ws("-", F.col("trip_id").cast("string"), F.col("part").cast("string")).alias("id"),
+                F.struct(F.struct(F.col("trip_id").cast("string").alias("tripId")).alias("trip"),
+                         F.col("u").alias("stopTimeUpdate")).alias("tripUpdate")).alias("e")))
+    schema = ents.schema["e"].dataType
+    messages = ents.groupBy("chunk").agg(F.to_json(F.struct(F.collect_list("e").alias("entity"))).alias("value"))
+    flat = fd.flatten_feed(messages, schema)
+    arr = F.col("tripUpdate_stopTimeUpdate")
+    return (flat.groupBy("tripUpdate_trip_tripId")
+            .agg(F.sum(F.size(arr)).alias("stop_updates"),
+                 F.sum(F.aggregate(arr, F.lit(0).cast("bigint"), lambda acc, x: acc + x["stopSequence"]))
+                 .alias("stop_sequence_sum")))
+
+
+@query
+def station_snapshot(spark, sf_dir):
+    """C8 F12"""
+    s = fx.station_status(spark, sf_dir)
+    station = F.struct("station_id", "num_bikes_available", "is_renting", "last_reported")
+    fields = s.select(station.alias("x")).schema["x"].dataType
+    # one status document per poll, at most 1000 stations each
+    docs = (s.groupBy(F.floor(F.col("last_reported") / 1000).alias("poll"))
+            .agg(F.to_json(F.struct(F.struct(F.collect_list(station).alias("stations")).alias("data")))
+                 .alias("value")))
+    return fd.station_snapshot(docs, fields)
+
+
+@query
+def merge_drifted_polls(spark, sf_dir):
+    """Day-0 polls lack occupancy, day-1 polls lack the vehicle id"""
+    p = fx.positions(spark, sf_dir)
+    day0 = p.where(F.col("poll_day") == 0).drop("vehicle_occupancyStatus")
+    day1 = p.where(F.col("poll_day") == 1).drop("vehicle_vehicle_id")
+    return fd.merge_polls([day0, day1])
+
+
+# ---------------------------------------------------------------- bike share
+
+def _bike_trips(spark, sf_dir):
+    return bk.normalise_trip_columns(fx.bike_csv(spark, sf_dir))
+
+
+@query
+def bike_trip_durations(spark, sf_dir):
+    """F14 P2"""
+    return bk.bike_trip_durations(_bike_trips(spark, sf_dir))
+
+
+@query
+def high_water_increment(spark, sf_dir):
+    """stored = trips up to the mark; increment = trips after the stored maximum"""
+    trips = bk.bike_trip_durations(_bike_trips(spark, sf_dir))
+    stored = trips.where(F.col("startTimeMs") <= fx.HIGH_WATER_MARK)
+    return bk.high_water_increment(trips, stored)
+
+
+@query
+def station_locations(spark, sf_dir):
+    """U3 A4"""
+    return bk.station_locations(_bike_trips(spark, sf_dir))
+
+
+@query
+def stations_insert_if_absent(spark, sf_dir):
+    """SNK5 J11"""
+    return bk.stations_insert_if_absent(bk.station_locations(_bike_trips(spark, sf_dir)),
+                                        fx.stored_stations(spark, sf_dir))
+
+
+@query
+def mean_trip_duration(spark, sf_dir):
+    """A8"""
+    return bk.mean_trip_duration(bk.bike_trip_durations(_bike_trips(spark, sf_dir)))
+
+
+@query
+def catalogue_links(spark, sf_dir):
+    """F13 P12"""
+    return bk.catalogue_links(fx.catalogue(spark, sf_dir), fx.CDN)
+
+
+@query
+def new_catalogue_entries(spark, sf_dir):
+    """C9 J10"""
+    return bk.new_catalogue_entries(bk.catalogue_links(fx.catalogue(spark, sf_dir), fx.CDN),
+                                    fx.loaded_urls(spark, sf_dir))
+
+
+@query
+def trusted_urls(spark, sf_dir):
+    """F15"""
+    pages = fx.table(spark, sf_dir, "pages")
+    return pages.select("page_id", "url", lb.trusted_url(F.col("url"), fx.CDN_ORIGIN).alias("trusted_url"))
+
+
+@query
+def year_layouts(spark, sf_dir):
+    """P16"""
+    return bk.year_layouts(fx.loaded_urls(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- static refresh
+
+@query
+def freshness_gate(spark, sf_dir):
+    """SNK7"""
+    v = fx.source_versions(spark, sf_dir)
+    stored = (v.where(F.col("stored_last_modified").isNotNull())
+              .select("source_id", F.col("stored_last_modified").alias("last_modified")))
+    return sr.freshness_gate(v.select("source_id", "last_modified"), stored)
