@@ -6,34 +6,70 @@ Spark window without ``partitionBy`` would run that in a single task, and a
 window keyed by ``trip_id`` would put a hot trip in one task.  Instead:
 
 1. ``slice_by_order`` range-partitions the frame on its total order, so each
-   slice is a contiguous run of that order.  A hot trip simply spans several
-   slices.  The slice id is pinned (persisted) once, so every branch that reads
-   the sliced frame sees the same slice of every row, even after a lost
-   executor forces a recompute from lineage.
+   slice is a contiguous run of that order; a hot trip simply spans several
+   slices.  The sliced frame is clustered by slice id and pinned with a
+   reliable checkpoint (``spark.checkpoint.dir``): every branch reads the same
+   slice of every row, the lineage is cut, and a lost executor only costs a
+   re-read of the checkpoint files.
 2. Inside a slice, ``lag``/``lead``/``max`` are ordinary windows partitioned by
-   the slice id (all of them share one exchange).
-3. Rows at the edge of a slice get their neighbour from a boundary table with
-   one row per non-empty slice, i.e. at most ``num_slices`` rows: a size fixed
-   by configuration, not by the data, so it is broadcast.
+   the slice id; they reuse the pinned clustering, so no further exchange.
+3. Rows at the edge of a slice are completed from *edge tables* with at most
+   one or two rows per slice: their size is fixed by the slice count (a
+   configuration value), not by the data, so they are broadcast.  Edge tables
+   are always computed from the pinned base frame (one partial aggregate
+   each), never from the output of another ordered step, so they never nest.
 """
 
 from __future__ import annotations
 
+import os
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SLICE = "_slice"
+from ..session import ensure_checkpoint_dir
 
-_PINNED: list[DataFrame] = []
+SLICE = "_slice"
 
 
 def _cols(names: Sequence[str]) -> list[Column]:
     return [F.col(c) for c in names]
 
 
+def _ordering(order: Sequence[str]) -> Column:
+    # struct comparison is field by field, nulls first: the same order as the windows
+    return F.struct(*_cols(order))
+
+
+PIN_MODE_CONF = "headway.pin.mode"   # "persist" (default) or "checkpoint"
+_PERSISTED: list[DataFrame] = []
+
+
+def pin(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` once so every branch reads the same rows (and slice ids).
+
+    ``persist`` keeps the slice clustering (later windows need no exchange) and
+    recovers lost blocks from lineage, where the range partitioner's bounds are
+    fixed; ``checkpoint`` writes to ``spark.checkpoint.dir`` and cuts the lineage.
+    """
+    mode = df.sparkSession.conf.get(PIN_MODE_CONF, None) or os.environ.get("HEADWAY_PIN", "persist")
+    if mode == "persist":
+        out = df.persist(StorageLevel.MEMORY_AND_DISK)
+        _PERSISTED.append(out)
+        return out
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def release_pinned() -> None:
+    """Drop persisted slices of finished jobs (long-lived sessions, tests, bench)."""
+    while _PERSISTED:
+        _PERSISTED.pop().unpersist(blocking=False)
+
+
 def slice_by_order(df: DataFrame, order: Sequence[str], num_slices: int | None = None) -> DataFrame:
     """Range-partition ``df`` on ``order`` (ascending, nulls first) and tag each row with its slice.
 
@@ -43,86 +79,107 @@ def slice_by_order(df: DataFrame, order: Sequence[str], num_slices: int | None =
     n = num_slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
     sliced = (df.repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in order])
               .withColumn(SLICE, F.spark_partition_id())
-              # cluster by slice once; every later window / aggregate keyed by the
-              # slice (or slice + group) then runs without another exchange
+              # cluster by slice once; later windows and aggregates keyed by the
+              # slice (or slice + group) run without another exchange
               .repartition(SLICE))
-    # Pin the slice ids: without this, two branches of one plan may each
-    # re-run the range exchange with a different sample and disagree.
-    sliced = sliced.persist(StorageLevel.MEMORY_AND_DISK)
-    _PINNED.append(sliced)
-    return sliced
-
-
-def release_pinned() -> None:
-    """Drop cached slices of finished jobs (long-lived sessions, tests, bench)."""
-    while _PINNED:
-        _PINNED.pop().unpersist(blocking=False)
+    return pin(sliced)
 
 
 def _slice_window(order: Sequence[str]):
     return Window.partitionBy(SLICE).orderBy(*[F.col(c).asc_nulls_first() for c in order])
 
 
-def with_neighbour(sliced: DataFrame, order: Sequence[str], cols: Sequence[str],
-                   direction: str, out: str) -> DataFrame:
-    """Add struct column ``out`` with ``cols`` of the previous/next row in the global order.
+# ---------------------------------------------------------------- neighbours
+
+def neighbour_edges(base: DataFrame, order: Sequence[str], cols: Sequence[str], direction: str) -> DataFrame:
+    """Edge table for ``apply_neighbour``: per non-empty slice, the neighbour of its edge row.
 
-    ``direction`` is ``"prev"`` or ``"next"``.  ``out`` is null only for the
-    first (prev) or last (next) row of the whole frame; a present neighbour is a
-    non-null struct even when its fields are null.
+    prev: a slice's first row gets the last row of the previous non-empty slice;
+    next: a slice's last row gets the first row of the next one.
     """
-    if direction not in ("prev", "next"):
-        raise ValueError(f"direction must be 'prev' or 'next', got {direction!r}")
-    prev = direction == "prev"
+    prev = _check_direction(direction)
     payload = F.struct(*[F.col(c).alias(c) for c in cols])
+    pick = F.max_by if prev else F.min_by
     shift = F.lag if prev else F.lead
-    local = sliced.withColumn(out, shift(payload, 1).over(_slice_window(order)))
+    ends = base.groupBy(SLICE).agg(pick(payload, _ordering(order)).alias("edge"))
+    # one row per non-empty slice: bounded by the slice count, so one ordered task is fine
+    return ends.select(SLICE, shift(F.col("edge"), 1).over(Window.orderBy(SLICE)).alias("edge"))
+
 
+def apply_neighbour(df: DataFrame, order: Sequence[str], cols: Sequence[str], direction: str,
+                    out: str, edges: DataFrame) -> DataFrame:
+    """Add struct column ``out`` with ``cols`` of the previous/next row in the global order.
+
+    ``out`` is null only for the first (prev) or last (next) row of the whole
+    frame; a present neighbour is a non-null struct even when its fields are null.
+    """
+    prev = _check_direction(direction)
+    payload = F.struct(*[F.col(c).alias(c) for c in cols])
+    shift = F.lag if prev else F.lead
+    local = df.withColumn(out, shift(payload, 1).over(_slice_window(order)))
     edge = f"{out}__edge"
-    # prev: a slice's first row needs the last row of the previous non-empty slice;
-    # next: a slice's last row needs the first row of the next one.
-    pick = F.max_by if prev else F.min_by
-    ends = sliced.groupBy(SLICE).agg(pick(payload, F.struct(*_cols(order))).alias(edge))
-    # One row per non-empty slice: bounded by num_slices, so a single ordered
-    # window here is cheap and the result is safe to broadcast.
-    ends = ends.select(SLICE, shift(F.col(edge), 1).over(Window.orderBy(SLICE)).alias(edge))
-    return (local.join(F.broadcast(ends), SLICE, "left")
+    return (local.join(F.broadcast(edges.withColumnRenamed("edge", edge)), SLICE, "left")
             .withColumn(out, F.coalesce(F.col(out), F.col(edge)))
             .drop(edge))
 
 
-def with_group_max(sliced: DataFrame, order: Sequence[str], group: Sequence[str],
-                   value: str, out: str) -> DataFrame:
-    """Add ``out`` = max(``value``) over all rows sharing ``group``.
+def with_neighbour(base: DataFrame, order: Sequence[str], cols: Sequence[str], direction: str,
+                   out: str) -> DataFrame:
+    """``apply_neighbour`` with edges taken from ``base`` itself (``base`` is a sliced frame)."""
+    return apply_neighbour(base, order, cols, direction, out, neighbour_edges(base, order, cols, direction))
+
+
+def _check_direction(direction: str) -> bool:
+    if direction not in ("prev", "next"):
+        raise ValueError(f"direction must be 'prev' or 'next', got {direction!r}")
+    return direction == "prev"
+
+
+# ---------------------------------------------------------------- group maxima
+
+def group_max_edges(base: DataFrame, order: Sequence[str], group: Sequence[str], value: str) -> DataFrame:
+    """Edge table for ``apply_group_max``: the whole-frame max of every group cut by a slice edge.
 
-    ``group`` must be a prefix of ``order`` so each group is a contiguous run
-    that can only continue across a slice edge as the first or last group of a
-    slice.  Those edge groups (at most two per slice) are completed from a
-    bounded table; every other group is whole inside its slice.
+    ``group`` must be a prefix of ``order``: each group is a contiguous run and
+    can only continue across an edge as the first or last group of a slice, so
+    at most two groups per slice need a global value.
     """
-    local_max = f"{out}__local"
-    local = sliced.withColumn(local_max, F.max(value).over(Window.partitionBy(SLICE, *group)))
-    key = F.struct(*[F.col(g).alias(g) for g in group], F.col(local_max).alias("m"))
-    ordering = F.struct(*_cols(order))
-    ends = local.groupBy(SLICE).agg(F.min_by(key, ordering).alias("first"),
-                                    F.max_by(key, ordering).alias("last"))
-    edge_max = f"{out}__edge"
-    edges = (ends.select("first.*").unionByName(ends.select("last.*"))
-             .groupBy(*group).agg(F.max("m").alias(edge_max)))
-    return (local.join(F.broadcast(edges), list(group), "left")
-            .withColumn(out, F.coalesce(F.col(edge_max), F.col(local_max)))
-            .drop(edge_max, local_max))
+    ordering = _ordering(order)
+    key = F.struct(*[F.col(g).alias(g) for g in group])
+    ends = base.groupBy(SLICE).agg(F.min_by(key, ordering).alias("first"),
+                                   F.max_by(key, ordering).alias("last"))
+    keys = ends.select("first.*").unionByName(ends.select("last.*")).distinct()
+    # partial aggregation before the exchange, so a hot edge group is cheap
+    return (base.join(F.broadcast(keys), list(group), "left_semi")
+            .groupBy(*group).agg(F.max(value).alias("edge_max")))
+
+
+def apply_group_max(df: DataFrame, group: Sequence[str], value: str, out: str,
+                    edges: DataFrame) -> DataFrame:
+    """Add ``out`` = max(``value``) over all rows sharing ``group``."""
+    edge = f"{out}__edge"
+    local = df.withColumn(out, F.max(value).over(Window.partitionBy(SLICE, *group)))
+    return (local.join(F.broadcast(edges.withColumnRenamed("edge_max", edge)), list(group), "left")
+            .withColumn(out, F.coalesce(F.col(edge), F.col(out)))
+            .drop(edge))
+
+
+def with_group_max(base: DataFrame, order: Sequence[str], group: Sequence[str], value: str,
+                   out: str) -> DataFrame:
+    return apply_group_max(base, group, value, out, group_max_edges(base, order, group, value))
+
 
+# ---------------------------------------------------------------- per-group first/last/keep
 
 def first_last_keep(df: DataFrame, group: Sequence[str], order: Sequence[str], value: str,
                     keep_when: Column, keep_cols: Sequence[str]) -> DataFrame:
     """One aggregate pass per group (partial aggregation, so hot groups are fine).
 
     Returns ``group`` + ``first_<value>``/``last_<value>`` (by ``order``, null
-    values kept) + the ``keep_cols`` of the earliest row satisfying
-    ``keep_when`` (null struct when no row does).
+    values kept) + struct ``kept`` with the ``keep_cols`` of the earliest row
+    satisfying ``keep_when`` (null when no row does).
     """
-    ordering = F.struct(*_cols(order))
+    ordering = _ordering(order)
     kept = F.struct(*[F.col(c).alias(c) for c in keep_cols])
     return df.groupBy(*group).agg(
         F.min_by(F.col(value), ordering).alias(f"first_{value}"),

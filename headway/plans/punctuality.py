@@ -8,8 +8,8 @@ partial-aggregating ``groupBy`` instead of group-bys joined back to detail.
 
 Shuffle plan of ``stop_punctuality``: positions x schedule on (trip, stop
 sequence) [J3], one range exchange + one slice exchange shared by every
-neighbour / per-trip computation, one partially aggregated exchange on
-(trip, stop sequence), and the final join reusing the schedule exchange.
+neighbour / per-trip computation (edge tables are broadcasts of at most two
+rows per slice), and one partially aggregated exchange on (trip, stop sequence).
 """
 
 from __future__ import annotations
@@ -20,7 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.clock import DEFAULT_TZ, as_date, service_clock_to_epoch
-from ..operators.ordered import (first_last_keep, slice_by_order, with_group_max,
+from ..operators.ordered import (apply_group_max, apply_neighbour, first_last_keep,
+                                 group_max_edges, neighbour_edges, pin, slice_by_order,
                                  with_neighbour)
 
 SEQ = "vehicle_currentStopSequence"
@@ -129,15 +130,22 @@ def positions_on_schedule(positions: DataFrame, stu: DataFrame, exact: bool = Tr
     return _on_schedule(positions, stu, exact).drop("_slice")
 
 
+NEXT_COLS = ["trip_id", "vehicle_vehicle_id", "vehicle_timestamp"]
+
+
 def _offsets(positions: DataFrame, stu: DataFrame, exact: bool, upto: str) -> DataFrame:
-    rows = _on_schedule(positions, stu, exact)
+    # Pin the filtered polls (still clustered by slice): both edge tables below
+    # read this base directly instead of re-running the W1 step.
+    rows = pin(_on_schedule(positions, stu, exact))
+    next_edges = neighbour_edges(rows, ORDER, NEXT_COLS, "next")
+    max_edges = group_max_edges(rows, ORDER, ["trip_id"], SEQ)
     arrival = F.col("arrival_time_unix")
     status = F.col(STATUS)
     # R1
     rows = rows.withColumn("offset", F.when(status == STOPPED_AT, F.col("vehicle_timestamp") - arrival))
     if upto == "stopped":
         return rows
-    rows = with_neighbour(rows, ORDER, ["trip_id", "vehicle_vehicle_id", "vehicle_timestamp"], "next", "_next")
+    rows = apply_neighbour(rows, ORDER, NEXT_COLS, "next", "_next", next_edges)
     nxt = F.col("_next")
     # R2: an in-transit poll is late by the time of the trip's next poll
     rows = rows.withColumn("offset", F.when(
@@ -146,7 +154,7 @@ def _offsets(positions: DataFrame, stu: DataFrame, exact: bool, upto: str) -> Da
     if upto == "in_transit":
         return rows.drop("_next")
     # At the trip's last stop, the next poll of the same vehicle (any trip)
-    rows = with_group_max(rows, ORDER, ["trip_id"], SEQ, "_max_seq")
+    rows = apply_group_max(rows, ["trip_id"], SEQ, "_max_seq", max_edges)
     same_vehicle = F.col("vehicle_vehicle_id") == nxt.getField("vehicle_vehicle_id")
     rows = rows.withColumn("offset", F.when(
         (status != STOPPED_AT) & same_vehicle & (F.col(SEQ) == F.col("_max_seq")),
@@ -181,22 +189,26 @@ def stop_punctuality(positions: DataFrame, stop_times: DataFrame, day: str | dt.
     rows = _offsets(positions, stu, exact, "last_stop")
     # W4 + A4 + the 1800 s cut in one partially aggregated pass per stop:
     # first/last offset by poll order, and the earliest poll that survives the cut.
+    # The schedule columns ride along (GTFS keys stop times by trip and sequence),
+    # so J4 needs no second join with the schedule.
     per_stop = first_last_keep(
         rows, ["trip_id", SEQ], WITHIN_STOP, "offset",
         keep_when=F.abs(F.col("offset")) <= OFFSET_LIMIT_S,
-        keep_cols=["id", "vehicle_occupancyStatus", "vehicle_trip_routeId"])
+        keep_cols=["id", "vehicle_occupancyStatus", "vehicle_trip_routeId",
+                   "arrival_time", "stop_id", "arrival_time_unix"])
     kept = F.col("kept")
-    processed = per_stop.where(kept.isNotNull()).select(
+    return per_stop.where(kept.isNotNull()).select(
         "trip_id",
+        kept.getField("arrival_time").alias("arrival_time"),
+        kept.getField("stop_id").alias("stop_id"),
         F.col(SEQ).alias("stop_sequence"),
+        kept.getField("arrival_time_unix").alias("arrival_time_unix"),
         kept.getField("id").alias("vehicleID"),
         kept.getField("vehicle_occupancyStatus").alias("Current_Occupancy"),
         ((F.col("first_offset") + F.col("last_offset")) / 2).alias("offset"),
         kept.getField("vehicle_trip_routeId").cast("bigint").alias("routeId"),
         F.col("first_offset").alias("arrival_time_offset"),
         F.col("last_offset").alias("departure_time_offset"))
-    # J4
-    return stu.join(processed, ["trip_id", "stop_sequence"], "inner").select(*DATA_STOPS_COLUMNS)
 
 
 # ---------------------------------------------------------------- C6

@@ -20,6 +20,9 @@ ENGINE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
+    # a pinned (persisted) sliced frame keeps its clustering by slice id, so
+    # the windows reading it need no second exchange
+    "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "false",
 }
 
 
