@@ -186,3 +186,21 @@ def first_last_keep(df: DataFrame, group: Sequence[str], order: Sequence[str], v
         F.max_by(F.col(value), ordering).alias(f"last_{value}"),
         F.min_by(kept, F.when(keep_when, ordering)).alias("kept"),
     )
+
+
+# ---------------------------------------------------------------- global row number
+
+def global_row_number(base: DataFrame, order: Sequence[str], out: str = "index") -> DataFrame:
+    """0-based position of every row in the global ``order`` (``base`` is a sliced frame).
+
+    Row number inside the slice plus the number of rows in all earlier slices;
+    the per-slice counts form a table of at most ``num_slices`` rows.
+    """
+    counts = base.groupBy(SLICE).agg(F.count(F.lit(1)).alias("n"))
+    offsets = counts.select(
+        SLICE, (F.sum("n").over(Window.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)))
+        .alias("before"))
+    local = base.withColumn(out, F.row_number().over(_slice_window(order)) - 1)
+    return (local.join(F.broadcast(offsets), SLICE, "left")
+            .withColumn(out, F.col(out) + F.coalesce(F.col("before"), F.lit(0)))
+            .drop("before", SLICE))
