@@ -19,7 +19,7 @@ from ..plans import bikeshare as bk
 from ..plans import feeds as fd
 from ..plans.jobs import poll_date
 from ..sinks import files
-from ..sources.gtfs import TRIP_CSV_TYPES
+from ..sources.gtfs import TRIP_CSV_TYPES, header_schema
 
 
 def positions_landing_stream(spark: SparkSession, landing_dir: str, table_dir: str,
@@ -50,9 +50,7 @@ def bike_trips_stream(spark: SparkSession, csv_dir: str, trips_path: str, statio
     micro-batch land in their own ``load_batch`` partition, overwritten on a
     retry, so a replayed batch never duplicates rows.
     """
-    schema = StructType.fromJson({"type": "struct", "fields": [
-        {"name": c, "type": TRIP_CSV_TYPES.get(c.lower()).simpleString() if c.lower() in TRIP_CSV_TYPES
-         else "string", "nullable": True, "metadata": {}} for c in header]})
+    schema = header_schema(header, TRIP_CSV_TYPES, case_insensitive=True)
     raw = spark.readStream.schema(schema).option("header", True).csv(csv_dir)
 
     def load(batch: DataFrame, epoch_id: int) -> None:
