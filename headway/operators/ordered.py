@@ -15,9 +15,10 @@ window keyed by ``trip_id`` would put a hot trip in one task.  Instead:
    the slice id; they reuse the pinned clustering, so no further exchange.
 3. Rows at the edge of a slice are completed from *edge tables* with at most
    one or two rows per slice: their size is fixed by the slice count (a
-   configuration value), not by the data, so they are broadcast.  Edge tables
-   are always computed from the pinned base frame (one partial aggregate
-   each), never from the output of another ordered step, so they never nest.
+   configuration value), not by the data, so they are broadcast.  All edge
+   tables of a step come from one aggregate over the pinned base
+   (``slice_ends``), never from the output of another ordered step, so plans
+   do not nest.
 """
 
 from __future__ import annotations
@@ -89,22 +90,56 @@ def _slice_window(order: Sequence[str]):
     return Window.partitionBy(SLICE).orderBy(*[F.col(c).asc_nulls_first() for c in order])
 
 
-# ---------------------------------------------------------------- neighbours
+# ---------------------------------------------------------------- slice ends
 
-def neighbour_edges(base: DataFrame, order: Sequence[str], cols: Sequence[str], direction: str) -> DataFrame:
-    """Edge table for ``apply_neighbour``: per non-empty slice, the neighbour of its edge row.
+def slice_ends(base: DataFrame, order: Sequence[str], prev_cols: Sequence[str] = (),
+               next_cols: Sequence[str] = (), group: Sequence[str] = (), value: str | None = None) -> DataFrame:
+    """One aggregate pass over a sliced frame: what the edge rows of every slice need.
 
-    prev: a slice's first row gets the last row of the previous non-empty slice;
-    next: a slice's last row gets the first row of the next one.
+    Per non-empty slice (so at most ``num_slices`` rows): its last row
+    (``prev_cols``), its first row (``next_cols``), and for a numeric ``value``
+    the first and last ``group`` with the max ``value`` of that group inside the
+    slice.  ``group`` must be a prefix of ``order``.  Every edge table below is
+    derived from this one small frame.
     """
+    ordering = _ordering(order)
+    aggs = []
+    if prev_cols:
+        aggs.append(F.max_by(F.struct(*[F.col(c).alias(c) for c in prev_cols]), ordering).alias("last_row"))
+    if next_cols:
+        aggs.append(F.min_by(F.struct(*[F.col(c).alias(c) for c in next_cols]), ordering).alias("first_row"))
+    if group:
+        v = F.col(value)
+        keyed = F.struct(*[F.col(g).alias(g) for g in group], v.alias("v"))
+        gcols = _cols(group)
+        # first group of the slice (smallest key), largest non-null value within it
+        aggs.append(F.min_by(keyed, F.struct(*gcols, v.isNull(), -v)).alias("first_group"))
+        # last group of the slice, largest non-null value within it
+        aggs.append(F.max_by(keyed, F.struct(*gcols, v.isNotNull(), v)).alias("last_group"))
+    return base.groupBy(SLICE).agg(*aggs)
+
+
+def neighbour_edges(ends: DataFrame, direction: str) -> DataFrame:
+    """Per slice, the neighbour of its edge row: the previous slice's last row or the next one's first row."""
     prev = _check_direction(direction)
-    payload = F.struct(*[F.col(c).alias(c) for c in cols])
-    pick = F.max_by if prev else F.min_by
-    shift = F.lag if prev else F.lead
-    ends = base.groupBy(SLICE).agg(pick(payload, _ordering(order)).alias("edge"))
+    col, shift = ("last_row", F.lag) if prev else ("first_row", F.lead)
     # one row per non-empty slice: bounded by the slice count, so one ordered task is fine
-    return ends.select(SLICE, shift(F.col("edge"), 1).over(Window.orderBy(SLICE)).alias("edge"))
+    return ends.select(SLICE, shift(F.col(col), 1).over(Window.orderBy(SLICE)).alias("edge"))
+
+
+def group_max_edges(ends: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Whole-frame max of every group cut by a slice edge (at most two groups per slice).
+
+    A group continuing across an edge is the last group of one slice and the
+    first (or only) group of the following ones, so the maximum over those
+    entries is the group's maximum.
+    """
+    firsts = ends.select(*[F.col(f"first_group.{g}").alias(g) for g in group], F.col("first_group.v").alias("v"))
+    lasts = ends.select(*[F.col(f"last_group.{g}").alias(g) for g in group], F.col("last_group.v").alias("v"))
+    return firsts.unionByName(lasts).groupBy(*group).agg(F.max("v").alias("edge_max"))
+
 
+# ---------------------------------------------------------------- applying edges
 
 def apply_neighbour(df: DataFrame, order: Sequence[str], cols: Sequence[str], direction: str,
                     out: str, edges: DataFrame) -> DataFrame:
@@ -126,7 +161,9 @@ def apply_neighbour(df: DataFrame, order: Sequence[str], cols: Sequence[str], di
 def with_neighbour(base: DataFrame, order: Sequence[str], cols: Sequence[str], direction: str,
                    out: str) -> DataFrame:
     """``apply_neighbour`` with edges taken from ``base`` itself (``base`` is a sliced frame)."""
-    return apply_neighbour(base, order, cols, direction, out, neighbour_edges(base, order, cols, direction))
+    prev = _check_direction(direction)
+    ends = slice_ends(base, order, prev_cols=cols if prev else (), next_cols=() if prev else cols)
+    return apply_neighbour(base, order, cols, direction, out, neighbour_edges(ends, direction))
 
 
 def _check_direction(direction: str) -> bool:
@@ -135,38 +172,20 @@ def _check_direction(direction: str) -> bool:
     return direction == "prev"
 
 
-# ---------------------------------------------------------------- group maxima
-
-def group_max_edges(base: DataFrame, order: Sequence[str], group: Sequence[str], value: str) -> DataFrame:
-    """Edge table for ``apply_group_max``: the whole-frame max of every group cut by a slice edge.
-
-    ``group`` must be a prefix of ``order``: each group is a contiguous run and
-    can only continue across an edge as the first or last group of a slice, so
-    at most two groups per slice need a global value.
-    """
-    ordering = _ordering(order)
-    key = F.struct(*[F.col(g).alias(g) for g in group])
-    ends = base.groupBy(SLICE).agg(F.min_by(key, ordering).alias("first"),
-                                   F.max_by(key, ordering).alias("last"))
-    keys = ends.select("first.*").unionByName(ends.select("last.*")).distinct()
-    # partial aggregation before the exchange, so a hot edge group is cheap
-    return (base.join(F.broadcast(keys), list(group), "left_semi")
-            .groupBy(*group).agg(F.max(value).alias("edge_max")))
-
-
 def apply_group_max(df: DataFrame, group: Sequence[str], value: str, out: str,
                     edges: DataFrame) -> DataFrame:
     """Add ``out`` = max(``value``) over all rows sharing ``group``."""
     edge = f"{out}__edge"
     local = df.withColumn(out, F.max(value).over(Window.partitionBy(SLICE, *group)))
     return (local.join(F.broadcast(edges.withColumnRenamed("edge_max", edge)), list(group), "left")
-            .withColumn(out, F.coalesce(F.col(edge), F.col(out)))
+            .withColumn(out, F.greatest(F.col(edge), F.col(out)))
             .drop(edge))
 
 
 def with_group_max(base: DataFrame, order: Sequence[str], group: Sequence[str], value: str,
                    out: str) -> DataFrame:
-    return apply_group_max(base, group, value, out, group_max_edges(base, order, group, value))
+    ends = slice_ends(base, order, group=group, value=value)
+    return apply_group_max(base, group, value, out, group_max_edges(ends, group))
 
 
 # ---------------------------------------------------------------- per-group first/last/keep

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from ..functions.clock import DEFAULT_TZ, as_date, service_clock_to_epoch
 from ..operators.ordered import (apply_group_max, apply_neighbour, first_last_keep,
                                  group_max_edges, neighbour_edges, pin, slice_by_order,
-                                 with_neighbour)
+                                 slice_ends, with_neighbour)
 
 SEQ = "vehicle_currentStopSequence"
 STATUS = "vehicle_currentStatus"
@@ -137,8 +137,9 @@ def _offsets(positions: DataFrame, stu: DataFrame, exact: bool, upto: str) -> Da
     # Pin the filtered polls (still clustered by slice): both edge tables below
     # read this base directly instead of re-running the W1 step.
     rows = pin(_on_schedule(positions, stu, exact))
-    next_edges = neighbour_edges(rows, ORDER, NEXT_COLS, "next")
-    max_edges = group_max_edges(rows, ORDER, ["trip_id"], SEQ)
+    ends = slice_ends(rows, ORDER, next_cols=NEXT_COLS, group=["trip_id"], value=SEQ)
+    next_edges = neighbour_edges(ends, "next")
+    max_edges = group_max_edges(ends, ["trip_id"])
     arrival = F.col("arrival_time_unix")
     status = F.col(STATUS)
     # R1

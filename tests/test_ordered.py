@@ -30,7 +30,7 @@ def _check(spark, rows, slices):
     base = od.slice_by_order(_frame(spark, rows), ORDER, num_slices=slices)
     out = od.with_neighbour(base, ORDER, ["g", "v"], "prev", "p")
     out = od.with_neighbour(out, ORDER, ["v"], "next", "n")
-    out = od.apply_group_max(out, ["g"], "k", "gmax", od.group_max_edges(base, ORDER, ["g"], "k"))
+    out = od.with_group_max(out, ORDER, ["g"], "k", "gmax")
     out = od.global_row_number(out, ORDER, "idx")
     got = sorted((r.g, r.k, r.p.v if r.p else None, r.p.g if r.p else None, r.n.v if r.n else None,
                   r.gmax, r.idx) for r in out.collect())
@@ -72,4 +72,4 @@ def test_first_last_keep(spark):
 
 def test_bad_direction(spark):
     with pytest.raises(ValueError):
-        od.neighbour_edges(_frame(spark, [(1, 1, 1)]), ORDER, ["v"], "up")
+        od.with_neighbour(_frame(spark, [(1, 1, 1)]), ORDER, ["v"], "up", "x")
