@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 
 SLICE = "_slice"
+SLICES_CONF = "headway.slices"       # slice count of ordered steps (default: shuffle partitions)
 
 
 def _cols(names: Sequence[str]) -> list[Column]:
@@ -77,7 +78,7 @@ def slice_by_order(df: DataFrame, order: Sequence[str], num_slices: int | None =
     ``order`` should be a total order (unique key) so neighbours are well defined.
     """
     spark = df.sparkSession
-    n = num_slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_slices or int(spark.conf.get(SLICES_CONF, None) or spark.conf.get("spark.sql.shuffle.partitions"))
     sliced = (df.repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in order])
               .withColumn(SLICE, F.spark_partition_id())
               # cluster by slice once; later windows and aggregates keyed by the

@@ -62,6 +62,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not current:
+        if not sc.master.startswith("local"):
+            # executors would each write to their own disk: refuse instead
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         current = tempfile.mkdtemp(prefix="headway-ckpt-")
     sc.setCheckpointDir(current)
     return current
