@@ -79,13 +79,18 @@ def convert_feed_tables(spark: SparkSession, feed_dir: str, out_dir: str) -> lis
 def read_trip_csvs(spark: SparkSession, paths: Iterable[str]) -> tuple[DataFrame | None, list[str]]:
     """SRC5 + P13 + P2: trip CSVs -> one normalised DataFrame, plus the skipped files.
 
-    Files missing a required column are skipped (reported, not fatal).  Files
+    Missing files and files missing a required column are skipped (reported,
+    not fatal).  Files
     sharing a header are read by one split-parallel scan.
     """
     groups: dict[tuple[str, ...], list[str]] = {}
     skipped: list[str] = []
     for path in paths:
-        header = tuple(csv_header(spark, path))
+        try:
+            header = tuple(csv_header(spark, path))
+        except Exception:  # noqa: BLE001 - a missing or unreadable file is skipped, not fatal
+            skipped.append(path)
+            continue
         if has_required_columns(header, REQUIRED_COLUMNS):
             groups.setdefault(header, []).append(path)
         else:

@@ -89,6 +89,15 @@ def test_bike_history_load_rerun_and_ledger(spark, scratch):
     assert durations == {600000.0}
 
 
+def test_missing_file_and_empty_catalogue_load_nothing(spark, scratch):
+    missing = os.path.join(scratch, "nope.csv")
+    stats = jobs.load_bike_trips(spark, [missing], os.path.join(scratch, "trips"), os.path.join(scratch, "stations"))
+    assert stats == {"trips": 0, "stations": 0, "skipped": [missing]}
+    empty = spark.createDataFrame([], "year int, url string")
+    assert jobs.historical_load(spark, empty, {}, os.path.join(scratch, "t"), os.path.join(scratch, "s"),
+                                os.path.join(scratch, "l"), "https://cdn.example.com") == []
+
+
 def test_historical_load_orders_years_and_dispatches(spark, scratch):
     f = _csv(os.path.join(scratch, "y2023.csv"), _trips(1_690_000_000_000, 5, "t"))
     entries = spark.createDataFrame([(2023, "http://x.example/a/2023.zip?q=1"), (2015, "https://cdn.example.com/2015.zip")],
