@@ -80,8 +80,7 @@ def read_trip_csvs(spark: SparkSession, paths: Iterable[str]) -> tuple[DataFrame
     """SRC5 + P13 + P2: trip CSVs -> one normalised DataFrame, plus the skipped files.
 
     Missing files and files missing a required column are skipped (reported,
-    not fatal).  Files
-    sharing a header are read by one split-parallel scan.
+    not fatal).  Files sharing a header are read by one split-parallel scan.
     """
     groups: dict[tuple[str, ...], list[str]] = {}
     skipped: list[str] = []
