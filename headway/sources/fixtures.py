@@ -116,12 +116,17 @@ def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     again the next day (same trip, +86 400 s), which the 7 200 s rule removes.
     """
     li = table(spark, sf_dir, "lineitem")
+
+    def min_is(col: str, value: str) -> F.Column:
+        # min(col) = value, as boolean aggregates (hash-aggregatable; nulls ignored alike)
+        return F.every(F.col(col) >= value) & F.some(F.col(col) == value)
+
     p = (_grouped(li, "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-         .agg(F.min("l_returnflag").alias("rf"), F.min("l_linestatus").alias("ls"))
+         .agg(min_is("l_returnflag", "N").alias("rf_n"), min_is("l_linestatus", "O").alias("ls_o"))
          .select(F.col("l_orderkey").alias("trip_id"),
                  F.col("l_linenumber").cast("bigint").alias("seq"),
                  (F.col("l_partkey") * 1000 + F.col("l_suppkey")).alias("id"),
-                 "l_partkey", "l_suppkey", "rf", "ls"))
+                 "l_partkey", "l_suppkey", "rf_n", "ls_o"))
     vts = (F.lit(LOCAL_MIDNIGHT) + (4 + F.col("trip_id") % 22) * 3600 + F.col("seq") * 420
            + (F.col("trip_id") * 7) % 60 + (F.col("l_partkey") * 37 + F.col("l_suppkey") * 101) % 2700
            - 900)
@@ -137,9 +142,9 @@ def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("trip_id") % 97).cast("string").alias("vehicle_trip_routeId"),
         F.floor(F.col("trip_id") / 3).cast("bigint").cast("string").alias("vehicle_vehicle_id"),
         shifted.cast("string").alias("vehicle_timestamp"),
-        F.when(F.col("rf") == "N", "IN_TRANSIT_TO").otherwise("STOPPED_AT").alias("vehicle_currentStatus"),
+        F.when(F.col("rf_n"), "IN_TRANSIT_TO").otherwise("STOPPED_AT").alias("vehicle_currentStatus"),
         F.col("seq").alias("vehicle_currentStopSequence"),
-        F.when(F.col("ls") == "O", "FULL").otherwise("MANY_SEATS_AVAILABLE").alias("vehicle_occupancyStatus"),
+        F.when(F.col("ls_o"), "FULL").otherwise("MANY_SEATS_AVAILABLE").alias("vehicle_occupancyStatus"),
     )
 
 
