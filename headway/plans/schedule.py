@@ -41,12 +41,17 @@ def active_services(calendar: DataFrame, day: str | dt.date) -> DataFrame:
 
 
 def services_by_day(calendar: DataFrame, days: DataFrame) -> DataFrame:
-    """P10 multi-day form: (service_date, service_id) for every day in ``days.service_date``."""
+    """P10 multi-day form: (service_date, service_id) for every day in ``days.service_date``.
+
+    Each calendar row is expanded to the days of its own date range (a feed's
+    validity span, so bounded) and matched to ``days`` with an equi-join.
+    """
     cal = _calendar_dates(calendar)
     flags = F.create_map(*[x for w in WEEKDAYS for x in (F.lit(w), F.col(w))])
-    return (days.join(cal, (F.col("service_date") >= F.col("start_date"))
-                      & (F.col("service_date") <= F.col("end_date")))
-            .where(F.element_at(flags, weekday_name_col(F.col("service_date"))) == 1)
+    running = (cal.select("service_id", flags.alias("flags"),
+                          F.explode(F.sequence("start_date", "end_date")).alias("service_date"))
+               .where(F.element_at("flags", weekday_name_col(F.col("service_date"))) == 1))
+    return (days.select("service_date").join(running, "service_date")
             .select("service_date", "service_id"))
 
 
