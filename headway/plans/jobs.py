@@ -61,7 +61,7 @@ def daily_stops_info_job(spark: SparkSession, static_dir: str, daily_dir: str, o
 # ---------------------------------------------------------------- vehicle positions
 
 def merge_day_job(spark: SparkSession, landing_dir: str, out_dir: str, day, schema: StructType,
-                  tz: str = DEFAULT_TZ, files_per_day: int = 1) -> None:
+                  tz: str = DEFAULT_TZ, files_per_day: int | None = None) -> None:
     """Every poll file under ``<landing>/YYYY/MM/DD/`` -> one compacted gzip day partition.
 
     Files are read with the declared (widest) schema, so a column missing from

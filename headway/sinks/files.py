@@ -31,19 +31,20 @@ def read_or_empty(spark: SparkSession, path: str, schema: str | StructType) -> D
 
 
 def write_day_partitioned(df: DataFrame, path: str, date_col: str = "service_date",
-                          files_per_day: int = 1, compression: str = "gzip",
+                          files_per_day: int | None = None, compression: str = "gzip",
                           salt_cols: tuple[str, ...] = ()) -> None:
     """SNK1 + SNK8 + SNK2: compacted, gzip Parquet by day; rewrites only the days present.
 
-    Each day is written by ``files_per_day`` tasks (rows spread by a hash of
-    ``salt_cols``), so a heavy day is not funnelled through one task unless
-    one file per day is asked for.
+    By default rows are rebalanced by day: AQE writes a small day as one file
+    and splits a large day into advisory-size files, so no day is funnelled
+    through one task.  ``files_per_day`` instead fixes the count, rows spread by
+    a hash of ``salt_cols``.
     """
-    if files_per_day > 1:
+    if files_per_day is None:
+        shaped = df.hint("rebalance", date_col)
+    else:
         salt = F.pmod(F.xxhash64(*[F.col(c) for c in (salt_cols or df.columns)]), F.lit(files_per_day))
         shaped = df.repartition(F.col(date_col), salt)
-    else:
-        shaped = df.repartition(F.col(date_col))
     (shaped.write.mode("overwrite").option("compression", compression)
      .option("partitionOverwriteMode", "dynamic").partitionBy(date_col).parquet(path))
 
