@@ -7,10 +7,11 @@ window keyed by ``trip_id`` would put a hot trip in one task.  Instead:
 
 1. ``slice_by_order`` range-partitions the frame on its total order, so each
    slice is a contiguous run of that order; a hot trip simply spans several
-   slices.  The sliced frame is clustered by slice id and pinned with a
-   reliable checkpoint (``spark.checkpoint.dir``): every branch reads the same
-   slice of every row, the lineage is cut, and a lost executor only costs a
-   re-read of the checkpoint files.
+   slices.  The sliced frame is clustered by slice id and pinned (``pin``:
+   persisted by default, or a reliable checkpoint in ``spark.checkpoint.dir``),
+   so every branch reads the same slice of every row: two independently
+   planned range exchanges could sample different bounds.  Lost persisted
+   blocks are recomputed from lineage, where the partitioner's bounds are fixed.
 2. Inside a slice, ``lag``/``lead``/``max`` are ordinary windows partitioned by
    the slice id; they reuse the pinned clustering, so no further exchange.
 3. Rows at the edge of a slice are completed from *edge tables* with at most
