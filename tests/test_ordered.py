@@ -73,3 +73,12 @@ def test_first_last_keep(spark):
 def test_bad_direction(spark):
     with pytest.raises(ValueError):
         od.with_neighbour(_frame(spark, [(1, 1, 1)]), ORDER, ["v"], "up", "x")
+
+
+def test_checkpoint_pin_mode(spark):
+    spark.conf.set(od.PIN_MODE_CONF, "checkpoint")
+    try:
+        rows = [(7, k, k * 10) for k in range(120)] + [(g, k, g + k) for g in range(4) for k in range(3)]
+        _check(spark, rows, slices=7)
+    finally:
+        spark.conf.unset(od.PIN_MODE_CONF)
