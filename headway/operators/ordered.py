@@ -70,7 +70,7 @@ def pin(df: DataFrame) -> DataFrame:
 def release_pinned() -> None:
     """Drop persisted slices of finished jobs (long-lived sessions, tests, bench)."""
     while _PERSISTED:
-        _PERSISTED.pop().unpersist(blocking=False)
+        _PERSISTED.pop().unpersist(blocking=True)
 
 
 def slice_by_order(df: DataFrame, order: Sequence[str], num_slices: int | None = None) -> DataFrame:
