@@ -315,3 +315,7 @@ SELECT source_id, last_modified, stored_last_modified,
  stored_last_modified IS NULL OR strptime(last_modified, '%a, %d %b %Y %H:%M:%S GMT')
                                  > strptime(stored_last_modified, '%a, %d %b %Y %H:%M:%S GMT') AS reload
 FROM fx_source_versions""")
+
+QUERIES["stop_punctuality_per_trip"] = compose(
+    ["fx_positions", "fx_stop_times"], [STU, POS, W1_TRIP] + PUNCTUALITY_CHAIN[3:], "SELECT * FROM data_stops")
+QUERIES["stop_times_unix_wall_strict"] = QUERIES["stop_times_unix_wall"]

@@ -108,6 +108,12 @@ def stop_punctuality(spark, sf_dir):
     return pn.stop_punctuality(_positions(spark, sf_dir), fx.stop_times(spark, sf_dir), DAY, TZ)
 
 
+@query
+def stop_punctuality_per_trip(spark, sf_dir):
+    """C5 with W1 compared within each trip (the intent) instead of across trip borders"""
+    return pn.stop_punctuality(_positions(spark, sf_dir), fx.stop_times(spark, sf_dir), DAY, TZ, exact=False)
+
+
 @query
 def segment_deltas(spark, sf_dir):
     """W7 P5"""
@@ -157,6 +163,12 @@ def stop_times_unix_wall(spark, sf_dir):
     return sc.stop_times_wall_unix(fx.stop_times(spark, sf_dir), DAY, TZ)
 
 
+@query
+def stop_times_unix_wall_strict(spark, sf_dir):
+    """F3 strict: raises on non-existent or ambiguous local times (none on this service day)"""
+    return sc.stop_times_wall_unix(fx.stop_times(spark, sf_dir), DAY, TZ, strict=True)
+
+
 @query
 def daily_stops_info(spark, sf_dir):
     """C2 J6-J8 F4 F5 P6"""
