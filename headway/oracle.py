@@ -319,3 +319,12 @@ FROM fx_source_versions""")
 QUERIES["stop_punctuality_per_trip"] = compose(
     ["fx_positions", "fx_stop_times"], [STU, POS, W1_TRIP] + PUNCTUALITY_CHAIN[3:], "SELECT * FROM data_stops")
 QUERIES["stop_times_unix_wall_strict"] = QUERIES["stop_times_unix_wall"]
+
+QUERIES["services_by_day"] = compose(["fx_positions", "fx_calendar"], [
+    ("days", "SELECT DISTINCT DATE '2023-12-01' + poll_day AS service_date FROM fx_positions")], """
+SELECT d.service_date, c.service_id
+FROM days d JOIN fx_calendar c
+  ON d.service_date BETWEEN strptime(c.start_date, '%Y%m%d')::DATE AND strptime(c.end_date, '%Y%m%d')::DATE
+WHERE CASE lower(dayname(d.service_date)) WHEN 'monday' THEN c.monday WHEN 'tuesday' THEN c.tuesday
+  WHEN 'wednesday' THEN c.wednesday WHEN 'thursday' THEN c.thursday WHEN 'friday' THEN c.friday
+  WHEN 'saturday' THEN c.saturday ELSE c.sunday END = 1""")

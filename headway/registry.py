@@ -145,6 +145,13 @@ def active_services(spark, sf_dir):
     return sc.active_services(fx.calendar(spark, sf_dir), DAY)
 
 
+@query
+def services_by_day(spark, sf_dir):
+    """P10 multi-day form: services running on each service date present in the polls"""
+    days = fx.positions_by_date(spark, sf_dir).select("service_date").distinct()
+    return sc.services_by_day(fx.calendar(spark, sf_dir), days)
+
+
 @query
 def filtered_trips(spark, sf_dir):
     """J1"""
