@@ -1,0 +1 @@
+"""headway: transit and bike-share analytics on Spark (see README.md)."""

@@ -8,7 +8,6 @@ are split at run time and small shuffles are coalesced.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
