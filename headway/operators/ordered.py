@@ -79,7 +79,7 @@ def slice_by_order(df: DataFrame, order: Sequence[str], num_slices: int | None =
     ``order`` should be a total order (unique key) so neighbours are well defined.
     """
     spark = df.sparkSession
-    n = num_slices or int(spark.conf.get(SLICES_CONF, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_slices or _slice_count(spark)
     sliced = (df.repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in order])
               .withColumn(SLICE, F.spark_partition_id())
               # cluster by slice once; later windows and aggregates keyed by the
@@ -88,6 +88,19 @@ def slice_by_order(df: DataFrame, order: Sequence[str], num_slices: int | None =
     return pin(sliced)
 
 
+def _slice_count(spark) -> int:
+    """``headway.slices`` if set, else the shuffle partitions capped at four waves of the cores.
+
+    More slices than that only add per-task overhead: every slice is already
+    a bounded share of the data.
+    """
+    configured = spark.conf.get(SLICES_CONF, None)
+    if configured:
+        return int(configured)
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(shuffle, 4 * spark.sparkContext.defaultParallelism))
+
+
 def _slice_window(order: Sequence[str]):
     return Window.partitionBy(SLICE).orderBy(*[F.col(c).asc_nulls_first() for c in order])
 
