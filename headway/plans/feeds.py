@@ -91,7 +91,7 @@ def station_document_schema(stations: StructType = STATION_STATUS_FIELDS) -> Str
 def poll_time_from_path(path: Column) -> Column:
     """SRC7: poll epoch from a file name ``..._<digits>.<ext>``; null when the name has none."""
     digits = F.regexp_extract(path, r"_([0-9]+)\.[^/]*$", 1)
-    return F.when(digits != "", digits).cast("bigint")
+    return F.when(digits != "", digits).try_cast("bigint")
 
 
 def flatten_entities(entities: DataFrame) -> DataFrame:
