@@ -147,3 +147,18 @@ def test_header_probe_and_listing(spark, scratch):
     p = _csv(os.path.join(scratch, "x.csv"), [], header="b,a")
     assert gtfs.csv_header(spark, p) == ["b", "a"]
     assert gtfs.list_files(spark, scratch, "*.csv") == ["file:" + p]
+
+
+def test_day_write_fixed_file_count_and_rewrite(spark, scratch):
+    out = os.path.join(scratch, "days")
+    df = spark.range(0, 3000).withColumn("service_date", F.when(F.col("id") % 2 == 0, F.lit(dt.date(2024, 1, 1)))
+                                         .otherwise(F.lit(dt.date(2024, 1, 2))))
+    files.write_day_partitioned(df, out, files_per_day=3)
+    for day in ("2024-01-01", "2024-01-02"):
+        parts = [f for f in os.listdir(os.path.join(out, f"service_date={day}")) if f.endswith(".parquet")]
+        assert 1 <= len(parts) <= 3
+    # rewriting one day leaves the other untouched (dynamic partition overwrite)
+    files.write_day_partitioned(df.where(F.col("id") % 2 == 0).limit(10), out)
+    got = {str(r.service_date): r.n for r in spark.read.parquet(out).groupBy("service_date")
+           .agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert got == {"2024-01-01": 10, "2024-01-02": 1500}
