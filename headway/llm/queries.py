@@ -2,10 +2,22 @@
 
 from __future__ import annotations
 
-from headway.llm import packing, token_counts
+from headway.llm import packing, quality, secrets, sharding, token_counts
 from headway.llm.common import read_table
 
 
+def op3_feistel_shards(spark, sf_dir):
+    return sharding.shard(read_table(spark, sf_dir, "documents"))
+
+
+def op4_secret_ownership(spark, sf_dir):
+    return secrets.scan(read_table(spark, sf_dir, "documents"))
+
+
+def op5_quality_cascade(spark, sf_dir):
+    return quality.measure(read_table(spark, sf_dir, "documents"))
+
+
 def op7_token_counts(spark, sf_dir):
     return token_counts.count_tokens(read_table(spark, sf_dir, "documents"))
 
@@ -15,6 +27,9 @@ def op10_best_two_fit(spark, sf_dir):
 
 
 QUERIES = {
+    "op3_feistel_shards": op3_feistel_shards,
+    "op4_secret_ownership": op4_secret_ownership,
+    "op5_quality_cascade": op5_quality_cascade,
     "op7_token_counts": op7_token_counts,
     "op10_best_two_fit": op10_best_two_fit,
 }
