@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from headway.llm import packing, quality, secrets, sharding, token_counts
+from headway.llm import byte_bpe, packing, quality, secrets, sharding, token_counts, toxicity
 from headway.llm.common import read_table
 
 
+def op1_byte_bpe(spark, sf_dir):
+    return byte_bpe.round_trip(read_table(spark, sf_dir, "documents"))
+
+
 def op3_feistel_shards(spark, sf_dir):
     return sharding.shard(read_table(spark, sf_dir, "documents"))
 
@@ -22,15 +26,21 @@ def op7_token_counts(spark, sf_dir):
     return token_counts.count_tokens(read_table(spark, sf_dir, "documents"))
 
 
+def op8_toxicity_field(spark, sf_dir):
+    return toxicity.score(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op10_best_two_fit(spark, sf_dir):
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op1_byte_bpe": op1_byte_bpe,
     "op3_feistel_shards": op3_feistel_shards,
     "op4_secret_ownership": op4_secret_ownership,
     "op5_quality_cascade": op5_quality_cascade,
     "op7_token_counts": op7_token_counts,
+    "op8_toxicity_field": op8_toxicity_field,
     "op10_best_two_fit": op10_best_two_fit,
 }
 
