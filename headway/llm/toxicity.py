@@ -6,10 +6,13 @@ a hash of the id.  Inputs are a document's words, never its id, language, source
 or label.
 
 1. Features of a word: its lower-case form without punctuation at its ends, and
-   its first 3 to 6 letters.  Features that mark toxic documents are chosen by
-   document frequency under either label (at most ``MAX_FEATURES``).
-2. Words get labels: in a toxic document, those with a feature that clean
-   documents hardly hold; all others are clean.
+   its first 3 to 6 letters.  Candidates are features that toxic documents hold
+   far more often than clean ones (at most ``CANDIDATES``).  Of these, a greedy
+   cover takes the one that most toxic documents without a chosen feature hold,
+   again and again; so words that copies of one toxic document happen to share
+   are not taken for a mark (at most ``MAX_FEATURES``).
+2. Words get labels: in a toxic document, those with a chosen feature are toxic;
+   all others, and all of clean documents, are clean.
 3. Segments of at most ``SEGMENT`` words (at most ``SEGMENTS``) train the field's
    emission and transition weights by conditional likelihood.
 4. Every whole document: words without a feature share one emission, so a run of
@@ -37,13 +40,12 @@ from headway.llm.common import fold, id_and_text, pinned
 
 FOLDS = 5
 SAMPLE_ROWS = 5_000
-MAX_FEATURES = 5_000
-SEGMENT, SEGMENTS = 64, 20_000
+CANDIDATES, MAX_FEATURES = 5_000, 1_000
+SEGMENT, SEGMENTS = 32, 4_000
 PREFIXES = (3, 4, 5, 6)
 ENDS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
-MIN_DOCS = 4             # toxic documents that hold a feature
-MIN_ODDS = 1.5           # log odds of a feature to be chosen
-TOKEN_ODDS = 3.0         # log odds that make a word of a toxic document toxic
+MIN_DOCS = 2             # toxic documents that a feature must newly cover
+MIN_ODDS = 3.0           # log odds of a toxic against a clean document to hold a candidate
 CACHE_ROWS = 500_000
 
 
@@ -75,17 +77,16 @@ def train(docs: DataFrame, labels: DataFrame) -> dict | None:
     totals = {r.toxic: r.n for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if len(totals) < 2:
         return None
-    odds = _chosen_features(sample, totals)
-    if not odds:
+    names = sorted(_cover(sample, _candidates(sample, totals)))
+    if not names:
         return None
-    names = sorted(odds)
     number = {f: k for k, f in enumerate(names)}
-    weights = _fit([(r.labels, r.features) for r in _segments(sample, number, odds).collect()], len(names))
+    weights = _fit([(r.labels, r.features) for r in _segments(sample, number).collect()], len(names))
     return {"number": number, **weights}
 
 
-def _chosen_features(sample: DataFrame, totals: dict[int, int]) -> dict[str, float]:
-    """feature -> log odds of holding it in a toxic against a clean document of the sample."""
+def _candidates(sample: DataFrame, totals: dict[int, int]) -> dict[str, int]:
+    """feature -> clean documents of the sample that hold it, for features of high log odds."""
     def count(batches):
         toxic, clean = Counter(), Counter()
         for batch in batches:
@@ -101,14 +102,32 @@ def _chosen_features(sample: DataFrame, totals: dict[int, int]) -> dict[str, flo
              .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
              .withColumn("odds", F.log((F.col("toxic") + 0.5) / (t + 1)) - F.log((F.col("clean") + 0.5) / (c + 1)))
              .where((F.col("toxic") >= MIN_DOCS) & (F.col("odds") > MIN_ODDS))
-             .orderBy(F.desc(F.col("odds") * F.col("toxic")), "feature").limit(MAX_FEATURES))
-    return {r.feature: r.odds for r in found.collect()}
+             .orderBy(F.desc(F.col("odds") * F.col("toxic")), "feature").limit(CANDIDATES))
+    return {r.feature: r.clean for r in found.collect()}
 
 
-def _segments(sample: DataFrame, number: dict[str, int], odds: dict[str, float]) -> DataFrame:
+def _cover(sample: DataFrame, clean: dict[str, int]) -> list[str]:
+    """Greedy choice of features by the toxic documents that they newly cover, less the clean ones they hold."""
+    def held(batches):
+        for batch in batches:
+            own = [sorted({f for w in set(t.lower().split()) for f in features(w) if f in clean})
+                   for t in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(own, pa.list_(pa.string()))], ["held"])
+
+    bare = [set(r.held) for r in sample.where("toxic = 1").select("text").mapInArrow(held, "held array<string>").collect()]
+    chosen: list[str] = []
+    while len(chosen) < MAX_FEATURES:
+        gain = Counter(f for own in bare for f in own)
+        best = max(gain, key=lambda f: (gain[f] - 4 * clean[f], len(f), f), default=None)
+        if best is None or gain[best] - 4 * clean[best] < MIN_DOCS:
+            return chosen
+        chosen.append(best)
+        bare = [own for own in bare if best not in own]
+    return chosen
+
+
+def _segments(sample: DataFrame, number: dict[str, int]) -> DataFrame:
     """Segments of labelled words: those with a feature, and the first of each document."""
-    strong = {f for f, o in odds.items() if o >= TOKEN_ODDS}
-
     def cut(batches):
         for batch in batches:
             ys, fs = [], []
@@ -119,7 +138,7 @@ def _segments(sample: DataFrame, number: dict[str, int], odds: dict[str, float])
                     held = [[number[f] for f in x if f in number] for x in own]
                     if k and not any(held):
                         continue
-                    ys.append([int(bool(label) and any(f in strong for f in x)) for x in own])
+                    ys.append([int(bool(label and x)) for x in held])
                     fs.append(held)
             yield pa.RecordBatch.from_arrays([pa.array(ys, pa.list_(pa.int32())),
                                               pa.array(fs, pa.list_(pa.list_(pa.int32())))], ["labels", "features"])
@@ -128,7 +147,7 @@ def _segments(sample: DataFrame, number: dict[str, int], odds: dict[str, float])
             .orderBy(F.xxhash64("labels", "features")).limit(SEGMENTS))
 
 
-def _fit(segments, n_features: int, steps: int = 150, rate: float = 0.15, decay: float = 1e-3) -> dict:
+def _fit(segments, n_features: int, steps: int = 120, rate: float = 0.15, decay: float = 1e-3) -> dict:
     """Weights of highest conditional likelihood (Adam on the exact gradient)."""
     segments = [s for s in segments if s[0]]
     n, longest = len(segments), max(len(y) for y, _ in segments)
@@ -262,7 +281,7 @@ class Field:
 
 def _scorer(docs: DataFrame, labels: DataFrame):
     """Of a worker: text -> (score, spans)."""
-    shared = docs.sparkSession.sparkContext.broadcast({"model": train(docs, labels)})    # at most MAX_FEATURES weights
+    shared = docs.sparkSession.sparkContext.broadcast({"model": train(docs, labels)})    # MAX_FEATURES weights at most
 
     def scorer():
         own = shared.value
