@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from headway.llm import byte_bpe, packing, quality, secrets, sharding, token_counts, toxicity
+from headway.llm import byte_bpe, jaccard_join, packing, quality, secrets, sharding, token_counts, toxicity
 from headway.llm.common import read_table
 
 
@@ -22,6 +22,10 @@ def op5_quality_cascade(spark, sf_dir):
     return quality.measure(read_table(spark, sf_dir, "documents"))
 
 
+def op6_ngram_jaccard(spark, sf_dir):
+    return jaccard_join.join(read_table(spark, sf_dir, "documents"))
+
+
 def op7_token_counts(spark, sf_dir):
     return token_counts.count_tokens(read_table(spark, sf_dir, "documents"))
 
@@ -39,6 +43,7 @@ QUERIES = {
     "op3_feistel_shards": op3_feistel_shards,
     "op4_secret_ownership": op4_secret_ownership,
     "op5_quality_cascade": op5_quality_cascade,
+    "op6_ngram_jaccard": op6_ngram_jaccard,
     "op7_token_counts": op7_token_counts,
     "op8_toxicity_field": op8_toxicity_field,
     "op10_best_two_fit": op10_best_two_fit,

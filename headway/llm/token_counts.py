@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.common import id_and_text, share_vocabulary
+from headway.llm.common import id_and_text, pinned, share_vocabulary
 from headway.llm.wordpiece import TokenCache
 
 SUMMARY_ROWS = 50_000    # counters that a task keeps
@@ -47,8 +47,11 @@ def frequent_pieces(docs: DataFrame, cache: TokenCache, top: int = TOP) -> list[
         yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in best], pa.binary()),
                                           pa.array([n for _, n in best], pa.int64())], ["piece", "n"])
 
-    found = (id_and_text(docs).select("text").mapInArrow(summary, "piece binary, n long")
-             .groupBy("piece").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "piece").limit(top))
+    sums = pinned(id_and_text(docs).select("text").mapInArrow(summary, "piece binary, n long")
+                  .groupBy("piece").agg(F.sum("n").alias("n")))
+    total = sums.agg(F.sum("n").alias("n")).first().n or 0
+    # at most 8 * top pieces can hold a (8 * top)-th of the total each, whatever the corpus
+    found = sums.where(F.col("n") * (8 * top) >= total).orderBy(F.desc("n"), "piece").limit(top)
     return [bytes(r.piece) for r in found.select("piece").collect()]
 
 
