@@ -371,20 +371,19 @@ def _later_pairs(runs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
     known = flat.join(parts, "doc_id", "left").withColumn("part", F.coalesce("component_id", "doc_id"))
     open_ = known.groupBy("run").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi").select("run")
 
-    def cross(batches):
-        out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-        t = pa.Table.from_batches(list(batches))
+    def cross(t):
         size = t.column("size").to_numpy().astype(np.int64)
         d, f, c = (t.column(x).to_numpy() for x in ("doc_id", "flag", "part"))
         order = np.argsort(size, kind="stable")
         size, d, f, c = size[order], d[order], f[order], c[order]
         last = np.searchsorted(size, size * 100 // percent, "right")
+        a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
         for i in range(len(d)):
             j = np.arange(i + 1, last[i])
             j = j[c[j] != c[i]]
-            if len(j):
-                j = j[_valid(f[j], size[j], d[j], f[i], size[i], d[i], percent)]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(d[j], d[i])), pa.array(np.maximum(d[j], d[i]))], schema=out)
+            j = j[_valid(f[j], size[j], d[j], f[i], size[i], d[i], percent)]
+            a.append(np.minimum(d[j], d[i])), b.append(np.maximum(d[j], d[i]))
+        return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
 
     return known.join(open_, "run", "left_semi").groupBy("run").applyInArrow(cross, "a long, b long").distinct()
 
