@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from headway.llm import byte_bpe, jaccard_join, packing, quality, secrets, sharding, token_counts, toxicity
+from headway.llm import byte_bpe, jaccard_join, lm_scoring, nearest, packing, quality, secrets, sharding, token_counts, toxicity
 from headway.llm.common import read_table
 
 
@@ -10,6 +10,10 @@ def op1_byte_bpe(spark, sf_dir):
     return byte_bpe.round_trip(read_table(spark, sf_dir, "documents"))
 
 
+def op2_deleted_interpolation(spark, sf_dir):
+    return lm_scoring.score(read_table(spark, sf_dir, "documents"))
+
+
 def op3_feistel_shards(spark, sf_dir):
     return sharding.shard(read_table(spark, sf_dir, "documents"))
 
@@ -34,18 +38,24 @@ def op8_toxicity_field(spark, sf_dir):
     return toxicity.score(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op9_hilbert_neighbours(spark, sf_dir):
+    return nearest.search(read_table(spark, sf_dir, "embeddings"))
+
+
 def op10_best_two_fit(spark, sf_dir):
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_deleted_interpolation": op2_deleted_interpolation,
     "op3_feistel_shards": op3_feistel_shards,
     "op4_secret_ownership": op4_secret_ownership,
     "op5_quality_cascade": op5_quality_cascade,
     "op6_ngram_jaccard": op6_ngram_jaccard,
     "op7_token_counts": op7_token_counts,
     "op8_toxicity_field": op8_toxicity_field,
+    "op9_hilbert_neighbours": op9_hilbert_neighbours,
     "op10_best_two_fit": op10_best_two_fit,
 }
 
