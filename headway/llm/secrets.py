@@ -33,6 +33,7 @@ ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?(
 # The longer minimum finds the same spans as a filter after the match: runs are maximal.
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
+# The look-around spares attempts within a run; the spans are those of [A-Za-z0-9_-]{32,}.
 OPAQUE = r"(?<![A-Za-z0-9_-])(?=[A-Za-z0-9_-]{32})[A-Za-z0-9_-]{32,}"
 MIN_ASSIGN = 6
 WIDESPREAD = 3
