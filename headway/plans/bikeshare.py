@@ -27,7 +27,7 @@ TRIP_COLUMNS = ["startStationName", "endStationName", "startTimeMs", "endTimeMs"
 FIRST_KNOWN_YEAR = 2014
 FIRST_2022_LAYOUT_YEAR = 2022
 
-CATALOGUE_BLOCK = r'(?s)<div[^>]*class="[^"]*document-row[^"]*"[^>]*>.*?</div>'
+CATALOGUE_BLOCK = r'<div[^>]*class="[^"]*document-row[^"]*"[^>]*>'
 CATALOGUE_YEAR = r'(?s)<h3[^>]*class="document-title title-4"[^>]*>\s*([0-9]+)\s*</h3>'
 CATALOGUE_HREF = r'<a[^>]*href="([^"]*)"'
 
@@ -116,12 +116,16 @@ def stations_insert_if_absent(new_stations: DataFrame, existing: DataFrame) -> D
 # ---------------------------------------------------------------- catalogue
 
 def catalogue_entries(pages: DataFrame) -> DataFrame:
-    """F13 scan: every (page_id, position, year, url) block of the catalogue pages."""
-    blocks = pages.select("page_id", F.posexplode(
-        F.regexp_extract_all(F.col("html"), F.lit(CATALOGUE_BLOCK), F.lit(0))).alias("pos", "block"))
+    """F13 scan: every (page_id, position, year, url) block of the catalogue pages.
+
+    A block runs from its opening tag to the next block's, so boxes nested in it
+    do not end it.  A block without a readable year has a null year.
+    """
+    parts = F.split(F.col("html"), CATALOGUE_BLOCK, -1)
+    blocks = pages.select("page_id", F.posexplode(F.slice(parts, F.lit(2), F.size(parts))).alias("pos", "block"))
     return blocks.select(
         "page_id", "pos",
-        F.regexp_extract("block", CATALOGUE_YEAR, 1).cast("int").alias("year"),
+        F.regexp_extract("block", CATALOGUE_YEAR, 1).try_cast("int").alias("year"),
         F.regexp_extract("block", CATALOGUE_HREF, 1).alias("url"))
 
 

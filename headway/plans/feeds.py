@@ -12,12 +12,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (ArrayType, DoubleType, LongType, StringType, StructField,
+from pyspark.sql.types import (ArrayType, DataType, DoubleType, LongType, StringType, StructField,
                                StructType)
 
 from ..functions.flatten import flatten
 
 
+FAILFAST = {"mode": "FAILFAST"}
+
+
 def _s(*fields: StructField) -> StructType:
     return StructType(list(fields))
 
@@ -99,13 +102,31 @@ def flatten_entities(entities: DataFrame) -> DataFrame:
     return flatten(entities)
 
 
+def widened(declared: DataType, seen: DataType) -> DataType:
+    """The declared type with every further member that the data hold."""
+    if isinstance(declared, StructType) and isinstance(seen, StructType):
+        own = {f.name: f for f in declared.fields}
+        inner = {f.name: f.dataType for f in seen.fields}
+        return StructType([StructField(n, widened(f.dataType, inner[n]) if n in inner else f.dataType, True)
+                           for n, f in own.items()] + [f for f in seen.fields if f.name not in own])
+    if isinstance(declared, ArrayType) and isinstance(seen, ArrayType):
+        return ArrayType(widened(declared.elementType, seen.elementType))
+    return declared
+
+
+def unparsable(messages: DataFrame, text_col: str = "value") -> Column:
+    """Whether a message is no JSON object."""
+    return F.try_parse_json(text_col).isNull() | ~F.coalesce(F.ltrim(F.col(text_col)).startswith("{"), F.lit(False))
+
+
 def flatten_feed(messages: DataFrame, entity: StructType, text_col: str = "value",
                  keep: Sequence[str] = ()) -> DataFrame:
     """Decoded feed messages (JSON text) -> flat entity rows.
 
     ``keep`` carries columns of the message row (e.g. ``timefetch``) onto every entity.
+    A malformed message fails the query; jobs put such messages aside first.
     """
-    parsed = messages.select(*keep, F.from_json(F.col(text_col), feed_message_schema(entity)).alias("m"))
+    parsed = messages.select(*keep, F.from_json(F.col(text_col), feed_message_schema(entity), FAILFAST).alias("m"))
     entities = parsed.select(*keep, F.explode("m.entity").alias("e")).select(*keep, "e.*")
     return flatten(entities)
 
@@ -113,7 +134,7 @@ def flatten_feed(messages: DataFrame, entity: StructType, text_col: str = "value
 def station_snapshot(documents: DataFrame, stations: StructType = STATION_STATUS_FIELDS,
                      text_col: str = "value", keep: Sequence[str] = ()) -> DataFrame:
     """C8 + SRC4 + F12: station-status documents -> one row per station (``data.stations``)."""
-    parsed = documents.select(*keep, F.from_json(F.col(text_col), station_document_schema(stations)).alias("d"))
+    parsed = documents.select(*keep, F.from_json(F.col(text_col), station_document_schema(stations), FAILFAST).alias("d"))
     return parsed.select(*keep, F.inline("d.data.stations"))
 
 
@@ -130,9 +151,9 @@ def merge_polls(frames: Sequence[DataFrame]) -> DataFrame:
 def conform_polls(polls: DataFrame, path_col: str = "file_path") -> DataFrame:
     """SRC7 + P15: fill ``timefetch`` from the file name where the file had none.
 
-    Rows whose poll time is known neither way are dropped, like an unreadable
-    file name in the reference.
+    Rows whose poll time is known neither way keep a null time: it is for the
+    caller to put them aside (``timefetch is null``).
     """
     timefetch = F.coalesce(F.col("timefetch").cast("bigint"), poll_time_from_path(F.col(path_col)))
-    out = polls.withColumn("timefetch", timefetch).where(F.col("timefetch").isNotNull()).drop(path_col)
+    out = polls.withColumn("timefetch", timefetch).drop(path_col)
     return out.select(*sorted(out.columns))

@@ -9,13 +9,15 @@ overwrite), so rerunning a day replaces exactly that day.
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from ..functions.clock import DEFAULT_TZ, as_date, date_folder
+from ..operators.ordered import global_row_number, pin, slice_by_order
 from ..sinks import files
 from ..sources import gtfs
 from . import bikeshare as bk
@@ -64,17 +66,28 @@ def merge_day_job(spark: SparkSession, landing_dir: str, out_dir: str, day, sche
                   tz: str = DEFAULT_TZ, files_per_day: int | None = None) -> None:
     """Every poll file under ``<landing>/YYYY/MM/DD/`` -> one compacted gzip day partition.
 
-    Files are read with the declared (widest) schema, so a column missing from
-    some polls is null there (U2/P15) and mixed INT/DOUBLE files still read;
-    ``timefetch`` comes from the file name when the file has none (SRC7).
-    Unreadable files are skipped.
+    Files are grouped by schema and united by name (A7, U2): ``schema`` gives the
+    types of the columns it names, other columns keep the file's type, and a
+    column that some polls lack is null there (P15).  ``timefetch`` comes from the
+    file name when the file has none (SRC7).  Files without the Parquet magic and
+    rows without a poll time go to ``<out_dir>_rejects``; any other damage fails
+    the job.
     """
     d = as_date(day)
     folder = f"{landing_dir.rstrip('/')}/{date_folder(d)}"
-    polls = (spark.read.schema(schema).option("ignoreCorruptFiles", "true")
-             .option("pathGlobFilter", "*.parquet").parquet(folder)
-             .withColumn("file_path", F.col("_metadata.file_path")))
-    merged = fd.conform_polls(polls)
+    good, bad = gtfs.readable_parquet(spark, folder)
+    declared = {f.name: f for f in schema.fields}
+    frames = []
+    for own, paths in gtfs.by_schema(spark, good):
+        types = StructType([declared.get(f.name, f) for f in own.fields])
+        frames.append(spark.read.schema(types).parquet(*paths).withColumn("file_path", F.col("_metadata.file_path")))
+    frames.append(spark.createDataFrame([], StructType([*schema.fields, StructField("file_path", StringType())])))
+    polls = fd.merge_polls(frames)
+    untimed = fd.conform_polls(polls.withColumn("path", F.col("file_path"))).where(F.col("timefetch").isNull())
+    rejects = bad.select("path", F.lit("not a Parquet file").alias("reason"), F.col("length").alias("n")).unionByName(
+        untimed.groupBy("path").agg(F.count(F.lit(1)).alias("n")).withColumn("reason", F.lit("rows without a poll time")))
+    files.write_rejects(pin(rejects), f"{out_dir.rstrip('/')}_rejects", d.isoformat())
+    merged = fd.conform_polls(polls).where(F.col("timefetch").isNotNull())
     files.write_day_partitioned(_with_day(merged, d), out_dir, files_per_day=files_per_day)
 
 
@@ -90,7 +103,7 @@ def stop_punctuality_job(spark: SparkSession, positions_dir: str, daily_dir: str
 
 def segments_job(spark: SparkSession, data_stops_dir: str, static_dir: str, out_dir: str, day,
                  with_index: bool = False) -> None:
-    """C6 + SNK3: segment rows of one day appended to the segments table.
+    """C6 + SNK3: segment rows of one day; a rerun replaces that day.
 
     ``with_index`` adds the 0-based row position in (trip, arrival) order,
     like the index the reference stores with each inserted row.
@@ -99,46 +112,92 @@ def segments_job(spark: SparkSession, data_stops_dir: str, static_dir: str, out_
     data_stops = gtfs.read_day_required(spark, data_stops_dir, d).drop(DATE_COL)
     seg = pn.segment_delays(data_stops, _static(spark, static_dir, "trips"))
     if with_index:
-        from ..operators.ordered import slice_by_order, global_row_number
         seg = global_row_number(slice_by_order(seg, ["trip_id", "arrival_time_unix", "stop_id"]),
                                 ["trip_id", "arrival_time_unix", "stop_id"], "index")
-    files.append(_with_day(seg, d), out_dir)
+    files.write_day_partitioned(_with_day(seg, d), out_dir, compression="snappy")
 
 
 # ---------------------------------------------------------------- landing
 
 def land_feed_job(spark: SparkSession, raw_dir: str, out_dir: str, entity: StructType,
                   tz: str = DEFAULT_TZ) -> None:
-    """Decoded feed messages (one JSON document per poll file) -> flat rows by day."""
-    raw = (spark.read.option("wholetext", "true").text(raw_dir)
-           .withColumn("timefetch", fd.poll_time_from_path(F.col("_metadata.file_path"))))
-    flat = fd.flatten_feed(raw, entity, keep=["timefetch"])
-    files.write_day_partitioned(flat.withColumn(DATE_COL, poll_date(F.col("timefetch"), tz)), out_dir)
+    """Decoded feed messages (one JSON document per poll file) -> flat rows by day and poll.
+
+    Members that ``entity`` does not declare are kept with the type seen in the
+    messages.  Messages that are no JSON object, and files without a poll time,
+    go to ``<out_dir>_rejects``.
+    """
+    raw = _landed_messages(spark, raw_dir, out_dir)
+    seen = _seen_schema(spark, raw)
+    if "entity" in seen.names and isinstance(seen["entity"].dataType, ArrayType):
+        entity = fd.widened(entity, seen["entity"].dataType.elementType)
+    _land(fd.flatten_feed(raw, entity, keep=["timefetch"]), out_dir, tz)
 
 
 def land_station_status_job(spark: SparkSession, raw_dir: str, out_dir: str,
                             tz: str = DEFAULT_TZ) -> None:
-    """Station-status documents -> one row per station and poll, by day."""
+    """Station-status documents -> one row per station and poll, by day and poll.
+
+    Fields and rejects as in ``land_feed_job``.
+    """
+    raw = _landed_messages(spark, raw_dir, out_dir)
+    document = fd.widened(fd.station_document_schema(), _seen_schema(spark, raw))
+    stations = document["data"].dataType["stations"].dataType.elementType
+    _land(fd.station_snapshot(raw, stations, keep=["timefetch"]), out_dir, tz)
+
+
+def _landed_messages(spark: SparkSession, raw_dir: str, out_dir: str) -> DataFrame:
+    """(value, timefetch) of the usable messages; the others are written aside."""
     raw = (spark.read.option("wholetext", "true").text(raw_dir)
-           .withColumn("timefetch", fd.poll_time_from_path(F.col("_metadata.file_path"))))
-    rows = fd.station_snapshot(raw, keep=["timefetch"])
-    files.write_day_partitioned(rows.withColumn(DATE_COL, poll_date(F.col("timefetch"), tz)), out_dir)
+           .withColumn("path", F.col("_metadata.file_path"))
+           .withColumn("timefetch", fd.poll_time_from_path(F.col("path"))))
+    bad = fd.unparsable(raw) | F.col("timefetch").isNull()
+    folder = raw_dir.rstrip("/").rsplit("/", 1)[-1]
+    files.write_rejects(pin(raw.where(bad).select("path", "value")), f"{out_dir.rstrip('/')}_rejects", folder)
+    # guarded as well as filtered: a parser may be evaluated before the filter
+    return raw.where(~bad).select(F.when(~bad, F.col("value")).alias("value"), "timefetch")
+
+
+def _seen_schema(spark: SparkSession, messages: DataFrame) -> StructType:
+    """The union of the messages' JSON types, as one aggregate over all of them."""
+    seen = messages.agg(F.expr("schema_of_variant_agg(parse_json(value))").alias("s")).first().s
+    return _struct_of(seen) if seen else StructType()
+
+
+def _struct_of(text: str) -> StructType:
+    """A Spark type of a variant schema: OBJECT becomes a struct, a member of mixed or no type becomes text."""
+    ddl = re.sub(r"\bOBJECT<", "STRUCT<", text)
+    ddl = re.sub(r"\b(VOID|VARIANT)\b", "STRING", ddl)
+    ddl = re.sub(r"\bDECIMAL\([0-9,]+\)", "DOUBLE", ddl)
+    parsed = StructType.fromDDL(f"x {ddl}")["x"].dataType
+    return parsed if isinstance(parsed, StructType) else StructType()
+
+
+def _land(rows: DataFrame, out_dir: str, tz: str) -> None:
+    """Rows by local day and poll time: another poll of the day stays, the same poll replaces itself."""
+    placed = rows.withColumn(DATE_COL, poll_date(F.col("timefetch"), tz)).withColumn("poll", F.col("timefetch"))
+    files.write_day_partitioned(placed, out_dir, within=("poll",))
 
 
 def poll_date(epoch_s, tz: str = DEFAULT_TZ):
-    """Local calendar date of a poll epoch (the folder the reference files it under)."""
-    return F.to_date(F.from_utc_timestamp(F.timestamp_seconds(epoch_s), tz))
+    """Local calendar date of a poll epoch (the folder the reference files it under).
+
+    Built on time-zone-free timestamps, so the session's zone plays no part.
+    """
+    utc = F.timestamp_add("SECOND", epoch_s, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+    return F.convert_timezone(F.lit("UTC"), F.lit(tz), utc).cast("date")
 
 
 # ---------------------------------------------------------------- bike history
 
 def load_bike_trips(spark: SparkSession, csv_paths: Iterable[str], trips_path: str,
                     stations_path: str) -> dict:
-    """One increment of historical trips: trips appended, then stations inserted if absent.
+    """One increment of historical trips: stations inserted if absent, then trips appended.
 
     The high-water mark is read once before anything is written (P11), so the
-    whole increment is one DataFrame and one commit.  Returns counts and the
-    skipped files.
+    whole increment is one DataFrame and one commit.  The trips, which move the
+    mark, come last: a load that stops before them is repeated in full by the
+    next run, and inserts no station twice.  Returns counts and the skipped files.
     """
     trips, skipped = gtfs.read_trip_csvs(spark, csv_paths)
     if trips is None:
@@ -149,11 +208,10 @@ def load_bike_trips(spark: SparkSession, csv_paths: Iterable[str], trips_path: s
     mark = stored.agg(F.max("startTimeMs")).first()[0]
     increment = bk.high_water_increment(trips, mark=mark)
     # pin the increment: the trip rows and the station rows come from the same read
-    from ..operators.ordered import pin
     increment = pin(increment)
     new_trips = bk.bike_trip_durations(increment)
-    files.append(new_trips, trips_path, sort_within="startTimeMs")
     added = files.insert_if_absent(spark, bk.station_locations(increment), stations_path, "name")
+    files.append(new_trips, trips_path, sort_within="startTimeMs")
     return {"trips": new_trips.count(), "stations": added.count(), "skipped": skipped}
 
 
@@ -162,8 +220,10 @@ def historical_load(spark: SparkSession, entries: DataFrame, csv_paths_of: dict[
     """C11: load catalogue entries in year order; ledger row after each successful load.
 
     ``entries`` holds (year, url) rows (a handful: one per catalogue year);
-    ``csv_paths_of`` maps a trusted URL to its unpacked CSV files.  Years
-    2014-2021 are skipped (layout known, not implemented); earlier years raise.
+    ``csv_paths_of`` maps a trusted URL to its unpacked CSV files; a URL that is
+    not there raises.  Years 2014-2021 are skipped (layout known, not
+    implemented); earlier years raise.  A year none of whose files could be read
+    is reported as empty and gets no ledger row, so it is tried again.
     """
     from ..functions.labels import trusted_url
 
@@ -177,7 +237,13 @@ def historical_load(spark: SparkSession, entries: DataFrame, csv_paths_of: dict[
         if row.layout != "2022":
             done.append({"year": row.year, "url": row.url, "status": "skipped"})
             continue
-        stats = load_bike_trips(spark, csv_paths_of.get(row.url, []), trips_path, stations_path)
+        if row.url not in csv_paths_of:
+            raise KeyError(f"no unpacked files for {row.url}")
+        paths = list(csv_paths_of[row.url])
+        stats = load_bike_trips(spark, paths, trips_path, stations_path)
+        if len(stats["skipped"]) == len(paths):
+            done.append({"year": row.year, "url": row.url, "status": "empty", **stats})
+            continue
         files.add_ledger_entry(spark, ledger_path, row.url, row.year)
         done.append({"year": row.year, "url": row.url, "status": "loaded", **stats})
     return done

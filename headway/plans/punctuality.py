@@ -6,10 +6,11 @@ order ``ORDER`` over the whole frame, exactly like the reference's sorted-frame
 trip, however hot, lands in one task.  Per-stop results come from one
 partial-aggregating ``groupBy`` instead of group-bys joined back to detail.
 
-Shuffle plan of ``stop_punctuality``: positions x schedule on (trip, stop
-sequence) [J3], one range exchange + one slice exchange shared by every
-neighbour / per-trip computation (edge tables are broadcasts of at most two
-rows per slice), and one partially aggregated exchange on (trip, stop sequence).
+Shuffle plan of ``stop_punctuality``: one range exchange of the narrow polls
+(checkpointed) and one by slice for W1, positions x schedule on (trip, stop
+sequence) [J3], one exchange by slice for the next poll and the trip's last stop
+(edge tables are broadcasts of at most two rows per slice), and one partially
+aggregated exchange on (trip, stop sequence).
 """
 
 from __future__ import annotations
@@ -20,9 +21,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.clock import DEFAULT_TZ, as_date, service_clock_to_epoch
-from ..operators.ordered import (apply_group_max, apply_neighbour, first_last_keep,
-                                 group_max_edges, neighbour_edges, pin, slice_by_order,
-                                 slice_ends, with_neighbour)
+from ..operators.ordered import (apply_group_max, apply_neighbour, by_slice, first_last_keep,
+                                 group_max_edges, neighbour_edges, slice_by_order, slice_ends,
+                                 with_neighbour)
 
 SEQ = "vehicle_currentStopSequence"
 STATUS = "vehicle_currentStatus"
@@ -111,18 +112,17 @@ def filter_positions(positions: DataFrame, exact: bool = False) -> DataFrame:
 # ---------------------------------------------------------------- C5
 
 def _on_schedule(positions: DataFrame, stu: DataFrame, exact: bool) -> DataFrame:
-    """W1/P7 over all polls, then J3 + P8 + P9, on one sliced frame (still sliced)."""
+    """W1/P7 over all polls, then J3 + P8 + P9; the rows keep their slice tag.
+
+    W1 comes before the join, so a schedule key that occurs twice repeats the
+    kept poll and cannot make its copy look unchanged.
+    """
     schedule = stu.withColumnRenamed("stop_sequence", SEQ)
-    # Left join first so W1 still sees every poll; P8 then makes it inner.
-    base = positions.join(schedule, ["trip_id", SEQ], "left")
-    sliced = slice_by_order(base, ORDER)
-    with_prev = with_neighbour(sliced, ORDER, ["trip_id", SEQ], "prev", "_prev")
-    return (with_prev
-            .where(_keep_polled("_prev", exact)
-                   & F.col("arrival_time_unix").isNotNull()
-                   & F.col("vehicle_timestamp").isNotNull()
-                   & (F.abs(F.col("timefetch") - F.col("arrival_time_unix")) <= POLL_WINDOW_S))
-            .drop("_prev"))
+    kept = (with_neighbour(slice_by_order(positions, ORDER), ORDER, ["trip_id", SEQ], "prev", "_prev")
+            .where(_keep_polled("_prev", exact) & F.col("vehicle_timestamp").isNotNull()).drop("_prev"))
+    return (kept.join(schedule, ["trip_id", SEQ])
+            .where(F.col("arrival_time_unix").isNotNull()
+                   & (F.abs(F.col("timefetch") - F.col("arrival_time_unix")) <= POLL_WINDOW_S)))
 
 
 def positions_on_schedule(positions: DataFrame, stu: DataFrame, exact: bool = True) -> DataFrame:
@@ -134,19 +134,17 @@ NEXT_COLS = ["trip_id", "vehicle_vehicle_id", "vehicle_timestamp"]
 
 
 def _offsets(positions: DataFrame, stu: DataFrame, exact: bool, upto: str) -> DataFrame:
-    # Pin the filtered polls (still clustered by slice): both edge tables below
-    # read this base directly instead of re-running the W1 step.
-    rows = pin(_on_schedule(positions, stu, exact))
-    ends = slice_ends(rows, ORDER, next_cols=NEXT_COLS, group=["trip_id"], value=SEQ)
-    next_edges = neighbour_edges(ends, "next")
-    max_edges = group_max_edges(ends, ["trip_id"])
+    rows = _on_schedule(positions, stu, exact)
     arrival = F.col("arrival_time_unix")
     status = F.col(STATUS)
     # R1
     rows = rows.withColumn("offset", F.when(status == STOPPED_AT, F.col("vehicle_timestamp") - arrival))
     if upto == "stopped":
         return rows
-    rows = apply_neighbour(rows, ORDER, NEXT_COLS, "next", "_next", next_edges)
+    ends = slice_ends(rows, ORDER, next_cols=NEXT_COLS, group=["trip_id"], value=SEQ)
+    next_edges = neighbour_edges(ends, "next")
+    max_edges = group_max_edges(ends, ["trip_id"])
+    rows = apply_neighbour(by_slice(rows), ORDER, NEXT_COLS, "next", "_next", next_edges)
     nxt = F.col("_next")
     # R2: an in-transit poll is late by the time of the trip's next poll
     rows = rows.withColumn("offset", F.when(

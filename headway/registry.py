@@ -6,6 +6,8 @@ with them) and calls the library function that implements the operator.
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,10 +20,13 @@ from .plans import feeds as fd
 from .plans import punctuality as pn
 from .plans import schedule as sc
 from .plans import static_refresh as sr
-from .session import configure
+from .session import configure, ensure_checkpoint_dir
+from .sinks import files
 from .sources import fixtures as fx
+from .sources import gtfs
 
 DAY = fx.SERVICE_DAY
+CLOCK_CHANGE_DAY = dt.date(2023, 11, 5)
 TZ = fx.SERVICE_TZ
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -148,8 +153,7 @@ def active_services(spark, sf_dir):
 @query
 def services_by_day(spark, sf_dir):
     """P10 multi-day form: services running on each service date present in the polls"""
-    days = fx.positions_by_date(spark, sf_dir).select("service_date").distinct()
-    return sc.services_by_day(fx.calendar(spark, sf_dir), days)
+    return sc.services_by_day(fx.calendar(spark, sf_dir), fx.poll_dates(spark, sf_dir))
 
 
 @query
@@ -176,6 +180,18 @@ def stop_times_unix_wall_strict(spark, sf_dir):
     return sc.stop_times_wall_unix(fx.stop_times(spark, sf_dir), DAY, TZ, strict=True)
 
 
+@query
+def stop_times_unix_clock_change(spark, sf_dir):
+    """F1 F2 on the day the clocks go back: 24 h a day, whatever its length"""
+    return pn.stop_times_unix(fx.stop_times(spark, sf_dir), CLOCK_CHANGE_DAY, TZ)
+
+
+@query
+def stop_times_unix_wall_clock_change(spark, sf_dir):
+    """F3 on the day the clocks go back: the wall clock of the next day"""
+    return sc.stop_times_wall_unix(fx.stop_times(spark, sf_dir), CLOCK_CHANGE_DAY, TZ)
+
+
 @query
 def daily_stops_info(spark, sf_dir):
     """C2 J6-J8 F4 F5 P6"""
@@ -317,10 +333,37 @@ def trusted_urls(spark, sf_dir):
     return pages.select("page_id", "url", lb.trusted_url(F.col("url"), fx.CDN_ORIGIN).alias("trusted_url"))
 
 
+@query
+def readable_sizes(spark, sf_dir):
+    """F16"""
+    docs = fx.table(spark, sf_dir, "documents")
+    return docs.select("doc_id", lb.readable_size(F.col("n_chars") * 1009).alias("size"))
+
+
+@query
+def poll_times_from_names(spark, sf_dir):
+    """SRC7: poll epoch of a file name, null where the name has none"""
+    e = fx.table(spark, sf_dir, "events")
+    name = F.concat(F.lit("feed/polls"), F.when(F.col("event_id") % 7 == 0, F.lit("-")).otherwise(F.lit("_")),
+                    (F.lit(1701400000) + F.col("event_id")).cast("string"), F.lit(".parquet"))
+    return e.select("event_id", fd.poll_time_from_path(name).alias("timefetch"))
+
+
+@query
+def day_partitions(spark, sf_dir):
+    """SNK1 SNK2 SNK8: polls written by day with a fixed file count, a day rewritten, and read again"""
+    folder = f"{ensure_checkpoint_dir(spark)}/day-partitions-{uuid.uuid4().hex}"
+    polls = fx.positions_by_date(spark, sf_dir)
+    files.write_day_partitioned(polls, folder, files_per_day=2, salt_cols=("id",))
+    files.write_day_partitioned(polls.where(F.col("service_date") == fx.SERVICE_DAY), folder)
+    return gtfs.read_day(spark, folder, DAY, next_day=True).groupBy("service_date").agg(
+        F.count(F.lit(1)).alias("polls"), F.sum("timefetch").alias("time_sum"))
+
+
 @query
 def year_layouts(spark, sf_dir):
     """P16"""
-    return bk.year_layouts(fx.loaded_urls(spark, sf_dir))
+    return bk.year_layouts(fx.page_urls(spark, sf_dir))
 
 
 # ---------------------------------------------------------------- static refresh

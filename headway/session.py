@@ -19,13 +19,6 @@ ENGINE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
-    # a pinned (persisted) sliced frame keeps its clustering by slice id, so
-    # the windows reading it need no second exchange
-    "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "false",
-    # pinned slices are short-lived and read a few times right away: columnar
-    # compression of the cached batches costs more CPU than it saves
-    # (spilled blocks still go to executor disk under MEMORY_AND_DISK)
-    "spark.sql.inMemoryColumnarStorage.compressed": "false",
 }
 
 

@@ -9,19 +9,27 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.labels import readable_size
+from ..session import ensure_checkpoint_dir
+
+# Spark's error conditions of a folder that is not there, or holds no file yet
+MISSING = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a table is stored there.  Only a missing or empty folder means no; other errors are raised."""
     try:
         spark.read.parquet(path).schema  # noqa: B018 - schema resolution lists the folder
         return True
-    except Exception:  # noqa: BLE001 - missing or empty folder
-        return False
+    except AnalysisException as error:
+        if error.getCondition() in MISSING:
+            return False
+        raise
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
@@ -32,21 +40,24 @@ def read_or_empty(spark: SparkSession, path: str, schema: str | StructType) -> D
 
 def write_day_partitioned(df: DataFrame, path: str, date_col: str = "service_date",
                           files_per_day: int | None = None, compression: str = "gzip",
-                          salt_cols: tuple[str, ...] = ()) -> None:
+                          salt_cols: tuple[str, ...] = (), within: tuple[str, ...] = ()) -> None:
     """SNK1 + SNK8 + SNK2: compacted, gzip Parquet by day; rewrites only the days present.
 
+    ``within`` names further partition columns: with the poll time there, a poll
+    replaces itself when it is landed again, and never another poll of its day.
+
     By default rows are rebalanced by day: AQE writes a small day as one file
     and splits a large day into advisory-size files, so no day is funnelled
     through one task.  ``files_per_day`` instead fixes the count, rows spread by
     a hash of ``salt_cols``.
     """
     if files_per_day is None:
-        shaped = df.hint("rebalance", date_col)
+        shaped = df.hint("rebalance", date_col, *within)
     else:
         salt = F.pmod(F.xxhash64(*[F.col(c) for c in (salt_cols or df.columns)]), F.lit(files_per_day))
-        shaped = df.repartition(F.col(date_col), salt)
+        shaped = df.repartition(F.col(date_col), *[F.col(c) for c in within], salt)
     (shaped.write.mode("overwrite").option("compression", compression)
-     .option("partitionOverwriteMode", "dynamic").partitionBy(date_col).parquet(path))
+     .option("partitionOverwriteMode", "dynamic").partitionBy(date_col, *within).parquet(path))
 
 
 def append(df: DataFrame, path: str, sort_within: str | None = None) -> None:
@@ -62,6 +73,7 @@ def insert_if_absent(spark: SparkSession, new: DataFrame, path: str, key: str) -
         added = new.join(existing_keys, key, "left_anti")
     else:
         added = new
+    ensure_checkpoint_dir(spark)
     added = added.checkpoint(eager=True)
     added.write.mode("append").parquet(path)
     return added
@@ -78,9 +90,22 @@ def add_ledger_entry(spark: SparkSession, path: str, url: str, year: int) -> Non
 
 def replace_small_table(df: DataFrame, path: str) -> None:
     """Rewrite a small bookkeeping table that ``df`` may itself read from."""
+    ensure_checkpoint_dir(df.sparkSession)
     df.checkpoint(eager=True).write.mode("overwrite").parquet(path)
 
 
+def write_rejects(df: DataFrame, path: str, run: str) -> int:
+    """Keep what a run could not use, under ``run=<name>``; a rerun replaces its own.  Returns the row count.
+
+    ``df`` must be pinned: it is counted, and written only if it has rows.
+    """
+    n = df.count()
+    if n or path_exists(df.sparkSession, path):
+        (df.withColumn("run", F.lit(run)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("run").parquet(path))
+    return n
+
+
 def table_stats(spark: SparkSession, path: str) -> DataFrame:
     """SNK9: rows, storage bytes, mean row bytes and a readable size of a Parquet table."""
     df = spark.read.parquet(path)

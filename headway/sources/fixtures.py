@@ -21,17 +21,7 @@ CDN = "cdn.example.com"
 CDN_ORIGIN = "https://cdn.example.com"
 HIGH_WATER_MARK = 1710000000000
 
-# The calendar rows under test (service_id, start_date, end_date,
-# monday..sunday flags), restricted at run time to services that trips use.
-CALENDAR_ROWS = [
-    ("1-URGENT", "20231101", "20231231", 1, 1, 1, 1, 1, 0, 0),
-    ("2-HIGH", "20231101", "20231231", 0, 0, 0, 0, 0, 1, 1),
-    ("3-MEDIUM", "20231202", "20231231", 1, 1, 1, 1, 1, 1, 1),
-    ("4-NOT SPECIFIED", "20231201", "20231201", 0, 0, 0, 0, 1, 0, 0),
-    ("5-LOW", "20231101", "20231130", 1, 1, 1, 1, 1, 1, 1),
-]
-CALENDAR_SCHEMA = ("service_id string, start_date string, end_date string, monday int, "
-                   "tuesday int, wednesday int, thursday int, friday int, saturday int, sunday int")
+WEEKDAYS = ["monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,10 +45,19 @@ def _clock_text(sec: F.Column) -> F.Column:
     return F.concat_ws(":", hh, mm, ss)
 
 
+def service_id() -> F.Column:
+    return F.concat_ws("/", "o_orderpriority", F.col("o_custkey").cast("string"))
+
+
 def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
-    used = table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("service_id"))
-    rows = spark.createDataFrame(CALENDAR_ROWS, CALENDAR_SCHEMA)
-    return rows.join(used, "service_id", "left_semi")
+    """One service per customer and priority; its span and weekdays follow from the customer key."""
+    cust = F.col("o_custkey")
+    start = F.date_add(F.lit(dt.date(2023, 11, 1)), (cust % 40).cast("int"))
+    end = F.date_add(start, (15 + cust % 30).cast("int"))
+    return (table(spark, sf_dir, "orders").select("o_orderpriority", "o_custkey").distinct()
+            .select(service_id().alias("service_id"), F.date_format(start, "yyyyMMdd").alias("start_date"),
+                    F.date_format(end, "yyyyMMdd").alias("end_date"),
+                    *[F.when((cust + i) % 3 != 0, 1).otherwise(0).alias(w) for i, w in enumerate(WEEKDAYS)]))
 
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,7 +68,7 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
                  .when(cust % 5 == 3, "N").otherwise("X"))
     return o.select(
         F.col("o_orderkey").alias("trip_id"),
-        F.col("o_orderpriority").alias("service_id"),
+        service_id().alias("service_id"),
         k.alias("route_id"),
         F.concat(F.lit("T"), k.cast("string"), F.lit("-"), direction).alias("trip_headsign"),
         (cust % 2).alias("direction_id"),
@@ -125,7 +124,7 @@ def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
          .agg(min_is("l_returnflag", "N").alias("rf_n"), min_is("l_linestatus", "O").alias("ls_o"))
          .select(F.col("l_orderkey").alias("trip_id"),
                  F.col("l_linenumber").cast("bigint").alias("seq"),
-                 (F.col("l_partkey") * 1000 + F.col("l_suppkey")).alias("id"),
+                 ((F.col("l_partkey") * 1000 + F.col("l_suppkey")) % 2000000000).alias("id"),   # an INT at any scale
                  "l_partkey", "l_suppkey", "rf_n", "ls_o"))
     vts = (F.lit(LOCAL_MIDNIGHT) + (4 + F.col("trip_id") % 22) * 3600 + F.col("seq") * 420
            + (F.col("trip_id") * 7) % 60 + (F.col("l_partkey") * 37 + F.col("l_suppkey") * 101) % 2700
@@ -155,26 +154,34 @@ def positions_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
             .drop("poll_day"))
 
 
+def poll_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Service dates of the polls: of the scan's rows, without building the polls."""
+    late = F.when(F.col("l_suppkey") % 5 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return (table(spark, sf_dir, "lineitem").select(F.explode(late).alias("poll_day")).distinct()
+            .select(F.date_add(F.lit(SERVICE_DAY), F.col("poll_day")).alias("service_date")))
+
+
 def bike_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Historical bike trips shaped like the yearly CSV (upper-case header, fractional end)."""
     li = table(spark, sf_dir, "lineitem")
     t = (_grouped(li, "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
          .agg(F.max("l_quantity").alias("qty"))
-         .withColumn("a", F.col("l_suppkey") % 10).withColumn("b", F.col("l_partkey") % 10))
-    # Stations are the suppliers with keys 0..9 (the only keys a and b can take),
-    # so this dimension has at most ten rows whatever the scale: broadcast it.
+         .withColumn("a", F.col("l_suppkey"))
+         # every supplier is a station; keys run from 0
+         .withColumn("b", (F.col("l_partkey") * 7 + F.col("l_orderkey"))
+                     % table(spark, sf_dir, "supplier").agg(F.count(F.lit(1))).scalar()))
     nation = table(spark, sf_dir, "nation")
-    station = (table(spark, sf_dir, "supplier").where(F.col("s_suppkey").between(0, 9))
+    station = (table(spark, sf_dir, "supplier")
                .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
                .select("s_suppkey", "s_name", "s_nationkey", "n_name"))
 
     def role(prefix: str, key: str) -> DataFrame:
-        return F.broadcast(station.select(
+        return station.select(
             F.col("s_suppkey").alias(key),
             F.col("s_name").alias(f"{prefix}STATIONNAME"),
             F.col("n_name").alias(f"{prefix}STATIONARRONDISSEMENT"),
             ((4540 + F.col("s_nationkey")) / 100).alias(f"{prefix}STATIONLATITUDE"),
-            ((-7350 - F.col("s_nationkey")) / 100).alias(f"{prefix}STATIONLONGITUDE")))
+            ((-7350 - F.col("s_nationkey")) / 100).alias(f"{prefix}STATIONLONGITUDE"))
 
     start = (F.lit(1709200000000) + (F.col("l_orderkey") * 7919 + F.col("l_linenumber") * 104729
                                      + F.col("l_partkey") * 31) % 2592000 * 1000)
@@ -188,12 +195,13 @@ def bike_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One catalogue page per web page: an in-CDN block and a foreign block."""
+    """Every web page as a catalogue page: its own text, then an in-CDN block with a nested box and a foreign block."""
     pid = F.col("page_id")
     html = F.concat(
+        F.coalesce(F.col("html"), F.lit("")),
         F.lit('<div class="row document-row"><h3 class="document-title title-4">'),
         (2010 + pid % 20).cast("string"),
-        F.lit('</h3><a href="https://cdn.example.com/data/'), pid.cast("string"),
+        F.lit('</h3><div class="links"><i>file</i></div><a href="https://cdn.example.com/data/'), pid.cast("string"),
         F.lit('.zip" download="">ZIP</a></div><div class="row document-row"><h3 class="document-title title-4">'),
         (2010 + pid % 7).cast("string"),
         F.lit('</h3><a href="https://other.example.org/'), pid.cast("string"),
@@ -201,11 +209,17 @@ def catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", html.alias("html"))
 
 
-def loaded_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+def page_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalogue link and year of every page."""
     pid = F.col("page_id")
-    return (table(spark, sf_dir, "pages").where(pid % 3 == 0)
-            .select(F.concat(F.lit("https://cdn.example.com/data/"), pid.cast("string"), F.lit(".zip")).alias("url"),
-                    (2010 + pid % 20).cast("int").alias("year")))
+    return table(spark, sf_dir, "pages").select(
+        "page_id", F.concat(F.lit("https://cdn.example.com/data/"), pid.cast("string"), F.lit(".zip")).alias("url"),
+        (2010 + pid % 20).cast("int").alias("year"))
+
+
+def loaded_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger: a third of the links were loaded before."""
+    return page_urls(spark, sf_dir).where(F.col("page_id") % 3 == 0).select("url", "year")
 
 
 def station_status(spark: SparkSession, sf_dir: str) -> DataFrame:

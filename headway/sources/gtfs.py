@@ -12,6 +12,7 @@ import datetime as dt
 import os
 from collections.abc import Iterable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (DataType, DoubleType, IntegerType, LongType, StringType,
@@ -49,6 +50,25 @@ def list_files(spark: SparkSession, root: str, glob: str) -> list[str]:
     return sorted(r.path for r in listing.collect())
 
 
+def readable_parquet(spark: SparkSession, folder: str) -> tuple[list[str], DataFrame]:
+    """SRC6: Parquet files under ``folder`` with their magic bytes at both ends, and the (path, length) of the others."""
+    magic = F.lit("PAR1").cast("binary")
+    ends = (F.substring("content", 1, 4) == magic) & (F.substring("content", -4, 4) == magic)
+    listed = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(folder)
+              .select("path", "length", (ends & (F.col("length") > 8)).alias("good")))
+    good = sorted(r.path for r in listed.where("good").select("path").collect())       # one day's file names
+    return good, listed.where(~F.col("good")).select("path", "length")
+
+
+def by_schema(spark: SparkSession, paths: Sequence[str]) -> list[tuple[StructType, list[str]]]:
+    """Files grouped by their schema (footers only)."""
+    groups: dict[str, tuple[StructType, list[str]]] = {}
+    for path in paths:
+        schema = spark.read.parquet(path).schema
+        groups.setdefault(schema.json(), (schema, []))[1].append(path)
+    return list(groups.values())
+
+
 def csv_header(spark: SparkSession, path: str) -> list[str]:
     """SRC10: column names of a CSV file from its header line."""
     return spark.read.option("header", True).csv(path).columns
@@ -80,14 +100,17 @@ def read_trip_csvs(spark: SparkSession, paths: Iterable[str]) -> tuple[DataFrame
     """SRC5 + P13 + P2: trip CSVs -> one normalised DataFrame, plus the skipped files.
 
     Missing files and files missing a required column are skipped (reported,
-    not fatal).  Files sharing a header are read by one split-parallel scan.
+    not fatal).  Files sharing a header are read by one split-parallel scan; a
+    malformed number fails it rather than being stored as null.
     """
     groups: dict[tuple[str, ...], list[str]] = {}
     skipped: list[str] = []
     for path in paths:
         try:
             header = tuple(csv_header(spark, path))
-        except Exception:  # noqa: BLE001 - a missing or unreadable file is skipped, not fatal
+        except AnalysisException as error:
+            if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
             skipped.append(path)
             continue
         if has_required_columns(header, REQUIRED_COLUMNS):
@@ -97,7 +120,7 @@ def read_trip_csvs(spark: SparkSession, paths: Iterable[str]) -> tuple[DataFrame
     frames = []
     for header, files in groups.items():
         schema = header_schema(header, TRIP_CSV_TYPES, case_insensitive=True)
-        raw = spark.read.schema(schema).option("header", True).csv(files)
+        raw = spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(files)
         frames.append(normalise_trip_columns(raw))
     if not frames:
         return None, skipped
@@ -111,10 +134,11 @@ def read_day(spark: SparkSession, root: str, day: str | dt.date, schema: StructT
              date_col: str = "service_date", next_day: bool = False) -> DataFrame:
     """SRC6/SRC8/SRC11: the day's (and optionally next day's) rows of a date-partitioned table.
 
-    The date filter prunes partitions; corrupt files are skipped.
+    The date filter prunes partitions.  A corrupt file fails the job: a day cut
+    short would look like a quiet one.
     """
     d = as_date(day)
-    reader = spark.read.option("ignoreCorruptFiles", "true")
+    reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
     df = reader.parquet(root)

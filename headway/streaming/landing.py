@@ -15,11 +15,15 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ..functions.clock import DEFAULT_TZ
+from ..operators.ordered import pin
 from ..plans import bikeshare as bk
 from ..plans import feeds as fd
 from ..plans.jobs import poll_date
 from ..sinks import files
-from ..sources.gtfs import TRIP_CSV_TYPES, header_schema
+from ..sources import gtfs
+
+
+FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
 
 def positions_landing_stream(spark: SparkSession, landing_dir: str, table_dir: str,
@@ -28,7 +32,8 @@ def positions_landing_stream(spark: SparkSession, landing_dir: str, table_dir: s
     """STR1: poll files -> day table partitioned by ``service_date``.
 
     ``timefetch`` is taken from the file name when the file lacks it (SRC7),
-    before anything else, and gives the row's service date.
+    before anything else, and gives the row's service date; rows whose poll time
+    is known neither way land in the partition without a date.
     """
     polls = (spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet")
              .option("recursiveFileLookup", "true").parquet(landing_dir)
@@ -42,24 +47,35 @@ def positions_landing_stream(spark: SparkSession, landing_dir: str, table_dir: s
 
 
 def bike_trips_stream(spark: SparkSession, csv_dir: str, trips_path: str, stations_path: str,
-                      checkpoint_dir: str, header: list[str], available_now: bool = True) -> StreamingQuery:
-    """STR2: new trip CSV files -> trips appended, stations inserted if absent (per micro-batch).
+                      checkpoint_dir: str, available_now: bool = True) -> StreamingQuery:
+    """STR2: new trip CSV files -> stations inserted if absent, trips appended (per micro-batch).
+
+    The stream carries file names only; each micro-batch reads its files by
+    their own headers (SRC5, P13), so a reordered file is not mislabelled, and
+    files without a required column go to ``<trips_path>_rejects``.
 
     The stream's checkpoint replaces the high-water mark for files already
     seen: a file is processed once, whatever its time range.  Trips of a
     micro-batch land in their own ``load_batch`` partition, overwritten on a
     retry, so a replayed batch never duplicates rows.
     """
-    schema = header_schema(header, TRIP_CSV_TYPES, case_insensitive=True)
-    raw = spark.readStream.schema(schema).option("header", True).csv(csv_dir)
+    raw = (spark.readStream.format("binaryFile").schema(FILE_SCHEMA).option("pathGlobFilter", "*.csv").load(csv_dir)
+           .select("path"))                     # the content is not read
 
     def load(batch: DataFrame, epoch_id: int) -> None:
-        trips = bk.normalise_trip_columns(batch)
+        session = batch.sparkSession
+        paths = sorted(r.path for r in batch.collect())          # names of the micro-batch's files
+        trips, skipped = gtfs.read_trip_csvs(session, paths)
+        rejects = pin(session.createDataFrame([(p,) for p in skipped], "path string"))
+        files.write_rejects(rejects, f"{trips_path.rstrip('/')}_rejects", str(epoch_id))
+        if trips is None:
+            return
+        trips = pin(trips)
+        files.insert_if_absent(session, bk.station_locations(trips), stations_path, "name")
         (bk.bike_trip_durations(trips).withColumn("load_batch", F.lit(epoch_id))
          .sortWithinPartitions("startTimeMs")
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("load_batch").parquet(trips_path))
-        files.insert_if_absent(batch.sparkSession, bk.station_locations(trips), stations_path, "name")
 
     writer = raw.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint_dir)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 hour")

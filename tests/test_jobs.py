@@ -6,7 +6,7 @@ import os
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import DateType, DoubleType, IntegerType, LongType, StructField, StructType
 
 from headway.plans import jobs
 from headway.plans.static_refresh import refresh_static
@@ -56,7 +56,7 @@ def test_land_feed_and_station_status(spark, scratch):
     raw = os.path.join(scratch, "raw_vp")
     os.makedirs(raw)
     msg = {"entity": [{"id": "1", "vehicle": {"trip": {"tripId": "5"}, "timestamp": "1701442860"}}]}
-    with open(os.path.join(raw, "STM_GTFS_VehiclePositions_1701442900.json"), "w") as f:
+    with open(os.path.join(raw, "vehicles_1701442900.json"), "w") as f:
         json.dump(msg, f)
     out = os.path.join(scratch, "vp")
     from headway.plans.feeds import VEHICLE_ENTITY
@@ -66,7 +66,7 @@ def test_land_feed_and_station_status(spark, scratch):
 
     raw_s = os.path.join(scratch, "raw_gbfs")
     os.makedirs(raw_s)
-    with open(os.path.join(raw_s, "gbfs_data_station_status_1701442900.json"), "w") as f:
+    with open(os.path.join(raw_s, "docks_1701442900.json"), "w") as f:
         json.dump({"data": {"stations": [{"station_id": "1", "num_bikes_available": 4}]}}, f)
     out_s = os.path.join(scratch, "status")
     jobs.land_station_status_job(spark, raw_s, out_s)
@@ -136,6 +136,140 @@ def test_refresh_static_freshness(spark, scratch):
     assert spark.read.parquet(ledger).count() == 1
 
 
+def _write_json(folder, name, value):
+    os.makedirs(folder, exist_ok=True)
+    with open(os.path.join(folder, name), "w") as f:
+        f.write(value if isinstance(value, str) else json.dumps(value))
+
+
+def test_landing_keeps_every_poll_and_unknown_members(spark, scratch):
+    from headway.plans.feeds import VEHICLE_ENTITY
+    out = os.path.join(scratch, "vehicles")
+    for at in (1701442900, 1701443000):
+        raw = os.path.join(scratch, f"raw{at}")
+        _write_json(raw, f"vehicles_{at}.json", {"entity": [
+            {"id": "7", "colour": "red", "vehicle": {"trip": {"tripId": "12", "note": {"kind": "extra"}}, "timestamp": str(at)}}]})
+        jobs.land_feed_job(spark, raw, out, VEHICLE_ENTITY)
+    rows = spark.read.parquet(out).orderBy("timefetch").collect()
+    assert [r.timefetch for r in rows] == [1701442900, 1701443000]
+    assert [(r.colour, r.vehicle_trip_note_kind) for r in rows] == [("red", "extra")] * 2
+    jobs.land_feed_job(spark, os.path.join(scratch, "raw1701443000"), out, VEHICLE_ENTITY)     # the same poll again
+    assert spark.read.parquet(out).count() == 2
+
+
+def test_landing_puts_bad_messages_aside(spark, scratch):
+    raw, out = os.path.join(scratch, "raw"), os.path.join(scratch, "docks")
+    _write_json(raw, "docks_1701442900.json", {"data": {"stations": [{"id": 5, "name": "Quay"}, {"id": 6, "name": "Park"}]}})
+    _write_json(raw, "docks_1701442960.json", '{"data": {"stations": [{"id": 5, "na')
+    _write_json(raw, "undated.json", {"data": {"stations": []}})
+    jobs.land_station_status_job(spark, raw, out)
+    assert sorted(r.name for r in spark.read.parquet(out).collect()) == ["Park", "Quay"]
+    rejects = spark.read.parquet(out + "_rejects").collect()
+    assert sorted(os.path.basename(r.path) for r in rejects) == ["docks_1701442960.json", "undated.json"]
+
+
+def test_merge_day_unites_unknown_columns_and_lists_rejects(spark, scratch):
+    day = os.path.join(scratch, "landing", "2020", "01", "02")
+    for name, frame in (("poll_5", spark.createDataFrame([(1, "new")], "a int, extra string")),
+                        ("poll_6", spark.createDataFrame([(2,)], "a int")), ("late", spark.createDataFrame([(3,)], "a int"))):
+        tmp = os.path.join(scratch, "tmp_" + name)
+        frame.coalesce(1).write.parquet(tmp)
+        os.makedirs(day, exist_ok=True)
+        os.rename(os.path.join(tmp, next(f for f in os.listdir(tmp) if f.endswith(".parquet"))), os.path.join(day, name + ".parquet"))
+    with open(os.path.join(day, "poll_7.parquet"), "wb") as f:
+        f.write(b"PAR1 cut short")
+    schema = StructType([StructField("a", IntegerType()), StructField("timefetch", LongType())])
+    out = os.path.join(scratch, "merged")
+    jobs.merge_day_job(spark, os.path.join(scratch, "landing"), out, "2020-01-02", schema)
+    assert sorted((r.a, r.extra, r.timefetch) for r in spark.read.parquet(out).collect()) == [(1, "new", 5), (2, None, 6)]
+    rejects = {os.path.basename(r.path): r.reason for r in spark.read.parquet(out + "_rejects").collect()}
+    assert rejects == {"poll_7.parquet": "not a Parquet file", "late.parquet": "rows without a poll time"}
+
+
+def test_corrupt_day_fails(spark, scratch):
+    out = os.path.join(scratch, "days")
+    spark.range(10).withColumn("service_date", F.lit(dt.date(2024, 1, 1))).repartition(2).write.partitionBy("service_date").parquet(out)
+    part = os.path.join(out, "service_date=2024-01-01")
+    name = next(f for f in sorted(os.listdir(part)) if f.endswith(".parquet"))
+    with open(os.path.join(part, name), "r+b") as f:
+        f.truncate(40)
+    with pytest.raises(Exception):
+        gtfs.read_day(spark, out, "2024-01-01", schema=StructType(
+            [StructField("id", LongType()), StructField("service_date", DateType())])).collect()
+
+
+def test_bike_load_survives_a_stop_after_each_step(spark, scratch, monkeypatch):
+    source = _csv(os.path.join(scratch, "f.csv"), _trips(1_700_000_000_000, 6))
+    trips, stations = os.path.join(scratch, "trips"), os.path.join(scratch, "stations")
+    for step in ("insert_if_absent", "append"):
+        with monkeypatch.context() as m:
+            m.setattr(jobs.files, step, lambda *a, **k: (_ for _ in ()).throw(RuntimeError("stopped")))
+            with pytest.raises(RuntimeError):
+                jobs.load_bike_trips(spark, [source], trips, stations)
+    jobs.load_bike_trips(spark, [source], trips, stations)
+    assert spark.read.parquet(trips).count() == 6
+    assert sorted(r.name for r in spark.read.parquet(stations).collect()) == ["s0", "s1", "s2"]
+
+
+def test_ledger_holds_loaded_urls_only(spark, scratch):
+    entries = spark.createDataFrame([(2024, "https://cdn.example.com/z/2024.zip")], "year int, url string")
+    where = [os.path.join(scratch, x) for x in ("t", "s", "l")]
+    with pytest.raises(KeyError):
+        jobs.historical_load(spark, entries, {}, *where, "https://cdn.example.com")
+    done = jobs.historical_load(spark, entries, {"https://cdn.example.com/z/2024.zip": [os.path.join(scratch, "none.csv")]},
+                                *where, "https://cdn.example.com")
+    assert done[0]["status"] == "empty" and not files.path_exists(spark, where[2])
+
+
+def test_malformed_number_fails_the_load(spark, scratch):
+    rows = [list(r) for r in _trips(1_700_000_000_000, 2)]
+    rows[1][8] = "soon"
+    with pytest.raises(Exception):
+        jobs.load_bike_trips(spark, [_csv(os.path.join(scratch, "f.csv"), rows)], os.path.join(scratch, "t"), os.path.join(scratch, "s"))
+
+
+def test_poll_date_in_any_session_zone(spark):
+    polls = spark.createDataFrame([(1701414000,), (1701406799,)], "t long")       # 00:00 and 23:59:59 before it, local
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for other in ("UTC", "America/Montreal", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", other)
+            assert [r.d for r in polls.select(jobs.poll_date(F.col("t")).alias("d")).collect()] == [
+                dt.date(2023, 12, 1), dt.date(2023, 11, 30)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_path_exists_raises_other_errors(spark, scratch):
+    assert not files.path_exists(spark, os.path.join(scratch, "nothing"))
+    bad = os.path.join(scratch, "bad")
+    os.makedirs(bad)
+    with open(os.path.join(bad, "part-0.parquet"), "w") as f:
+        f.write("no Parquet file at all")
+    with pytest.raises(Exception):
+        files.path_exists(spark, bad)
+
+
+def test_segments_rerun_replaces_the_day(spark, scratch):
+    day = dt.date(2024, 5, 6)
+    stops, static, out = (os.path.join(scratch, x) for x in ("stops", "static", "segments"))
+    spark.createDataFrame([(1, "a", 10, 1, 100, 5, "FULL", 30.0, 3, day), (1, "b", 11, 2, 200, 5, "FULL", 50.0, 3, day)],
+                          "trip_id long, arrival_time string, stop_id long, stop_sequence long, arrival_time_unix long, vehicleID int, "
+                          "Current_Occupancy string, offset double, routeId long, service_date date").write.partitionBy(
+        "service_date").parquet(stops)
+    spark.createDataFrame([(1, 3, "S")], "trip_id long, route_id long, shape_id string").write.parquet(static + "/trips")
+    for _ in range(2):
+        jobs.segments_job(spark, stops, static, out, day, with_index=True)
+    assert [(r["index"], r.offset_difference, r.shape_id) for r in spark.read.parquet(out).collect()] == [(0, 20, "S")]
+
+
+def test_readable_size(spark):
+    from headway.functions.labels import readable_size
+    rows = spark.createDataFrame([(n,) for n in (0, 1023, 1048474, 1280, 1024 ** 4)], "n long")
+    assert [r.s for r in rows.select(readable_size(F.col("n")).alias("s")).collect()] == [
+        "0.0 B", "1023.0 B", "1023.9 KiB", "1.2 KiB", "1.0 TiB"]
+
+
 def test_table_stats(spark, scratch):
     path = os.path.join(scratch, "t")
     spark.range(0, 1000).repartition(3).write.parquet(path)

@@ -38,7 +38,6 @@ def _check(spark, rows, slices):
     want = sorted((int(r.g), int(r.k), None if pd.isna(r.prev_v) else int(r.prev_v),
                    None if pd.isna(r.prev_g) else int(r.prev_g), None if pd.isna(r.next_v) else int(r.next_v),
                    int(r.gmax), int(r.idx)) for r in exp.itertuples())
-    od.release_pinned()
     assert got == want
 
 
@@ -75,10 +74,20 @@ def test_bad_direction(spark):
         od.with_neighbour(_frame(spark, [(1, 1, 1)]), ORDER, ["v"], "up", "x")
 
 
-def test_checkpoint_pin_mode(spark):
-    spark.conf.set(od.PIN_MODE_CONF, "checkpoint")
-    try:
-        rows = [(7, k, k * 10) for k in range(120)] + [(g, k, g + k) for g in range(4) for k in range(3)]
-        _check(spark, rows, slices=7)
-    finally:
-        spark.conf.unset(od.PIN_MODE_CONF)
+def test_slices_fill_all_tasks(spark):
+    """Slice k is task k: rows per task are even, with a group that holds a third of them."""
+    rows = [(7, k, k) for k in range(1000)] + [(g, k, g) for g in range(100, 2100) for k in range(1)]
+    base = od.slice_by_order(_frame(spark, rows), ORDER, num_slices=12)
+    from pyspark.sql import functions as F
+    sizes = [r.n for r in base.groupBy(F.spark_partition_id().alias("task")).agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) == 12 and max(sizes) <= 2 * len(rows) / 12
+
+
+def test_no_stale_rows_and_nothing_cached(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for n in (5, 9):        # another writer replaces the table behind the session's back
+        _frame(spark, [(1, k, k) for k in range(n)]).write.mode("overwrite").parquet(path)
+        spark.catalog.refreshByPath(path)
+        base = od.slice_by_order(spark.read.parquet(path), ORDER, num_slices=3)
+        assert od.with_neighbour(base, ORDER, ["v"], "prev", "p").count() == n
+    assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()

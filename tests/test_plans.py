@@ -6,7 +6,6 @@ import re
 import pytest
 
 import __spark_entry__ as entry
-from headway.operators.ordered import release_pinned
 from headway.plans import punctuality as pn
 from headway.sources import fixtures as fx
 
@@ -18,12 +17,11 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.QUERIES))
 def test_no_python_and_bounded_single_partition(spark, name):
     if not os.path.isdir(SF):
         pytest.skip("test data not present")
-    plan = _plan(entry.queries()[name](spark, SF))
-    release_pinned()
+    plan = _plan(entry.QUERIES[name](spark, SF))
     assert not any(node in plan for node in PYTHON_NODES), name
     # a single-partition exchange may only carry per-slice edge rows (keyed by the slice id)
     # or the partial rows of a global aggregate (one per task)
@@ -43,11 +41,8 @@ def test_day_read_prunes_partitions_and_columns(spark, tmp_path):
     assert "vehicle_occupancyStatus" not in read_schema and "timefetch" in read_schema
 
 
-def test_flagship_has_one_range_exchange_and_no_trip_window(spark):
-    df = entry.entry(spark)
-    text = df._jdf.queryExecution().executedPlan().toString()
-    # the flagship's ordered steps run on one range slicing (inside the pinned frame)
-    cached = str(df._jdf.queryExecution().withCachedData().toString())
-    release_pinned()
-    assert "rangepartitioning(trip_id" in cached
+def test_flagship_has_no_trip_window(spark):
+    text = _plan(entry.entry(spark))
+    assert "windowspecdefinition(_slice" in text
     assert "windowspecdefinition(trip_id" not in text     # no window keyed by trip alone
+    assert "RoundRobin" not in text

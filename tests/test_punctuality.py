@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-from headway.operators.ordered import release_pinned
 from headway.plans import punctuality as pn
 
 DAY = dt.date(2023, 12, 1)
@@ -56,7 +55,6 @@ def test_filter_positions_exact_vs_per_trip(spark):
     positions, _ = _inputs(spark)
     exact = {r.id for r in pn.filter_positions(positions, exact=True).collect()}
     per_trip = {r.id for r in pn.filter_positions(positions, exact=False).collect()}
-    release_pinned()
     assert 4 not in exact and 4 not in per_trip          # repeated in-transit poll
     assert 8 not in exact                                 # same sequence as the previous trip's last row
     assert 8 in per_trip                                  # first poll of its trip
@@ -67,14 +65,12 @@ def test_offset_rules(spark):
     positions, schedule = _inputs(spark)
     stu = pn.stop_times_unix(schedule, DAY)
     got = {r.id: r.offset for r in pn.offsets(positions, stu).collect()}
-    release_pinned()
     assert got == {1: 60, 2: 120, 3: 550, 5: 610, 6: 10, 7: 2000}
 
 
 def test_stop_punctuality(spark):
     positions, schedule = _inputs(spark)
     rows = pn.stop_punctuality(positions, schedule, DAY).collect()
-    release_pinned()
     got = {(r.trip_id, r.stop_sequence): (r.arrival_time_offset, r.departure_time_offset, r.offset, r.vehicleID,
                                           r.routeId, r.stop_id, r.arrival_time_unix) for r in rows}
     assert got == {
@@ -91,6 +87,5 @@ def test_segments(spark):
     trips = spark.createDataFrame([(100, 7, "S7a"), (99, 7, "S7b"), (101, 7, "S7a")],
                                   "trip_id long, route_id long, shape_id string")
     rows = pn.segment_delays(data_stops, trips).collect()
-    release_pinned()
     got = sorted((r.trip_id, r.previous_stop_id, r.stop_id, r.offset_difference, r.shape_id) for r in rows)
     assert got == [(100, 11, 12, 460, "S7b"), (100, 12, 13, 60, "S7b")]

@@ -11,7 +11,6 @@ import pandas as pd
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from headway.operators.ordered import release_pinned
 from headway.plans import punctuality as pn
 
 DAY = dt.date(2023, 12, 1)
@@ -68,5 +67,4 @@ def test_offsets_match_emulation(spark, seed):
         "trip_id long, arrival_time string, stop_id long, stop_sequence long")
     stu = pn.stop_times_unix(schedule, DAY)
     got = {r.id: r.offset for r in pn.offsets(pn.two_day_positions(landed, DAY), stu).collect()}
-    release_pinned()
     assert got == want

@@ -52,9 +52,11 @@ def test_hot_trip_is_split_and_exact(spark):
     spark.conf.set(od.SLICES_CONF, "8")
     try:
         got = {r.id: r.offset for r in pn.offsets(positions, pn.stop_times_unix(schedule, DAY)).collect()}
+        # a schedule key that occurs twice repeats its polls, and does not hide them from W1
+        twice = pn.stop_times_unix(schedule, DAY)
+        assert pn.positions_on_schedule(positions, twice.union(twice)).count() == 2 * pn.positions_on_schedule(positions, twice).count()
     finally:
         spark.conf.unset(od.SLICES_CONF)
-        od.release_pinned()
     want = _emulate(pd.DataFrame(polls, columns=["id", "timefetch", "trip_id", "vts", "status", "seq", "veh"]),
                     pd.DataFrame(sched, columns=["trip_id", "seq", "arr"]))
     assert got == want

@@ -23,23 +23,34 @@ def test_positions_landing_stream(spark, scratch):
     assert spark.read.parquet(table).count() == 1
 
 
+COLUMNS = ["STARTSTATIONNAME", "STARTSTATIONARRONDISSEMENT", "STARTSTATIONLATITUDE", "STARTSTATIONLONGITUDE",
+           "ENDSTATIONNAME", "ENDSTATIONARRONDISSEMENT", "ENDSTATIONLATITUDE", "ENDSTATIONLONGITUDE", "STARTTIMEMS", "ENDTIMEMS"]
+
+
+def _ride(start, end, at, minutes):
+    return [start, f"{start} side", 45.4, -73.6, end, f"{end} side", 45.6, -73.4, at, float(at + minutes * 60000)]
+
+
+def _write(path, columns, rows):
+    with open(path, "w") as f:
+        f.write(",".join(columns) + "\n")
+        f.writelines(",".join(map(str, r)) + "\n" for r in rows)
+
+
 def test_bike_trips_stream(spark, scratch):
     src = os.path.join(scratch, "csv")
     os.makedirs(src)
-    header = ["STARTSTATIONNAME", "STARTSTATIONARRONDISSEMENT", "STARTSTATIONLATITUDE", "STARTSTATIONLONGITUDE",
-              "ENDSTATIONNAME", "ENDSTATIONARRONDISSEMENT", "ENDSTATIONLATITUDE", "ENDSTATIONLONGITUDE",
-              "STARTTIMEMS", "ENDTIMEMS"]
-    with open(os.path.join(src, "f1.csv"), "w") as f:
-        f.write(",".join(header) + "\n")
-        f.write("a,P,45.1,-73.1,b,Q,45.2,-73.2,1000,1500.0\n")
-        f.write("b,Q,45.2,-73.2,c,R,45.3,-73.3,2000,2500.0\n")
     trips, stations, ckpt = (os.path.join(scratch, x) for x in ("trips", "stations", "ckpt"))
-    landing.bike_trips_stream(spark, src, trips, stations, ckpt, header).awaitTermination()
-    assert sorted(r.durationMs for r in spark.read.parquet(trips).collect()) == [500.0, 500.0]
-    assert sorted(r.name for r in spark.read.parquet(stations).collect()) == ["a", "b", "c"]
-    with open(os.path.join(src, "f2.csv"), "w") as f:
-        f.write(",".join(header) + "\n")
-        f.write("a,P,45.1,-73.1,d,S,45.4,-73.4,3000,3100.0\n")
-    landing.bike_trips_stream(spark, src, trips, stations, ckpt, header).awaitTermination()
+    _write(os.path.join(src, "june.csv"), COLUMNS, [_ride("Quay", "Park", 1686000000000, 4), _ride("Park", "Tower", 1686000900000, 11)])
+    _write(os.path.join(src, "half.csv"), COLUMNS[:4], [["Lost", "x", 1.0, 2.0]])
+    landing.bike_trips_stream(spark, src, trips, stations, ckpt).awaitTermination()
+    assert sorted(r.durationMs for r in spark.read.parquet(trips).collect()) == [240000.0, 660000.0]
+    assert sorted(r.name for r in spark.read.parquet(stations).collect()) == ["Park", "Quay", "Tower"]
+    # a file without the required columns is put aside
+    assert [os.path.basename(r.path) for r in spark.read.parquet(trips + "_rejects").collect()] == ["half.csv"]
+    # a file with its columns in another order is read by its own header
+    back = COLUMNS[::-1]
+    _write(os.path.join(src, "july.csv"), back, [_ride("Quay", "Bridge", 1688700000000, 2)[::-1]])
+    landing.bike_trips_stream(spark, src, trips, stations, ckpt).awaitTermination()
     assert spark.read.parquet(trips).count() == 3
-    assert sorted(r.name for r in spark.read.parquet(stations).collect()) == ["a", "b", "c", "d"]
+    assert sorted(r.name for r in spark.read.parquet(stations).collect()) == ["Bridge", "Park", "Quay", "Tower"]
