@@ -194,9 +194,10 @@ class Bands:
         return flag0, flag1, empty
 
 
-def common_shingles(docs: DataFrame) -> np.ndarray:
-    """Shingles of three or more of at most SAMPLE_DOCS documents, at most COMMON of them, sorted."""
-    sample = id_and_text(docs).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
+def common_shingles(docs: DataFrame, n_docs: int) -> np.ndarray:
+    """Shingles of three or more documents of a sample by a hash of the id, about SAMPLE_DOCS; at most COMMON, sorted."""
+    parts = max(1, n_docs // SAMPLE_DOCS)
+    sample = id_and_text(docs).where(F.pmod(F.xxhash64("doc_id"), F.lit(parts)) == 0)
 
     def run(batches):
         hashes = WordHashes()
@@ -466,9 +467,9 @@ def connected(links: DataFrame) -> DataFrame:
 def join(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document."""
     spark: SparkSession = docs.sparkSession
-    size = id_and_text(docs).agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
-    ranges = max(shuffle_partitions(spark), -(-size // RANGE_BYTES))
-    common = spark.sparkContext.broadcast(common_shingles(docs))       # at most COMMON numbers
+    total = id_and_text(docs).agg(F.sum(F.octet_length("text")).alias("size"), F.count("*").alias("n")).first()
+    ranges = max(shuffle_partitions(spark), -(-(total["size"] or 0) // RANGE_BYTES))
+    common = spark.sparkContext.broadcast(common_shingles(docs, total.n))       # at most COMMON numbers
     blocks = _blocks(docs, common, ranges, percent).repartitionById(ranges, "range")
     found = pinned(_meet(blocks, percent))
     sets = found.where("kind = 0").select(F.col("x").alias("doc_id"), F.col("y").alias("n_shingles"), F.col("ids").alias("fp"))
