@@ -21,6 +21,7 @@ HEADLINE = [
     "filtered_stop_times", "feed_flatten", "trip_updates_flatten", "station_snapshot",
     "merge_drifted_polls", "bike_trip_durations", "station_locations", "high_water_increment",
     "mean_trip_duration", "new_catalogue_entries", "freshness_gate",
+    "offsets_last_stop", "arrival_departure_offsets", "stop_punctuality_per_trip", "services_by_day",
 ]
 
 
