@@ -10,7 +10,8 @@ or label.
    far more often than clean ones (at most ``CANDIDATES``).  Of these, a greedy
    cover takes the one that most toxic documents without a chosen feature hold,
    again and again; so words that copies of one toxic document happen to share
-   are not taken for a mark (at most ``MAX_FEATURES``).
+   are not taken for a mark.  Features of many toxic documents that are unlike
+   each other join it (at most ``MAX_FEATURES``).
 2. Words get labels: in a toxic document, those with a chosen feature are toxic;
    all others, and all of clean documents, are clean.
 3. Segments of at most ``SEGMENT`` words (at most ``SEGMENTS``) train the field's
@@ -44,6 +45,8 @@ CANDIDATES, MAX_FEATURES = 5_000, 1_000
 SEGMENT, SEGMENTS = 32, 4_000
 PREFIXES = (3, 4, 5, 6)
 ENDS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
+SIGNATURE = 32           # min-hashes of a toxic sample document
+CHANCE = 4e6             # features that are tried, by the odds against one of them passing by chance
 MIN_DOCS = 2             # toxic documents that a feature must newly cover
 MIN_ODDS = 3.0           # log odds of a toxic against a clean document to hold a candidate
 CACHE_ROWS = 500_000
@@ -77,7 +80,7 @@ def train(docs: DataFrame, labels: DataFrame) -> dict | None:
     totals = {r.toxic: r.n for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if len(totals) < 2:
         return None
-    names = sorted(_cover(sample, _candidates(sample, totals)))
+    names = _cover(sample, _candidates(sample, totals), totals)
     if not names:
         return None
     number = {f: k for k, f in enumerate(names)}
@@ -106,24 +109,54 @@ def _candidates(sample: DataFrame, totals: dict[int, int]) -> dict[str, int]:
     return {r.feature: r.clean for r in found.collect()}
 
 
-def _cover(sample: DataFrame, clean: dict[str, int]) -> list[str]:
-    """Greedy choice of features by the toxic documents that they newly cover, less the clean ones they hold."""
+def _cover(sample: DataFrame, clean: dict[str, int], totals: dict[int, int]) -> list[str]:
+    """Marks among the candidates: a greedy cover of the toxic documents, and features of many unlike documents.
+
+    The cover goes by newly covered toxic documents, less the clean ones.  Beyond
+    it, a feature counts that no clean document holds, that more toxic ones hold
+    than chance explains, and whose documents are no copies of each other (by
+    min-hash signatures of their words).
+    """
     def held(batches):
-        for batch in batches:
-            own = [sorted({f for w in set(t.lower().split()) for f in features(w) if f in clean})
-                   for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(own, pa.list_(pa.string()))], ["held"])
+        import xxhash
 
-    bare = [set(r.held) for r in sample.where("toxic = 1").select("text").mapInArrow(held, "held array<string>").collect()]
+        turns = np.arange(1, SIGNATURE + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) | np.uint64(1)
+        for batch in batches:
+            own, signs = [], []
+            for text in batch.column(0).to_pylist():
+                words = set(text.lower().split())
+                own.append(sorted({f for w in words for f in features(w) if f in clean}))
+                h = np.array([xxhash.xxh3_64_intdigest(w) for w in words] or [0], np.uint64)
+                signs.append(((h[:, None] * turns) >> np.uint64(32)).min(0).astype(np.int64).tolist())
+            yield pa.RecordBatch.from_arrays([pa.array(own, pa.list_(pa.string())), pa.array(signs, pa.list_(pa.int64()))],
+                                             ["held", "sign"])
+
+    rows = sample.where("toxic = 1").select("text").mapInArrow(held, "held array<string>, sign array<bigint>").collect()
+    bare = [set(r.held) for r in rows]
+    sign = np.array([r.sign for r in rows])
     chosen: list[str] = []
     while len(chosen) < MAX_FEATURES:
         gain = Counter(f for own in bare for f in own)
         best = max(gain, key=lambda f: (gain[f] - 4 * clean[f], len(f), f), default=None)
         if best is None or gain[best] - 4 * clean[best] < MIN_DOCS:
-            return chosen
+            break
         chosen.append(best)
         bare = [own for own in bare if best not in own]
-    return chosen
+    toxic_share = totals[1] / (totals[0] + totals[1])
+    many = math.ceil(math.log(CHANCE) / -math.log(toxic_share))
+    where: dict[str, list[int]] = {}
+    for k, r in enumerate(rows):
+        for f in r.held:
+            where.setdefault(f, []).append(k)
+    for f in sorted(where, key=lambda f: (-len(where[f]), f)):
+        if len(chosen) >= MAX_FEATURES or len(where[f]) < many:
+            break
+        if not clean[f]:
+            some = sign[where[f][:: max(1, len(where[f]) // 12)][:12]]
+            alike = (some[:, None, :] == some[None, :, :]).mean(2)
+            if alike[np.triu_indices(len(some), 1)].mean() < 0.4:
+                chosen.append(f)
+    return sorted(set(chosen))
 
 
 def _segments(sample: DataFrame, number: dict[str, int]) -> DataFrame:
