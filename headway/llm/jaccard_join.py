@@ -50,7 +50,7 @@ SAMPLE_DOCS, COMMON = 20_000, 200_000
 BLOCK_KEYS = 1_000_000        # keys that a map task gathers before it emits them
 RANGE_BYTES = 20_000_000      # text bytes per key range
 SMALL_RUN = 8
-PER_HOME = 512                # partners of one document that are verified together
+PER_HOME = 1_000              # pairs that are verified together
 BROADCAST_ROWS = 500_000      # of 16 bytes
 CACHE_ROWS = 400_000
 
@@ -401,13 +401,14 @@ def _flatten(batches):
 def verified(docs: DataFrame, pairs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The pairs (a, b) of a pinned frame whose texts are similar enough, exactly.
 
-    Pairs meet at a home by their smaller id; an id with many partners has a home
-    for every PER_HOME of them.
+    Pairs meet at a home by their smaller id, PER_HOME pairs or so at each; an id
+    with many partners has several homes.
     """
     spark = docs.sparkSession
-    partners = pairs.groupBy("a").agg(F.ceil(F.count("*") / PER_HOME).alias("homes"))
+    homes = max(1, pairs.count() // PER_HOME)
+    partners = pairs.groupBy("a").agg(F.ceil(F.count("*") / PER_HOME).alias("own"))
     homed = pinned(pairs.join(partners, "a").select(
-        "a", "b", F.xxhash64("a", F.pmod(F.xxhash64("b"), "homes")).alias("home")))
+        "a", "b", F.pmod(F.xxhash64("a", F.pmod(F.xxhash64("b"), "own")), F.lit(homes)).alias("home")))
     wanted = homed.select(F.col("a").alias("doc_id"), "home").union(homed.select("b", "home")).distinct()
     wanted = pinned(wanted)
     n = wanted.count()
