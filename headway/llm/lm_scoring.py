@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from headway.llm.common import fold, id_and_text, pinned, shuffle_partitions
 
 FOLDS, HELD_OUT, WEIGHTS_FOLD = 10, 0, 1
-CHUNK_BYTES = 8_000_000
+CHUNK_BYTES = 12_000_000
 RANGE_BYTES = 16_000_000
 BUCKETS, BINS = 16, 32          # of context frequency by powers of four; of relative frequencies by half powers of ten
 ROUNDS = 40
@@ -105,7 +105,7 @@ def _asked(ranges: int):
             for r in range(ranges):
                 x = slice(cuts[r], cuts[r + 1])
                 if cuts[r] < cuts[r + 1]:
-                    rows.append((r, name, kind, keys[x].tobytes(), _small(rest[x]), _small(own[x])))
+                    rows.append((r, name, kind, _packed(keys[x]), _small(rest[x]), _small(own[x])))
         return _table(rows, ASKED)
     return run
 
@@ -117,7 +117,7 @@ def _answered(batches):
         for r, chunk, kind, *blobs in zip(*(batch.column(c).to_pylist() for c in range(6))):
             asked.setdefault((r, kind), []).append((chunk, *blobs))
     for (r, kind), rows in asked.items():
-        keys = [np.frombuffer(x[1], np.uint64) for x in rows]
+        keys = [_unpacked(x[1]) for x in rows]
         found, at = np.unique(np.concatenate(keys), return_inverse=True)
         rest, own = (np.bincount(at, np.concatenate([_large(x[c]) for x in rows]), len(found)).astype(np.uint64) for c in (2, 3))
         every = rest + own
@@ -130,6 +130,17 @@ def _answered(batches):
                          ANSWER).to_batches()[0]
 
 
+def _packed(keys: np.ndarray) -> bytes:
+    """Sorted keys by their differences, byte plane by byte plane: the high planes are nearly all zero."""
+    steps = np.diff(keys, prepend=np.uint64(0))
+    return zstandard.compress(steps.view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
+
+
+def _unpacked(blob: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(blob), np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
+
+
 def _small(counts: np.ndarray) -> bytes:
     return zstandard.compress(counts.astype(np.uint64).tobytes(), 1)
 
@@ -239,14 +250,14 @@ def score(docs: DataFrame) -> DataFrame:
                          .repartitionById(ranges, "range").mapInArrow(_answered, ANSWER))
         totals = answers.where(F.col("kind") == WORD).agg(
             *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("types", "tokens", "rest_types", "rest_tokens")]).first()
-        named = answers.withColumnRenamed("chunk", "to")
 
-        def together(of, schema):
+        def together(of, schema, *counts):
+            named = answers.select(F.col("chunk").alias("to"), "range", "kind", *counts)
             return dealt.groupBy("chunk").cogroup(named.groupBy("to")).applyInArrow(of, schema)
 
-        cells = together(_cells(totals.rest_tokens), CELLS).groupBy("cell").agg(
+        cells = together(_cells(totals.rest_tokens), CELLS, "rest").groupBy("cell").agg(
             *[F.sum(c).alias(c) for c in ("n", "pair", "word")]).collect()          # BUCKETS * BINS * BINS at most
         weights = learn_weights(np.array([tuple(r) for r in cells], np.float64).reshape(-1, 4), totals.rest_types)
-        return pinned(together(_scores(weights, totals.types, totals.tokens), SCORES))
+        return pinned(together(_scores(weights, totals.types, totals.tokens), SCORES, "rest", "own"))
     finally:
         dealt.unpersist()
