@@ -19,10 +19,10 @@ leave a segment in which the sets differ in at most t shingles.
 * Keys travel in packed blocks, one per map task and key range; a task sorts the
   keys of its range and finds those that meet.
 * Verification is exact, on the shingles of whole texts.  Of many documents under
-  one key, each is first compared with the smallest id; after the links so found
-  are closed, only pairs in different components are compared.  So a large group
-  of copies costs about its size, and no link that could join two components is
-  left out.
+  one key, each is first compared with the smallest id and, under some keys, with
+  another one by a hash; after the links so found are closed, only pairs in
+  different components are compared.  So a large group of copies costs about its
+  size, and no link that could join two components is left out.
 
 Documents with equal shingle sets form a class, whose smallest id stands for it.
 Shingles are compared by 64-bit hashes.
@@ -50,6 +50,7 @@ SAMPLE_DOCS, COMMON = 20_000, 200_000
 BLOCK_KEYS = 1_000_000        # keys that a map task gathers before it emits them
 RANGE_BYTES = 20_000_000      # text bytes per key range
 SMALL_RUN = 8
+PARTNER_RUNS = 6              # in one of so many larger runs, each document also meets one by a hash
 PER_HOME = 1_000              # pairs that are verified together
 BROADCAST_ROWS = 500_000      # of 16 bytes
 CACHE_ROWS = 400_000
@@ -333,6 +334,9 @@ def _meet(blocks: DataFrame, percent: int) -> DataFrame:
             near = np.flatnonzero(_near(size[0], size[1:], percent)) + 1
             a.append(np.full(len(near), own[0])), b.append(own[near])
             name = xxhash.xxh3_64_digest(own.tobytes() + flag.tobytes())
+            if name[0] % PARTNER_RUNS == 0 and name not in runs:
+                other = _partners(own, size, name, percent)
+                a.append(np.minimum(own, own[other])), b.append(np.maximum(own, own[other]))
             runs[name] = (own, size, flag)
         if a:
             pairs = np.unique(np.stack([np.concatenate(a), np.concatenate(b)], 1), axis=0)
@@ -389,6 +393,18 @@ def _later_pairs(runs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
     return known.join(open_, "run", "left_semi").groupBy("run").applyInArrow(cross, "a long, b long").distinct()
 
 
+def _partners(own: np.ndarray, size: np.ndarray, name: bytes, percent: int) -> np.ndarray:
+    """For each document of a run, another one of a size that can be similar enough, by a hash."""
+    order = np.argsort(size, kind="stable")
+    by = size[order].astype(np.int64)
+    low = np.searchsorted(by, -(-by * percent // 100), "left")
+    high = np.searchsorted(by, by * 100 // percent, "right")
+    turn = mixed(own[order].astype(np.uint64) + np.frombuffer(name, np.uint64)[0])
+    out = np.empty(len(own), np.int64)
+    out[order] = order[low + (turn % (high - low).astype(np.uint64)).astype(np.int64)]
+    return out
+
+
 def _flatten(batches):
     for batch in batches:
         for run, ids, sizes, flags in zip(*(batch.column(c).to_pylist() for c in range(4))):
@@ -447,13 +463,15 @@ def connected(links: DataFrame) -> DataFrame:
     def ordered(df, x, y):
         return df.select(F.greatest(x, y).alias("u"), F.least(x, y).alias("v")).where("u != v").distinct()
 
-    edges, before = pinned(ordered(links, "a", "b")), None
-    while True:
-        r = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-        now = (r.n, r.h)
-        if now == before or not r.n:
-            break
-        before = now
+    def starred(df) -> bool:
+        """Whether every document has one smaller neighbour at most, and none if it has a larger one."""
+        ends = df.select(F.col("u").alias("x"), F.lit(1).alias("below"), F.lit(0).alias("above")).union(
+            df.select("v", F.lit(0), F.lit(1)))
+        sides = ends.groupBy("x").agg(F.sum("below").alias("below"), F.max("above").alias("above"))
+        return sides.where("below > 1 or (below > 0 and above > 0)").isEmpty()
+
+    edges = pinned(ordered(links, "a", "b"))
+    while not starred(edges):
         both = edges.union(edges.select("v", "u")).toDF("u", "v")
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = ordered(both.join(least, "u").where("v > u"), "v", "m")
