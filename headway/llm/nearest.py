@@ -30,8 +30,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from headway.llm.common import pinned, shuffle_partitions
-
 QUERY_EVERY, K = 20, 20
 CURVES, DIMS, BITS = 16, 8, 6        # 48-bit keys
 SHARE = 0.03
@@ -211,9 +209,7 @@ def search(table: DataFrame, every: int = QUERY_EVERY, k: int = K, curves: int =
         cols = [np.concatenate(c) for c in zip(*out)] if out else [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)]
         return pa.table({"query_id": cols[0], "vec_id": cols[1], "score": cols[2]})
 
-    tasks = min(curves * cells, max(shuffle_partitions(spark), curves * cells // 8))
-    found = (rows.mapInArrow(dealt, "cell int, ask boolean, vec_id long, v binary")
-             .repartitionById(tasks, F.pmod("cell", F.lit(tasks)).cast("int")).groupBy("cell")
+    found = (rows.mapInArrow(dealt, "cell int, ask boolean, vec_id long, v binary").groupBy("cell")
              .applyInArrow(rerank, "query_id long, vec_id long, score double"))
     best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
