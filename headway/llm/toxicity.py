@@ -1,8 +1,8 @@
 """Operator 8, toxicity: a linear-chain conditional random field over words.
 
 Training reads labels of rows outside the held-out fold only, on a bounded,
-documented sample: at most ``SAMPLE_ROWS`` documents of each label, the first by
-a hash of the id.  Inputs are a document's words, never its id, language, source
+documented sample: at most ``SAMPLE_ROWS`` documents of each label, drawn by a
+hash of the id.  Inputs are a document's words, never its id, language, source
 or label.
 
 1. Features of a word: its lower-case form without punctuation at its ends, and
@@ -63,8 +63,10 @@ def sample_ids(labels: DataFrame, rows: int = SAMPLE_ROWS) -> list[tuple[int, in
     usable = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & (fold(F.col("doc_id"), FOLDS) != 0))
     one = usable.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
     picked = []
-    for label in (0, 1):
-        picked += one.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).collect()
+    for toxic, n in ((r.toxic, r.n) for r in one.groupBy("toxic").agg(F.count("*").alias("n")).collect()):
+        # thinned by the hash first, so that tasks hand over about ``rows`` together
+        thin = one.where((F.col("toxic") == toxic) & (F.pmod(F.xxhash64("doc_id"), F.lit(max(1, n // rows))) == 0))
+        picked += thin.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).collect()
     return [(r.doc_id, r.toxic) for r in picked]
 
 
