@@ -5,11 +5,14 @@
    query is divided by its own norm.
 2. ``CURVES`` random projections to ``DIMS`` dimensions, each scaled by the data's
    mean and deviation, shifted at random and put in Hilbert order.
-3. Each curve is cut into cells of equal counts at quantiles of its keys (a hash
-   of the id breaks ties, so equal vectors spread over cells).  Every row goes to
-   its cell; a query also to the cells around it, as many as its key window spans.
-4. A cell reranks its rows for its queries by the exact inner product; the cells'
-   best rows merge per query.
+3. Equal vectors are one class, which carries its ``k + 1`` smallest ids: no result
+   needs more of them.  Steps 4 and 5 see classes only, so copies neither crowd a
+   cell nor hide one another.
+4. Each curve is cut into cells of equal counts at quantiles of its keys (a hash
+   of the vector and the curve breaks ties).  Every class goes to its cell; one
+   that holds a query also to the cells around it, as many as its key window spans.
+5. A cell reranks its classes for its queries by the exact inner product; the best
+   ids merge per class, and every query of a class takes them but for itself.
 
 The window is a share of the rows (``SHARE`` each way, rounded up to cells).
 Vectors without structure, as in the test tables, have no order in which near
@@ -19,7 +22,8 @@ query then grows with the table, as a scan's would, by less than its size.
 A cell holds at most ``MAX_CELL`` rows or so.  Vectors that are null, zero, of
 another length than most, or that hold null or non-finite components take no
 part; nor do rows without an id.  Repeated ids are candidates each, and count
-once in a result.  An empty table gives an empty result.  Other columns are
+once in a result.  A class is grouped by the vector itself; a 128-bit hash names
+it afterwards.  An empty table gives an empty result.  Other columns are
 ignored.
 """
 
@@ -27,14 +31,18 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from headway.llm.common import pinned
+
 QUERY_EVERY, K = 20, 20
 CURVES, DIMS, BITS = 16, 8, 6        # 48-bit keys
 SHARE = 0.03
 MIN_CELL, MAX_CELL = 512, 65_536
 TIE_BITS = 14
+HOT = 10_000                         # queries of one class that one task joins
 SEED = 7
 
 
@@ -64,15 +72,33 @@ def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
 
 
 def _valid(table: DataFrame) -> DataFrame:
-    """(vec_id, v, norm): finite non-zero vectors of the most frequent length."""
-    v = F.col("embedding").cast("array<double>")
+    """(vec_id, v): finite non-zero vectors of the most frequent length."""
+    v = F.transform(F.col("embedding").cast("array<double>"), lambda x: F.when(x == 0, 0.0).otherwise(x))   # no -0.0
     rows = table.select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v")).where(
         F.col("vec_id").isNotNull() & F.col("v").isNotNull() & (F.size("v") > 0)
         & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
         & F.exists("v", lambda x: x != 0))
     sizes = rows.groupBy(F.size("v").alias("size")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "size").first()
-    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
-    return rows.where(F.size("v") == (sizes.size if sizes else 0)).withColumn("norm", norm)
+    return rows.where(F.size("v") == (sizes.size if sizes else 0))
+
+
+def _norm():
+    return F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
+
+
+def _classes(rows: DataFrame, every: int, k: int) -> DataFrame:
+    """(ids, v, norm, a, b, ask): every different vector once, with its k + 1 smallest ids and whether any id is a query.
+
+    Each task passes on k + 1 rows of a class and kind at most, so a vector that a
+    third of all rows hold never meets in one task.
+    """
+    once = rows.select("v", "vec_id", (F.col("vec_id") % every == 0).alias("ask")).distinct()
+    at = F.row_number().over(Window.partitionBy("v", "ask").orderBy("vec_id"))
+    least = once.withColumn("at", at).where(F.col("at") <= k + 1)
+    classes = least.groupBy("v").agg(F.slice(F.sort_array(F.collect_list("vec_id")), 1, k + 1).alias("ids"),
+                                     F.max("ask").alias("ask"))
+    return classes.select("ids", "v", _norm().alias("norm"), F.xxhash64("v").alias("a"),
+                          F.xxhash64(F.lit(1), "v").alias("b"), "ask")
 
 
 def _projections(dim: int, curves: int, dims: int) -> np.ndarray:
@@ -89,7 +115,8 @@ def search(table: DataFrame, every: int = QUERY_EVERY, k: int = K, curves: int =
            bits: int = BITS, share: float = SHARE) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row whose id is divisible by ``every``, its ``k`` nearest found."""
     spark = table.sparkSession
-    rows = _valid(table)
+    valid = _valid(table)
+    rows = pinned(_classes(valid, every, k))
     facts = rows.agg(F.count("*").alias("n"), F.max("norm").alias("most"), F.max(F.size("v")).alias("dim")).first()
     schema = "query_id long, rank int, vec_id long, score double"
     if not facts.n:
@@ -104,15 +131,17 @@ def search(table: DataFrame, every: int = QUERY_EVERY, k: int = K, curves: int =
         fill = np.sqrt(np.maximum(0.0, 1.0 - (norm / most) ** 2))
         return (v / most) @ setup.value[0][:-1] + fill[:, None] * setup.value[0][-1]
 
-    def vectors(batch, at):
-        column = batch.column(at)
-        return np.asarray(column.flatten().to_numpy(zero_copy_only=False)).reshape(len(batch), dim)
+    def parts(batch):
+        """Vectors, norms, names and whether a query, of a batch of classes."""
+        v = np.asarray(batch.column(1).flatten().to_numpy(zero_copy_only=False)).reshape(len(batch), dim)
+        return v, batch.column(2).to_numpy(), batch.column(3).to_numpy(), batch.column(5).to_numpy(zero_copy_only=False)
 
     def moments(batches):
         sums = np.zeros((2, curves * dims))
         for batch in batches:
             if len(batch):
-                p = projected(vectors(batch, 1), batch.column(2).to_numpy())
+                v, norm, *_ = parts(batch)
+                p = projected(v, norm)
                 sums += (p.sum(0), (p * p).sum(0))
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(curves * dims), pa.int32()), pa.array(sums[0]), pa.array(sums[1])],
                                          ["axis", "s", "q"])
@@ -122,95 +151,125 @@ def search(table: DataFrame, every: int = QUERY_EVERY, k: int = K, curves: int =
     mean = np.array([r.s for r in scale]) / n
     wide = 3.0 * np.sqrt(np.maximum(np.array([r.q for r in scale]) / n - mean ** 2, 1e-18))
 
-    def keyed(batches):
-        """A row per curve: key, and the query's own key where the row is a query."""
-        shifts = setup.value[1]
+    def curve_keys(p: np.ndarray, names: np.ndarray) -> np.ndarray:
+        """(curves, rows): keys of projected points."""
         side = (1 << bits) - 1
+        at = np.clip((p - mean) / wide, -1, 1) / 4 + 0.25
+        out = []
+        for c in range(curves):
+            cells = ((at[:, c * dims:(c + 1) * dims] + 0.5 * setup.value[1][c]) * (side + 1)).astype(np.int64)
+            mixed = (names.astype(np.uint64) + np.uint64(c)) * np.uint64(0x9E3779B97F4A7C15)
+            tie = (mixed >> np.uint64(64 - TIE_BITS)).astype(np.int64)
+            out.append((hilbert_keys(np.minimum(cells, side), bits) << TIE_BITS) | tie)
+        return np.stack(out)
 
-        def keys(p, ids):
-            at = np.clip((p - mean) / wide, -1, 1) / 4 + 0.25
-            out = []
-            for c in range(curves):
-                cells = ((at[:, c * dims:(c + 1) * dims] + 0.5 * shifts[c]) * (side + 1)).astype(np.int64)
-                tie = ((ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - TIE_BITS)).astype(np.int64)
-                out.append((hilbert_keys(np.minimum(cells, side), bits) << TIE_BITS) | tie)
-            return np.stack(out)
-
+    def keyed(batches):
+        """A row per class and curve: the key."""
         for batch in batches:
-            if not len(batch):
-                continue
-            ids, v, norm = batch.column(0).to_numpy(), vectors(batch, 1), batch.column(2).to_numpy()
-            own = keys(projected(v, norm), ids)
-            asked = keys((v / norm[:, None]) @ setup.value[0][:-1], ids)
-            for c in range(curves):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(ids), c), pa.int32()), pa.array(own[c]), pa.array(asked[c]), batch.column(0)],
-                    ["curve", "key", "asked", "vec_id"])
+            if len(batch):
+                v, norm, names, _ = parts(batch)
+                for c, own in enumerate(curve_keys(projected(v, norm), names)):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), c), pa.int32()), pa.array(own)], ["curve", "key"])
 
     size = int(min(max(share * n, MIN_CELL), MAX_CELL))
     cells = max(1, -(-n // size))
     reach = -(-int(np.ceil(share * n)) // size)
-    keys = rows.mapInArrow(keyed, "curve int, key long, asked long, vec_id long")
     cuts = np.zeros((curves, 0), np.int64)
     if cells > 1:
         marks = [i / cells for i in range(1, cells)]
-        found = keys.groupBy("curve").agg(F.percentile_approx("key", marks, 20_000).alias("cuts")).collect()
+        found = rows.mapInArrow(keyed, "curve int, key long").groupBy("curve").agg(
+            F.percentile_approx("key", marks, 20_000).alias("cuts")).collect()
         cuts = np.array([r.cuts for r in sorted(found, key=lambda r: r.curve)], np.int64)
     bounds = spark.sparkContext.broadcast(cuts)                  # curves x cells numbers
 
     def dealt(batches):
-        """Rows to their cells, queries to those around."""
+        """Classes to their cells, those with a query also to the cells around."""
         edges = bounds.value
         for batch in batches:
             if not len(batch):
                 continue
-            ids, v = batch.column(0).to_numpy(), vectors(batch, 1)
-            (part,) = keyed_columns(batch)
-            asks = np.flatnonzero(ids % every == 0)
+            v, norm, names, ask = parts(batch)
+            sent = pa.RecordBatch.from_arrays([batch.column(3), batch.column(4), batch.column(0),
+                                               pa.array([x.tobytes() for x in v], pa.binary())], ["a", "b", "ids", "v"])
+            asks = np.flatnonzero(ask)
+            own = curve_keys(projected(v, norm), names)
+            asked = curve_keys((v[asks] / norm[asks, None]) @ setup.value[0][:-1], names[asks])
             for c in range(curves):
-                cell = np.searchsorted(edges[c], part[0][c], "left")
-                yield rows_of(c * cells + cell, np.zeros(len(ids), bool), ids, v)
-                mid = np.searchsorted(edges[c], part[1][c][asks], "left")
+                yield rows_of(c * cells + np.searchsorted(edges[c], own[c], "left"), False, sent)
+                mid = np.searchsorted(edges[c], asked[c], "left")
                 for step in range(-reach, reach + 1):
                     to = mid + step
                     on = (to >= 0) & (to < cells)
                     if on.any():
-                        yield rows_of(c * cells + to[on], np.ones(on.sum(), bool), ids[asks][on], v[asks][on])
+                        yield rows_of(c * cells + to[on], True, sent.take(pa.array(asks[on])))
 
-    def keyed_columns(batch):
-        out = list(keyed([batch]))
-        yield [b.column(1).to_numpy() for b in out], [b.column(2).to_numpy() for b in out]
-
-    def rows_of(cell, ask, ids, v):
-        return pa.RecordBatch.from_arrays(
-            [pa.array(cell, pa.int32()), pa.array(ask), pa.array(ids), pa.array([x.tobytes() for x in v], pa.binary())],
-            ["cell", "ask", "vec_id", "v"])
+    def rows_of(cell, ask, sent):
+        return pa.RecordBatch.from_arrays([pa.array(cell, pa.int32()), pa.array(np.full(len(cell), ask)), *sent.columns],
+                                          ["cell", "ask", "a", "b", "ids", "v"])
 
     def rerank(t: pa.Table) -> pa.Table:
+        t = t.combine_chunks()
         ask = t.column("ask").to_numpy()
-        ids = t.column("vec_id").to_numpy()
-        v = np.frombuffer(b"".join(t.column("v").to_pylist()), np.float64).reshape(len(ids), dim)
-        rows_, own = v[~ask], ids[~ask]
+        v = np.frombuffer(b"".join(t.column("v").to_pylist()), np.float64).reshape(len(ask), dim)
+        a, b = t.column("a").to_numpy()[ask], t.column("b").to_numpy()[ask]
+        ids = t.column("ids").filter(pa.array(~ask)).combine_chunks()
+        flat = ids.flatten().to_numpy()
+        start = np.concatenate([[0], np.cumsum(pc.list_value_length(ids).to_numpy())]).astype(np.int64)
+        near, asking = v[~ask], v[ask]
         out: list[tuple] = []
-        if len(own):
-            for i in range(0, int(ask.sum()), 256):
-                near = v[ask][i:i + 256] @ rows_.T
-                for q, name, s in zip(v[ask][i:i + 256], ids[ask][i:i + 256], near):
-                    s[own == name] = -np.inf
-                    if len(s) > k:
-                        least = np.partition(s, len(s) - k)[len(s) - k]
-                        on = np.flatnonzero(s >= least - 1e-9 * max(1.0, abs(least)))
-                    else:
-                        on = np.arange(len(s))
-                    on = on[own[on] != name]
-                    score = (rows_[on] * q).sum(1)           # the same sum wherever a row stands
-                    best = np.lexsort((own[on], -score))[:k]
-                    out.append((np.full(len(best), name), own[on][best], score[best]))
-        cols = [np.concatenate(c) for c in zip(*out)] if out else [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)]
-        return pa.table({"query_id": cols[0], "vec_id": cols[1], "score": cols[2]})
-
-    found = (rows.mapInArrow(dealt, "cell int, ask boolean, vec_id long, v binary").groupBy("cell")
-             .applyInArrow(rerank, "query_id long, vec_id long, score double"))
-    best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+        for i in range(0, len(asking) if len(near) else 0, 256):
+            for at, s in enumerate(asking[i:i + 256] @ near.T, i):
+                names, score = nearest_ids(s, asking[at], near, flat, start, k + 1)
+                out.append((np.full(len(names), a[at]), np.full(len(names), b[at]), names, score))
+        none = [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)]
+        cols = [np.concatenate(c) for c in zip(*out)] if out else none
+        return pa.table(dict(zip(["a", "b", "vec_id", "score"], cols)))
+
+    found = (rows.mapInArrow(dealt, "cell int, ask boolean, a long, b long, ids array<long>, v binary").groupBy("cell")
+             .applyInArrow(rerank, "a long, b long, vec_id long, score double"))
+    best = found.groupBy("a", "b", "vec_id").agg(F.max("score").alias("score"))
+    rank = F.row_number().over(Window.partitionBy("a", "b").orderBy(F.desc("score"), "vec_id"))
+    near = best.withColumn("rank", rank).where(F.col("rank") <= k + 1).drop("rank")
+    return _expanded(near, valid, every, k)
+
+
+def nearest_ids(s: np.ndarray, q: np.ndarray, near: np.ndarray, flat: np.ndarray, start: np.ndarray, k: int):
+    """The best ``k`` different ids and their scores, of classes ``near`` with ids ``flat[start[i]:start[i + 1]]``; ``s``: rough scores."""
+    take = k
+    while True:
+        if len(s) > take:
+            least = np.partition(s, len(s) - take)[len(s) - take]
+            on = np.flatnonzero(s >= least - 1e-9 * max(1.0, abs(least)))
+        else:
+            on = np.arange(len(s))
+        score = (near[on] * q).sum(1)                        # the same sum wherever a row stands
+        each = start[on + 1] - start[on]
+        ids = np.concatenate([flat[start[i]:start[i + 1]] for i in on])
+        score = np.repeat(score, each)
+        order = np.lexsort((ids, -score))
+        ids, score = ids[order], score[order]
+        first = np.sort(np.unique(ids, return_index=True)[1])  # an id of several classes counts once
+        if len(first) >= k or len(on) == len(s):
+            return ids[first[:k]], score[first[:k]]
+        take *= 2
+
+
+def _expanded(near: DataFrame, valid: DataFrame, every: int, k: int) -> DataFrame:
+    """(query_id, rank, vec_id, score) from the answers of classes: every query takes those of its vector, without itself.
+
+    The queries of a class with more than ``HOT`` of them are dealt to several
+    copies of its answers.  The classes that are broadcast for it are fewer than
+    one in ``HOT`` queries.
+    """
+    asked = valid.where(F.col("vec_id") % every == 0).select(
+        F.xxhash64("v").alias("a"), F.xxhash64(F.lit(1), "v").alias("b"), F.col("vec_id").alias("query_id")).distinct()
+    hot = F.broadcast(asked.groupBy("a", "b").agg(F.count("*").alias("n")).where(F.col("n") > HOT)
+                      .select("a", "b", F.ceil(F.col("n") / HOT).alias("copies")))
+    copies = F.coalesce("copies", F.lit(1))
+    asked = asked.join(hot, ["a", "b"], "left").select("a", "b", "query_id", F.pmod(F.xxhash64("query_id"), copies).alias("copy"))
+    near = near.join(hot, ["a", "b"], "left").select(
+        "a", "b", "vec_id", "score", F.explode(F.sequence(F.lit(0), copies - 1)).alias("copy"))
+    best = (asked.join(near, ["a", "b", "copy"]).where("query_id <> vec_id")
+            .groupBy("query_id", "vec_id").agg(F.max("score").alias("score")))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

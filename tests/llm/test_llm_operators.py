@@ -490,6 +490,49 @@ def test_neighbours_by_windows_reach_recall(spark, monkeypatch):
     assert np.mean([len(got[q] & {j for j, _ in f}) / 20 for q, f in want.items()]) >= 0.9
 
 
+def got_nearest(table):
+    got = collections.defaultdict(list)
+    for r in nearest.search(table).sort("query_id", "rank").collect():
+        got[r.query_id].append(r.vec_id)
+    return got
+
+
+def recall(got, want):
+    return np.mean([len(set(got[q]) & {j for j, _ in f}) / len(f) for q, f in want.items()])
+
+
+def test_neighbours_among_many_copies(spark, monkeypatch):
+    monkeypatch.setattr(nearest, "MIN_CELL", 30)
+    monkeypatch.setattr(nearest, "HOT", 5, raising=False)
+    rng = np.random.default_rng(2)
+    rows = [(i, rng.normal(size=16).tolist()) for i in range(3000)]
+    rows = [(i, rows[1][1] if i % 3 == 1 else v) for i, v in rows]             # a third of all rows
+    rows += [(i, v) for i, v in rows[:200] for _ in range(3)]                  # whole rows, again
+    rows += [(i, rng.normal(size=16).tolist()) for i in range(40, 60)]         # ids with two vectors
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = got_nearest(table)
+    vectors = collections.defaultdict(list)
+    for i, v in {(i, tuple(v)) for i, v in rows}:
+        vectors[i].append(v)
+    flat = [(j, np.array(v)) for j, own in vectors.items() for v in own]
+    ids, matrix = np.array([j for j, _ in flat]), np.stack([v for _, v in flat])
+    want = {}
+    for q in [i for i in vectors if i % 20 == 0]:
+        best = {}
+        for v in vectors[q]:
+            for j, s in zip(ids, (matrix * np.array(v)).sum(1)):
+                best[j] = max(s, best.get(j, -np.inf))
+        want[q] = sorted(((j, s) for j, s in best.items() if j != q), key=lambda x: (-x[1], x[0]))[:20]
+    assert all(len(found) == 20 == len(set(found)) for found in got.values())
+    inside = {q: found for q, found in want.items() if q % 3 == 1}
+    assert len(inside) > 40 and recall(got, want) >= 0.9
+    group = sorted(i for i in vectors if i % 3 == 1)
+    for q in inside:
+        copies = [j for j in got[q] if j in set(group)]
+        assert sorted(copies) == [j for j in group if j != q][:len(copies)]
+    assert recall(got, inside) >= 0.9
+
+
 def test_neighbours_of_few_rows(spark):
     few = spark.createDataFrame([(0, [1.0, 0.0]), (20, [1.0, 0.0]), (3, [0.5, 0.5])], "vec_id long, embedding array<double>")
     got = [(r.query_id, r.rank, r.vec_id) for r in nearest.search(few).collect()]
