@@ -1,15 +1,19 @@
 """Operator 9, nearest neighbours by shifted space-filling curves.
 
-1. Largest inner product becomes nearness on a sphere: a vector is divided by the
-   largest norm and gets one more component that fills it up to length 1; a
-   query is divided by its own norm.
-2. ``CURVES`` random projections to ``DIMS`` dimensions, each scaled by the data's
-   mean and deviation, shifted at random and put in Hilbert order.
+1. Rows go to bands by norm, a band for each power of 2, so that a long vector
+   cannot press the others together (bands at quantiles would leave it among the
+   longest).  Every query asks all bands.
+2. Largest inner product becomes nearness on a sphere: a vector is divided by its
+   band's largest norm and gets one more component that fills it up to length 1; a
+   query is divided by its own norm.  ``CURVES`` random projections to ``DIMS``
+   dimensions, each scaled by the band's mean and deviation, shifted at random and
+   put in Hilbert order.
 3. Equal vectors are one class, which carries its ``k + 1`` smallest ids: no result
    needs more of them.  Steps 4 and 5 see classes only, so copies neither crowd a
    cell nor hide one another.
-4. Each curve is cut into cells of equal counts at quantiles of its keys (a hash
-   of the vector and the curve breaks ties).  Every class goes to its cell; one
+4. In every band each curve is cut into cells of equal counts at quantiles of its
+   keys (a hash of the vector and the curve breaks ties).  A band that fits one
+   cell is searched as a whole, without curves.  Every class goes to its cell; one
    that holds a query also to the cells around it, as many as its key window spans.
 5. A cell reranks its classes for its queries by the exact inner product; the best
    ids merge per class, and every query of a class takes them but for itself.
@@ -83,11 +87,13 @@ def _valid(table: DataFrame) -> DataFrame:
 
 
 def _norm():
-    return F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
+    """By the largest component, so that no square leaves the range of doubles."""
+    most = F.array_max(F.transform("v", F.abs))
+    return most * F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + (x / most) * (x / most)))
 
 
 def _classes(rows: DataFrame, every: int, k: int) -> DataFrame:
-    """(ids, v, norm, a, b, ask): every different vector once, with its k + 1 smallest ids and whether any id is a query.
+    """(ids, v, norm, a, b, ask, band): every different vector once, with its k + 1 smallest ids and whether any id is a query.
 
     Each task passes on k + 1 rows of a class and kind at most, so a vector that a
     third of all rows hold never meets in one task.
@@ -97,8 +103,9 @@ def _classes(rows: DataFrame, every: int, k: int) -> DataFrame:
     least = once.withColumn("at", at).where(F.col("at") <= k + 1)
     classes = least.groupBy("v").agg(F.slice(F.sort_array(F.collect_list("vec_id")), 1, k + 1).alias("ids"),
                                      F.max("ask").alias("ask"))
-    return classes.select("ids", "v", _norm().alias("norm"), F.xxhash64("v").alias("a"),
-                          F.xxhash64(F.lit(1), "v").alias("b"), "ask")
+    return (classes.select("ids", "v", _norm().alias("norm"), F.xxhash64("v").alias("a"),
+                           F.xxhash64(F.lit(1), "v").alias("b"), "ask")
+            .withColumn("band", F.floor(F.log2("norm")).cast("long")))
 
 
 def _projections(dim: int, curves: int, dims: int) -> np.ndarray:
@@ -117,44 +124,57 @@ def search(table: DataFrame, every: int = QUERY_EVERY, k: int = K, curves: int =
     spark = table.sparkSession
     valid = _valid(table)
     rows = pinned(_classes(valid, every, k))
-    facts = rows.agg(F.count("*").alias("n"), F.max("norm").alias("most"), F.max(F.size("v")).alias("dim")).first()
+    facts = rows.groupBy("band").agg(F.count("*").alias("n"), F.max("norm").alias("most"),
+                                     F.max(F.size("v")).alias("dim")).orderBy("band").collect()   # some 2,100 at most
     schema = "query_id long, rank int, vec_id long, score double"
-    if not facts.n:
+    if not facts:
         return spark.createDataFrame([], schema)
-    n, dim, most = facts.n, facts.dim, facts.most
+    dim = facts[0].dim
+    bands, n, most = (np.array([r[c] for r in facts]) for c in ("band", "n", "most"))
+    size = np.clip((share * n).astype(np.int64), MIN_CELL, MAX_CELL)
+    cells = -(-n // size)
+    reach = -(-np.ceil(share * n).astype(np.int64) // size)
+    used = np.where(cells > 1, curves, 1)                     # curves of a band
+    first = np.concatenate([[0], np.cumsum(cells * used)])    # its first cell
     matrix = _projections(dim, curves, dims)
     shift = np.random.default_rng(SEED + 1).random((curves, dims))
     setup = spark.sparkContext.broadcast((matrix, shift))      # a few hundred kB
 
-    def projected(v: np.ndarray, norm: np.ndarray) -> np.ndarray:
-        """Rows as points on the sphere, then on all curves' axes."""
+    def projected(v: np.ndarray, norm: np.ndarray, most: float) -> np.ndarray:
+        """Rows of a band as points on the sphere, then on all curves' axes."""
         fill = np.sqrt(np.maximum(0.0, 1.0 - (norm / most) ** 2))
         return (v / most) @ setup.value[0][:-1] + fill[:, None] * setup.value[0][-1]
 
     def parts(batch):
-        """Vectors, norms, names and whether a query, of a batch of classes."""
+        """Vectors, norms, names, whether a query, and places of the bands, of a batch of classes."""
         v = np.asarray(batch.column(1).flatten().to_numpy(zero_copy_only=False)).reshape(len(batch), dim)
-        return v, batch.column(2).to_numpy(), batch.column(3).to_numpy(), batch.column(5).to_numpy(zero_copy_only=False)
+        return (v, batch.column(2).to_numpy(), batch.column(3).to_numpy(), batch.column(5).to_numpy(zero_copy_only=False),
+                np.searchsorted(bands, batch.column(6).to_numpy()))
 
     def moments(batches):
-        sums = np.zeros((2, curves * dims))
+        sums: dict[int, np.ndarray] = {}
         for batch in batches:
             if len(batch):
-                v, norm, *_ = parts(batch)
-                p = projected(v, norm)
-                sums += (p.sum(0), (p * p).sum(0))
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(curves * dims), pa.int32()), pa.array(sums[0]), pa.array(sums[1])],
-                                         ["axis", "s", "q"])
-
-    scale = rows.mapInArrow(moments, "axis int, s double, q double").groupBy("axis").agg(
-        F.sum("s").alias("s"), F.sum("q").alias("q")).orderBy("axis").collect()
-    mean = np.array([r.s for r in scale]) / n
-    wide = 3.0 * np.sqrt(np.maximum(np.array([r.q for r in scale]) / n - mean ** 2, 1e-18))
-
-    def curve_keys(p: np.ndarray, names: np.ndarray) -> np.ndarray:
-        """(curves, rows): keys of projected points."""
+                v, norm, _, _, band = parts(batch)
+                for i in np.unique(band[cells[band] > 1]).tolist():
+                    p = projected(v[band == i], norm[band == i], most[i])
+                    sums[i] = sums.get(i, 0) + np.stack([p.sum(0), (p * p).sum(0)])
+        for i, own in sums.items():
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(curves * dims, i), pa.int32()),
+                                              pa.array(np.arange(curves * dims), pa.int32()), pa.array(own[0]), pa.array(own[1])],
+                                             ["place", "axis", "s", "q"])
+
+    mean, wide = np.zeros((len(bands), curves * dims)), np.ones((len(bands), curves * dims))
+    scale = rows.mapInArrow(moments, "place int, axis int, s double, q double").groupBy("place", "axis").agg(
+        F.sum("s").alias("s"), F.sum("q").alias("q")).collect() if (cells > 1).any() else []
+    for r in scale:
+        mean[r.place, r.axis] = r.s / n[r.place]
+        wide[r.place, r.axis] = 3.0 * max(r.q / n[r.place] - mean[r.place, r.axis] ** 2, 1e-18) ** 0.5
+
+    def curve_keys(p: np.ndarray, names: np.ndarray, i: int) -> np.ndarray:
+        """(curves, rows): keys of projected points in band ``i``."""
         side = (1 << bits) - 1
-        at = np.clip((p - mean) / wide, -1, 1) / 4 + 0.25
+        at = np.clip((p - mean[i]) / wide[i], -1, 1) / 4 + 0.25
         out = []
         for c in range(curves):
             cells = ((at[:, c * dims:(c + 1) * dims] + 0.5 * setup.value[1][c]) * (side + 1)).astype(np.int64)
@@ -164,44 +184,54 @@ def search(table: DataFrame, every: int = QUERY_EVERY, k: int = K, curves: int =
         return np.stack(out)
 
     def keyed(batches):
-        """A row per class and curve: the key."""
+        """A row per class and curve, for bands of several cells: the key."""
         for batch in batches:
             if len(batch):
-                v, norm, names, _ = parts(batch)
-                for c, own in enumerate(curve_keys(projected(v, norm), names)):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), c), pa.int32()), pa.array(own)], ["curve", "key"])
-
-    size = int(min(max(share * n, MIN_CELL), MAX_CELL))
-    cells = max(1, -(-n // size))
-    reach = -(-int(np.ceil(share * n)) // size)
-    cuts = np.zeros((curves, 0), np.int64)
-    if cells > 1:
-        marks = [i / cells for i in range(1, cells)]
-        found = rows.mapInArrow(keyed, "curve int, key long").groupBy("curve").agg(
-            F.percentile_approx("key", marks, 20_000).alias("cuts")).collect()
-        cuts = np.array([r.cuts for r in sorted(found, key=lambda r: r.curve)], np.int64)
-    bounds = spark.sparkContext.broadcast(cuts)                  # curves x cells numbers
+                v, norm, names, _, band = parts(batch)
+                for i in np.unique(band[cells[band] > 1]).tolist():
+                    on = band == i
+                    for c, own in enumerate(curve_keys(projected(v[on], norm[on], most[i]), names[on], i)):
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(np.full(len(own), i), pa.int32()), pa.array(np.full(len(own), c), pa.int32()), pa.array(own)],
+                            ["place", "curve", "key"])
+
+    cuts = {}
+    several = np.flatnonzero(cells > 1).tolist()
+    if several:
+        found = rows.mapInArrow(keyed, "place int, curve int, key long").groupBy("curve").agg(*[
+            F.percentile_approx(F.when(F.col("place") == i, F.col("key")), [j / cells[i] for j in range(1, cells[i])],
+                                20_000).alias(f"cuts{i}") for i in several]).collect()
+        cuts = {(i, r.curve): np.array(r[f"cuts{i}"], np.int64) for r in found for i in several}
+    bounds = spark.sparkContext.broadcast(cuts)                  # a number per curve and cell
 
     def dealt(batches):
-        """Classes to their cells, those with a query also to the cells around."""
+        """Classes to their cells, those with a query also to the cells around, in every band."""
         edges = bounds.value
         for batch in batches:
             if not len(batch):
                 continue
-            v, norm, names, ask = parts(batch)
+            v, norm, names, ask, band = parts(batch)
             sent = pa.RecordBatch.from_arrays([batch.column(3), batch.column(4), batch.column(0),
                                                pa.array([x.tobytes() for x in v], pa.binary())], ["a", "b", "ids", "v"])
             asks = np.flatnonzero(ask)
-            own = curve_keys(projected(v, norm), names)
-            asked = curve_keys((v[asks] / norm[asks, None]) @ setup.value[0][:-1], names[asks])
-            for c in range(curves):
-                yield rows_of(c * cells + np.searchsorted(edges[c], own[c], "left"), False, sent)
-                mid = np.searchsorted(edges[c], asked[c], "left")
-                for step in range(-reach, reach + 1):
-                    to = mid + step
-                    on = (to >= 0) & (to < cells)
-                    if on.any():
-                        yield rows_of(c * cells + to[on], True, sent.take(pa.array(asks[on])))
+            sphere = (v[asks] / norm[asks, None]) @ setup.value[0][:-1]
+            for i in range(len(bands)):
+                here = np.flatnonzero(band == i)
+                if cells[i] == 1:
+                    yield rows_of(np.full(len(here), first[i]), False, sent.take(pa.array(here)))
+                    yield rows_of(np.full(len(asks), first[i]), True, sent.take(pa.array(asks)))
+                    continue
+                own = curve_keys(projected(v[here], norm[here], most[i]), names[here], i)
+                asked = curve_keys(sphere, names[asks], i)
+                for c in range(curves):
+                    base = first[i] + c * cells[i]
+                    yield rows_of(base + np.searchsorted(edges[i, c], own[c], "left"), False, sent.take(pa.array(here)))
+                    mid = np.searchsorted(edges[i, c], asked[c], "left")
+                    for step in range(-reach[i], reach[i] + 1):
+                        to = mid + step
+                        on = (to >= 0) & (to < cells[i])
+                        if on.any():
+                            yield rows_of(base + to[on], True, sent.take(pa.array(asks[on])))
 
     def rows_of(cell, ask, sent):
         return pa.RecordBatch.from_arrays([pa.array(cell, pa.int32()), pa.array(np.full(len(cell), ask)), *sent.columns],

@@ -533,6 +533,17 @@ def test_neighbours_among_many_copies(spark, monkeypatch):
     assert recall(got, inside) >= 0.9
 
 
+def test_neighbours_beside_outlier_norms(spark, monkeypatch):
+    monkeypatch.setattr(nearest, "MIN_CELL", 60)
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=16)) for i in range(2000)]
+    for i, times in ((7, 1000.0), (40, 20.0), (41, 1e-160), (1999, 100.0)):
+        rows[i] = (i, rows[i][1] * times)
+    rows = [(i, v.tolist()) for i, v in rows]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert recall(got_nearest(table), brute_nearest(rows, 20)) >= 0.9
+
+
 def test_neighbours_of_few_rows(spark):
     few = spark.createDataFrame([(0, [1.0, 0.0]), (20, [1.0, 0.0]), (3, [0.5, 0.5])], "vec_id long, embedding array<double>")
     got = [(r.query_id, r.rank, r.vec_id) for r in nearest.search(few).collect()]
