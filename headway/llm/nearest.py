@@ -1,6 +1,7 @@
 """Operator 9, nearest neighbours by shifted space-filling curves.
 
-1. Rows go to bands by norm, a band for each power of 2, so that a long vector
+1. Rows go to bands by norm, a band for each power of 2 (from
+   its half step on, so unit vectors stay together), so that a long vector
    cannot press the others together (bands at quantiles would leave it among the
    longest).  Every query asks all bands.
 2. Largest inner product becomes nearness on a sphere: a vector is divided by its
@@ -20,8 +21,11 @@
 
 The window is a share of the rows (``SHARE`` each way, rounded up to cells).
 Vectors without structure, as in the test tables, have no order in which near
-ones are neighbours, so recall needs a share, not a constant; the work of one
-query then grows with the table, as a scan's would, by less than its size.
+ones are neighbours, so recall needs a share, not a constant.  The work of one
+query then grows with the table as a scan's would: the cells of 16 curves hold
+about as many rows as the table or more (2.2 times on check_s, where 90 % of its
+rows are met), so this is about a full scan by cells.  The queries of a cell with
+more than ``MAX_ASKS`` are dealt to copies of it.
 
 A cell holds at most ``MAX_CELL`` rows or so.  Vectors that are null, zero, of
 another length than most, or that hold null or non-finite components take no
@@ -46,6 +50,7 @@ CURVES, DIMS, BITS = 16, 8, 6        # 48-bit keys
 SHARE = 0.03
 MIN_CELL, MAX_CELL = 512, 65_536
 TIE_BITS = 14
+MAX_ASKS = 16_384                    # queries of one cell that one task compares, or so
 HOT = 10_000                         # queries of one class that one task joins
 SEED = 7
 
@@ -105,7 +110,7 @@ def _classes(rows: DataFrame, every: int, k: int) -> DataFrame:
                                      F.max("ask").alias("ask"))
     return (classes.select("ids", "v", _norm().alias("norm"), F.xxhash64("v").alias("a"),
                            F.xxhash64(F.lit(1), "v").alias("b"), "ask")
-            .withColumn("band", F.floor(F.log2("norm")).cast("long")))
+            .withColumn("band", F.floor(F.log2("norm") + 0.5).cast("long")))
 
 
 def _projections(dim: int, curves: int, dims: int) -> np.ndarray:
@@ -124,8 +129,9 @@ def search(table: DataFrame, every: int = QUERY_EVERY, k: int = K, curves: int =
     spark = table.sparkSession
     valid = _valid(table)
     rows = pinned(_classes(valid, every, k))
-    facts = rows.groupBy("band").agg(F.count("*").alias("n"), F.max("norm").alias("most"),
-                                     F.max(F.size("v")).alias("dim")).orderBy("band").collect()   # some 2,100 at most
+    facts = rows.groupBy("band").agg(
+        F.count("*").alias("n"), F.max("norm").alias("most"), F.max(F.size("v")).alias("dim"),
+        F.count_if("ask").alias("asks")).orderBy("band").collect()                # some 2,100 bands at most
     schema = "query_id long, rank int, vec_id long, score double"
     if not facts:
         return spark.createDataFrame([], schema)
@@ -204,38 +210,71 @@ def search(table: DataFrame, every: int = QUERY_EVERY, k: int = K, curves: int =
         cuts = {(i, r.curve): np.array(r[f"cuts{i}"], np.int64) for r in found for i in several}
     bounds = spark.sparkContext.broadcast(cuts)                  # a number per curve and cell
 
-    def dealt(batches):
-        """Classes to their cells, those with a query also to the cells around, in every band."""
+    def placed(batch, only_asks: bool = False):
+        """(whether as queries, cells, places in the batch): classes to their cells, those with a query also to the cells
+        around, in every band."""
         edges = bounds.value
+        v, norm, names, ask, band = parts(batch)
+        asks = np.flatnonzero(ask)
+        sphere = (v[asks] / norm[asks, None]) @ setup.value[0][:-1]
+        for i in range(len(bands)):
+            here = np.flatnonzero((band == i) & (not only_asks))
+            if cells[i] == 1:
+                yield False, np.full(len(here), first[i]), here
+                yield True, np.full(len(asks), first[i]), asks
+                continue
+            own = curve_keys(projected(v[here], norm[here], most[i]), names[here], i)
+            asked = curve_keys(sphere, names[asks], i)
+            for c in range(curves):
+                base = first[i] + c * cells[i]
+                yield False, base + np.searchsorted(edges[i, c], own[c], "left"), here
+                mid = np.searchsorted(edges[i, c], asked[c], "left")
+                for step in range(-reach[i], reach[i] + 1):
+                    to = mid + step
+                    on = (to >= 0) & (to < cells[i])
+                    yield True, base + to[on], asks[on]
+
+    def counted(batches):
+        """Queries of each cell."""
+        total = np.zeros(first[-1], np.int64)
+        for batch in batches:
+            if len(batch):
+                for as_query, cell, _ in placed(batch, only_asks=True):
+                    if as_query:
+                        np.add.at(total, cell, 1)
+        met = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(met), pa.array(total[met])], ["cell", "n"])
+
+    # A class asks a cell once at most, so few of them need no count; full cells are fewer than one in MAX_ASKS asks.
+    full = rows.mapInArrow(counted, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).where(
+        F.col("n") > MAX_ASKS).collect() if sum(r.asks for r in facts) > MAX_ASKS else []
+    salts = spark.sparkContext.broadcast({r.cell: -(-r.n // MAX_ASKS) for r in full})
+
+    def dealt(batches):
+        """Rows of the cells; the queries of a full cell go to several copies of its classes."""
+        copies = np.ones(first[-1], np.int64)
+        for cell, many in salts.value.items():
+            copies[cell] = many
         for batch in batches:
             if not len(batch):
                 continue
-            v, norm, names, ask, band = parts(batch)
+            v, _, names, *_ = parts(batch)
             sent = pa.RecordBatch.from_arrays([batch.column(3), batch.column(4), batch.column(0),
                                                pa.array([x.tobytes() for x in v], pa.binary())], ["a", "b", "ids", "v"])
-            asks = np.flatnonzero(ask)
-            sphere = (v[asks] / norm[asks, None]) @ setup.value[0][:-1]
-            for i in range(len(bands)):
-                here = np.flatnonzero(band == i)
-                if cells[i] == 1:
-                    yield rows_of(np.full(len(here), first[i]), False, sent.take(pa.array(here)))
-                    yield rows_of(np.full(len(asks), first[i]), True, sent.take(pa.array(asks)))
+            for as_query, cell, at in placed(batch):
+                if as_query:
+                    copy = (names[at].astype(np.uint64) % copies[cell].astype(np.uint64)).astype(np.int64)
+                    if len(at):
+                        yield rows_of(cell, copy, True, sent.take(pa.array(at)))
                     continue
-                own = curve_keys(projected(v[here], norm[here], most[i]), names[here], i)
-                asked = curve_keys(sphere, names[asks], i)
-                for c in range(curves):
-                    base = first[i] + c * cells[i]
-                    yield rows_of(base + np.searchsorted(edges[i, c], own[c], "left"), False, sent.take(pa.array(here)))
-                    mid = np.searchsorted(edges[i, c], asked[c], "left")
-                    for step in range(-reach[i], reach[i] + 1):
-                        to = mid + step
-                        on = (to >= 0) & (to < cells[i])
-                        if on.any():
-                            yield rows_of(base + to[on], True, sent.take(pa.array(asks[on])))
-
-    def rows_of(cell, ask, sent):
-        return pa.RecordBatch.from_arrays([pa.array(cell, pa.int32()), pa.array(np.full(len(cell), ask)), *sent.columns],
-                                          ["cell", "ask", "a", "b", "ids", "v"])
+                for copy in range(copies[cell].max(initial=0)):
+                    on = copies[cell] > copy
+                    yield rows_of(cell[on], np.full(on.sum(), copy), False, sent.take(pa.array(at[on])))
+
+    def rows_of(cell, copy, ask, sent):
+        return pa.RecordBatch.from_arrays([pa.array(cell, pa.int64()), pa.array(copy, pa.int64()),
+                                           pa.array(np.full(len(cell), ask)), *sent.columns],
+                                          ["cell", "copy", "ask", "a", "b", "ids", "v"])
 
     def rerank(t: pa.Table) -> pa.Table:
         t = t.combine_chunks()
@@ -255,8 +294,8 @@ def search(table: DataFrame, every: int = QUERY_EVERY, k: int = K, curves: int =
         cols = [np.concatenate(c) for c in zip(*out)] if out else none
         return pa.table(dict(zip(["a", "b", "vec_id", "score"], cols)))
 
-    found = (rows.mapInArrow(dealt, "cell int, ask boolean, a long, b long, ids array<long>, v binary").groupBy("cell")
-             .applyInArrow(rerank, "a long, b long, vec_id long, score double"))
+    found = (rows.mapInArrow(dealt, "cell long, copy long, ask boolean, a long, b long, ids array<long>, v binary")
+             .groupBy("cell", "copy").applyInArrow(rerank, "a long, b long, vec_id long, score double"))
     best = found.groupBy("a", "b", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("a", "b").orderBy(F.desc("score"), "vec_id"))
     near = best.withColumn("rank", rank).where(F.col("rank") <= k + 1).drop("rank")

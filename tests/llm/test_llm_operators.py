@@ -544,6 +544,16 @@ def test_neighbours_beside_outlier_norms(spark, monkeypatch):
     assert recall(got_nearest(table), brute_nearest(rows, 20)) >= 0.9
 
 
+def test_queries_of_full_cells_are_dealt_to_copies(spark, monkeypatch):
+    monkeypatch.setattr(nearest, "MIN_CELL", 60)
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(size=16).tolist()) for i in range(1000)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    whole = got_nearest(table)
+    monkeypatch.setattr(nearest, "MAX_ASKS", 7)
+    assert got_nearest(table) == whole and len(whole) == 50
+
+
 def test_neighbours_of_few_rows(spark):
     few = spark.createDataFrame([(0, [1.0, 0.0]), (20, [1.0, 0.0]), (3, [0.5, 0.5])], "vec_id long, embedding array<double>")
     got = [(r.query_id, r.rank, r.vec_id) for r in nearest.search(few).collect()]
