@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from headway.llm import quality, secrets
+from headway.llm import manifest, quality, secrets
 
 _SPACES = r"[\x20\x09-\x0D]"
 _NOT_SPACE = r"[^\x20\x09-\x0D]"
@@ -85,3 +85,67 @@ SELECT d.doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0
        coalesce(n_live, 0)::BIGINT AS n_live, coalesce(n_wide, 0)::BIGINT AS n_widespread
 FROM d LEFT JOIN joined j ON j.doc_id = d.doc_id
 """
+
+
+def _crc32(text: str) -> str:
+    """Unsigned crc32 of ASCII text by its table of 256 steps, which ``crc`` holds as ``steps``."""
+    return (f"xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split({text}, ''), "
+            f"lambda c: ascii(c)::BIGINT)), lambda a, b: xor(a >> 8, crc.steps[(xor(a, b) & 255) + 1])), 4294967295)")
+
+
+_CRC = """crc AS (
+  SELECT list(c ORDER BY i) AS steps
+  FROM (SELECT i, list_reduce([i::BIGINT, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, b:
+                              CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS c
+        FROM range(256) r(i)))"""
+
+_LEAF = " || ".join(f"coalesce(strlen({c}::VARCHAR) || ':' || {c}, '-')" for c in manifest.FIELDS[:-1]) + " || "
+
+
+def _climb(name: str, leaves: str) -> str:
+    return f"""{name} AS (
+  SELECT 0 AS level, tree, i, n, digest FROM {leaves}
+  UNION ALL
+  SELECT level + 1, tree, i // 8, (n + 7) // 8, sha256(string_agg(digest, '' ORDER BY i))
+  FROM {name} WHERE n > 1 GROUP BY level, tree, i // 8, n)"""
+
+
+def _steps(up: str, leaves: str, offset: int) -> str:
+    """Per leaf (tree, place) and level: the digests beside its node, left and right."""
+    return f"""
+  SELECT l.tree, l.i AS place, u.level + {offset} AS level, {{'l': coalesce(string_agg(u.digest, '' ORDER BY u.i) FILTER (u.i < l.i // pow(8, u.level)::BIGINT), ''),
+         'd': '', 'r': coalesce(string_agg(u.digest, '' ORDER BY u.i) FILTER (u.i > l.i // pow(8, u.level)::BIGINT), '')}} AS step
+  FROM {leaves} l JOIN {up} u ON u.tree = l.tree AND u.n > 1 AND u.i // 8 = l.i // pow(8, u.level + 1)::BIGINT
+  GROUP BY l.tree, l.i, u.level"""
+
+
+OP11 = rf"""
+WITH RECURSIVE {_CRC},
+hashed AS (
+  SELECT doc_id, coalesce('1' || lang, '0') AS tree, sha256({_LEAF} coalesce(strlen(text) || ':' || text, '-')) AS digest,
+         CASE WHEN {_crc32("coalesce(doc_id::VARCHAR, '')")} % 3 = 0 THEN
+           sha256({_LEAF} coalesce(strlen(text) || ':' || translate(text, '{manifest.UPPER}', '{manifest.UPPER.lower()}'), '-')) END AS altered
+  FROM documents, crc),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, digest) - 1 AS i, count(*) OVER (PARTITION BY tree) AS n
+  FROM hashed),
+{_climb("up", "leaves")},
+subroots AS (
+  SELECT '' AS tree, tree AS name, digest, row_number() OVER (ORDER BY encode(tree)) - 1 AS i, count(*) OVER () AS n
+  FROM up WHERE n = 1),
+{_climb("top", "subroots")},
+steps AS ({_steps("up", "leaves", 0)}),
+top_steps AS ({_steps("top", "subroots", 1000)}),
+every AS (
+  SELECT * FROM steps
+  UNION ALL
+  SELECT l.tree, l.i, t.level, t.step FROM leaves l JOIN subroots s ON s.name = l.tree JOIN top_steps t ON t.place = s.i),
+paths AS (SELECT tree, place, list(step ORDER BY level) AS path FROM every GROUP BY tree, place),
+folded AS (
+  SELECT l.doc_id, l.digest AS leaf, s.digest AS subroot, (SELECT digest FROM top WHERE n = 1) AS root,
+         sha256(coalesce(list_aggregate(list_transform(p.path, lambda x: x.l || x.r), 'string_agg', ''), '')) AS proof_sha256,
+         list_reduce(list_concat([{{'l': '', 'd': coalesce(l.altered, l.digest), 'r': ''}}], coalesce(p.path, [])),
+                     lambda a, x: {{'l': '', 'd': sha256(x.l || a.d || x.r), 'r': ''}}).d AS folded_root
+  FROM leaves l JOIN subroots s ON s.name = l.tree LEFT JOIN paths p ON p.tree = l.tree AND p.place = l.i)
+SELECT *, folded_root = root AS verified FROM folded
+"""

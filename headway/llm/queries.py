@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from headway.llm import (byte_bpe, jaccard_join, lm_scoring, nearest, oracle, packing, quality, secrets, sharding,
-                         token_counts, toxicity)
+from headway.llm import (byte_bpe, jaccard_join, lm_scoring, manifest, nearest, oracle, packing, quality, secrets,
+                         sharding, token_counts, toxicity)
 from headway.llm.common import read_table
 
 
@@ -47,6 +47,10 @@ def op10_best_two_fit(spark, sf_dir):
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark, sf_dir):
+    return manifest.verify(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_deleted_interpolation": op2_deleted_interpolation,
@@ -58,7 +62,9 @@ QUERIES = {
     "op8_toxicity_field": op8_toxicity_field,
     "op9_hilbert_neighbours": op9_hilbert_neighbours,
     "op10_best_two_fit": op10_best_two_fit,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
 
 #: Where SQL cannot express an operator (tokenizers, trained models, keyed hashes), tests hold it against brute force.
-ORACLE: dict[str, str] = {"op4_secret_ownership": oracle.OP4, "op5_quality_cascade": oracle.OP5}
+ORACLE: dict[str, str] = {"op4_secret_ownership": oracle.OP4, "op5_quality_cascade": oracle.OP5,
+                          "op11_merkle_manifest": oracle.OP11}

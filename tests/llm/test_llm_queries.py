@@ -30,6 +30,7 @@ COLUMNS = {
     "op7_token_counts": ["doc_id", "n_bytes", "n_tokens", "over_limit"],
     "op8_toxicity_field": ["doc_id", "held_out", "score", "predicted"],
     "op9_hilbert_neighbours": ["query_id", "rank", "vec_id", "score"],
+    "op11_merkle_manifest": ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"],
     "op10_best_two_fit": ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"],
 }
 
