@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from headway.llm import manifest, quality, secrets
+from headway.llm import manifest, mixing, quality, secrets, vector_codes
 
 _SPACES = r"[\x20\x09-\x0D]"
 _NOT_SPACE = r"[^\x20\x09-\x0D]"
@@ -149,3 +149,105 @@ folded AS (
   FROM leaves l JOIN subroots s ON s.name = l.tree LEFT JOIN paths p ON p.tree = l.tree AND p.place = l.i)
 SELECT *, folded_root = root AS verified FROM folded
 """
+
+
+def _reduced(level: int) -> str:
+    """One level of the reduction tree: runs of fractions folded in order, then what is left of each run."""
+    run = mixing.RUN
+    return f"""
+fold{level} AS (
+  SELECT source, i // {run} AS run, 0 AS k, i, doc_id, size, mass, NULL::BIGINT AS d_id, NULL::BIGINT AS d_size, NULL::INTEGER AS more
+  FROM items{level} WHERE i % {run} = 0
+  UNION ALL
+  SELECT source, run, k + 1, CASE WHEN stays THEN i ELSE b_i END, CASE WHEN stays THEN doc_id ELSE b_id END,
+         CASE WHEN stays THEN size ELSE b_size END,
+         CASE WHEN to_a AND NOT stays THEN b_mass - up WHEN to_a THEN mass + up WHEN stays THEN mass - down ELSE b_mass + down END,
+         CASE WHEN stays THEN b_id ELSE doc_id END, CASE WHEN stays THEN b_size ELSE size END,
+         CASE WHEN to_a <> stays THEN 1 ELSE 0 END
+  FROM (SELECT *, CASE WHEN to_a THEN size - mass > b_mass ELSE mass > b_size - b_mass END AS stays
+        FROM (SELECT *, chance * (up + down) < down AS to_a
+              FROM (SELECT f.*, b.i AS b_i, b.doc_id AS b_id, b.size AS b_size, b.mass AS b_mass,
+                           least(f.size - f.mass, b.mass) AS up, least(f.mass, b.size - b.mass) AS down,
+                           ('0x' || substr(md5('{mixing.SEED}:' || f.source || ':{level}:' || f.i || ':' || b.i), 1, 13))::BIGINT::DOUBLE
+                             / 4503599627370496.0 AS chance
+                    FROM fold{level} f JOIN items{level} b ON b.source = f.source AND b.i = f.run * {run} + f.k + 1 AND f.k + 1 < {run})))),
+items{level + 1} AS (
+  SELECT source, run AS i, doc_id, size, mass FROM fold{level} QUALIFY row_number() OVER (PARTITION BY source, run ORDER BY k DESC) = 1)"""
+
+
+_LEVELS = 4     # enough for 64 ** 4 documents of a source
+
+OP13 = rf"""
+WITH RECURSIVE sized AS (
+  SELECT doc_id, coalesce('0' || source, '1') AS source,
+         len(list_filter(string_split_regex(coalesce(text, ''), '{_SPACES}+'), lambda x: x <> ''))::BIGINT AS size
+  FROM documents),
+sources AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+         {list(mixing.WEIGHTS)}[((row_number() OVER (ORDER BY encode(source)) - 1) % 3 + 1)::INTEGER] AS weight
+  FROM sized GROUP BY source),
+waters AS (     -- the level is the highest that any set of smallest sources for their weight, at their bound, gives
+  SELECT 3 * (SELECT sum(source_size) FROM sources) - 4 * coalesce(sum(source_size) OVER o, 0) AS rest,
+         (SELECT sum(weight) FROM sources) - coalesce(sum(weight) OVER o, 0) AS share
+  FROM sources WINDOW o AS (ORDER BY source_size::DOUBLE / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+water AS (SELECT * FROM waters ORDER BY rest::DOUBLE / share DESC LIMIT 1),
+wanted AS (
+  SELECT source, source_size, CASE WHEN weight * rest > 4 * share * source_size THEN (2 * source_size)::DOUBLE
+                                   ELSE weight::DOUBLE * rest::DOUBLE / (2 * share)::DOUBLE END AS target
+  FROM sources, water),
+copied AS (
+  SELECT *, CASE WHEN source_size = 0 THEN 0 ELSE floor(target / source_size)::INTEGER END AS whole FROM wanted),
+every AS (
+  SELECT d.*, c.source_size, c.target, c.whole, row_number() OVER (PARTITION BY source ORDER BY size DESC, doc_id NULLS FIRST) - 1 AS i,
+         CASE WHEN source_size = 0 THEN 0.0 ELSE (target - whole * source_size) / source_size END AS fraction
+  FROM sized d JOIN copied c USING (source)),
+items0 AS (SELECT source, i, doc_id, size, fraction * size AS mass FROM every WHERE fraction > 0 AND size > 0),
+{",".join(_reduced(k) for k in range(_LEVELS))},
+decided AS (
+  {" UNION ALL ".join(f"SELECT source, d_id AS doc_id, d_size AS size, more FROM fold{k} WHERE k > 0" for k in range(_LEVELS))}
+  UNION ALL SELECT source, doc_id, size, (2 * mass >= size)::INTEGER FROM items{_LEVELS}
+  UNION ALL SELECT source, doc_id, size, 0 FROM every WHERE NOT (fraction > 0 AND size > 0))
+SELECT d.doc_id, d.size, c.source_size, c.target, ((c.whole + d.more) * d.size)::BIGINT AS taken
+FROM decided d JOIN copied c USING (source)
+"""
+
+
+def _assigned(books: str) -> str:
+    """(vec_id, part, entry, dist) of every part's nearest entry in ``books``."""
+    return f"""
+  SELECT vec_id, part, min(dist * 64 + entry) % 64 AS entry, min(dist * 64 + entry) // 64 AS dist
+  FROM (SELECT p.vec_id, p.part, b.entry, sum((p.v - b.v) * (p.v - b.v))::BIGINT AS dist
+        FROM places p JOIN {books} b ON b.part = p.part AND b.place = p.place GROUP BY p.vec_id, p.part, b.entry)
+  GROUP BY vec_id, part"""
+
+
+def _trained(k: int) -> str:
+    return f"""
+near{k} AS ({_assigned(f"books{k}")}),
+means{k} AS (
+  SELECT n.part, n.entry, p.place, sum(p.v)::BIGINT AS s, count(*)::BIGINT AS c
+  FROM near{k} n JOIN places p ON p.vec_id = n.vec_id AND p.part = n.part GROUP BY n.part, n.entry, p.place),
+books{k + 1} AS (
+  SELECT b.part, b.entry, b.place, coalesce((s - ((s % c) + c) % c) // c, b.v) AS v
+  FROM books{k} b LEFT JOIN means{k} m ON m.part = b.part AND m.entry = b.entry AND m.place = b.place)"""
+
+
+#: For unique ids, vectors of one length and components below 100,000 in size, as in the given tables.
+OP12 = rf"""
+WITH kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor({vector_codes.SCALE} * x::DOUBLE)::BIGINT) AS x, len(embedding) // {vector_codes.PARTS} AS width,
+         row_number() OVER (ORDER BY vec_id) - 1 AS rank
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+numbers AS (SELECT *, unnest(range(len(x))) AS k FROM kept),
+places AS (SELECT vec_id, rank, k // width AS part, k % width AS place, x[k + 1] AS v FROM numbers),
+books0 AS (SELECT part, rank AS entry, place, v FROM places WHERE rank < {vector_codes.ENTRIES}),
+{",".join(_trained(k) for k in range(vector_codes.ROUNDS))},
+final AS ({_assigned(f"books{vector_codes.ROUNDS}")}),
+digest AS (SELECT sha256(string_agg(v::VARCHAR, ',' ORDER BY part, entry, place)) AS h FROM books{vector_codes.ROUNDS}),
+coded AS (
+  SELECT vec_id, string_agg(printf('%02x', entry::INTEGER), '' ORDER BY part) AS code, sum(dist)::BIGINT AS error
+  FROM final GROUP BY vec_id)
+SELECT c.vec_id, c.code, c.error, (sum(c.error) OVER (PARTITION BY k.label))::BIGINT AS label_error, h AS codebooks_sha256
+FROM coded c JOIN kept k USING (vec_id), digest
+"""

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from headway.llm import (byte_bpe, jaccard_join, lm_scoring, manifest, nearest, oracle, packing, quality, secrets,
-                         sharding, token_counts, toxicity)
+from headway.llm import (byte_bpe, jaccard_join, lm_scoring, manifest, mixing, nearest, oracle, packing, quality,
+                         secrets, sharding, token_counts, toxicity, vector_codes)
 from headway.llm.common import read_table
 
 
@@ -51,6 +51,14 @@ def op11_merkle_manifest(spark, sf_dir):
     return manifest.verify(read_table(spark, sf_dir, "documents"))
 
 
+def op12_anchor_codes(spark, sf_dir):
+    return vector_codes.compress(read_table(spark, sf_dir, "embeddings"))
+
+
+def op13_pivotal_mixing(spark, sf_dir):
+    return mixing.mix(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_deleted_interpolation": op2_deleted_interpolation,
@@ -63,8 +71,11 @@ QUERIES = {
     "op9_hilbert_neighbours": op9_hilbert_neighbours,
     "op10_best_two_fit": op10_best_two_fit,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_anchor_codes": op12_anchor_codes,
+    "op13_pivotal_mixing": op13_pivotal_mixing,
 }
 
 #: Where SQL cannot express an operator (tokenizers, trained models, keyed hashes), tests hold it against brute force.
 ORACLE: dict[str, str] = {"op4_secret_ownership": oracle.OP4, "op5_quality_cascade": oracle.OP5,
-                          "op11_merkle_manifest": oracle.OP11}
+                          "op11_merkle_manifest": oracle.OP11, "op12_anchor_codes": oracle.OP12,
+                          "op13_pivotal_mixing": oracle.OP13}

@@ -31,6 +31,8 @@ COLUMNS = {
     "op8_toxicity_field": ["doc_id", "held_out", "score", "predicted"],
     "op9_hilbert_neighbours": ["query_id", "rank", "vec_id", "score"],
     "op11_merkle_manifest": ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"],
+    "op12_anchor_codes": ["vec_id", "code", "error", "label_error", "codebooks_sha256"],
+    "op13_pivotal_mixing": ["doc_id", "size", "source_size", "target", "taken"],
     "op10_best_two_fit": ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"],
 }
 
