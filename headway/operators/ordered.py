@@ -176,6 +176,87 @@ def with_group_max(base: DataFrame, order: Sequence[str], group: Sequence[str],
     return apply_group_max(base, group, value, out, group_max_edges(ends, group))
 
 
+# ---------------------------------------------------------------- segmented scan
+
+def _seams(ends: DataFrame, group: Sequence[str], combine: Sequence[Column], kept: Sequence[str] = ()) -> DataFrame:
+    """Whole-frame values of the groups that slices begin (``head``) and end (``tail``) with.
+
+    ``ends`` has a row per slice: structs ``head`` and ``tail`` with the group's
+    columns and what the slice knows of it.  A group cut by slice edges is the
+    tail of one slice and the head of the following ones, so ``combine``,
+    aggregates over those pieces, gives its value in the whole frame.  Two rows
+    per slice at most, whatever the data.
+    """
+    pieces = ends.select(SLICE, F.inline(F.array("head", "tail")))
+    whole = pieces.groupBy(*group).agg(*combine)
+
+    def of(side: str) -> DataFrame:
+        return whole.select(F.struct(*_cols(group)).alias(f"{side}_key"),
+                            F.struct(*[F.col(c) for c in whole.columns]).alias(f"{side}_whole"))
+
+    key = {side: F.struct(*[F.col(f"{side}.{g}").alias(g) for g in group]) for side in ("head", "tail")}
+    return (ends.join(of("head"), key["head"].eqNullSafe(F.col("head_key")))
+            .join(of("tail"), key["tail"].eqNullSafe(F.col("tail_key")))
+            .select(SLICE, *kept, F.col("head_whole").alias("_head"), F.col("tail_whole").alias("_tail")))
+
+
+def _completed(group: Sequence[str], field: str, local: Column) -> Column:
+    """``local``, or the whole-frame value where the row's group is its slice's first or last."""
+    def same(side: str) -> Column:
+        found = F.lit(True)
+        for g in group:
+            found = found & F.col(g).eqNullSafe(F.col(f"{side}.{g}"))
+        return found
+
+    return F.when(same("_head"), F.col(f"_head.{field}")).when(same("_tail"), F.col(f"_tail.{field}")).otherwise(local)
+
+
+def segmented_scan(base: DataFrame, order: Sequence[str], following: Sequence[str], out: str,
+                   group: Sequence[str] = (), value: str | None = None, out_max: str | None = None) -> DataFrame:
+    """The next row's ``following`` columns as struct ``out``, and the group's largest ``value`` as ``out_max``.
+
+    One summary row per slice (first row, border groups with their maxima) is
+    aggregated from ``base``, combined in slice order, and checkpointed; then one
+    pass over the slices applies it.  ``base`` is a sliced frame that is pinned
+    (or cheap): it is read once for the summary and once for the pass, and no
+    step upstream of it runs again.  ``group`` is a prefix of ``order``.
+    """
+    ends = slice_ends(base, order, next_cols=following, group=group, value=value)
+    summary = ends.select(SLICE, F.lead("first_row").over(Window.orderBy(SLICE)).alias("_edge"),
+                          *([F.col("first_group").alias("head"), F.col("last_group").alias("tail")] if group else []))
+    if group:
+        summary = _seams(summary, group, [F.max("v").alias("v")], kept=["_edge"])
+    rows = by_slice(base).join(F.broadcast(pin(summary)), SLICE, "left")
+    payload = F.struct(*[F.col(c).alias(c) for c in following])
+    rows = rows.withColumn(out, F.coalesce(F.lead(payload).over(_slice_window(order)), F.col("_edge")))
+    if group:
+        local = F.max(value).over(Window.partitionBy(SLICE, *group))
+        rows = rows.withColumn(out_max, _completed(group, "v", local)).drop("_head", "_tail")
+    return rows.drop("_edge")
+
+
+def with_group_ends(base: DataFrame, group: Sequence[str], order: Sequence[str], value: str,
+                    out_first: str, out_last: str) -> DataFrame:
+    """Add ``value`` of the first and of the last row of each ``group`` (a prefix of ``order``), nulls kept.
+
+    ``base`` is a pinned sliced frame.  Groups inside a slice are windows of the
+    slice; those that slice edges cut are completed from one summary row per slice,
+    so nothing is grouped by key and joined back to detail.
+    """
+    whole_group = (Window.partitionBy(SLICE, *group).orderBy(*[F.col(c).asc_nulls_first() for c in order])
+                   .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    local = (by_slice(base).withColumn(out_first, F.first(value).over(whole_group))
+             .withColumn(out_last, F.last(value).over(whole_group)))
+    piece = F.struct(*_cols(group), F.col(out_first).alias("a"), F.col(out_last).alias("z"))
+    key = F.struct(*_cols(group))
+    ends = local.groupBy(SLICE).agg(F.min_by(piece, key).alias("head"), F.max_by(piece, key).alias("tail"))
+    seams = pin(_seams(ends, group, [F.min_by("a", SLICE).alias("a"), F.max_by("z", SLICE).alias("z")]))
+    return (local.join(F.broadcast(seams), SLICE, "left")
+            .withColumn(out_first, _completed(group, "a", F.col(out_first)))
+            .withColumn(out_last, _completed(group, "z", F.col(out_last)))
+            .drop("_head", "_tail"))
+
+
 # ---------------------------------------------------------------- per-group first/last/keep
 
 def first_last_keep(df: DataFrame, group: Sequence[str], order: Sequence[str], value: str,

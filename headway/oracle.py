@@ -61,15 +61,19 @@ FROM t JOIN supplier x ON x.s_suppkey = t.a JOIN supplier y ON y.s_suppkey = t.b
  JOIN nation nx ON nx.n_nationkey = x.s_nationkey JOIN nation ny ON ny.n_nationkey = y.s_nationkey"""
 
 FX["fx_catalogue"] = """
-SELECT page_id, coalesce(html, '') || '<div class="row document-row"><h3 class="document-title title-4">' || cast(2010 + page_id % 20 AS string) || '</h3><div class="links"><i>file</i></div><a href="https://cdn.example.com/data/' || cast(page_id AS string)
- || '.zip" download="">ZIP</a></div><div class="row document-row"><h3 class="document-title title-4">' || cast(2010 + page_id % 7 AS string) || '</h3><a href="https://other.example.org/' || cast(page_id AS string) || '.zip">ZIP</a></div>' AS html
+SELECT page_id, coalesce(html, '') || '<section><div id=''first'' class="shade document-row"><div class="badge"><div>season</div></div>'
+ || '<h3 class="document-title title-4"> ' || cast(2010 + page_id % 20 AS string) || ' </h3><a name="top">rides</a><a rel="archive" href=''https://cdn.example.com/rides/'
+ || cast(page_id AS string) || '.csv.gz?part=1&amp;of=2''>rides</a></div><!-- <div class="document-row"> --><div class=''document-row''><h3 class="document-title title-4"> '
+ || cast(2010 + page_id % 7 AS string) || ' </h3><a href="https://other.example.org/rides/' || cast(page_id AS string) || '">mirror</a></div>'
+ || '<div class="document-row"><h3 class="document-title title-4"> ' || cast(2010 + page_id % 13 AS string) || ' </h3><p>to come</p></div></section>'
+ || '<footer><a href="https://cdn.example.com/terms/' || cast(page_id AS string) || '">terms</a></footer>' AS html
 FROM pages"""
 
 FX["fx_page_urls"] = """
-SELECT 'https://cdn.example.com/data/' || cast(page_id AS string) || '.zip' AS url, cast(2010 + page_id % 20 AS int) AS year FROM pages"""
+SELECT 'https://cdn.example.com/rides/' || cast(page_id AS string) || '.csv.gz?part=1&of=2' AS url, cast(2010 + page_id % 20 AS int) AS year FROM pages"""
 
 FX["fx_loaded_urls"] = """
-SELECT 'https://cdn.example.com/data/' || cast(page_id AS string) || '.zip' AS url, cast(2010 + page_id % 20 AS int) AS year FROM pages WHERE page_id % 3 = 0"""
+SELECT 'https://cdn.example.com/rides/' || cast(page_id AS string) || '.csv.gz?part=1&of=2' AS url, cast(2010 + page_id % 20 AS int) AS year FROM pages WHERE page_id % 3 = 0"""
 
 FX["fx_station_status"] = """
 SELECT cast(user_id AS string) AS station_id, event_id % 40 AS num_bikes_available, event_id % 2 AS is_renting, event_id AS last_reported FROM events"""
@@ -285,12 +289,42 @@ QUERIES["mean_trip_duration"] = compose(["fx_bike_csv"], [TRIPS, DURATIONS], """
 SELECT startStationName, endStationName, avg(durationMs) AS mean_duration_ms, count(*) AS trip_count
 FROM dur GROUP BY startStationName, endStationName""")
 
-BLOCKS = ("blocks", r"""
-SELECT page_id, unnest(b) AS block, generate_subscripts(b, 1) AS pos
-FROM (SELECT page_id, string_split_regex(html, '<div[^>]*class="[^"]*document-row[^"]*"[^>]*>')[2:] AS b FROM fx_catalogue)""")
-LINKS = ("links", r"""
-SELECT page_id, pos, try_cast(regexp_extract(block, '(?s)<h3[^>]*class="document-title title-4"[^>]*>\s*([0-9]+)\s*</h3>', 1) AS INTEGER) AS year,
- regexp_extract(block, '<a[^>]*href="([^"]*)"', 1) AS url FROM blocks""")
+_ATTRIBUTES = r"""(?:[^"'>]|"[^"]*"|'[^']*')*"""
+
+
+def _quoted(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+_DIV = _quoted(rf"(?i)<div\b{_ATTRIBUTES}>|</div\s*>")
+
+
+def _attribute(tag: str, name: str) -> str:
+    found = f"""regexp_extract({tag}, {_quoted(rf"""(?is)\s{name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""")}, 1)"""
+    return f"""CASE WHEN {found} <> '' THEN replace(regexp_replace({found}, {_quoted("""^["']|["']$""")}, '', 'g'), '&amp;', '&') END"""
+
+
+# Div tags with a running depth; a tag and the next one of its level on the page are a pair.
+BLOCKS = ("blocks", rf"""
+WITH pages AS (
+ SELECT page_id, regexp_replace(html, '(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>', '', 'g') AS html
+ FROM fx_catalogue WHERE contains(html, 'document-row')),
+cut AS (SELECT page_id, html, regexp_extract_all(html, {_DIV}) AS tags, string_split_regex(html, {_DIV}) AS texts FROM pages),
+tokens AS (SELECT page_id, html, unnest(range(1, len(tags) + 1)) AS i, tags, texts FROM cut),
+placed AS (
+ SELECT page_id, html, i, tags[i] AS tag, sum(length(texts[i]) + length(tags[i])) OVER w AS after,
+  sum(CASE WHEN starts_with(tags[i], '</') THEN -1 ELSE 1 END) OVER w AS raw FROM tokens WINDOW w AS (PARTITION BY page_id ORDER BY i)),
+deep AS (SELECT *, raw - least(0, min(raw) OVER (PARTITION BY page_id ORDER BY i)) AS depth FROM placed),
+levels AS (SELECT *, CASE WHEN starts_with(tag, '</') THEN lag(depth, 1, 0) OVER (PARTITION BY page_id ORDER BY i) ELSE depth END AS level FROM deep),
+pairs AS (SELECT *, lead(after - length(tag)) OVER (PARTITION BY page_id, level ORDER BY i) AS stop FROM levels)
+SELECT page_id, i AS pos, substring(html, after::BIGINT + 1, (coalesce(stop, length(html)) - after)::BIGINT) AS block FROM pairs
+WHERE NOT starts_with(tag, '</') AND list_contains(string_split_regex(trim({_attribute("tag", "class")}), '\s+'), 'document-row')""")
+LINKS = ("links", rf"""
+SELECT page_id, pos,
+ try_cast(trim(regexp_replace(list_filter(regexp_extract_all(block, {_quoted(rf"(?is)<h3\b{_ATTRIBUTES}>.*?</h3\s*>")}),
+   lambda h: {_attribute(f"regexp_extract(h, {_quoted(rf'(?i)^<h3{_ATTRIBUTES}>')})", "class")} = 'document-title title-4')[1], '(?s)<[^>]*>', '', 'g')) AS INTEGER) AS year,
+ list_filter(list_transform(regexp_extract_all(block, {_quoted(rf"(?i)<a\b{_ATTRIBUTES}>")}), lambda a: {_attribute("a", "href")}), lambda u: u IS NOT NULL)[1] AS url
+FROM blocks""")
 CATALOGUE = ("cat", """
 SELECT year, url FROM (
  SELECT *, row_number() OVER (PARTITION BY year ORDER BY page_id DESC, pos DESC) AS rn FROM links
@@ -349,3 +383,37 @@ SELECT event_id, CASE WHEN event_id % 7 <> 0 THEN 1701400000 + event_id END AS t
 QUERIES["day_partitions"] = compose(["fx_positions"], [], """
 SELECT DATE '2023-12-01' + poll_day AS service_date, count(*) AS polls, cast(sum(timefetch) AS BIGINT) AS time_sum
 FROM fx_positions GROUP BY poll_day""")
+
+# ---------------------------------------------------------------- jobs on files
+
+_DRIFTED = """
+SELECT id, timefetch, vehicle_currentStatus, vehicle_currentStopSequence,
+ CASE WHEN cast(vehicle_trip_tripId AS BIGINT) % 2 = 0 THEN vehicle_occupancyStatus END AS vehicle_occupancyStatus, vehicle_timestamp,
+ vehicle_trip_routeId, vehicle_trip_tripId, CASE WHEN cast(vehicle_trip_tripId AS BIGINT) % 2 = 1 THEN vehicle_vehicle_id END AS vehicle_vehicle_id,
+ {day} AS service_date FROM fx_positions"""
+_LOCAL_DAY = "DATE '2023-12-01' + cast(floor((timefetch - 1701406800) / 86400) AS INTEGER)"
+QUERIES["merge_day"] = compose(["fx_positions"], [], _DRIFTED.format(day="DATE '2023-12-01' + cast(poll_day AS INTEGER)"))
+QUERIES["landed_stream"] = compose(["fx_positions"], [], _DRIFTED.format(day=_LOCAL_DAY))
+QUERIES["gtfs_table"] = compose(["fx_stop_times"], [], """
+SELECT cast(trip_id AS VARCHAR) AS trip_id, arrival_time, departure_time, cast(stop_id AS VARCHAR) AS stop_id, stop_sequence FROM fx_stop_times""")
+QUERIES["static_tables"] = compose(["fx_calendar"], [], "SELECT * FROM fx_calendar")
+QUERIES["segments_indexed"] = compose(
+    ["fx_positions", "fx_stop_times", "fx_trips"],
+    PUNCTUALITY_CHAIN + [SEGMENTS, ("segsel", SEG_SELECT), ROUTE_SHAPES],
+    'SELECT g.*, s.shape_id, row_number() OVER (ORDER BY trip_id, arrival_time_unix, stop_id) - 1 AS "index" '
+    "FROM segsel g LEFT JOIN shapes s ON g.routeId = s.route_id")
+QUERIES["bike_history_trips"] = compose(["fx_bike_csv"], [TRIPS, DURATIONS], "SELECT * FROM dur")
+QUERIES["bike_history_ledger"] = compose(["fx_bike_csv"], [TRIPS, (
+    "named", "SELECT startStationName AS name, startTimeMs AS t FROM trips UNION ALL SELECT endStationName, startTimeMs FROM trips")], """
+SELECT 2023 AS year, 'https://cdn.example.com/rides/first.zip' AS url, (SELECT count(*) FROM trips WHERE startTimeMs <= 1710000000000) AS trips,
+ (SELECT count(DISTINCT name) FROM named WHERE t <= 1710000000000) AS stations
+UNION ALL
+SELECT 2024, 'https://cdn.example.com/rides/second.zip', (SELECT count(*) FROM trips WHERE startTimeMs > 1710000000000),
+ (SELECT count(DISTINCT name) FROM named WHERE name NOT IN (SELECT name FROM named WHERE t <= 1710000000000))""")
+QUERIES["bike_stream"] = compose(["fx_bike_csv"], [TRIPS, DURATIONS], "SELECT * FROM dur")
+QUERIES["compacted_day"] = compose(["fx_positions"], [("polls", """
+SELECT cast(floor(timefetch / 1800) * 1800 AS BIGINT) AS timefetch, vehicle_occupancyStatus FROM fx_positions WHERE poll_day = 0""")], f"""
+SELECT timefetch, CASE WHEN timefetch = 1701406800 + 43200 THEN 'EMPTY' ELSE vehicle_occupancyStatus END AS vehicle_occupancyStatus, count(*) AS polls
+FROM polls WHERE {_LOCAL_DAY} = DATE '2023-12-01' GROUP BY ALL""")
+QUERIES["table_statistics"] = compose(["fx_positions"], [], """
+SELECT count(*) AS rows, true AS has_bytes, true AS mean_fits, true AS size_reads FROM fx_positions""")

@@ -27,9 +27,16 @@ TRIP_COLUMNS = ["startStationName", "endStationName", "startTimeMs", "endTimeMs"
 FIRST_KNOWN_YEAR = 2014
 FIRST_2022_LAYOUT_YEAR = 2022
 
-CATALOGUE_BLOCK = r'<div[^>]*class="[^"]*document-row[^"]*"[^>]*>'
-CATALOGUE_YEAR = r'(?s)<h3[^>]*class="document-title title-4"[^>]*>\s*([0-9]+)\s*</h3>'
-CATALOGUE_HREF = r'<a[^>]*href="([^"]*)"'
+# What marks a block and its year on the catalogue pages
+BLOCK_CLASS = "document-row"
+YEAR_CLASS = "document-title title-4"
+
+# Comments and raw text, whose tags are no elements
+NOT_MARKUP = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
+_ATTRIBUTES = r"""[^"'>]*+(?:"[^"]*+"[^"'>]*+|'[^']*+'[^"'>]*+)*+"""
+DIV_TAG = rf"(?i)<div\b{_ATTRIBUTES}>|</div\s*>"
+ANCHOR_TAG = rf"(?i)<a\b{_ATTRIBUTES}>"
+YEAR_ELEMENT = rf"(?is)<h3\b({_ATTRIBUTES})>(.*?)</h3\s*>"
 
 
 # ---------------------------------------------------------------- columns
@@ -115,18 +122,89 @@ def stations_insert_if_absent(new_stations: DataFrame, existing: DataFrame) -> D
 
 # ---------------------------------------------------------------- catalogue
 
+def attribute(tag: Column, name: str) -> Column:
+    """The value of a tag's attribute, in either quote or none, entities decoded; null if the tag has none."""
+    found = F.regexp_extract(tag, rf"""(?is)\s{name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", 1)
+    return F.when(found != "", decoded_entities(F.regexp_replace(found, "^[\"']|[\"']$", "")))
+
+
+def decoded_entities(text: Column) -> Column:
+    """Character references as characters: the five named ones, and numbers in decimal or hexadecimal."""
+    pattern = r"(?i)&(#x[0-9a-f]{1,6}|#[0-9]{1,7}|lt|gt|quot|apos|amp);"
+    named = F.create_map(*[F.lit(x) for pair in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "'"), ("amp", "&"))
+                           for x in pair])
+
+    def letter(ref: Column) -> Column:
+        code = F.when(ref.rlike("^#[xX]"), F.conv(F.substring(ref, 3, 6), 16, 10)).when(
+            ref.startswith("#"), F.substring(ref, 2, 7)).cast("int")
+        valid = (code > 0) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        number = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).otherwise("\ufffd")
+        return F.when(ref.startswith("#"), number).otherwise(named[F.lower(ref)])
+
+    letters = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)), letter)
+    pairs = F.arrays_zip(F.split(text, pattern, -1).alias("t"), F.concat(letters, F.array(F.lit(""))).alias("l"))
+    return F.when(text.contains("&"), F.array_join(F.transform(pairs, lambda x: F.concat(x["t"], x["l"])), "")).otherwise(text)
+
+
+def _blocks(html: Column) -> Column:
+    """The content of every block of a page, in order of their opening tags.
+
+    One pass over the page's div tags with a running depth: a block ends at the
+    closing tag of its own depth, so boxes nested in it (blocks too) belong to
+    it and what follows it does not.  A block that is never closed ends with
+    the page.
+    """
+    tags = F.regexp_extract_all(html, F.lit(DIV_TAG), F.lit(0))
+    texts = F.slice(F.split(html, DIV_TAG, -1), F.lit(1), F.size(tags))
+    state = "struct<at:int,depth:int,open:array<struct<start:int,depth:int>>,done:array<struct<start:int,stop:int>>>"
+    none = F.from_json(F.lit('{"at":0,"depth":0,"open":[],"done":[]}'), state)
+
+    def marks_block(tag: Column) -> Column:
+        return F.coalesce(F.array_contains(F.split(F.trim(attribute(tag, "class")), r"\s+"), BLOCK_CLASS), F.lit(False))
+
+    def step(s: Column, x: Column) -> Column:
+        opens = ~x["tag"].startswith("</")
+        before = s["at"] + F.char_length(x["text"])
+        after = before + F.char_length(x["tag"])
+        depth = F.when(opens, s["depth"] + 1).otherwise(F.greatest(s["depth"] - 1, F.lit(0)))
+        last = F.get(s["open"], F.size(s["open"]) - 1)          # null if no block is open
+        ends = ~opens & F.coalesce(last["depth"] == s["depth"], F.lit(False))
+        begun = F.array(F.struct(after.alias("start"), depth.alias("depth")))
+        return F.struct(
+            after.alias("at"), depth.alias("depth"),
+            F.when(opens & marks_block(x["tag"]), F.concat(s["open"], begun))
+            .when(ends, F.slice(s["open"], F.lit(1), F.size(s["open"]) - 1)).otherwise(s["open"]).alias("open"),
+            F.when(ends, F.concat(s["done"], F.array(F.struct(last["start"].alias("start"), before.alias("stop")))))
+            .otherwise(s["done"]).alias("done"))
+
+    def spans(s: Column) -> Column:
+        unclosed = F.transform(s["open"], lambda o: F.struct(o["start"].alias("start"), F.char_length(html).alias("stop")))
+        return F.sort_array(F.concat(s["done"], unclosed))
+
+    found = F.aggregate(F.arrays_zip(texts.alias("text"), tags.alias("tag")), none, step, spans)
+    return F.transform(found, lambda b: F.substring(html, b["start"] + 1, b["stop"] - b["start"]))
+
+
 def catalogue_entries(pages: DataFrame) -> DataFrame:
     """F13 scan: every (page_id, position, year, url) block of the catalogue pages.
 
-    A block runs from its opening tag to the next block's, so boxes nested in it
-    do not end it.  A block without a readable year has a null year.
+    A block is a ``div`` of the block's class, with all that lies within it.  Its
+    year is the number in its first year heading, null if there is none; its link
+    the first one within it that has an address, null if it has none.
     """
-    parts = F.split(F.col("html"), CATALOGUE_BLOCK, -1)
-    blocks = pages.select("page_id", F.posexplode(F.slice(parts, F.lit(2), F.size(parts))).alias("pos", "block"))
-    return blocks.select(
-        "page_id", "pos",
-        F.regexp_extract("block", CATALOGUE_YEAR, 1).try_cast("int").alias("year"),
-        F.regexp_extract("block", CATALOGUE_HREF, 1).alias("url"))
+    clean = F.regexp_replace(F.col("html"), NOT_MARKUP, "")
+    blocks = (pages.where(F.contains(F.col("html"), F.lit(BLOCK_CLASS)))
+              .select("page_id", clean.alias("html"))
+              .select("page_id", F.posexplode(_blocks(F.col("html"))).alias("pos", "block")))
+    headings = F.transform(F.regexp_extract_all("block", F.lit(YEAR_ELEMENT), F.lit(0)), lambda h: F.struct(
+        attribute(F.regexp_extract(h, rf"(?i)^<h3\b{_ATTRIBUTES}>", 0), "class").alias("class"),
+        F.trim(F.regexp_replace(h, r"(?s)<[^>]*>", "")).alias("text")))
+    year = F.filter(headings, lambda h: h["class"] == YEAR_CLASS)
+    links = F.filter(F.transform(F.regexp_extract_all("block", F.lit(ANCHOR_TAG), F.lit(0)), lambda a: attribute(a, "href")),
+                     lambda u: u.isNotNull())
+    return blocks.select("page_id", "pos",
+                         F.get(year, F.lit(0))["text"].try_cast("int").alias("year"),
+                         F.get(links, F.lit(0)).alias("url"))
 
 
 def catalogue_links(pages: DataFrame, cdn: str, low: int = 2014, top: int = 2099) -> DataFrame:

@@ -114,19 +114,26 @@ def widened(declared: DataType, seen: DataType) -> DataType:
     return declared
 
 
-def unparsable(messages: DataFrame, text_col: str = "value") -> Column:
-    """Whether a message is no JSON object."""
-    return F.try_parse_json(text_col).isNull() | ~F.coalesce(F.ltrim(F.col(text_col)).startswith("{"), F.lit(False))
+def parsed_message(text: Column) -> Column:
+    """A message as VARIANT; null if it is no JSON object."""
+    return F.when(F.ltrim(text).startswith("{"), F.try_parse_json(text))
+
+
+def _document(messages: DataFrame, col: str, schema: StructType) -> Column:
+    """A message, JSON text or already parsed (VARIANT), as a struct; a malformed one fails the query."""
+    if messages.schema[col].dataType.typeName() == "variant":
+        return F.col(col).cast(schema)
+    return F.from_json(F.col(col), schema, FAILFAST)
 
 
 def flatten_feed(messages: DataFrame, entity: StructType, text_col: str = "value",
                  keep: Sequence[str] = ()) -> DataFrame:
-    """Decoded feed messages (JSON text) -> flat entity rows.
+    """Decoded feed messages (JSON text, or VARIANT) -> flat entity rows.
 
     ``keep`` carries columns of the message row (e.g. ``timefetch``) onto every entity.
     A malformed message fails the query; jobs put such messages aside first.
     """
-    parsed = messages.select(*keep, F.from_json(F.col(text_col), feed_message_schema(entity), FAILFAST).alias("m"))
+    parsed = messages.select(*keep, _document(messages, text_col, feed_message_schema(entity)).alias("m"))
     entities = parsed.select(*keep, F.explode("m.entity").alias("e")).select(*keep, "e.*")
     return flatten(entities)
 
@@ -134,7 +141,7 @@ def flatten_feed(messages: DataFrame, entity: StructType, text_col: str = "value
 def station_snapshot(documents: DataFrame, stations: StructType = STATION_STATUS_FIELDS,
                      text_col: str = "value", keep: Sequence[str] = ()) -> DataFrame:
     """C8 + SRC4 + F12: station-status documents -> one row per station (``data.stations``)."""
-    parsed = documents.select(*keep, F.from_json(F.col(text_col), station_document_schema(stations), FAILFAST).alias("d"))
+    parsed = documents.select(*keep, _document(documents, text_col, station_document_schema(stations)).alias("d"))
     return parsed.select(*keep, F.inline("d.data.stations"))
 
 

@@ -19,7 +19,7 @@ from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 from ..functions.clock import DEFAULT_TZ, as_date, date_folder
 from ..operators.ordered import global_row_number, pin, slice_by_order
 from ..sinks import files
-from ..sources import gtfs
+from ..sources import census, gtfs
 from . import bikeshare as bk
 from . import feeds as fd
 from . import punctuality as pn
@@ -66,23 +66,16 @@ def merge_day_job(spark: SparkSession, landing_dir: str, out_dir: str, day, sche
                   tz: str = DEFAULT_TZ, files_per_day: int | None = None) -> None:
     """Every poll file under ``<landing>/YYYY/MM/DD/`` -> one compacted gzip day partition.
 
-    Files are grouped by schema and united by name (A7, U2): ``schema`` gives the
-    types of the columns it names, other columns keep the file's type, and a
-    column that some polls lack is null there (P15).  ``timefetch`` comes from the
-    file name when the file has none (SRC7).  Files without the Parquet magic and
-    rows without a poll time go to ``<out_dir>_rejects``; any other damage fails
-    the job.
+    Files are grouped by schema from their footers, in a number of jobs that does
+    not grow with the files, and united by name (A7, U2, P15; ``read_polls``).
+    ``timefetch`` comes from the file name when the file has none (SRC7).  Files
+    without the Parquet magic and rows without a poll time go to
+    ``<out_dir>_rejects``; any other damage fails the job.
     """
     d = as_date(day)
     folder = f"{landing_dir.rstrip('/')}/{date_folder(d)}"
-    good, bad = gtfs.readable_parquet(spark, folder)
-    declared = {f.name: f for f in schema.fields}
-    frames = []
-    for own, paths in gtfs.by_schema(spark, good):
-        types = StructType([declared.get(f.name, f) for f in own.fields])
-        frames.append(spark.read.schema(types).parquet(*paths).withColumn("file_path", F.col("_metadata.file_path")))
-    frames.append(spark.createDataFrame([], StructType([*schema.fields, StructField("file_path", StringType())])))
-    polls = fd.merge_polls(frames)
+    groups, bad = census.parquet_census(spark, folder)
+    polls = read_polls(spark, groups, schema)
     untimed = fd.conform_polls(polls.withColumn("path", F.col("file_path"))).where(F.col("timefetch").isNull())
     rejects = bad.select("path", F.lit("not a Parquet file").alias("reason"), F.col("length").alias("n")).unionByName(
         untimed.groupBy("path").agg(F.count(F.lit(1)).alias("n")).withColumn("reason", F.lit("rows without a poll time")))
@@ -91,6 +84,27 @@ def merge_day_job(spark: SparkSession, landing_dir: str, out_dir: str, day, sche
     files.write_day_partitioned(_with_day(merged, d), out_dir, files_per_day=files_per_day)
 
 
+def read_polls(spark: SparkSession, groups: list[tuple[StructType, list[str]]], schema: StructType) -> DataFrame:
+    """U2 + P15: the files of a census as one frame with their ``file_path``.
+
+    ``schema`` gives the types of the columns it names.  Other columns keep the
+    files' type, or become text if it differs between files; a column that some
+    files lack is null there.
+    """
+    declared = {f.name: f for f in schema.fields}
+    found: dict[str, set[str]] = {}
+    for own, _ in groups:
+        for f in own.fields:
+            found.setdefault(f.name, set()).add(f.dataType.simpleString())
+    mixed = {name for name, types in found.items() if name not in declared and len(types) > 1}
+    frames = [spark.createDataFrame([], StructType([*schema.fields, StructField("file_path", StringType())]))]
+    for own, paths in groups:
+        types = StructType([declared.get(f.name, f) for f in own.fields])
+        rows = spark.read.schema(types).parquet(*paths).withColumn("file_path", F.col("_metadata.file_path"))
+        frames.append(rows.withColumns({c: F.col(f"`{c}`").cast("string") for c in own.names if c in mixed}))
+    return fd.merge_polls(frames)
+
+
 def stop_punctuality_job(spark: SparkSession, positions_dir: str, daily_dir: str, out_dir: str, day,
                          tz: str = DEFAULT_TZ, exact: bool = True) -> None:
     """``data_stops`` of one service day (polls of that day and the next)."""
@@ -127,11 +141,11 @@ def land_feed_job(spark: SparkSession, raw_dir: str, out_dir: str, entity: Struc
     messages.  Messages that are no JSON object, and files without a poll time,
     go to ``<out_dir>_rejects``.
     """
-    raw = _landed_messages(spark, raw_dir, out_dir)
-    seen = _seen_schema(spark, raw)
+    messages = landed_messages(spark, raw_dir, out_dir)
+    seen = seen_schema(messages)
     if "entity" in seen.names and isinstance(seen["entity"].dataType, ArrayType):
         entity = fd.widened(entity, seen["entity"].dataType.elementType)
-    _land(fd.flatten_feed(raw, entity, keep=["timefetch"]), out_dir, tz)
+    land_rows(fd.flatten_feed(messages, entity, "message", keep=["timefetch"]), out_dir, tz)
 
 
 def land_station_status_job(spark: SparkSession, raw_dir: str, out_dir: str,
@@ -140,27 +154,33 @@ def land_station_status_job(spark: SparkSession, raw_dir: str, out_dir: str,
 
     Fields and rejects as in ``land_feed_job``.
     """
-    raw = _landed_messages(spark, raw_dir, out_dir)
-    document = fd.widened(fd.station_document_schema(), _seen_schema(spark, raw))
+    messages = landed_messages(spark, raw_dir, out_dir)
+    document = fd.widened(fd.station_document_schema(), seen_schema(messages))
     stations = document["data"].dataType["stations"].dataType.elementType
-    _land(fd.station_snapshot(raw, stations, keep=["timefetch"]), out_dir, tz)
+    land_rows(fd.station_snapshot(messages, stations, "message", keep=["timefetch"]), out_dir, tz)
+
 
+def landed_messages(spark: SparkSession, raw_dir: str, out_dir: str) -> DataFrame:
+    """(message, timefetch) of the usable messages, read and parsed once; the others are written aside.
 
-def _landed_messages(spark: SparkSession, raw_dir: str, out_dir: str) -> DataFrame:
-    """(value, timefetch) of the usable messages; the others are written aside."""
+    The parsed messages are pinned: rejects, the schema seen and the rows all
+    come from them, and the raw folder is not read again.
+    """
+    path = F.col("_metadata.file_path")
     raw = (spark.read.option("wholetext", "true").text(raw_dir)
-           .withColumn("path", F.col("_metadata.file_path"))
-           .withColumn("timefetch", fd.poll_time_from_path(F.col("path"))))
-    bad = fd.unparsable(raw) | F.col("timefetch").isNull()
+           .select("value", path.alias("path"), fd.poll_time_from_path(path).alias("timefetch"))
+           .withColumn("message", F.when(F.col("timefetch").isNotNull(), fd.parsed_message(F.col("value"))))
+           .withColumn("value", F.when(F.col("message").isNull(), F.col("value"))))     # the text of rejects only
+    parsed = pin(raw)
+    bad = F.col("message").isNull()
     folder = raw_dir.rstrip("/").rsplit("/", 1)[-1]
-    files.write_rejects(pin(raw.where(bad).select("path", "value")), f"{out_dir.rstrip('/')}_rejects", folder)
-    # guarded as well as filtered: a parser may be evaluated before the filter
-    return raw.where(~bad).select(F.when(~bad, F.col("value")).alias("value"), "timefetch")
+    files.write_rejects(parsed.where(bad).select("path", "value"), f"{out_dir.rstrip('/')}_rejects", folder)
+    return parsed.where(~bad).select("message", "timefetch")
 
 
-def _seen_schema(spark: SparkSession, messages: DataFrame) -> StructType:
+def seen_schema(messages: DataFrame) -> StructType:
     """The union of the messages' JSON types, as one aggregate over all of them."""
-    seen = messages.agg(F.expr("schema_of_variant_agg(parse_json(value))").alias("s")).first().s
+    seen = messages.agg(F.expr("schema_of_variant_agg(message)").alias("s")).first().s
     return _struct_of(seen) if seen else StructType()
 
 
@@ -173,12 +193,67 @@ def _struct_of(text: str) -> StructType:
     return parsed if isinstance(parsed, StructType) else StructType()
 
 
-def _land(rows: DataFrame, out_dir: str, tz: str) -> None:
+def land_rows(rows: DataFrame, out_dir: str, tz: str = DEFAULT_TZ) -> None:
     """Rows by local day and poll time: another poll of the day stays, the same poll replaces itself."""
     placed = rows.withColumn(DATE_COL, poll_date(F.col("timefetch"), tz)).withColumn("poll", F.col("timefetch"))
     files.write_day_partitioned(placed, out_dir, within=("poll",))
 
 
+# ---------------------------------------------------------------- compaction of landed polls (SNK1, SNK8)
+
+TARGET_FILE_BYTES = 256 << 20
+
+
+def _landed_versions(spark: SparkSession, landed_dir: str, day: dt.date) -> DataFrame:
+    """(poll, version, bytes) of a day's landed polls, from the listing alone.
+
+    A poll that is landed again is written to files of new names, so the names are its version.
+    """
+    folder = f"{landed_dir.rstrip('/')}/{DATE_COL}={day.isoformat()}"
+    if not files.path_exists(spark, folder):
+        return spark.createDataFrame([], "poll bigint, version string, bytes bigint")
+    return (census.listed(spark, folder, "*.parquet")
+            .withColumn("poll", F.regexp_extract("path", r"/poll=([0-9]+)/", 1).try_cast("bigint"))
+            .where(F.col("poll").isNotNull()).groupBy("poll")
+            .agg(F.md5(F.array_join(F.sort_array(F.collect_list("path")), "\n").cast("binary")).alias("version"),
+                 F.sum("length").alias("bytes")))
+
+
+def read_landed_day(spark: SparkSession, landed_dir: str, days_dir: str, day) -> DataFrame:
+    """A day's polls: what was folded into day files, and the polls that landed since, which replace their older selves."""
+    d = as_date(day)
+    versions = _landed_versions(spark, landed_dir, d).select("poll", "version")
+    folded = None
+    if files.path_exists(spark, days_dir):
+        folded = gtfs.read_day(spark, days_dir, d).withColumn("poll", F.col("poll").cast("bigint"))
+        versions = versions.join(folded.select("poll", "version").distinct(), ["poll", "version"], "left_anti")
+    fresh = versions.collect()                                  # polls of one day
+    if not fresh and folded is not None:
+        return folded
+    polls = [r.poll for r in fresh]
+    rows = (gtfs.read_day(spark, landed_dir, d).where(F.col("poll").isin(polls)).withColumn("poll", F.col("poll").cast("bigint"))
+            .join(F.broadcast(spark.createDataFrame([tuple(r) for r in fresh], "poll bigint, version string")), "poll"))
+    if folded is None:
+        return rows
+    return folded.where(~F.col("poll").isin(polls)).unionByName(rows, allowMissingColumns=True)
+
+
+def compact_landed_day(spark: SparkSession, landed_dir: str, days_dir: str, day,
+                       target_bytes: int = TARGET_FILE_BYTES) -> int:
+    """Fold a day's landed polls into day files of about ``target_bytes``, planned from the listed sizes.
+
+    The landed folders stay as they are (removing them is the store's retention);
+    a poll that lands late or again is folded by the next run.  The number of files is returned.
+    """
+    d = as_date(day)
+    total = _landed_versions(spark, landed_dir, d).agg(F.sum("bytes")).first()[0] or 0
+    n = max(1, -(-total // target_bytes))
+    rows = pin(read_landed_day(spark, landed_dir, days_dir, d))          # the day that is read is rewritten
+    files.write_day_partitioned(rows, days_dir, files_per_day=n, salt_cols=tuple(
+        c for c in rows.columns if rows.schema[c].dataType.typeName() not in ("map", "variant")))
+    return n
+
+
 def poll_date(epoch_s, tz: str = DEFAULT_TZ):
     """Local calendar date of a poll epoch (the folder the reference files it under).
 
@@ -190,28 +265,36 @@ def poll_date(epoch_s, tz: str = DEFAULT_TZ):
 
 # ---------------------------------------------------------------- bike history
 
+STORED_TRIPS = ("startStationName string, endStationName string, startTimeMs bigint, endTimeMs double, "
+                f"durationMs double, {files.LOAD} string")
+
+
 def load_bike_trips(spark: SparkSession, csv_paths: Iterable[str], trips_path: str,
-                    stations_path: str) -> dict:
+                    stations_path: str, load: str | None = None) -> dict:
     """One increment of historical trips: stations inserted if absent, then trips appended.
 
     The high-water mark is read once before anything is written (P11), so the
     whole increment is one DataFrame and one commit.  The trips, which move the
     mark, come last: a load that stops before them is repeated in full by the
-    next run, and inserts no station twice.  Returns counts and the skipped files.
+    next run, and inserts no station twice.  A named ``load`` may run again at
+    any time: its own rows do not count for the mark, and it replaces them.
+    Returns counts and the skipped files.
     """
     trips, skipped = gtfs.read_trip_csvs(spark, csv_paths)
     if trips is None:
         return {"trips": 0, "stations": 0, "skipped": skipped}
-    stored = files.read_or_empty(spark, trips_path,
-                                 "startStationName string, endStationName string, startTimeMs bigint, "
-                                 "endTimeMs double, durationMs double")
-    mark = stored.agg(F.max("startTimeMs")).first()[0]
+    stored = files.read_or_empty(spark, trips_path, STORED_TRIPS)
+    others = stored.where(F.col(files.LOAD) != load) if load else stored
+    mark = others.agg(F.max("startTimeMs")).first()[0]
     increment = bk.high_water_increment(trips, mark=mark)
     # pin the increment: the trip rows and the station rows come from the same read
     increment = pin(increment)
     new_trips = bk.bike_trip_durations(increment)
-    added = files.insert_if_absent(spark, bk.station_locations(increment), stations_path, "name")
-    files.append(new_trips, trips_path, sort_within="startTimeMs")
+    added = files.insert_if_absent(spark, bk.station_locations(increment), stations_path, "name", load)
+    if load:
+        files.write_load(new_trips, trips_path, load, sort_within="startTimeMs")
+    else:
+        files.append(new_trips, trips_path, sort_within="startTimeMs")
     return {"trips": new_trips.count(), "stations": added.count(), "skipped": skipped}
 
 
@@ -219,6 +302,9 @@ def historical_load(spark: SparkSession, entries: DataFrame, csv_paths_of: dict[
                     trips_path: str, stations_path: str, ledger_path: str, cdn_origin: str) -> list[dict]:
     """C11: load catalogue entries in year order; ledger row after each successful load.
 
+    Stations, trips and ledger row of an entry are partitions named by its URL,
+    so a run that stops between any two writes, or runs twice, leaves each once.
+
     ``entries`` holds (year, url) rows (a handful: one per catalogue year);
     ``csv_paths_of`` maps a trusted URL to its unpacked CSV files; a URL that is
     not there raises.  Years 2014-2021 are skipped (layout known, not
@@ -240,7 +326,7 @@ def historical_load(spark: SparkSession, entries: DataFrame, csv_paths_of: dict[
         if row.url not in csv_paths_of:
             raise KeyError(f"no unpacked files for {row.url}")
         paths = list(csv_paths_of[row.url])
-        stats = load_bike_trips(spark, paths, trips_path, stations_path)
+        stats = load_bike_trips(spark, paths, trips_path, stations_path, files.load_name(row.url))
         if len(stats["skipped"]) == len(paths):
             done.append({"year": row.year, "url": row.url, "status": "empty", **stats})
             continue

@@ -8,9 +8,9 @@ partial-aggregating ``groupBy`` instead of group-bys joined back to detail.
 
 Shuffle plan of ``stop_punctuality``: one range exchange of the narrow polls
 (checkpointed) and one by slice for W1, positions x schedule on (trip, stop
-sequence) [J3], one exchange by slice for the next poll and the trip's last stop
-(edge tables are broadcasts of at most two rows per slice), and one partially
-aggregated exchange on (trip, stop sequence).
+sequence) [J3], whose narrow rows are checkpointed, one exchange by slice for
+the next poll and the trip's last stop (a segmented scan: one summary row per
+slice, broadcast), and one partially aggregated exchange on (trip, stop sequence).
 """
 
 from __future__ import annotations
@@ -21,8 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.clock import DEFAULT_TZ, as_date, service_clock_to_epoch
-from ..operators.ordered import (apply_group_max, apply_neighbour, by_slice, first_last_keep,
-                                 group_max_edges, neighbour_edges, slice_by_order, slice_ends,
+from ..operators.ordered import (first_last_keep, pin, segmented_scan, slice_by_order, with_group_ends,
                                  with_neighbour)
 
 SEQ = "vehicle_currentStopSequence"
@@ -131,20 +130,24 @@ def positions_on_schedule(positions: DataFrame, stu: DataFrame, exact: bool = Tr
 
 
 NEXT_COLS = ["trip_id", "vehicle_vehicle_id", "vehicle_timestamp"]
+# what C5 needs of a poll on schedule
+NARROW = [*ORDER, "_slice", STATUS, "vehicle_vehicle_id", "vehicle_occupancyStatus", "vehicle_trip_routeId",
+          "arrival_time", "stop_id", "arrival_time_unix"]
 
 
-def _offsets(positions: DataFrame, stu: DataFrame, exact: bool, upto: str) -> DataFrame:
+def _offsets(positions: DataFrame, stu: DataFrame, exact: bool, upto: str,
+             columns: list[str] | None = None) -> DataFrame:
     rows = _on_schedule(positions, stu, exact)
     arrival = F.col("arrival_time_unix")
     status = F.col(STATUS)
     # R1
-    rows = rows.withColumn("offset", F.when(status == STOPPED_AT, F.col("vehicle_timestamp") - arrival))
+    stopped = F.when(status == STOPPED_AT, F.col("vehicle_timestamp") - arrival)
     if upto == "stopped":
-        return rows
-    ends = slice_ends(rows, ORDER, next_cols=NEXT_COLS, group=["trip_id"], value=SEQ)
-    next_edges = neighbour_edges(ends, "next")
-    max_edges = group_max_edges(ends, ["trip_id"])
-    rows = apply_neighbour(by_slice(rows), ORDER, NEXT_COLS, "next", "_next", next_edges)
+        return rows.withColumn("offset", stopped)
+    # J3 is evaluated here, once: the summary of the slices and the pass over them read its rows
+    rows = pin(rows.select(*columns) if columns else rows)
+    last_stop = {"group": ["trip_id"], "value": SEQ, "out_max": "_max_seq"} if upto == "last_stop" else {}
+    rows = segmented_scan(rows, ORDER, NEXT_COLS, "_next", **last_stop).withColumn("offset", stopped)
     nxt = F.col("_next")
     # R2: an in-transit poll is late by the time of the trip's next poll
     rows = rows.withColumn("offset", F.when(
@@ -153,7 +156,6 @@ def _offsets(positions: DataFrame, stu: DataFrame, exact: bool, upto: str) -> Da
     if upto == "in_transit":
         return rows.drop("_next")
     # At the trip's last stop, the next poll of the same vehicle (any trip)
-    rows = apply_group_max(rows, ["trip_id"], SEQ, "_max_seq", max_edges)
     same_vehicle = F.col("vehicle_vehicle_id") == nxt.getField("vehicle_vehicle_id")
     rows = rows.withColumn("offset", F.when(
         (status != STOPPED_AT) & same_vehicle & (F.col(SEQ) == F.col("_max_seq")),
@@ -168,13 +170,9 @@ def offsets(positions: DataFrame, stu: DataFrame, exact: bool = True, upto: str
 
 def arrival_departure_offsets(positions: DataFrame, stu: DataFrame, exact: bool = True) -> DataFrame:
     """W4 + A1 + P9: each kept poll with the first/last offset of its stop (before the 1800 s cut)."""
-    rows = _offsets(positions, stu, exact, "last_stop").drop("_slice")
-    ordering = F.struct(*[F.col(c) for c in WITHIN_STOP])
-    ends = rows.groupBy("trip_id", SEQ).agg(
-        F.min_by("offset", ordering).alias("arrival_time_offset"),
-        F.max_by("offset", ordering).alias("departure_time_offset"))
-    return (rows.where(F.abs(F.col("offset")) <= OFFSET_LIMIT_S)
-            .join(ends, ["trip_id", SEQ], "left"))
+    rows = pin(_offsets(positions, stu, exact, "last_stop"))
+    ended = with_group_ends(rows, ["trip_id", SEQ], ORDER, "offset", "arrival_time_offset", "departure_time_offset")
+    return ended.where(F.abs(F.col("offset")) <= OFFSET_LIMIT_S).drop("_slice")
 
 
 def stop_punctuality(positions: DataFrame, stop_times: DataFrame, day: str | dt.date,
@@ -185,7 +183,7 @@ def stop_punctuality(positions: DataFrame, stop_times: DataFrame, day: str | dt.
     (``two_day_positions``); ``stop_times`` the day's filtered schedule.
     """
     stu = stop_times_unix(stop_times, day, tz)
-    rows = _offsets(positions, stu, exact, "last_stop")
+    rows = _offsets(positions, stu, exact, "last_stop", NARROW)
     # W4 + A4 + the 1800 s cut in one partially aggregated pass per stop:
     # first/last offset by poll order, and the earliest poll that survives the cut.
     # The schedule columns ride along (GTFS keys stop times by trip and sequence),
@@ -215,7 +213,9 @@ def stop_punctuality(positions: DataFrame, stop_times: DataFrame, day: str | dt.
 def segment_deltas(data_stops: DataFrame) -> DataFrame:
     """W7 + P5: lateness gained or lost since the previous stop of the same trip."""
     order = ["trip_id", "stop_sequence", "arrival_time_unix"]
-    rows = data_stops.where(F.col("offset").isNotNull())
+    wanted = [c for c in SEGMENT_COLUMNS if c in data_stops.columns]
+    # pinned before it is sliced: a range exchange samples its input first, which would run C5 twice
+    rows = pin(data_stops.where(F.col("offset").isNotNull()).select(*dict.fromkeys([*order, *wanted, "offset"])))
     sliced = slice_by_order(rows, order)
     with_prev = with_neighbour(sliced, order, ["trip_id", "stop_id", "offset"], "prev", "_prev")
     prev = F.col("_prev")

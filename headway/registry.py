@@ -13,10 +13,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from .functions import labels as lb
+from .functions.clock import date_folder
 from .plans import bikeshare as bk
 from .plans import feeds as fd
+from .plans import jobs
 from .plans import punctuality as pn
 from .plans import schedule as sc
 from .plans import static_refresh as sr
@@ -24,6 +27,7 @@ from .session import configure, ensure_checkpoint_dir
 from .sinks import files
 from .sources import fixtures as fx
 from .sources import gtfs
+from .streaming import landing
 
 DAY = fx.SERVICE_DAY
 CLOCK_CHANGE_DAY = dt.date(2023, 11, 5)
@@ -360,6 +364,149 @@ def day_partitions(spark, sf_dir):
         F.count(F.lit(1)).alias("polls"), F.sum("timefetch").alias("time_sum"))
 
 
+# ---------------------------------------------------------------- jobs on files: written to a scratch folder, run, read back
+
+def _scratch(spark: SparkSession, name: str) -> str:
+    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+POLL_SCHEMA = StructType([StructField("timefetch", LongType()), StructField("id", StringType())])
+
+
+def _drifted(spark, sf_dir, folder_of) -> list[str]:
+    """Polls by day as Parquet in the folders of their days: odd trips lack the occupancy, even ones the vehicle."""
+    p = fx.positions(spark, sf_dir)
+    odd = F.col("vehicle_trip_tripId").cast("bigint") % 2 == 1
+    folders = []
+    for k in (0, 1):
+        day = p.where(F.col("poll_day") == k).drop("poll_day")
+        folder = folder_of(DAY + dt.timedelta(days=k))
+        day.where(odd).drop("vehicle_occupancyStatus").write.mode("append").parquet(folder)
+        day.where(~odd).drop("vehicle_vehicle_id").write.mode("append").parquet(folder)
+        folders.append(folder)
+    return folders
+
+
+@query
+def merge_day(spark, sf_dir):
+    """C3 SRC6 SRC8 A7 U2 F8 F9: two days of poll files whose columns differ, merged by the nightly job and read again"""
+    base = _scratch(spark, "merge-day")
+    _drifted(spark, sf_dir, lambda d: f"{base}/landing/{date_folder(d)}")
+    for run in (DAY + dt.timedelta(days=1), DAY + dt.timedelta(days=2)):         # runs the morning after
+        jobs.merge_day_job(spark, f"{base}/landing", f"{base}/days", files.run_date(run, TZ, -1), POLL_SCHEMA)
+    return gtfs.read_day(spark, f"{base}/days", DAY, next_day=True)
+
+
+@query
+def landed_stream(spark, sf_dir):
+    """STR1 SRC7 P15: the same poll files picked up by the stream, read again with all their columns"""
+    base = _scratch(spark, "landed-stream")
+    _drifted(spark, sf_dir, lambda d: f"{base}/landing/{date_folder(d)}")
+    landing.positions_landing_stream(spark, f"{base}/landing", f"{base}/days", f"{base}/state", POLL_SCHEMA, TZ).awaitTermination()
+    return spark.read.option("mergeSchema", True).parquet(f"{base}/days").drop("load_batch")
+
+
+@query
+def gtfs_table(spark, sf_dir):
+    """SRC1 SRC10: a text table whose columns are in another order, read by its header with declared types"""
+    folder = _scratch(spark, "gtfs-table")
+    st = fx.stop_times(spark, sf_dir)
+    st.select(*reversed(st.columns)).write.option("header", True).csv(folder)
+    return gtfs.read_gtfs_table(spark, folder, "stop_times")
+
+
+@query
+def static_tables(spark, sf_dir):
+    """C12 SRC1 SNK7: a feed of text tables converted when it is newer than the stored one, and not again"""
+    base = _scratch(spark, "static")
+    fx.calendar(spark, sf_dir).write.option("header", True).csv(f"{base}/feed/calendar.txt")
+    fx.routes(spark, sf_dir).write.option("header", True).csv(f"{base}/feed/routes.txt")
+    for modified in ("Fri, 01 Dec 2023 10:00:00 GMT", "Thu, 30 Nov 2023 10:00:00 GMT"):
+        sr.refresh_static(spark, f"{base}/feed", f"{base}/static", modified, f"{base}/ledger")
+        fx.calendar(spark, sf_dir).where(F.lit(False)).write.mode("overwrite").option("header", True).csv(f"{base}/feed/calendar.txt")
+    return spark.read.parquet(f"{base}/static/calendar")
+
+
+@query
+def segments_indexed(spark, sf_dir):
+    """SNK3 SRC9 O5 C6: the day's segments stored with their index, written twice, read again"""
+    base = _scratch(spark, "segments")
+    stop_punctuality(spark, sf_dir).withColumn("service_date", F.lit(DAY)).write.partitionBy("service_date").parquet(f"{base}/stops")
+    fx.trips(spark, sf_dir).write.parquet(f"{base}/static/trips")
+    for _ in range(2):
+        jobs.segments_job(spark, f"{base}/stops", f"{base}/static", f"{base}/segments", DAY, with_index=True)
+    return gtfs.read_day_required(spark, f"{base}/segments", DAY).drop("service_date")
+
+
+def _bike_history(spark, sf_dir) -> str:
+    """Two catalogue entries, given latest first: the second file repeats the first one's trips and adds the later ones."""
+    base = _scratch(spark, "bike-history")
+    rides = fx.bike_csv(spark, sf_dir)
+    rides.where(F.col("STARTTIMEMS") <= fx.HIGH_WATER_MARK).write.option("header", True).csv(f"{base}/csv/first")
+    rides.select(*reversed(rides.columns)).write.option("header", True).csv(f"{base}/csv/second")
+    entries = spark.createDataFrame([(2024, "https://cdn.example.com/rides/second.zip"), (2019, "https://cdn.example.com/rides/old.zip"),
+                                     (2023, "http://elsewhere.example/rides/first.zip?x=1")], "year int, url string")
+    paths = {f"{fx.CDN_ORIGIN}/rides/{n}.zip": gtfs.list_files(spark, f"{base}/csv/{n}", "*.csv") for n in ("first", "second")}
+    jobs.historical_load(spark, entries, paths, f"{base}/trips", f"{base}/stations", f"{base}/ledger", fx.CDN_ORIGIN)
+    return base
+
+
+@query
+def bike_history_trips(spark, sf_dir):
+    """C10 C11 SRC5 P13 P11 SNK4 O4: the trips that a load of two overlapping files in year order stores"""
+    return spark.read.parquet(f"{_bike_history(spark, sf_dir)}/trips").select(*bk.TRIP_COLUMNS)
+
+
+@query
+def bike_history_ledger(spark, sf_dir):
+    """C11 SNK5 SNK6 O4: the ledger of that load, with the trips and stations each entry added"""
+    base = _bike_history(spark, sf_dir)
+
+    def added(table: str) -> DataFrame:
+        return spark.read.parquet(f"{base}/{table}").groupBy(files.LOAD).agg(F.count(F.lit(1)).alias(table))
+
+    return (spark.read.parquet(f"{base}/ledger").join(added("trips"), files.LOAD, "left").join(added("stations"), files.LOAD, "left")
+            .select("year", "url", F.coalesce("trips", F.lit(0)).alias("trips"), F.coalesce("stations", F.lit(0)).alias("stations")))
+
+
+@query
+def bike_stream(spark, sf_dir):
+    """STR2: trip files of two column orders picked up by the stream; the trips it stores"""
+    base = _scratch(spark, "bike-stream")
+    rides = fx.bike_csv(spark, sf_dir)
+    early = F.col("STARTTIMEMS") <= fx.HIGH_WATER_MARK
+    rides.where(early).write.option("header", True).mode("append").csv(f"{base}/csv")
+    rides.where(~early).select(*reversed(rides.columns)).write.option("header", True).mode("append").csv(f"{base}/csv")
+    landing.bike_trips_stream(spark, f"{base}/csv", f"{base}/trips", f"{base}/stations", f"{base}/state").awaitTermination()
+    return spark.read.parquet(f"{base}/trips").select(*bk.TRIP_COLUMNS)
+
+
+@query
+def compacted_day(spark, sf_dir):
+    """SNK1 SNK8: half-hourly polls landed one folder each, folded into day files, one poll landed again and folded again"""
+    base = _scratch(spark, "compacted-day")
+    half_hour = (F.floor(F.col("timefetch") / 1800) * 1800).cast("bigint")
+    polls = fx.positions(spark, sf_dir).where(F.col("poll_day") == 0).select(
+        "id", "vehicle_occupancyStatus", half_hour.alias("timefetch")).where(jobs.poll_date(F.col("timefetch"), TZ) == F.lit(DAY))
+    jobs.land_rows(polls, f"{base}/landed", TZ)
+    jobs.compact_landed_day(spark, f"{base}/landed", f"{base}/days", DAY)
+    noon = fx.LOCAL_MIDNIGHT + 12 * 3600
+    jobs.land_rows(polls.where(F.col("timefetch") == noon).withColumn("vehicle_occupancyStatus", F.lit("EMPTY")), f"{base}/landed", TZ)
+    jobs.compact_landed_day(spark, f"{base}/landed", f"{base}/days", DAY)
+    return gtfs.read_day(spark, f"{base}/days", DAY).groupBy("timefetch", "vehicle_occupancyStatus").agg(F.count(F.lit(1)).alias("polls"))
+
+
+@query
+def table_statistics(spark, sf_dir):
+    """SNK9 F16: rows of the poll table from its footers, and whether bytes were found (they differ from run to run)"""
+    folder = _scratch(spark, "statistics")
+    fx.positions_by_date(spark, sf_dir).write.partitionBy("service_date").parquet(folder)
+    return files.table_stats(spark, folder).select(
+        "rows", (F.col("storage_bytes") > 0).alias("has_bytes"),
+        (F.abs(F.col("mean_row_bytes") * F.col("rows") - F.col("storage_bytes")) < 1).alias("mean_fits"),
+        F.col("size").rlike(r"^[0-9]+\.[0-9] ([KMGTPEZ]i)?B$").alias("size_reads"))
+
+
 @query
 def year_layouts(spark, sf_dir):
     """P16"""

@@ -8,6 +8,7 @@ by the same job are checkpointed first to cut the lineage to the old files.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -60,32 +61,60 @@ def write_day_partitioned(df: DataFrame, path: str, date_col: str = "service_dat
      .option("partitionOverwriteMode", "dynamic").partitionBy(date_col, *within).parquet(path))
 
 
+LOAD = "load"            # partition column of tables that named loads write
+UNNAMED = "increment"    # loads that replace nothing
+
+
+def load_name(key: str) -> str:
+    """A load's partition name, from what identifies it (a URL, say)."""
+    return hashlib.sha256(key.encode()).hexdigest()[:24]
+
+
 def append(df: DataFrame, path: str, sort_within: str | None = None) -> None:
     """SNK4: append rows; ``sort_within`` clusters row groups for min/max skipping."""
     out = df.sortWithinPartitions(sort_within) if sort_within else df
-    out.write.mode("append").parquet(path)
+    out.withColumn(LOAD, F.lit(UNNAMED)).write.mode("append").partitionBy(LOAD).parquet(path)
+
+
+def write_load(df: DataFrame, path: str, load: str, sort_within: str | None = None) -> None:
+    """SNK4 for a named load: its own partition, overwritten, so a load that is run again replaces itself."""
+    out = df.sortWithinPartitions(sort_within) if sort_within else df
+    (out.withColumn(LOAD, F.lit(load)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(LOAD).parquet(path))
+
 
+def insert_if_absent(spark: SparkSession, new: DataFrame, path: str, key: str, load: str | None = None) -> DataFrame:
+    """SNK5: append rows whose ``key`` is not stored yet; stored rows never change.
 
-def insert_if_absent(spark: SparkSession, new: DataFrame, path: str, key: str) -> DataFrame:
-    """SNK5: append rows whose ``key`` is not stored yet; stored rows never change."""
+    A named ``load`` that runs again replaces the rows that it inserted before,
+    so two runs of it at once insert each row once.
+    """
     if path_exists(spark, path):
-        existing_keys = spark.read.parquet(path).select(key)
-        added = new.join(existing_keys, key, "left_anti")
+        existing = spark.read.parquet(path)
+        others = existing.where(F.col(LOAD) != load) if load else existing
+        added = new.join(others.select(key), key, "left_anti")
     else:
         added = new
     ensure_checkpoint_dir(spark)
     added = added.checkpoint(eager=True)
-    added.write.mode("append").parquet(path)
+    if load:
+        write_load(added, path, load)
+    else:
+        append(added, path)
     return added
 
 
 def add_ledger_entry(spark: SparkSession, path: str, url: str, year: int) -> None:
-    """SNK6: record a loaded URL; a URL already recorded is an error."""
+    """SNK6: record a loaded URL; a URL already recorded is an error.
+
+    An entry is a partition of its own, so two runs that pass the check at once
+    still leave one row.
+    """
     row = spark.createDataFrame([(url, int(year))], "url string, year int")
     if path_exists(spark, path):
         if not spark.read.parquet(path).where(F.col("url") == url).isEmpty():
             raise ValueError(f"url already loaded: {url}")
-    row.write.mode("append").parquet(path)
+    write_load(row, path, load_name(url))
 
 
 def replace_small_table(df: DataFrame, path: str) -> None:

@@ -1,18 +1,18 @@
 """File sources: static GTFS text tables (SRC1), trip CSVs (SRC5, SRC10, P13), day scans (SRC6-SRC9, SRC11).
 
 Types are declared, never inferred.  A CSV header decides only the *order* of
-the declared columns (GTFS and trip files list columns in any order), read
-from the first line of each file: driver-side metadata, one small job per
-distinct file, never the data.
+the declared columns (GTFS and trip files list columns in any order); headers
+and schemas of many files come from a fixed number of jobs (``sources.census``).
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import functools
 import os
+import re
 from collections.abc import Iterable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (DataType, DoubleType, IntegerType, LongType, StringType,
@@ -20,6 +20,7 @@ from pyspark.sql.types import (DataType, DoubleType, IntegerType, LongType, Stri
 
 from ..functions.clock import as_date
 from ..plans.bikeshare import REQUIRED_COLUMNS, has_required_columns, normalise_trip_columns
+from .census import header_census, listed
 
 S, I, L, D = StringType(), IntegerType(), LongType(), DoubleType()
 
@@ -45,33 +46,22 @@ TRIP_CSV_TYPES: dict[str, DataType] = {
 
 def list_files(spark: SparkSession, root: str, glob: str) -> list[str]:
     """File paths under ``root`` matching ``glob`` (listing only; contents are not read)."""
-    listing = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-               .option("recursiveFileLookup", "true").load(root).select("path"))
-    return sorted(r.path for r in listing.collect())
+    return sorted(r.path for r in listed(spark, root, glob).select("path").collect())
 
 
-def readable_parquet(spark: SparkSession, folder: str) -> tuple[list[str], DataFrame]:
-    """SRC6: Parquet files under ``folder`` with their magic bytes at both ends, and the (path, length) of the others."""
-    magic = F.lit("PAR1").cast("binary")
-    ends = (F.substring("content", 1, 4) == magic) & (F.substring("content", -4, 4) == magic)
-    listed = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(folder)
-              .select("path", "length", (ends & (F.col("length") > 8)).alias("good")))
-    good = sorted(r.path for r in listed.where("good").select("path").collect())       # one day's file names
-    return good, listed.where(~F.col("good")).select("path", "length")
-
-
-def by_schema(spark: SparkSession, paths: Sequence[str]) -> list[tuple[StructType, list[str]]]:
-    """Files grouped by their schema (footers only)."""
-    groups: dict[str, tuple[StructType, list[str]]] = {}
-    for path in paths:
-        schema = spark.read.parquet(path).schema
-        groups.setdefault(schema.json(), (schema, []))[1].append(path)
-    return list(groups.values())
+def csv_header(spark: SparkSession, path: str) -> list[str]:
+    """SRC10: column names of a CSV file, or of a folder of CSV parts, from a first line."""
+    return list(_headers(spark, {path: list_files(spark, path, "*")})[path])
 
 
-def csv_header(spark: SparkSession, path: str) -> list[str]:
-    """SRC10: column names of a CSV file from its header line."""
-    return spark.read.option("header", True).csv(path).columns
+def _headers(spark: SparkSession, parts: dict[str, list[str]]) -> dict[str, tuple[str, ...]]:
+    """The header of each table from its first part that has one; one job for all."""
+    groups, _ = header_census(spark, [p for files in parts.values() for p in files])
+    of = {path: header for header, paths in groups.items() for path in paths}
+    found = {table: next((of[p] for p in files if p in of), None) for table, files in parts.items()}
+    if missing := [t for t, header in found.items() if header is None]:
+        raise ValueError(f"no header line in {missing}")
+    return found
 
 
 def header_schema(header: Sequence[str], types: dict[str, DataType], case_insensitive: bool = False) -> StructType:
@@ -80,18 +70,25 @@ def header_schema(header: Sequence[str], types: dict[str, DataType], case_insens
     return StructType([StructField(c, typ(c), True) for c in header])
 
 
-def read_gtfs_table(spark: SparkSession, path: str, table: str) -> DataFrame:
+def read_gtfs_table(spark: SparkSession, path: str, table: str, header: Sequence[str] | None = None) -> DataFrame:
     """SRC1: one static text table with declared types in the file's column order."""
-    schema = header_schema(csv_header(spark, path), GTFS_TYPES.get(table, {}))
+    schema = header_schema(header or csv_header(spark, path), GTFS_TYPES.get(table, {}))
     return spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
 
 
 def convert_feed_tables(spark: SparkSession, feed_dir: str, out_dir: str) -> list[str]:
-    """SRC1: every ``*.txt`` table of an unpacked feed -> ``<out_dir>/<table>/`` Parquet."""
-    written = []
-    for path in list_files(spark, feed_dir, "*.txt"):
+    """SRC1: every ``<table>.txt`` of an unpacked feed, a file or a folder of parts -> ``<out_dir>/<table>/`` Parquet.
+
+    The headers of all tables come from one job; then there is one write per table.
+    """
+    parts: dict[str, list[str]] = {}
+    for path in list_files(spark, feed_dir, "*"):
+        if found := re.match(r"(.*/[^/]+\.txt)(/[^/]+)?$", path):
+            parts.setdefault(found[1], []).append(path)
+    headers, written = _headers(spark, parts), []
+    for path in sorted(parts):
         table = os.path.splitext(os.path.basename(path))[0]
-        read_gtfs_table(spark, path, table).write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/{table}")
+        read_gtfs_table(spark, path, table, headers[path]).write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/{table}")
         written.append(table)
     return written
 
@@ -100,34 +97,21 @@ def read_trip_csvs(spark: SparkSession, paths: Iterable[str]) -> tuple[DataFrame
     """SRC5 + P13 + P2: trip CSVs -> one normalised DataFrame, plus the skipped files.
 
     Missing files and files missing a required column are skipped (reported,
-    not fatal).  Files sharing a header are read by one split-parallel scan; a
-    malformed number fails it rather than being stored as null.
+    not fatal).  Headers come from one job over all files; files sharing a header
+    are read by one split-parallel scan.  A malformed number fails it rather than
+    being stored as null.
     """
-    groups: dict[tuple[str, ...], list[str]] = {}
-    skipped: list[str] = []
-    for path in paths:
-        try:
-            header = tuple(csv_header(spark, path))
-        except AnalysisException as error:
-            if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                raise
-            skipped.append(path)
-            continue
-        if has_required_columns(header, REQUIRED_COLUMNS):
-            groups.setdefault(header, []).append(path)
-        else:
-            skipped.append(path)
+    paths = list(paths)
+    groups, missing = header_census(spark, paths)
+    usable = {h: files for h, files in groups.items() if has_required_columns(h, REQUIRED_COLUMNS)}
+    kept = {p for files in usable.values() for p in files}
     frames = []
-    for header, files in groups.items():
+    for header, files in usable.items():
         schema = header_schema(header, TRIP_CSV_TYPES, case_insensitive=True)
         raw = spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(files)
         frames.append(normalise_trip_columns(raw))
-    if not frames:
-        return None, skipped
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out, skipped
+    out = functools.reduce(DataFrame.unionByName, frames) if frames else None
+    return out, [p for p in paths if p not in kept]
 
 
 def read_day(spark: SparkSession, root: str, day: str | dt.date, schema: StructType | None = None,

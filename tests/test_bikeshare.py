@@ -105,3 +105,43 @@ def test_mean_trip_duration(spark):
     out = bk.mean_trip_duration(spark.createDataFrame([*ROWS, slower], TRIPS)).orderBy("startStationName").collect()
     assert [(r.startStationName, r.mean_duration_ms, r.trip_count) for r in out] == [
         ("Canal dock", 520000.0, 2), ("Mill dock", 1500000.0, 1), ("Orchard dock", 90000.0, 1)]
+
+
+def _year(text):
+    return f'<h3 class="document-title title-4">{text}</h3>'
+
+
+def _entries(spark, html):
+    rows = bk.catalogue_entries(spark.createDataFrame([(1, html)], "page_id long, html string")).orderBy("pos").collect()
+    return [(r.year, r.url) for r in rows]
+
+
+def test_blocks_end_at_their_own_closing_tag(spark):
+    html = ('<div class="document-row">' + _year(2020) + '</div><footer><a href="/terms">terms</a></footer>'       # no link of its own
+            + '<div><div class="wide document-row"><div><div>box</div></div>' + _year(2021) + '<a href="/21">x</a></div></div>'
+            + '<div class="document-row"><p>no year</p><a href="/none">x</a></div>' + _year(2030)
+            + '<div class="document-rows">' + _year(2022) + '<a href="/22">x</a></div>')                           # another class
+    assert _entries(spark, html) == [(2020, None), (2021, "/21"), (None, "/none")]
+
+
+def test_nested_unclosed_and_stray_tags(spark):
+    inner = '<div class="document-row">' + _year(2012) + '<a href="/in">x</a></div>'
+    html = "</div></div>" + '<div class="document-row">' + inner + _year(2011) + '<a href="/out">x</a></div><a href="/after">x</a>'
+    # the outer block holds the inner one: its first heading and link are those of the inner one
+    assert _entries(spark, html) == [(2012, "/in"), (2012, "/in")]
+    open_ = '<div class="document-row"><div>' + _year(2013) + '<p><a href="/open">x</a>'
+    assert _entries(spark, open_) == [(2013, "/open")]
+
+
+def test_quotes_entities_comments_and_scripts(spark):
+    html = ("<!-- <div class='document-row'> --><script>var s = '<div class=\"document-row\">';</script>"
+            "<DIV data-x='a > b' CLASS='document-row'>" + "<h3 id=a class='document-title title-4'><b> 2024 </b></h3>"
+            "<a name=top>x</a><a title='href=\"no\"' HREF='/a?x=1&amp;y=2&#38;z=&#x26;lt;&quot;&#233;&#128690;&#0;&bogus;'>x</a></div>")
+    assert _entries(spark, html) == [(2024, '/a?x=1&y=2&z=&lt;"é\U0001F6B2�&bogus;')]
+    assert _entries(spark, "<div class=document-row>" + _year("soon") + "<a href=>x</a><a href=/plain>y</a></div>") == [(None, "/plain")]
+
+
+def test_pages_of_many_tags(spark):
+    block = '<div class="document-row"><div><div></div></div>' + _year(2025) + '<a href="/x">x</a></div>'
+    assert _entries(spark, "<div>" * 3000 + "</div>" * 2990 + block * 400) == [(2025, "/x")] * 400
+    assert _entries(spark, "no blocks, but the words document-row") == []

@@ -296,3 +296,96 @@ def test_day_write_fixed_file_count_and_rewrite(spark, scratch):
     got = {str(r.service_date): r.n for r in spark.read.parquet(out).groupBy("service_date")
            .agg(F.count(F.lit(1)).alias("n")).collect()}
     assert got == {"2024-01-01": 10, "2024-01-02": 1500}
+
+
+ENTRIES = [(2023, "https://cdn.example.com/r/early.zip"), (2024, "https://cdn.example.com/r/late.zip")]
+
+
+def _history(spark, scratch):
+    first = _csv(os.path.join(scratch, "early.csv"), _trips(1_700_000_000_000, 6))
+    second = _csv(os.path.join(scratch, "late.csv"), _trips(1_700_000_003_000, 6) + _trips(1_700_000_900_000, 2, "z"))
+    paths = {ENTRIES[0][1]: [first], ENTRIES[1][1]: [second]}
+    where = [os.path.join(scratch, x) for x in ("trips", "stations", "ledger")]
+    return lambda: jobs.historical_load(spark, spark.createDataFrame(ENTRIES, "year int, url string"), paths, *where,
+                                        "https://cdn.example.com"), where
+
+
+def _stored(spark, where):
+    trips, stations, ledger = (spark.read.parquet(p).collect() for p in where)
+    return (sorted(r.startTimeMs for r in trips), sorted(r.name for r in stations), sorted(r.year for r in ledger))
+
+
+WANTED = ([1_700_000_000_000 + 1000 * k for k in range(9)] + [1_700_000_900_000, 1_700_000_901_000],
+          ["s0", "s1", "s2", "z0", "z1", "z2"], [2023, 2024])
+
+
+@pytest.mark.parametrize("after", range(6))
+def test_historical_load_replays_onto_itself(spark, scratch, monkeypatch, after):
+    """Stopped after any of its six writes, then run again: every trip, station and ledger row is there once."""
+    load, where = _history(spark, scratch)
+    written, real = [], files.write_load
+
+    def write_load(df, path, *a, **k):
+        real(df, path, *a, **k)
+        written.append(path)
+        if len(written) == after + 1:
+            raise RuntimeError("stopped")
+
+    with monkeypatch.context() as m:
+        m.setattr(files, "write_load", write_load)
+        with pytest.raises(RuntimeError):
+            load()
+    done = {r.url for r in spark.read.parquet(where[2]).collect()} if files.path_exists(spark, where[2]) else set()
+    entries = [e for e in ENTRIES if e[1] not in done]       # what the catalogue check would give next time
+    if entries:
+        paths = {ENTRIES[0][1]: [os.path.join(scratch, "early.csv")], ENTRIES[1][1]: [os.path.join(scratch, "late.csv")]}
+        jobs.historical_load(spark, spark.createDataFrame(entries, "year int, url string"), paths, *where, "https://cdn.example.com")
+    assert _stored(spark, where) == WANTED
+
+
+def test_two_runs_at_once_leave_each_row_once(spark, scratch, monkeypatch):
+    load, where = _history(spark, scratch)
+    load()
+    # the other run has passed the ledger check before this one recorded its entry
+    monkeypatch.setattr(files, "add_ledger_entry", lambda s, path, url, year: files.write_load(
+        s.createDataFrame([(url, int(year))], "url string, year int"), path, files.load_name(url)))
+    load()
+    trips, stations, ledger = _stored(spark, where)
+    assert (stations, ledger) == WANTED[1:] and len(trips) == len(set(trips))
+
+
+def _day_files(folder):
+    return [f for _, _, names in os.walk(folder) for f in names if f.endswith(".parquet")]
+
+
+def test_a_day_of_polls_becomes_a_few_files(spark, scratch):
+    landed, days = os.path.join(scratch, "landed"), os.path.join(scratch, "days")
+    at = 1701406800                                                            # local midnight
+    polls = spark.range(0, 3000).select((F.lit(at) + F.col("id") % 300 * 60).alias("timefetch"), F.col("id").alias("bike"),
+                                        F.lit("a").alias("state"))
+    jobs.land_rows(polls, landed)
+    assert len(_day_files(landed)) == 300
+    assert jobs.compact_landed_day(spark, landed, days, "2023-12-01") == 1
+    assert len(_day_files(days)) == 1 and spark.read.parquet(days).count() == 3000
+    # a poll that lands again replaces itself, a new one is added; the others stay
+    again = polls.where(F.col("timefetch") == at + 60).limit(4).withColumn("state", F.lit("b"))
+    late = polls.where(F.col("timefetch") == at).withColumn("timefetch", F.col("timefetch") + 36000)
+    jobs.land_rows(again.unionByName(late), landed)
+
+    def counts(df):
+        return {(r.state, r.late): r.n for r in df.groupBy("state", (F.col("timefetch") == at + 36000).alias("late")).agg(
+            F.count(F.lit(1)).alias("n")).collect()}
+
+    want = {("a", False): 2990, ("b", False): 4, ("a", True): 10}
+    assert counts(jobs.read_landed_day(spark, landed, days, "2023-12-01")) == want      # before it is folded
+    small = jobs.compact_landed_day(spark, landed, days, "2023-12-01", target_bytes=100_000)
+    assert counts(spark.read.parquet(days)) == want and 1 < small < 20 and len(_day_files(days)) <= small
+    jobs.compact_landed_day(spark, landed, days, "2023-12-01")                          # nothing new: the same day
+    assert counts(spark.read.parquet(days)) == want
+
+
+def test_a_day_without_polls_cannot_be_compacted_into_rows(spark, scratch):
+    landed = os.path.join(scratch, "landed")
+    jobs.land_rows(spark.createDataFrame([(1701406800, 1)], "timefetch long, bike long"), landed)
+    jobs.compact_landed_day(spark, landed, os.path.join(scratch, "days"), "2023-12-02")
+    assert _day_files(os.path.join(scratch, "days")) == []

@@ -91,3 +91,25 @@ def test_no_stale_rows_and_nothing_cached(spark, tmp_path):
         base = od.slice_by_order(spark.read.parquet(path), ORDER, num_slices=3)
         assert od.with_neighbour(base, ORDER, ["v"], "prev", "p").count() == n
     assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()
+
+
+def test_segmented_scan_and_group_ends_equal_whole_frame_windows(spark):
+    """Against windows over the whole frame: a group over many slices, one-row slices, null groups and values."""
+    rng = random.Random(4)
+    rows = [(rng.choice([1, 2, 2, 2, 2, 3, None]), i, rng.choice([None, *range(50)])) for i in range(400)]
+    df = spark.createDataFrame(rows, "g int, k int, v int")
+    whole = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    biggest, firsts, lasts = {}, {}, {}
+    for g, _, v in whole:
+        biggest[g] = max((x for x in (biggest.get(g), v) if x is not None), default=None)
+        firsts.setdefault(g, v)
+        lasts[g] = v
+    want = sorted((g, k, whole[i + 1][1] if i + 1 < len(whole) else None, biggest[g], firsts[g], lasts[g]) for i, (g, k, v) in
+                  enumerate(whole) if g is not None)
+    for slices in (1, 7, 60):
+        sliced = od.slice_by_order(df, ["g", "k"], slices)
+        out = od.segmented_scan(sliced, ["g", "k"], ["k"], "nxt", ["g"], "v", "most")
+        out = od.with_group_ends(od.pin(out), ["g"], ["g", "k"], "v", "first_v", "last_v")
+        got = sorted((r.g, r.k, r.nxt.k if r.nxt else None, r.most, r.first_v, r.last_v) for r in out.collect() if r.g is not None)
+        assert got == want
+        assert out.count() == len(rows)

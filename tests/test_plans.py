@@ -6,7 +6,11 @@ import re
 import pytest
 
 import __spark_entry__ as entry
+from headway.operators import ordered
+from headway.plans import jobs
 from headway.plans import punctuality as pn
+from headway.plans import schedule as sc
+from headway.sinks import files
 from headway.sources import fixtures as fx
 
 SF = "/root/testdata/sf0.001"
@@ -46,3 +50,79 @@ def test_flagship_has_no_trip_window(spark):
     assert "windowspecdefinition(_slice" in text
     assert "windowspecdefinition(trip_id" not in text     # no window keyed by trip alone
     assert "RoundRobin" not in text
+
+
+def _joins(plan: str) -> int:
+    return len(re.findall(r"SortMergeJoin|ShuffledHashJoin|BroadcastHashJoin", plan))
+
+
+def _pinned_plans(monkeypatch, *modules):
+    """The plans of the frames that a query pins, in order."""
+    plans, real = [], ordered.pin
+
+    def pin(df):
+        plans.append(_plan(df))
+        return real(df)
+
+    for module in modules:
+        monkeypatch.setattr(module, "pin", pin)
+    return plans
+
+
+@pytest.mark.parametrize("name", ["stop_punctuality", "offsets_last_stop", "arrival_departure_offsets", "segment_delays"])
+def test_schedule_join_is_evaluated_once(spark, monkeypatch, name):
+    plans = _pinned_plans(monkeypatch, ordered, pn)
+    final = _plan(entry.QUERIES[name](spark, SF))
+    with_schedule = [p for p in [*plans, final] if "arrival_time_unix" in p and "vehicle_currentStopSequence" in p
+                     and re.search(r"(SortMergeJoin|ShuffledHashJoin|BroadcastHashJoin) \[trip_id#\d+L?, vehicle_currentStopSequence", p)]
+    assert len(with_schedule) == 1
+    # the final plan joins summaries of slices (and, for segments, route shapes) only: nothing of the schedule
+    assert with_schedule[0] is not final and _joins(final) <= 2
+
+
+def test_statistics_read_no_column(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(1000).selectExpr("id", "cast(id as string) as text").write.parquet(path)
+    plan = _plan(files.table_stats(spark, path))
+    assert "ReadSchema: struct<>" in plan
+
+
+def test_landed_messages_are_read_once(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    (raw / "docks_1701442900.json").write_text('{"data": {"stations": [{"id": 5}]}}')
+    (raw / "docks_1701442960.json").write_text('{"data": ')
+    messages = jobs.landed_messages(spark, str(raw), str(tmp_path / "out"))
+    (raw / "docks_1701442900.json").unlink()
+    (raw / "docks_1701442960.json").unlink()
+    # schema and rows come from the pinned messages: the folder may be gone
+    assert "FileScan" not in _plan(messages)
+    assert jobs.seen_schema(messages).names == ["data"]
+    assert [r.timefetch for r in messages.collect()] == [1701442900]
+    assert spark.read.parquet(str(tmp_path / "out_rejects")).first().value == '{"data": '
+
+
+def test_run_time_filter_reaches_the_stop_times_scan(spark, tmp_path):
+    """With Spark's Bloom filter, the day's trips prune the scan of stop times before its exchange."""
+    spark.range(20000).selectExpr("cast(id as string) as trip_id", "'S' || id % 50 as service_id").write.parquet(str(tmp_path / "trips"))
+    spark.range(100000).selectExpr("cast(id % 20000 as string) as trip_id", "id as stop_sequence", "repeat('x', 60) as pad").write.parquet(
+        str(tmp_path / "stop_times"))
+    settings = {"spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+                "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1",
+                "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+
+    def day_stop_times():
+        trips = spark.read.parquet(str(tmp_path / "trips")).where("service_id = 'S7'")
+        return sc.filtered_stop_times(spark.read.parquet(str(tmp_path / "stop_times")), trips)
+
+    plain = sorted(map(tuple, day_stop_times().collect()))
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        df = day_stop_times()
+        assert "might_contain" in _plan(df)
+        assert sorted(map(tuple, df.collect())) == plain and len(plain) == 2000
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

@@ -23,6 +23,53 @@ def test_positions_landing_stream(spark, scratch):
     assert spark.read.parquet(table).count() == 1
 
 
+def _poll(spark, folder, name, rows, schema):
+    tmp = os.path.join(folder, f"_{name}")
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(tmp)
+    part = next(f for f in os.listdir(tmp) if f.endswith(".parquet"))
+    land = os.path.join(folder, "landing")
+    os.makedirs(land, exist_ok=True)
+    os.rename(os.path.join(tmp, part), os.path.join(land, f"{name}.parquet"))
+
+
+POLL = StructType([StructField("id", StringType()), StructField("timefetch", LongType())])
+
+
+def test_stream_keeps_columns_that_no_schema_names(spark, scratch):
+    _poll(spark, scratch, "vp_1701442900", [("a", "red")], "id string, colour string")
+    _poll(spark, scratch, "vp_1701442960", [("b", 7, 1701442955)], "id string, doors int, timefetch int")
+    table = os.path.join(scratch, "table")
+    landing.positions_landing_stream(spark, os.path.join(scratch, "landing"), table, os.path.join(scratch, "ckpt"), POLL).awaitTermination()
+    rows = {r.id: r for r in spark.read.option("mergeSchema", True).parquet(table).collect()}
+    assert (rows["a"].colour, rows["a"].doors, rows["a"].timefetch) == ("red", None, 1701442900)
+    assert (rows["b"].colour, rows["b"].doors, rows["b"].timefetch) == (None, 7, 1701442955)
+
+
+def test_stream_goes_on_after_a_corrupt_file(spark, scratch):
+    _poll(spark, scratch, "vp_1701442900", [("a",)], "id string")
+    with open(os.path.join(scratch, "landing", "vp_1701442930.parquet"), "wb") as f:
+        f.write(b"PAR1 and then nothing of use")
+    with open(os.path.join(scratch, "landing", "vp_1701442940.parquet"), "wb") as f:
+        f.write(b"?")
+    table, ckpt = os.path.join(scratch, "table"), os.path.join(scratch, "ckpt")
+    landing.positions_landing_stream(spark, os.path.join(scratch, "landing"), table, ckpt, POLL).awaitTermination()
+    _poll(spark, scratch, "vp_1701442960", [("b",)], "id string")
+    landing.positions_landing_stream(spark, os.path.join(scratch, "landing"), table, ckpt, POLL).awaitTermination()
+    assert sorted(r.id for r in spark.read.parquet(table).collect()) == ["a", "b"]
+    rejects = spark.read.parquet(table + "_rejects").collect()
+    assert sorted(os.path.basename(r.path) for r in rejects) == ["vp_1701442930.parquet", "vp_1701442940.parquet"]
+
+
+def test_a_replayed_batch_lands_once(spark, scratch):
+    _poll(spark, scratch, "vp_1701442900", [("a",), ("b",)], "id string")
+    table, ckpt = os.path.join(scratch, "table"), os.path.join(scratch, "ckpt")
+    landing.positions_landing_stream(spark, os.path.join(scratch, "landing"), table, ckpt, POLL).awaitTermination()
+    for name in ("0", ".0.crc"):          # the batch was written, its commit is lost
+        os.remove(os.path.join(ckpt, "commits", name))
+    landing.positions_landing_stream(spark, os.path.join(scratch, "landing"), table, ckpt, POLL).awaitTermination()
+    assert sorted(r.id for r in spark.read.parquet(table).collect()) == ["a", "b"]
+
+
 COLUMNS = ["STARTSTATIONNAME", "STARTSTATIONARRONDISSEMENT", "STARTSTATIONLATITUDE", "STARTSTATIONLONGITUDE",
            "ENDSTATIONNAME", "ENDSTATIONARRONDISSEMENT", "ENDSTATIONLATITUDE", "ENDSTATIONLONGITUDE", "STARTTIMEMS", "ENDTIMEMS"]
 
