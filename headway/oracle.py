@@ -417,3 +417,5 @@ SELECT timefetch, CASE WHEN timefetch = 1701406800 + 43200 THEN 'EMPTY' ELSE veh
 FROM polls WHERE {_LOCAL_DAY} = DATE '2023-12-01' GROUP BY ALL""")
 QUERIES["table_statistics"] = compose(["fx_positions"], [], """
 SELECT count(*) AS rows, true AS has_bytes, true AS mean_fits, true AS size_reads FROM fx_positions""")
+QUERIES["positions_on_bucketed_schedule"] = QUERIES["positions_on_schedule"]
+QUERIES["daily_stops_info_bucketed"] = QUERIES["daily_stops_info"]

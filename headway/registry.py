@@ -24,7 +24,7 @@ from .plans import punctuality as pn
 from .plans import schedule as sc
 from .plans import static_refresh as sr
 from .session import configure, ensure_checkpoint_dir
-from .sinks import files
+from .sinks import files, tables
 from .sources import fixtures as fx
 from .sources import gtfs
 from .streaming import landing
@@ -406,6 +406,28 @@ def landed_stream(spark, sf_dir):
     return spark.read.option("mergeSchema", True).parquet(f"{base}/days").drop("load_batch")
 
 
+def _bucketed(spark: SparkSession, df: DataFrame, name: str, keys) -> DataFrame:
+    table = f"{name}_{uuid.uuid4().hex}"
+    return tables.write_bucketed(df, table, _scratch(spark, table), keys)
+
+
+@query
+def positions_on_bucketed_schedule(spark, sf_dir):
+    """J3 J4 with the schedule stored in buckets of its key: its side of the join is not exchanged"""
+    schedule = _bucketed(spark, _stu(spark, sf_dir), "stop_times", tables.BY_STOP)
+    return pn.positions_on_schedule(_positions(spark, sf_dir), schedule)
+
+
+@query
+def daily_stops_info_bucketed(spark, sf_dir):
+    """C2 J2 J6 with trips and stop times stored in buckets by trip: neither join by trip has an exchange"""
+    trips = _bucketed(spark, fx.trips(spark, sf_dir), "trips", tables.BY_TRIP)
+    stop_times = _bucketed(spark, fx.stop_times(spark, sf_dir), "stop_times", tables.BY_TRIP)
+    day_trips = sc.filtered_trips(sc.active_services(fx.calendar(spark, sf_dir), DAY), trips)
+    return sc.daily_stops_info(sc.filtered_stop_times(stop_times, day_trips), day_trips,
+                               fx.stops(spark, sf_dir), fx.routes(spark, sf_dir), DAY, TZ)
+
+
 @query
 def gtfs_table(spark, sf_dir):
     """SRC1 SRC10: a text table whose columns are in another order, read by its header with declared types"""

@@ -4,13 +4,14 @@ import os
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from headway.operators import ordered
 from headway.plans import jobs
 from headway.plans import punctuality as pn
 from headway.plans import schedule as sc
-from headway.sinks import files
+from headway.sinks import files, tables
 from headway.sources import fixtures as fx
 
 SF = "/root/testdata/sf0.001"
@@ -126,3 +127,25 @@ def test_run_time_filter_reaches_the_stop_times_scan(spark, tmp_path):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_bucketed_tables_are_not_exchanged(spark, tmp_path):
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        by_stop = tables.write_bucketed(pn.stop_times_unix(fx.stop_times(spark, SF), fx.SERVICE_DAY), "plan_by_stop",
+                                        str(tmp_path / "a"), tables.BY_STOP)
+        polls = fx.positions(spark, SF).select(F.col("vehicle_trip_tripId").cast("bigint").alias("trip_id"),
+                                               F.col("vehicle_currentStopSequence").alias("stop_sequence"), "id")
+        plan = _plan(polls.join(by_stop, ["trip_id", "stop_sequence"]))
+        assert plan.count("ENSURE_REQUIREMENTS") == 1 and "SelectedBucketsCount" in plan
+        schedule_side = plan[plan.rindex("\n      +- "):]                      # the join's right side
+        assert "plan_by_stop" in schedule_side and "Exchange" not in schedule_side
+        st = tables.write_bucketed(fx.stop_times(spark, SF), "plan_stop_times", str(tmp_path / "b"), tables.BY_TRIP)
+        tr = tables.write_bucketed(fx.trips(spark, SF), "plan_trips", str(tmp_path / "c"), tables.BY_TRIP)
+        for joined in (sc.filtered_stop_times(st, tr), st.join(tr, "trip_id", "left")):
+            assert "Exchange" not in _plan(joined)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        for name in ("plan_by_stop", "plan_stop_times", "plan_trips"):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
