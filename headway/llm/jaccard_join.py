@@ -19,18 +19,28 @@ leave a segment in which the sets differ in at most t shingles.
 * Keys travel in packed blocks, one per map task and key range; a task sorts the
   keys of its range and finds those that meet.
 * Verification is exact, on the shingles of whole texts.  Of many documents under
-  one key, each is first compared with the smallest id and, under some keys, with
-  another one by a hash; after the links so found are closed, only pairs in
-  different components are compared.  So a large group of copies costs about its
-  size, and no link that could join two components is left out.
+  one key (a run), each is first compared with the smallest id and, under some
+  keys, with another one by a hash.  The links so found are closed; then runs that
+  still hold several components are compared whole, in tiles of bounded size,
+  and no task emits more than a spanning forest of a tile:
+  1. Bit sketches of the sets bound their intersection from above, so what
+     cannot be a link is seen without the sets.  Of the pairs left, those that
+     would join components (one a component) are verified, and closed.
+  2. Documents that sketches still connect across components (pairs just below
+     the limit) are compared in their tiles by their shingles, exactly, and the
+     links that join components go into the last closure.
+  So no link that could join two components is left out, and rows grow with the
+  members of runs, not with their pairs.
 
 Documents with equal shingle sets form a class, whose smallest id stands for it.
 Shingles are compared by 64-bit hashes.
 
 Null or empty texts and texts without words have no shingles and are linked with
 nothing.  Rows that share an id are one vertex; rows without an id take no part
-and have no component.  Columns other than doc_id and text are ignored by
-``join`` and kept by ``keep_one``.
+and have no component.  Texts of any length count whole; repeated rows are rows of
+the same component; similarity of exactly the limit links.  An empty table gives
+an empty result.  Columns other than doc_id and text are ignored by ``join`` and
+kept by ``keep_one``, whatever their names.
 """
 
 from __future__ import annotations
@@ -52,6 +62,8 @@ RANGE_BYTES = 20_000_000      # text bytes per key range
 SMALL_RUN = 8
 PARTNER_RUNS = 6              # in one of so many larger runs, each document also meets one by a hash
 PER_HOME = 1_000              # pairs that are verified together
+SKETCH_BITS = 8               # of a sketch per shingle, at least
+TILE = 1_024                  # members of a run in a block; a tile compares two blocks
 BROADCAST_ROWS = 500_000      # of 16 bytes
 CACHE_ROWS = 400_000
 
@@ -90,6 +102,14 @@ def shingles(text: str, hashes: WordHashes, width: int = WIDTH) -> np.ndarray:
     return np.unique(mixed(out))
 
 
+def sketch(u: np.ndarray) -> bytes:
+    """Bits of a set's hashes modulo a power of two of at least SKETCH_BITS per shingle."""
+    bits = max(64, 1 << (SKETCH_BITS * max(len(u), 1) - 1).bit_length())
+    out = np.zeros(bits, np.uint8)
+    out[(u & np.uint64(bits - 1)).astype(np.int64)] = 1
+    return np.packbits(out, bitorder="little").tobytes()
+
+
 class Bands:
     """Size bands and their partitions."""
 
@@ -217,12 +237,12 @@ FOUND = "kind int, x long, y long, ids binary, sizes binary, flags binary"
 
 
 def _blocks(docs: DataFrame, common, ranges: int, percent: int) -> DataFrame:
-    """Packed keys by key range; rows of documents (id, size, fingerprint) go with them, range by id."""
+    """Packed keys by key range; rows of documents (id, size, fingerprint, sketch if indexed) go with them."""
     def run(batches):
         hashes, bands, frequent = WordHashes(), Bands(percent), common.value
         seen: set[bytes] = set()
         keys, flags, counts, ids, sizes = [], [], [], [], []
-        table: list[tuple[int, int, bytes]] = []
+        table: list[tuple[int, int, bytes, bytes]] = []
 
         def emit():
             rows = []
@@ -240,12 +260,12 @@ def _blocks(docs: DataFrame, common, ranges: int, percent: int) -> DataFrame:
                         rows.append((r, k[on].tobytes(), place.astype(np.uint32).tobytes(), f[on].tobytes(),
                                      own_ids[held].tobytes(), own_sizes[held].tobytes()))
             if table:
-                where = [xxhash.xxh3_64_intdigest(fp) % ranges for *_, fp in table]
+                where = [xxhash.xxh3_64_intdigest(fp) % ranges for _, _, fp, _ in table]
                 for r in set(where):
                     own = [x for x, w in zip(table, where) if w == r]
-                    rows.append((r, b"", b"", b"".join(x[2] for x in own),
+                    rows.append((r, b"", b"".join(x[3] for x in own), b"".join(x[2] for x in own),
                                  np.array([x[0] for x in own], np.int64).tobytes(),
-                                 np.array([x[1] for x in own], np.uint32).tobytes()))
+                                 np.array([(x[1], len(x[3])) for x in own], np.uint32).tobytes()))
             for x in (keys, flags, counts, ids, sizes, table):
                 x.clear()
             for row in rows:
@@ -260,11 +280,14 @@ def _blocks(docs: DataFrame, common, ranges: int, percent: int) -> DataFrame:
                     continue
                 u = shingles(text, hashes)
                 fp = xxhash.xxh3_128_digest(u.tobytes())
-                table.append((doc_id, len(u), fp))
                 if not len(u) or fp in seen:
+                    table.append((doc_id, len(u), fp, b""))
                     held += 8
                 else:
                     seen.add(fp)
+                    bits = sketch(u)
+                    table.append((doc_id, len(u), fp, bits))
+                    held += len(bits) // 16
                     rare = np.ones(len(u), np.int64)
                     if len(frequent):
                         rare = (frequent[np.minimum(np.searchsorted(frequent, u), len(frequent) - 1)] != u).astype(np.int64)
@@ -280,21 +303,23 @@ def _blocks(docs: DataFrame, common, ranges: int, percent: int) -> DataFrame:
 
 
 def _meet(blocks: DataFrame, percent: int) -> DataFrame:
-    """Documents that meet under a key: kind 0 document rows, 1 pairs, 2 runs of many documents."""
+    """Documents that meet under a key: kind 0 document rows (fingerprint as ``ids``, sketch as ``sizes``), 1 pairs, 2 runs."""
     def run(batches):
         keys, flags, ids, sizes, docs = [], [], [], [], []
         for batch in batches:
             for k, at, f, i, s in zip(*(batch.column(c).to_pylist() for c in range(1, 6))):
                 own, size = np.frombuffer(i, np.int64), np.frombuffer(s, np.uint32)
                 if not k:
-                    docs.append((own, size, f))
+                    docs.append((own, size.reshape(-1, 2), f, at))
                     continue
                 place = np.frombuffer(at, np.uint32)
                 keys.append(np.frombuffer(k, np.uint64)), flags.append(np.frombuffer(f, np.uint8))
                 ids.append(own[place]), sizes.append(size[place])
-        for own, size, f in docs:
-            n = len(own)
-            yield _batch([0] * n, own, size.astype(np.int64), [f[16 * j:16 * j + 16] for j in range(n)], [b""] * n, [b""] * n)
+        for own, size, f, bits in docs:
+            n, end = len(own), np.cumsum(size[:, 1])
+            yield _batch([0] * n, own, size[:, 0].astype(np.int64), [f[16 * j:16 * j + 16] for j in range(n)],
+                         [bits[e - w:e] for e, w in zip(end.tolist(), size[:, 1].tolist())], [b""] * n)
+        docs.clear()
         if not keys:
             return
         key = np.concatenate(keys)
@@ -324,9 +349,9 @@ def _meet(blocks: DataFrame, percent: int) -> DataFrame:
         for r in np.flatnonzero(useful & (length > SMALL_RUN)):
             x = slice(start[r], start[r] + length[r])
             own, size, flag = d[x], s[x], f[x]
-            first = np.lexsort((-flag.astype(np.int64), own))
+            first = np.lexsort((size, own))         # rows that share an id are one member for each size
             own, size, flag = own[first], size[first], flag[first]
-            once = np.concatenate([[True], own[1:] != own[:-1]])
+            once = np.concatenate([[True], (own[1:] != own[:-1]) | (size[1:] != size[:-1])])
             flag = np.bitwise_or.reduceat(flag, np.flatnonzero(once)) & ~np.uint8(DELETED)
             own, size = own[once], size[once]
             if len(own) < 2:
@@ -369,28 +394,142 @@ def _valid(f, s, d, g, t, e, percent: int):
     return (left | right) & ~((f & g & DELETED) > 0) & (d != e) & _near(s, t, percent)
 
 
-def _later_pairs(runs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a run's documents that are in different components so far."""
-    flat = runs.select(F.col("x").alias("run"), "ids", "sizes", "flags").mapInArrow(
-        _flatten, "run long, doc_id long, size int, flag int")
+def _open_tiles(runs: DataFrame, parts: DataFrame) -> DataFrame:
+    """Members of runs that hold several components so far, one row per tile they belong to.
+
+    A run is dealt by a hash of the ids into blocks of about TILE members; a tile
+    is a pair of blocks, so each member is in as many tiles as there are blocks.
+    """
+    flat = runs.select(F.col("x").alias("run"), F.col("y").alias("members"), "ids", "sizes", "flags").mapInArrow(
+        _flatten, "run long, members long, doc_id long, size int, flag int")
     known = flat.join(parts, "doc_id", "left").withColumn("part", F.coalesce("component_id", "doc_id"))
     open_ = known.groupBy("run").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi").select("run")
+    blocks = F.ceil(F.col("members") / TILE)
+    return (known.join(open_, "run", "left_semi")
+            .withColumn("block", F.pmod(F.xxhash64("doc_id"), blocks).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), blocks.cast("int") - 1)))
+            .select("run", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
+                    "doc_id", "size", "flag", "part", "block"))
+
+
+class _Tile:
+    """Members of a tile by size, and those that may be linked across components, by a bound on each pair's intersection."""
+
+    def __init__(self, t: pa.Table, percent: int):
+        order = np.argsort(t.column("size").to_numpy(), kind="stable")
+        self.d, self.f, self.c, self.block = (t.column(x).to_numpy()[order] for x in ("doc_id", "flag", "part", "block"))
+        self.size = t.column("size").to_numpy()[order].astype(np.int64)
+        self.c = self.c.copy()
+        self.order, self.percent = order, percent
+        self.last = np.searchsorted(self.size, self.size * 100 // percent, "right")
+        self.across = t.column("lo")[0].as_py() != t.column("hi")[0].as_py()
+
+    def met(self, i: int) -> np.ndarray:
+        """Larger members of other components that meet i as probe and index."""
+        j = np.arange(i + 1, self.last[i])
+        j = j[self.c[j] != self.c[i]]
+        if self.across:
+            j = j[self.block[j] != self.block[i]]
+        return j[_valid(self.f[j], self.size[j], self.d[j], self.f[i], self.size[i], self.d[i], self.percent)]
+
+    def enough(self, i: int, j: np.ndarray, both) -> np.ndarray:
+        return j[100 * both >= self.percent * (self.size[j] + self.size[i] - both)]
+
+    def forest(self, linked) -> list[tuple[int, int]]:
+        """Pairs (a, b) by ``linked(i, candidates)``, one for each time that two components become one."""
+        out = []
+        for i in range(len(self.d)):
+            j = linked(i, self.met(i)) if self.last[i] > i + 1 else ()
+            while len(j):
+                out.append((int(min(self.d[i], self.d[j[0]])), int(max(self.d[i], self.d[j[0]]))))
+                self.c[self.c == self.c[j[0]]] = self.c[i]
+                j = j[self.c[j] != self.c[i]]
+        return out
+
+
+class _Sketches:
+    """An upper bound on the intersection of a tile's sets.
+
+    Bits that one set has and the other has not stand for different shingles
+    that the other lacks.  Sketches of different lengths are folded to the shorter.
+    """
+
+    def __init__(self, tile: _Tile, sketches: list[bytes]):
+        self.tile = tile
+        raw = [np.frombuffer(sketches[k], np.uint64) for k in tile.order]
+        self.words = np.array([len(x) for x in raw])
+        self.held: dict[int, np.ndarray] = {}
+        for w in np.unique(self.words).tolist():
+            rows = np.zeros((len(raw), w), np.uint64)
+            for k, x in enumerate(raw if w else ()):
+                if w <= len(x) <= 4 * w:        # linked sets differ less in size
+                    rows[k] = np.bitwise_or.reduce(x.reshape(-1, w), axis=0)
+            self.held[w] = rows
+
+    def __call__(self, i: int, j: np.ndarray) -> np.ndarray:
+        if not self.words[i]:
+            return j                            # nothing is known of this set
+        found = []
+        for w in np.unique(self.words[j]).tolist():
+            on = j[self.words[j] == w]
+            if not w:
+                found.append(on)
+                continue
+            rows = self.held[min(w, int(self.words[i]))]
+            x, y = rows[i], rows[on]
+            mine = self.tile.size[i] - np.bitwise_count(x & ~y).sum(1, dtype=np.int64)
+            theirs = self.tile.size[on] - np.bitwise_count(y & ~x).sum(1, dtype=np.int64)
+            found.append(self.tile.enough(i, on, np.minimum(mine, theirs)))
+        return np.sort(np.concatenate(found)) if found else j
+
+
+def _sketched(tiles: DataFrame, sketches: DataFrame) -> DataFrame:
+    return tiles.join(sketches, ["doc_id", "size"]).groupBy("run", "lo", "hi")
+
+
+def _likely_links(tiles: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) that would join components if all were links: a forest per tile."""
+    def run(t):
+        tile = _Tile(t, percent)
+        pairs = tile.forest(_Sketches(tile, t.column("sketch").to_pylist()))
+        return pa.table({"a": pa.array([a for a, _ in pairs], pa.int64()), "b": pa.array([b for _, b in pairs], pa.int64())})
+
+    return _sketched(tiles, sketches).applyInArrow(run, "a long, b long").distinct()
+
+
+def _undecided(tiles: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Members of tiles that sketches connect with another component: each once."""
+    def run(t):
+        tile = _Tile(t, percent)
+        bound, on = _Sketches(tile, t.column("sketch").to_pylist()), np.zeros(t.num_rows, bool)
+        for i in range(t.num_rows):
+            j = bound(i, tile.met(i)) if tile.last[i] > i + 1 else ()
+            if len(j):
+                on[i] = on[j] = True
+        return t.select(TILE_COLUMNS).take(pa.array(tile.order[on]))
+
+    return _sketched(tiles, sketches).applyInArrow(run, TILE_SCHEMA)
+
+
+TILE_COLUMNS = ["run", "lo", "hi", "doc_id", "size", "flag", "part", "block"]
+TILE_SCHEMA = "run long, lo int, hi int, doc_id long, size int, flag int, part long, block int"
+
+
+def _exact_links(tiles: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that join components, by the members' shingles: a forest per tile."""
+    def run(t):
+        tile, hashes = _Tile(t, percent), WordHashes()
+        sets = [shingles(x, hashes) for x in t.column("text").to_pylist()]
+        sets = [sets[k] for k in tile.order]
+
+        def linked(i, j):
+            own = [k for k in j.tolist() if _similar(sets[i], sets[k], percent)]
+            return np.array(own, np.int64)
 
-    def cross(t):
-        size = t.column("size").to_numpy().astype(np.int64)
-        d, f, c = (t.column(x).to_numpy() for x in ("doc_id", "flag", "part"))
-        order = np.argsort(size, kind="stable")
-        size, d, f, c = size[order], d[order], f[order], c[order]
-        last = np.searchsorted(size, size * 100 // percent, "right")
-        a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-        for i in range(len(d)):
-            j = np.arange(i + 1, last[i])
-            j = j[c[j] != c[i]]
-            j = j[_valid(f[j], size[j], d[j], f[i], size[i], d[i], percent)]
-            a.append(np.minimum(d[j], d[i])), b.append(np.maximum(d[j], d[i]))
-        return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
+        pairs = tile.forest(linked)
+        return pa.table({"a": pa.array([a for a, _ in pairs], pa.int64()), "b": pa.array([b for _, b in pairs], pa.int64())})
 
-    return known.join(open_, "run", "left_semi").groupBy("run").applyInArrow(cross, "a long, b long").distinct()
+    return (tiles.join(id_and_text(docs), "doc_id").groupBy("run", "lo", "hi").applyInArrow(run, "a long, b long").distinct())
 
 
 def _partners(own: np.ndarray, size: np.ndarray, name: bytes, percent: int) -> np.ndarray:
@@ -407,11 +546,12 @@ def _partners(own: np.ndarray, size: np.ndarray, name: bytes, percent: int) -> n
 
 def _flatten(batches):
     for batch in batches:
-        for run, ids, sizes, flags in zip(*(batch.column(c).to_pylist() for c in range(4))):
+        for run, members, ids, sizes, flags in zip(*(batch.column(c).to_pylist() for c in range(5))):
             d = np.frombuffer(ids, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(d), run)), pa.array(d), pa.array(np.frombuffer(sizes, np.uint32).astype(np.int32)),
-                 pa.array(np.frombuffer(flags, np.uint8).astype(np.int32))], ["run", "doc_id", "size", "flag"])
+                [pa.array(np.full(len(d), run)), pa.array(np.full(len(d), members)), pa.array(d),
+                 pa.array(np.frombuffer(sizes, np.uint32).astype(np.int32)),
+                 pa.array(np.frombuffer(flags, np.uint8).astype(np.int32))], ["run", "members", "doc_id", "size", "flag"])
 
 
 def verified(docs: DataFrame, pairs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -507,10 +647,20 @@ def join(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     first = pinned(by_class(found.where("kind = 1").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()))
     links = pinned(verified(docs, first, percent).union(copies.toDF("b", "a").select("a", "b")))
     parts = pinned(connected(links))
-    later = pinned(by_class(_later_pairs(found.where("kind = 2"), parts, percent)).join(first, ["a", "b"], "left_anti"))
-    if not later.isEmpty():
-        links = pinned(links.union(verified(docs, later, percent)))
+    runs = found.where("kind = 2")
+    # unknown, an empty sketch, where rows that share an id hold different sets of one size
+    sketches = found.where("kind = 0 and length(sizes) > 0").groupBy(F.col("x").alias("doc_id"), F.col("y").cast("int").alias("size")).agg(
+        F.when(F.min("ids") == F.max("ids"), F.min("sizes")).otherwise(F.lit(b"")).alias("sketch"))
+    tiles = pinned(_open_tiles(runs, parts))
+    likely = pinned(by_class(_likely_links(tiles, sketches, percent)))
+    if not likely.isEmpty():
+        links = pinned(links.union(verified(docs, likely, percent)))
         parts = pinned(connected(links))
+        still = pinned(_undecided(_open_tiles(runs, parts), sketches, percent))
+        if not still.isEmpty():
+            more = pinned(by_class(_exact_links(still, docs, percent)))
+            if not more.isEmpty():
+                parts = pinned(connected(links.union(more)))
     ids = id_and_text(docs).select("doc_id").where("doc_id is null").select(
         "doc_id", F.lit(None).cast("long").alias("n_shingles"), F.lit(None).cast("long").alias("component_id"))
     return (sets.select("doc_id", "n_shingles").join(parts, "doc_id", "left")
@@ -520,9 +670,16 @@ def join(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Of every group of linked documents, the one with the smallest id, with all its columns.
 
-    Rows that repeat an id are one document.  Rows without an id are kept.
+    Of rows with that id and equal texts one stays; rows that share the id but not
+    the text all stay, since nothing says which text is meant.  Rows without an id
+    are kept.
     """
-    kept = join(docs, percent).where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
+    kept = join(docs, percent).where("doc_id = component_id").select("component_id").distinct()
+    at = {c.lower() for c in docs.columns}
+    key, text = (next(n for n in (f"{base}{k}" for k in range(len(at) + 1)) if n not in at) for base in ("_kept", "_text_hash"))
+    kept = kept.select(F.col("component_id").alias(key))
     named = docs.where(F.col("doc_id").isNotNull())
-    return (named.join(kept, F.col("doc_id").cast("long") == F.col("_kept"), "left_semi").dropDuplicates(["doc_id"])
-            .unionByName(docs.where(F.col("doc_id").isNull())))
+    one = (named.withColumn(key, F.col("doc_id").cast("long")).join(kept, key, "left_semi")
+           .withColumn(text, F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))
+           .dropDuplicates([key, text]).select(*[F.col(f"`{c}`") for c in docs.columns]))
+    return one.unionByName(docs.where(F.col("doc_id").isNull()))
