@@ -62,7 +62,7 @@ RANGE_BYTES = 20_000_000      # text bytes per key range
 SMALL_RUN = 8
 PARTNER_RUNS = 6              # in one of so many larger runs, each document also meets one by a hash
 PER_HOME = 1_000              # pairs that are verified together
-SKETCH_BITS = 8               # of a sketch per shingle, at least
+SKETCH_BITS = 4               # of a sketch per shingle, at least
 TILE = 1_024                  # members of a run in a block; a tile compares two blocks
 BROADCAST_ROWS = 500_000      # of 16 bytes
 CACHE_ROWS = 400_000
@@ -488,13 +488,14 @@ def _sketched(tiles: DataFrame, sketches: DataFrame) -> DataFrame:
 
 
 def _likely_links(tiles: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) that would join components if all were links: a forest per tile."""
+    """Pairs (run, lo, hi, a, b) that would join components if all were links: a forest per tile."""
     def run(t):
         tile = _Tile(t, percent)
         pairs = tile.forest(_Sketches(tile, t.column("sketch").to_pylist()))
-        return pa.table({"a": pa.array([a for a, _ in pairs], pa.int64()), "b": pa.array([b for _, b in pairs], pa.int64())})
+        return t.select(["run", "lo", "hi"]).take(pa.array([0] * len(pairs), pa.int64())).append_column(
+            "a", pa.array([a for a, _ in pairs], pa.int64())).append_column("b", pa.array([b for _, b in pairs], pa.int64()))
 
-    return _sketched(tiles, sketches).applyInArrow(run, "a long, b long").distinct()
+    return _sketched(tiles, sketches).applyInArrow(run, "run long, lo int, hi int, a long, b long")
 
 
 def _undecided(tiles: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
@@ -516,7 +517,10 @@ TILE_SCHEMA = "run long, lo int, hi int, doc_id long, size int, flag int, part l
 
 
 def _exact_links(tiles: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) that join components, by the members' shingles: a forest per tile."""
+    """Links (a, b) that join components, by the members' shingles: a forest per tile.
+
+    Only the texts of members are exchanged.
+    """
     def run(t):
         tile, hashes = _Tile(t, percent), WordHashes()
         sets = [shingles(x, hashes) for x in t.column("text").to_pylist()]
@@ -529,7 +533,10 @@ def _exact_links(tiles: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
         pairs = tile.forest(linked)
         return pa.table({"a": pa.array([a for a, _ in pairs], pa.int64()), "b": pa.array([b for _, b in pairs], pa.int64())})
 
-    return (tiles.join(id_and_text(docs), "doc_id").groupBy("run", "lo", "hi").applyInArrow(run, "a long, b long").distinct())
+    wanted = pinned(tiles.select(F.col("doc_id").alias("_id")).distinct())
+    few = wanted.count() <= BROADCAST_ROWS
+    texts = id_and_text(docs).join(F.broadcast(wanted) if few else wanted, F.col("doc_id") == F.col("_id"), "left_semi")
+    return tiles.join(texts, "doc_id").groupBy("run", "lo", "hi").applyInArrow(run, "a long, b long").distinct()
 
 
 def _partners(own: np.ndarray, size: np.ndarray, name: bytes, percent: int) -> np.ndarray:
@@ -651,12 +658,13 @@ def join(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     # unknown, an empty sketch, where rows that share an id hold different sets of one size
     sketches = found.where("kind = 0 and length(sizes) > 0").groupBy(F.col("x").alias("doc_id"), F.col("y").cast("int").alias("size")).agg(
         F.when(F.min("ids") == F.max("ids"), F.min("sizes")).otherwise(F.lit(b"")).alias("sketch"))
-    tiles = pinned(_open_tiles(runs, parts))
-    likely = pinned(by_class(_likely_links(tiles, sketches, percent)))
+    likely = pinned(_likely_links(_open_tiles(runs, parts), sketches, percent))
     if not likely.isEmpty():
-        links = pinned(links.union(verified(docs, likely, percent)))
+        links = pinned(links.union(verified(docs, pinned(by_class(likely.select("a", "b").distinct())), percent)))
         parts = pinned(connected(links))
-        still = pinned(_undecided(_open_tiles(runs, parts), sketches, percent))
+        # a tile without a likely link before has none now: components only grow
+        tiles = _open_tiles(runs, parts).join(likely.select("run", "lo", "hi").distinct(), ["run", "lo", "hi"], "left_semi")
+        still = pinned(_undecided(tiles, sketches, percent))
         if not still.isEmpty():
             more = pinned(by_class(_exact_links(still, docs, percent)))
             if not more.isEmpty():
