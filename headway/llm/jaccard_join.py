@@ -27,8 +27,8 @@ leave a segment in which the sets differ in at most t shingles.
      cannot be a link is seen without the sets.  Of the pairs left, those that
      would join components (one a component) are verified, and closed.
   2. Documents that sketches still connect across components (pairs just below
-     the limit) are compared in their tiles by their shingles, exactly, and the
-     links that join components go into the last closure.
+     the limit) are gathered with all such partners, a row per document, and
+     verified exactly in turns, those that are in different components by then.
   So no link that could join two components is left out, and rows grow with the
   members of runs, not with their pairs.
 
@@ -64,6 +64,7 @@ PARTNER_RUNS = 6              # in one of so many larger runs, each document als
 PER_HOME = 1_000              # pairs that are verified together
 SKETCH_BITS = 4               # of a sketch per shingle, at least
 TILE = 1_024                  # members of a run in a block; a tile compares two blocks
+TURN = 8                      # undecided partners of a document that the first turn verifies
 BROADCAST_ROWS = 500_000      # of 16 bytes
 CACHE_ROWS = 400_000
 
@@ -499,44 +500,40 @@ def _likely_links(tiles: DataFrame, sketches: DataFrame, percent: int) -> DataFr
 
 
 def _undecided(tiles: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """Members of tiles that sketches connect with another component: each once."""
+    """(doc_id, partners): members that sketches still connect with members of other components, once each."""
     def run(t):
-        tile = _Tile(t, percent)
-        bound, on = _Sketches(tile, t.column("sketch").to_pylist()), np.zeros(t.num_rows, bool)
+        tile, found = _Tile(t, percent), []
+        bound = _Sketches(tile, t.column("sketch").to_pylist())
         for i in range(t.num_rows):
             j = bound(i, tile.met(i)) if tile.last[i] > i + 1 else ()
             if len(j):
-                on[i] = on[j] = True
-        return t.select(TILE_COLUMNS).take(pa.array(tile.order[on]))
-
-    return _sketched(tiles, sketches).applyInArrow(run, TILE_SCHEMA)
+                found.append((int(tile.d[i]), np.unique(tile.d[j])))
+        return pa.table({"doc_id": pa.array([d for d, _ in found], pa.int64()),
+                         "partners": pa.array([x for _, x in found], pa.list_(pa.int64()))})
 
+    return (_sketched(tiles, sketches).applyInArrow(run, "doc_id long, partners array<long>")
+            .groupBy("doc_id").agg(F.array_distinct(F.flatten(F.collect_list("partners"))).alias("partners")))
 
-TILE_COLUMNS = ["run", "lo", "hi", "doc_id", "size", "flag", "part", "block"]
-TILE_SCHEMA = "run long, lo int, hi int, doc_id long, size int, flag int, part long, block int"
 
+def _settled(docs: DataFrame, undecided: DataFrame, links: DataFrame, parts: DataFrame, by_class, percent: int) -> DataFrame:
+    """The components after all pairs of ``undecided`` that are in different ones have been verified.
 
-def _exact_links(tiles: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) that join components, by the members' shingles: a forest per tile.
-
-    Only the texts of members are exchanged.
+    In turns: each looks at the next few partners of every document, leaves out
+    those that have come into its component, and closes the links found; the
+    number of partners a turn grows fourfold, so the turns are few.
     """
-    def run(t):
-        tile, hashes = _Tile(t, percent), WordHashes()
-        sets = [shingles(x, hashes) for x in t.column("text").to_pylist()]
-        sets = [sets[k] for k in tile.order]
-
-        def linked(i, j):
-            own = [k for k in j.tolist() if _similar(sets[i], sets[k], percent)]
-            return np.array(own, np.int64)
-
-        pairs = tile.forest(linked)
-        return pa.table({"a": pa.array([a for a, _ in pairs], pa.int64()), "b": pa.array([b for _, b in pairs], pa.int64())})
-
-    wanted = pinned(tiles.select(F.col("doc_id").alias("_id")).distinct())
-    few = wanted.count() <= BROADCAST_ROWS
-    texts = id_and_text(docs).join(F.broadcast(wanted) if few else wanted, F.col("doc_id") == F.col("_id"), "left_semi")
-    return tiles.join(texts, "doc_id").groupBy("run", "lo", "hi").applyInArrow(run, "a long, b long").distinct()
+    most, done, step = undecided.agg(F.max(F.size("partners"))).first()[0] or 0, 0, TURN
+    while done < most:
+        pairs = undecided.select(F.col("doc_id").alias("a"), F.explode(F.slice("partners", done + 1, step)).alias("b"))
+        part = parts.select(F.col("doc_id").alias("b"), F.col("component_id").alias("pb"))
+        apart = (pairs.join(parts.select(F.col("doc_id").alias("a"), F.col("component_id").alias("pa")), "a", "left").join(part, "b", "left")
+                 .where(F.coalesce("pa", "a") != F.coalesce("pb", "b")))
+        found = pinned(verified(docs, pinned(by_class(apart.select("a", "b"))), percent))
+        if not found.isEmpty():
+            links = pinned(links.union(found))
+            parts = pinned(connected(links))
+        done, step = done + step, 4 * step
+    return parts
 
 
 def _partners(own: np.ndarray, size: np.ndarray, name: bytes, percent: int) -> np.ndarray:
@@ -664,11 +661,7 @@ def join(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         parts = pinned(connected(links))
         # a tile without a likely link before has none now: components only grow
         tiles = _open_tiles(runs, parts).join(likely.select("run", "lo", "hi").distinct(), ["run", "lo", "hi"], "left_semi")
-        still = pinned(_undecided(tiles, sketches, percent))
-        if not still.isEmpty():
-            more = pinned(by_class(_exact_links(still, docs, percent)))
-            if not more.isEmpty():
-                parts = pinned(connected(links.union(more)))
+        parts = _settled(docs, pinned(_undecided(tiles, sketches, percent)), links, parts, by_class, percent)
     ids = id_and_text(docs).select("doc_id").where("doc_id is null").select(
         "doc_id", F.lit(None).cast("long").alias("n_shingles"), F.lit(None).cast("long").alias("component_id"))
     return (sets.select("doc_id", "n_shingles").join(parts, "doc_id", "left")

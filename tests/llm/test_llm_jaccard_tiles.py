@@ -34,6 +34,7 @@ def test_groups_around_the_limit(spark, monkeypatch, tile, bits, partners):
     monkeypatch.setattr(jj, "TILE", tile)
     monkeypatch.setattr(jj, "SKETCH_BITS", bits)
     monkeypatch.setattr(jj, "PARTNER_RUNS", partners)
+    monkeypatch.setattr(jj, "TURN", 2)
     rows = around_the_limit()
     want, _ = brute_components(rows)
     assert 10 < len(set(want.values())) < 280
@@ -45,7 +46,6 @@ def test_rows_grow_with_members_not_with_pairs(spark):
     """Documents that all meet and that nothing links: no stage emits their pairs."""
     rng = random.Random(3)
     rows = [(i, " ".join([f"o{k}" for k in range(70)] + [f"x{rng.randrange(10 ** 6)}" for _ in range(30)])) for i in range(400)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
     parts = spark.createDataFrame([], "doc_id long, component_id long")
     hashes = jj.WordHashes()
     sets = {i: jj.shingles(t, hashes) for i, t in rows}
@@ -56,7 +56,7 @@ def test_rows_grow_with_members_not_with_pairs(spark):
     tiles = jj._open_tiles(runs, parts)
     assert tiles.count() == 400
     assert jj._likely_links(tiles, sketches, 80).count() < 40
-    assert jj._exact_links(jj._undecided(tiles, sketches, 80), docs, 80).count() == 0
+    assert jj._undecided(tiles, sketches, 80).count() < 40
 
 
 def test_sketches_bound_every_intersection():
