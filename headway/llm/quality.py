@@ -1,16 +1,21 @@
 """Operator 5, quality rules as a short-circuit cascade (DataFrame functions only).
 
 Every rule is a predicate over the whole text that is true for a document to be
-rejected.  Cost (seconds a row) and selectivity (share rejected) of each rule
-are measured on a bounded sample; the rules are then tried in descending order
-of rejection per cost, and a document meets the next rule only if no rule before
-has rejected it (CASE WHEN evaluates lazily).  The verdict is the same in any
-order.
+rejected.  On a bounded sample, each rule's cost is the time of a pass with it less
+that of a pass without rules, and one aggregate gives how often the rules reject
+together.  The next rule is the one that rejects most of what the rules before it
+leave, per cost; a document meets it only if none of those has rejected it (CASE
+WHEN evaluates lazily).  The verdict is the same in any order.
+
+``measure`` returns the contract's counts for all documents, so there the rules
+on these counts compare finished numbers and only the rule beyond them is spared;
+``keep``, the filter, evaluates nothing but the cascade.
 
 Words are runs of characters other than space and U+0009 to U+000D.  Windows of
 three words are compared by 64-bit hashes.  Null and empty texts have no words
-and fail.  Repeated rows get the same verdict.  Columns other than doc_id and
-text are ignored by ``measure`` and kept by ``keep``.
+and fail; texts of any length are read whole; a count exactly at a limit passes.
+Repeated rows get the same verdict.  An empty table gives an empty result.
+Columns other than doc_id and text are ignored by ``measure`` and kept by ``keep``.
 """
 
 from __future__ import annotations
@@ -130,29 +135,51 @@ def rules() -> list[Rule]:
     ]
 
 
+def rejects(rule: Rule, text: Column) -> Column:
+    return F.coalesce(rule.rejects(text), F.lit(True))
+
+
+def cascade(costs: dict[str, float], together: list[tuple[frozenset, int]]) -> list[str]:
+    """Rule names by rejections, among documents that no rule before rejects, per cost; the cheaper first where none rejects.
+
+    ``together``: which rules reject, and how many documents they do so for.
+    """
+    order, left = [], list(together)
+    while len(order) < len(costs):
+        def gain(name: str) -> tuple:
+            return -sum(n for by, n in left if name in by) / costs[name], costs[name], name
+
+        best = min((name for name in costs if name not in order), key=gain)
+        order.append(best)
+        left = [(by, n) for by, n in left if best not in by]
+    return order
+
+
 def ordered_rules(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
-    """The rules by rejection per cost, both measured on about ``sample_rows`` rows, drawn by a hash of the id."""
+    """The rules in the order of the cascade, from about ``sample_rows`` rows drawn by a hash of their position."""
     parts = max(1, docs.count() // sample_rows)
-    sample = pinned(id_and_text(docs).where(F.pmod(F.xxhash64("doc_id"), F.lit(parts)) == 0).select("text"))
-    text, found = F.col("text"), []
+    drawn = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(parts)) == 0
+    sample = pinned(id_and_text(docs).withColumn("drawn", drawn).where("drawn").select("text"))
+    text, known = F.col("text"), {rule.name: rule for rule in rules()}
 
-    def run(condition: Column) -> tuple[float, int]:
+    def seconds(condition: Column) -> float:
         began = time.perf_counter()
-        r = sample.agg(F.count_if(condition).alias("n")).first()
-        return time.perf_counter() - began, r["n"] or 0
+        sample.agg(F.count_if(condition)).collect()
+        return time.perf_counter() - began
 
-    run(F.lit(True))                                  # warm
-    for rule in rules():
-        seconds, rejected = run(rule.rejects(text))
-        found.append((-rejected / max(seconds, 1e-6), rule.name, rule))
-    return [rule for *_, rule in sorted(found, key=lambda x: x[:2])]
+    seconds(F.lit(True))                              # warm
+    idle = seconds(F.char_length(text) >= 0)
+    costs = {name: max(seconds(rejects(rule, text)) - idle, 1e-3) for name, rule in known.items()}
+    found = sample.groupBy(*[rejects(rule, text).alias(name) for name, rule in known.items()]).count().collect()
+    together = [(frozenset(name for name in known if r[name]), r["count"]) for r in found]     # 2 ** rules at most
+    return [known[name] for name in cascade(costs, together)]
 
 
 def verdict(text: Column, order: list[Rule]) -> Column:
     """True if no rule rejects the text; later rules are not evaluated for a rejected one."""
-    out = F.when(F.coalesce(order[0].rejects(text), F.lit(True)), F.lit(False))
+    out = F.when(rejects(order[0], text), F.lit(False))
     for rule in order[1:]:
-        out = out.when(F.coalesce(rule.rejects(text), F.lit(True)), F.lit(False))
+        out = out.when(rejects(rule, text), F.lit(False))
     return out.otherwise(F.lit(True))
 
 
