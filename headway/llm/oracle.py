@@ -47,11 +47,11 @@ FROM counts
 def _found(kind: str, pattern: str, value: str) -> str:
     p = pattern.replace("'", "''")
     return f"""
-  SELECT doc_id, source, {secrets.KINDS.index(kind)} AS rank, '{kind}' AS kind, i, {value.format(p=p)} AS value,
+  SELECT doc_id, source, t, {secrets.KINDS.index(kind)} AS rank, '{kind}' AS kind, i, {value.format(p=p)} AS value,
          list_sum(list_transform(g[1:i], lambda x: length(x)))
            + coalesce(list_sum(list_transform(f[1:i - 1], lambda x: length(x))), 0) AS s, length(f[i]) AS n
   FROM (SELECT *, unnest(range(1, len(f) + 1)) AS i
-        FROM (SELECT doc_id, source, regexp_extract_all(t, '{p}') AS f, string_split_regex(t, '{p}') AS g FROM d)
+        FROM (SELECT doc_id, source, t, regexp_extract_all(t, '{p}') AS f, string_split_regex(t, '{p}') AS g FROM d)
         WHERE len(f) > 0)"""
 
 
@@ -70,19 +70,21 @@ fit AS (
 spans AS (
   SELECT a.* FROM fit a WHERE kind <> 'opaque' OR NOT EXISTS (
     SELECT 1 FROM fit b WHERE b.doc_id = a.doc_id AND b.kind <> 'opaque' AND b.s < a.e AND a.s < b.e)),
-owned AS (SELECT value, count(DISTINCT coalesce('+' || source, '-')) AS owners FROM spans GROUP BY value),
+owned AS (
+  SELECT *, owners < {secrets.WIDESPREAD} OR texts < {secrets.WIDESPREAD} AS live
+  FROM (SELECT value, count(DISTINCT coalesce('+' || source, '-')) AS owners, count(DISTINCT t) AS texts FROM spans GROUP BY value)),
 judged AS (
-  SELECT p.*, o.owners < {secrets.WIDESPREAD} AS live FROM spans p JOIN owned o ON o.value = p.value
-  WHERE p.kind <> 'opaque' OR o.owners < {secrets.WIDESPREAD}),
+  SELECT p.*, o.owners, o.texts, o.live FROM spans p JOIN owned o ON o.value = p.value WHERE p.kind <> 'opaque' OR o.live),
 joined AS (
   SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
          count(*) FILTER (kind = 'hex') AS n_hex, count(*) FILTER (live) AS n_live, count(*) FILTER (NOT live) AS n_wide,
          string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank) FILTER (kind <> 'opaque') AS base,
-         string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank) AS spans
+         string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank) AS spans,
+         string_agg(owners || '/' || texts, ',' ORDER BY s, rank) AS ownership
   FROM judged GROUP BY doc_id)
 SELECT d.doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access,
        coalesce(n_hex, 0)::BIGINT AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
-       coalesce(n_live, 0)::BIGINT AS n_live, coalesce(n_wide, 0)::BIGINT AS n_widespread
+       coalesce(n_live, 0)::BIGINT AS n_live, coalesce(n_wide, 0)::BIGINT AS n_widespread, coalesce(ownership, '') AS ownership
 FROM d LEFT JOIN joined j ON j.doc_id = d.doc_id
 """
 

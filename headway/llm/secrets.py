@@ -4,21 +4,24 @@
    ``split`` and ``regexp_extract_all`` by the same pattern give the gaps and
    the matches in turn; their running lengths are the spans in code points.
 2. The candidates' values are hashed and counted over the whole corpus: in how
-   many repositories (here: documents) and owners (here: sources) does a value
-   occur?  Repeats are taken out per (value, owner, repository) first, then
-   summed per (value, owner) and per value, so a value that a third of all rows
-   hold never meets in one task before it is a handful of counters.
-3. A value with at least ``WIDESPREAD`` owners is a widely copied example; a
-   value of one or two owners is a live-looking credential.
+   many distinct repositories (here: texts, so copies of one document are one) and
+   of how many distinct owners (here: sources) does a value occur?  Repeats are
+   taken out per (value, owner) and per (value, repository) before they are
+   exchanged, so a value that a third of all rows hold never meets in one task
+   before it is a handful of counters.
+3. A value of at least ``WIDESPREAD`` owners and as many repositories is a widely
+   copied example.  One that few own, or that only copies of a text or two hold,
+   whoever owns them, is a live-looking credential.
 
 Kinds ``assign``, ``access`` and ``hex`` are the base.  The method adds kind
 ``opaque``: a run of at least 32 URL-safe characters with small letters, capital
-letters and digits, outside all base spans, whose value belongs to fewer than
-``WIDESPREAD`` owners.
+letters and digits, outside all base spans, whose value is live-looking.
 
-A null text is empty.  A null owner counts as an owner of its own.  Repeated
-rows are scanned each, but count once for an owner.  An empty table gives an
-empty result.  Other columns are ignored by ``scan`` and kept by ``redact``.
+A null text is empty.  A null owner counts as an owner of its own.  Texts of any
+length are scanned whole; spans that start together are ordered by kind.  Repeated
+rows are scanned each, but count once for an owner and a repository.  An empty
+table gives an empty result.  Other columns are ignored by ``scan`` and kept by
+``redact``.
 """
 
 from __future__ import annotations
@@ -78,22 +81,23 @@ def _joined(spans: Column) -> Column:
         ":", F.get(names, s["rank"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def candidates(docs: DataFrame, owner: str = "source", repository: str = "doc_id", carry: tuple[str, ...] = ()) -> DataFrame:
-    """One row per document with its spans, a row number that holds from here on, its owner and repository."""
+def candidates(docs: DataFrame, owner: str = "source", carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per document with its spans, its owner and its repository (the text's hash)."""
     text = F.coalesce(F.col("text"), F.lit(""))
     spans = F.transform(F.array(base_spans(text)), lambda b: F.struct(b.alias("base"), F.filter(
         opaque_spans(text), lambda o: ~F.exists(b, lambda s: (s["start"] < o["end"]) & (o["start"] < s["end"]))
     ).alias("more")))[0]
-    return docs.select(F.col(repository).cast("string").alias("_repository"), F.col(owner).cast("string").alias("_owner"),
+    return docs.select(F.xxhash64(text).alias("_repository"),
+                       F.coalesce(F.concat(F.lit("+"), F.col(owner).cast("string")), F.lit("-")).alias("_owner"),
                        spans.alias("_spans"), *carry)
 
 
 def ownership(found: DataFrame) -> DataFrame:
-    """(_value, n_repositories, n_owners) of rows (_value, _owner, _repository): the whole corpus."""
-    once = found.groupBy("_value", "_owner", "_repository").agg(F.lit(1).alias("_one"))
-    by_owner = once.groupBy("_value", "_owner").agg(F.count("*").alias("_repositories"))
-    return by_owner.groupBy("_value").agg(F.sum("_repositories").alias("n_repositories"),
-                                          F.count("*").alias("n_owners"))
+    """(_value, n_owners, n_repositories) of rows (_value, _owner, _repository): the whole corpus."""
+    def distinct(of: str, name: str) -> DataFrame:
+        return found.select("_value", of).distinct().groupBy("_value").agg(F.count("*").alias(name))
+
+    return distinct("_owner", "n_owners").join(distinct("_repository", "n_repositories"), "_value")
 
 
 def judged(found: DataFrame, widespread: int = WIDESPREAD) -> DataFrame:
@@ -103,11 +107,12 @@ def judged(found: DataFrame, widespread: int = WIDESPREAD) -> DataFrame:
             .withColumn("_value", F.xxhash64("_span.value")))
     owned = ownership(flat.select("_value", "_owner", "_repository"))
     return (flat.join(owned, "_value")
-            .withColumn("_live", F.col("n_owners") < widespread)
+            .withColumn("_live", (F.col("n_owners") < widespread) | (F.col("n_repositories") < widespread))
             .where(F.col("_live") | (F.col("_span.rank") < KINDS.index("opaque")))
             .groupBy("_row").agg(F.sort_array(F.collect_list(F.struct(
                 F.col("_span.start").alias("start"), F.col("_span.rank").alias("rank"),
-                F.col("_span.end").alias("end"), F.col("_live").alias("live")))).alias("_judged")))
+                F.col("_span.end").alias("end"), F.col("_live").alias("live"),
+                F.concat_ws("/", "n_owners", "n_repositories").alias("held")))).alias("_judged")))
 
 
 def scan(docs: DataFrame, widespread: int = WIDESPREAD) -> DataFrame:
@@ -119,12 +124,14 @@ def scan(docs: DataFrame, widespread: int = WIDESPREAD) -> DataFrame:
     def n(kind: str) -> Column:
         return F.size(F.filter(base, lambda s: s["rank"] == KINDS.index(kind))).cast("long")
 
-    spans = F.coalesce("_judged", F.array().cast("array<struct<start:int,rank:int,end:int,live:boolean>>"))
+    spans = F.coalesce("_judged", F.array().cast("array<struct<start:int,rank:int,end:int,live:boolean,held:string>>"))
     return (found.join(judged(found, widespread), "_row", "left")
             .select("doc_id", n("assign").alias("n_assign"), n("access").alias("n_access"), n("hex").alias("n_hex"),
                     F.sha2(_joined(base).cast("binary"), 256).alias("base_sha256"), _joined(spans).alias("spans"),
                     F.size(F.filter(spans, lambda s: s["live"])).cast("long").alias("n_live"),
-                    F.size(F.filter(spans, lambda s: ~s["live"])).cast("long").alias("n_widespread")))
+                    F.size(F.filter(spans, lambda s: ~s["live"])).cast("long").alias("n_widespread"),
+                    # owners and repositories of each span's value, in the order of ``spans``
+                    F.array_join(F.transform(spans, lambda s: s["held"]), ",").alias("ownership")))
 
 
 def redact(docs: DataFrame, mark: str = MARK, widespread: int = WIDESPREAD) -> DataFrame:

@@ -35,14 +35,15 @@ def secret_spans(text: str):
 
 
 def redacted(rows):
-    owners = collections.defaultdict(set)
+    owners, texts = collections.defaultdict(set), collections.defaultdict(set)
     for _, text, source in rows:
         for *_, value in secret_spans(text):
             owners[value].add(source)
+            texts[value].add(text)
     for i, text, source in rows:
         out, at = "", 0
         for s, e, value in secret_spans(text):
-            if len(owners[value]) < secrets.WIDESPREAD:
+            if min(len(owners[value]), len(texts[value])) < secrets.WIDESPREAD:
                 if s >= at:
                     out += text[at:s] + secrets.MARK
                 at = max(at, e)
