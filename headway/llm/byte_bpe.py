@@ -8,8 +8,9 @@ touched neighbours enter the index anew.  Ids of known pre-tokens, and of chunks
 of text between single spaces, are cached per worker, in bounded tables.
 Decoding joins the bytes of the ids.
 
-A null text is empty and has no tokens.  Repeated rows give repeated rows.  An
-empty table gives an empty result.  Columns other than doc_id and text are
+A null text is empty and has no tokens.  Texts of any length are encoded whole.
+Of equal pairs the leftmost merges first, as in the library.  Repeated rows give
+repeated rows.  An empty table gives an empty result.  Columns other than doc_id and text are
 ignored.
 """
 

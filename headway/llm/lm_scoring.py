@@ -15,9 +15,10 @@ are gathered into cells of (bucket, binned c(u,w)/c(u), binned c(w)/N), at most
 ``BUCKETS * BINS * BINS`` of them however large the corpus, and the driver
 iterates on these.
 
-A null or empty text is one end token.  Repeated rows train and score as often
-as they occur.  A null id is in fold 0.  Without training documents the score is
-that of V = N = 0: each token has probability 1.  Columns other than doc_id and
+A null or empty text is one end token; texts of any length train and score whole.
+Repeated rows, and texts that tie in all counts, train and score as often as they
+occur.  A null id is in fold 0.  Without training documents the score is that of
+V = N = 0: each token has probability 1.  An empty table gives an empty result.  Columns other than doc_id and
 text are ignored.
 """
 

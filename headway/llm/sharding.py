@@ -16,7 +16,7 @@ slots are gapless, and both can be computed from a row number alone.
   a numbers lie outside, and the longest walk through them is found beforehand,
   so the walk needs no loop over the data.
 
-Null text: no bytes, size 16, checksum 0.  A null id is a value like any other.
+Null text: no bytes, size 16, checksum 0.  Texts of any length count whole.  A null id is a value like any other.
 Repeated rows get slots of their own.  An empty table gives an empty result.
 Other columns are ignored.
 """

@@ -7,8 +7,9 @@ at most ``SUMMARY_ROWS`` counters, and a partially aggregated sum over the
 summaries.  Tier two is a cache in each worker which encodes misses with the
 library.  No pre-token of a document is shuffled; only the summaries are.
 
-Null and empty texts have 0 bytes and 0 tokens.  Repeated rows give repeated
-rows.  An empty table gives an empty result.  Columns other than doc_id and
+Null and empty texts have 0 bytes and 0 tokens.  Texts of any length are counted
+whole.  Which pre-tokens of equal frequency are in the table changes no count.
+Repeated rows give repeated rows.  An empty table gives an empty result.  Columns other than doc_id and
 text are ignored.
 """
 

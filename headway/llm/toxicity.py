@@ -21,8 +21,12 @@ or label.
    words alone.  The score is the probability that any of these is toxic; words
    with a marginal of a half or more are the offending spans (code points).
 
-A null or empty text has no words and scores 0.  Without labels of both kinds
-every score is 0.  Repeated rows score alike.  Other columns are ignored by
+A null or empty text has no words and scores 0; texts of any length are scored
+whole.  A score of exactly a half is predicted toxic.  Ties in the choice of features
+go to the feature that comes first as text.  Without labels of both kinds, or
+with empty tables, every score is 0.  Repeated rows score alike.  Beyond
+``CANDIDATES`` and ``MAX_FEATURES`` those of the lowest odds times toxic documents are left
+out.  Other columns are ignored by
 ``score`` and kept by ``keep_clean``.
 """
 
