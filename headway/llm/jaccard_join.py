@@ -668,19 +668,47 @@ def join(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
             .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")).union(ids))
 
 
+def _by_text(docs: DataFrame) -> DataFrame:
+    """(vertex, doc_id, hash): a vertex for every different text of an id; the id itself where it has one text only.
+
+    Texts of an id with several get numbers of their own beyond the ids, so that one
+    of them may go without the others.
+    """
+    rows = id_and_text(docs).where("doc_id is not null").select("doc_id", F.sha2(F.col("text").cast("binary"), 256).alias("hash"))
+    texts = rows.groupBy("doc_id").agg(F.min("hash").alias("lo"), F.max("hash").alias("hi"))
+    single = texts.where("lo = hi").select(F.col("doc_id").alias("vertex"), "doc_id", F.col("lo").alias("hash"))
+    several = pinned(rows.join(texts.where("lo != hi").select("doc_id"), "doc_id").distinct())
+    ends = texts.agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).first()
+    if ends["hi"] is None:
+        return single
+    number = F.monotonically_increasing_id()
+    beyond = F.lit(ends["hi"] + 1) + number if ends["hi"] < 2 ** 62 else F.lit(ends["lo"] - 1) - number
+    return single.unionByName(several.select(beyond.alias("vertex"), "doc_id", "hash"))
+
+
 def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Of every group of linked documents, the one with the smallest id, with all its columns.
+    """Of every group of linked documents one row, with all its columns: that of the smallest id.
 
-    Of rows with that id and equal texts one stays; rows that share the id but not
-    the text all stay, since nothing says which text is meant.  Rows without an id
-    are kept.
+    Rows are told apart by id and text: equal ones are one document, and texts that
+    share an id are documents of their own, so a text that nothing is linked with
+    stays whatever its id.  Rows without an id are kept.
     """
-    kept = join(docs, percent).where("doc_id = component_id").select("component_id").distinct()
     at = {c.lower() for c in docs.columns}
     key, text = (next(n for n in (f"{base}{k}" for k in range(len(at) + 1)) if n not in at) for base in ("_kept", "_text_hash"))
-    kept = kept.select(F.col("component_id").alias(key))
-    named = docs.where(F.col("doc_id").isNotNull())
-    one = (named.withColumn(key, F.col("doc_id").cast("long")).join(kept, key, "left_semi")
-           .withColumn(text, F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))
-           .dropDuplicates([key, text]).select(*[F.col(f"`{c}`") for c in docs.columns]))
+    vertices = pinned(_by_text(docs))
+    named = docs.where(F.col("doc_id").isNotNull()).withColumn(key, F.col("doc_id").cast("long")).withColumn(
+        text, F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))
+    moved = vertices.where("vertex != doc_id").select("vertex", F.col("doc_id").alias(key), F.col("hash").alias(text))
+    if not moved.isEmpty():
+        texts = named.select(key, text, "text").join(moved, [key, text], "left").withColumn(key, F.coalesce("vertex", key))
+        joined = join(texts.select(F.col(key).alias("doc_id"), "text"), percent).select(
+            F.col("doc_id").alias("vertex"), "component_id").distinct()
+        first = vertices.join(joined, "vertex").groupBy("component_id").agg(F.min(F.struct("doc_id", "hash")).alias("first"))
+        stay = first.select(F.col("first.doc_id").alias(key), F.col("first.hash").alias(text))
+    else:
+        kept = join(docs, percent).where("doc_id = component_id").select("component_id").distinct()
+        stay = vertices.join(kept, F.col("vertex") == F.col("component_id"), "left_semi").select(
+            F.col("doc_id").alias(key), F.col("hash").alias(text))
+    one = (named.join(stay, [key, text], "left_semi").dropDuplicates([key, text])
+           .select(*[F.col(f"`{c}`") for c in docs.columns]))
     return one.unionByName(docs.where(F.col("doc_id").isNull()))

@@ -94,6 +94,15 @@ def test_keep_one_with_repeated_ids_and_clashing_names(spark):
             [(1, TEXTS["a"]), (1, TEXTS["b"]), (3, ""), (0, TEXTS["a"]), (0, TEXTS["a"])])
 
 
+def test_a_text_that_nothing_is_linked_with_stays_whatever_its_id(spark):
+    other = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
+    rows = [(2, TEXTS["a"]), (3, TEXTS["a"]), (3, TEXTS["b"]), (4, other), (4, TEXTS["b"]), (2 ** 62, "x"), (-7, other)]
+    kept = jj.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    ids = sorted((r.doc_id, r.text) for r in kept)
+    assert {t for _, t in ids} == {TEXTS["a"], TEXTS["b"], other, "x"} and len(ids) == 4
+    assert (2, TEXTS["a"]) in ids and (-7, other) in ids and ids.count((3, TEXTS["a"])) == 0
+
+
 def test_repeated_ids_with_other_texts_link_by_each(spark):
     rows = [(5, TEXTS["a"]), (5, TEXTS["b"]), (7, TEXTS["a"]), (8, TEXTS["b"])]
     got = {(r.doc_id, r.component_id) for r in jj.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
