@@ -4,8 +4,12 @@ Each stage takes (spark, docs, sf_dir) and returns a frame; ``run`` writes what
 stage keeps as Parquet in the shared folder and reads it again for the next.
 All stages but the last return the columns of their input.
 
-Rows without an id pass the near-duplicate stage as they are; an empty table
-passes every stage as an empty one.
+A null or empty text fails the quality rules and goes; very long texts are judged,
+compared, scanned and packed whole.  Rows without an id pass the near-duplicate
+stage as they are.  Of rows that repeat an id and its text one stays there; repeated
+texts under other ids go but for the smallest id, which also settles ties.  Extra
+columns, whatever their names, stay until the last stage, which returns pieces.
+An empty table passes every stage as an empty one.
 """
 
 from __future__ import annotations
