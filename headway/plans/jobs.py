@@ -242,13 +242,15 @@ def compact_landed_day(spark: SparkSession, landed_dir: str, days_dir: str, day,
                        target_bytes: int = TARGET_FILE_BYTES) -> int:
     """Fold a day's landed polls into day files of about ``target_bytes``, planned from the listed sizes.
 
+    Rows that are stored in few bytes get smaller files: a task reads no more than
+    ``files.ROWS_PER_FILE`` or so.
     The landed folders stay as they are (removing them is the store's retention);
     a poll that lands late or again is folded by the next run.  The number of files is returned.
     """
     d = as_date(day)
     total = _landed_versions(spark, landed_dir, d).agg(F.sum("bytes")).first()[0] or 0
-    n = max(1, -(-total // target_bytes))
     rows = pin(read_landed_day(spark, landed_dir, days_dir, d))          # the day that is read is rewritten
+    n = files.file_count(rows.count(), at_least=-(-total // target_bytes))
     files.write_day_partitioned(rows, days_dir, files_per_day=n, salt_cols=tuple(
         c for c in rows.columns if rows.schema[c].dataType.typeName() not in ("map", "variant")))
     return n

@@ -39,6 +39,15 @@ def read_or_empty(spark: SparkSession, path: str, schema: str | StructType) -> D
     return spark.createDataFrame([], schema)
 
 
+#: Rows of a file whose count is planned: one task reads and writes a file.
+ROWS_PER_FILE = 1 << 22
+
+
+def file_count(rows: int, at_least: int = 1) -> int:
+    """Files for a day of so many rows, so that no task writes more than ``ROWS_PER_FILE`` or so."""
+    return max(at_least, -(-rows // ROWS_PER_FILE))
+
+
 def write_day_partitioned(df: DataFrame, path: str, date_col: str = "service_date",
                           files_per_day: int | None = None, compression: str = "gzip",
                           salt_cols: tuple[str, ...] = (), within: tuple[str, ...] = ()) -> None:
@@ -50,7 +59,7 @@ def write_day_partitioned(df: DataFrame, path: str, date_col: str = "service_dat
     By default rows are rebalanced by day: AQE writes a small day as one file
     and splits a large day into advisory-size files, so no day is funnelled
     through one task.  ``files_per_day`` instead fixes the count, rows spread by
-    a hash of ``salt_cols``.
+    a hash of ``salt_cols``; ``file_count`` gives one that large days can have.
     """
     if files_per_day is None:
         shaped = df.hint("rebalance", date_col, *within)
