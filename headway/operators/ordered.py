@@ -28,10 +28,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, partition_count
 
 SLICE = "_slice"
-SLICES_CONF = "headway.slices"       # slice count of ordered steps (default: shuffle partitions)
+SLICES_CONF = "headway.slices"       # slice count of ordered steps (default: session.partition_count)
 
 
 def _cols(names: Sequence[str]) -> list[Column]:
@@ -69,9 +69,9 @@ def by_slice(df: DataFrame, num_slices: int | None = None) -> DataFrame:
 
 
 def slice_count(spark) -> int:
-    """``headway.slices`` if set, else the shuffle partitions: the setting that sizes every other exchange."""
+    """``headway.slices`` if set, else the partitions that every other exchange has."""
     configured = spark.conf.get(SLICES_CONF, None)
-    return int(configured or spark.conf.get("spark.sql.shuffle.partitions"))
+    return int(configured) if configured else partition_count(spark)
 
 
 def _slice_window(order: Sequence[str]):

@@ -23,7 +23,7 @@ from .plans import jobs
 from .plans import punctuality as pn
 from .plans import schedule as sc
 from .plans import static_refresh as sr
-from .session import configure, ensure_checkpoint_dir
+from .session import configure, ensure_checkpoint_dir, size_exchanges
 from .sinks import files, tables
 from .sources import fixtures as fx
 from .sources import gtfs
@@ -40,6 +40,7 @@ QUERIES: dict[str, Query] = {}
 def query(fn: Query) -> Query:
     def wrapped(spark: SparkSession, sf_dir: str) -> DataFrame:
         configure(spark)
+        size_exchanges(spark, sf_dir)
         return fn(spark, sf_dir)
     wrapped.__name__ = fn.__name__
     wrapped.__doc__ = fn.__doc__

@@ -13,6 +13,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
+from ..session import partition_count
+
 # Keys of the layouts the plans use
 BY_TRIP = ("trip_id",)                          # J2, J6
 BY_STOP = ("trip_id", "stop_sequence")          # J3, J4: a hot trip is spread over its stops
@@ -21,11 +23,11 @@ BY_STOP = ("trip_id", "stop_sequence")          # J3, J4: a hot trip is spread o
 def write_bucketed(df: DataFrame, table: str, path: str, keys: Sequence[str], buckets: int | None = None) -> DataFrame:
     """Store ``df`` at ``path`` as ``table``, bucketed and sorted by ``keys``, and read it back.
 
-    ``buckets`` defaults to the shuffle partitions, the number that the other side
+    ``buckets`` defaults to the partitions of an exchange, the number that the other side
     of a join is dealt into.  A table of that name is replaced.
     """
     spark = df.sparkSession
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = buckets or partition_count(spark)
     (df.repartition(n, *keys).write.mode("overwrite").format("parquet").option("path", path)
      .bucketBy(n, *keys).sortBy(*keys).saveAsTable(table))
     return spark.table(table)

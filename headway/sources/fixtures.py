@@ -14,6 +14,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import sized_partitions
+
 SERVICE_DAY = dt.date(2023, 12, 1)
 SERVICE_TZ = "America/Montreal"
 LOCAL_MIDNIGHT = 1701406800
@@ -33,9 +35,12 @@ def _grouped(df: DataFrame, *keys: str):
 
     The fixture keys identify lineitem rows, so a map-side partial aggregate
     would not shrink anything; clustering first keeps the one exchange and runs
-    the aggregation in parallel after it, however few splits the scan has.
+    the aggregation in parallel after it, however few splits the scan has.  A large
+    input has a fixed number of partitions: joined again at run time, their groups
+    would fill a task's memory.
     """
-    return df.repartition(*keys).groupBy(*keys)
+    n = sized_partitions(df.sparkSession)
+    return (df.repartition(n, *keys) if n else df.repartition(*keys)).groupBy(*keys)
 
 
 def _clock_text(sec: F.Column) -> F.Column:
