@@ -52,12 +52,14 @@ def pin(df: DataFrame) -> DataFrame:
 def slice_by_order(df: DataFrame, order: Sequence[str], num_slices: int | None = None) -> DataFrame:
     """Range-partition ``df`` on ``order`` (ascending, nulls first) and tag each row with its slice.
 
+    A task of the pinned frame holds one slice, so aggregates per slice move a row
+    a task; windows take the frame ``by_slice``.
     ``order`` should be a total order (unique key) so neighbours are well defined.
     """
     n = num_slices or slice_count(df.sparkSession)
     sliced = (df.repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in order])
               .withColumn(SLICE, F.spark_partition_id()))
-    return by_slice(pin(sliced), n)
+    return pin(sliced)
 
 
 def by_slice(df: DataFrame, num_slices: int | None = None) -> DataFrame:
@@ -151,7 +153,7 @@ def with_neighbour(base: DataFrame, order: Sequence[str], cols: Sequence[str], d
     """``apply_neighbour`` with edges taken from ``base`` itself (``base`` is a sliced frame)."""
     prev = _check_direction(direction)
     ends = slice_ends(base, order, prev_cols=cols if prev else (), next_cols=() if prev else cols)
-    return apply_neighbour(base, order, cols, direction, out, neighbour_edges(ends, direction))
+    return apply_neighbour(by_slice(base), order, cols, direction, out, neighbour_edges(ends, direction))
 
 
 def _check_direction(direction: str) -> bool:
@@ -173,7 +175,7 @@ def apply_group_max(df: DataFrame, group: Sequence[str], value: str, out: str,
 def with_group_max(base: DataFrame, order: Sequence[str], group: Sequence[str], value: str,
                    out: str) -> DataFrame:
     ends = slice_ends(base, order, group=group, value=value)
-    return apply_group_max(base, group, value, out, group_max_edges(ends, group))
+    return apply_group_max(by_slice(base), group, value, out, group_max_edges(ends, group))
 
 
 # ---------------------------------------------------------------- segmented scan
@@ -221,7 +223,7 @@ def segmented_scan(base: DataFrame, order: Sequence[str], following: Sequence[st
     (or cheap): it is read once for the summary and once for the pass, and no
     step upstream of it runs again.  ``group`` is a prefix of ``order``.
     """
-    ends = slice_ends(base, order, next_cols=following, group=group, value=value)
+    ends = pin(slice_ends(base, order, next_cols=following, group=group, value=value))     # used several times
     summary = ends.select(SLICE, F.lead("first_row").over(Window.orderBy(SLICE)).alias("_edge"),
                           *([F.col("first_group").alias("head"), F.col("last_group").alias("tail")] if group else []))
     if group:
@@ -249,7 +251,7 @@ def with_group_ends(base: DataFrame, group: Sequence[str], order: Sequence[str],
              .withColumn(out_last, F.last(value).over(whole_group)))
     piece = F.struct(*_cols(group), F.col(out_first).alias("a"), F.col(out_last).alias("z"))
     key = F.struct(*_cols(group))
-    ends = local.groupBy(SLICE).agg(F.min_by(piece, key).alias("head"), F.max_by(piece, key).alias("tail"))
+    ends = pin(local.groupBy(SLICE).agg(F.min_by(piece, key).alias("head"), F.max_by(piece, key).alias("tail")))
     seams = pin(_seams(ends, group, [F.min_by("a", SLICE).alias("a"), F.max_by("z", SLICE).alias("z")]))
     return (local.join(F.broadcast(seams), SLICE, "left")
             .withColumn(out_first, _completed(group, "a", F.col(out_first)))
@@ -288,7 +290,7 @@ def global_row_number(base: DataFrame, order: Sequence[str], out: str = "index")
     offsets = counts.select(
         SLICE, (F.sum("n").over(Window.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)))
         .alias("before"))
-    local = base.withColumn(out, F.row_number().over(_slice_window(order)) - 1)
+    local = by_slice(base).withColumn(out, F.row_number().over(_slice_window(order)) - 1)
     return (local.join(F.broadcast(offsets), SLICE, "left")
             .withColumn(out, F.col(out) + F.coalesce(F.col("before"), F.lit(0)))
             .drop("before", SLICE))

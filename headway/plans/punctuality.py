@@ -119,9 +119,10 @@ def _on_schedule(positions: DataFrame, stu: DataFrame, exact: bool) -> DataFrame
     schedule = stu.withColumnRenamed("stop_sequence", SEQ)
     kept = (with_neighbour(slice_by_order(positions, ORDER), ORDER, ["trip_id", SEQ], "prev", "_prev")
             .where(_keep_polled("_prev", exact) & F.col("vehicle_timestamp").isNotNull()).drop("_prev"))
-    return (kept.join(schedule, ["trip_id", SEQ])
-            .where(F.col("arrival_time_unix").isNotNull()
-                   & (F.abs(F.col("timefetch") - F.col("arrival_time_unix")) <= POLL_WINDOW_S)))
+    # null times are dropped by the coalesce: as a filter of its own, "is not null" would move down to
+    # the scan of the schedule and work out the clock of every row a second time
+    near = F.abs(F.col("timefetch") - F.col("arrival_time_unix")) <= POLL_WINDOW_S
+    return kept.join(schedule, ["trip_id", SEQ]).where(F.coalesce(near, F.lit(False)))
 
 
 def positions_on_schedule(positions: DataFrame, stu: DataFrame, exact: bool = True) -> DataFrame:
