@@ -62,6 +62,7 @@ RANGE_BYTES = 20_000_000      # text bytes per key range
 SMALL_RUN = 8
 PARTNER_RUNS = 6              # in one of so many larger runs, each document also meets one by a hash
 PER_HOME = 1_000              # pairs that are verified together
+TASK_ROWS, LEAST_TASKS = 20_000, 8      # pairs or links that a task is given at least, where tasks would be more than the second
 SKETCH_BITS = 4               # of a sketch per shingle, at least
 TILE = 1_024                  # members of a run in a block; a tile compares two blocks
 TURN = 8                      # undecided partners of a document that the first turn verifies
@@ -558,6 +559,11 @@ def _flatten(batches):
                  pa.array(np.frombuffer(flags, np.uint8).astype(np.int32))], ["run", "members", "doc_id", "size", "flag"])
 
 
+def _in_few(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` in no more partitions than so many rows need: a task of a small frame leaves files at every exchange."""
+    return df.coalesce(max(LEAST_TASKS, -(-rows // TASK_ROWS)))
+
+
 def verified(docs: DataFrame, pairs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The pairs (a, b) of a pinned frame whose texts are similar enough, exactly.
 
@@ -565,12 +571,14 @@ def verified(docs: DataFrame, pairs: DataFrame, percent: int = PERCENT) -> DataF
     with many partners has several homes.
     """
     spark = docs.sparkSession
-    homes = max(1, pairs.count() // PER_HOME)
+    count = pairs.count()
+    homes, pairs = max(1, count // PER_HOME), _in_few(pairs, count)
     partners = pairs.groupBy("a").agg(F.ceil(F.count("*") / PER_HOME).alias("own"))
     homed = pinned(pairs.join(partners, "a").select(
         "a", "b", F.pmod(F.xxhash64("a", F.pmod(F.xxhash64("b"), "own")), F.lit(homes)).alias("home")))
+    homed = _in_few(homed, count)
     wanted = homed.select(F.col("a").alias("doc_id"), "home").union(homed.select("b", "home")).distinct()
-    wanted = pinned(wanted)
+    wanted = pinned(_in_few(wanted, 2 * count))
     n = wanted.count()
     if not n:
         return spark.createDataFrame([], "a long, b long")
@@ -604,8 +612,11 @@ def connected(links: DataFrame) -> DataFrame:
     Large-star and small-star steps in turn, each a partially aggregated minimum
     and an equi-join, until the links are stars around the smallest ids.
     """
+    count = links.count()
+    links = _in_few(links, count)
+
     def ordered(df, x, y):
-        return df.select(F.greatest(x, y).alias("u"), F.least(x, y).alias("v")).where("u != v").distinct()
+        return _in_few(df.select(F.greatest(x, y).alias("u"), F.least(x, y).alias("v")).where("u != v").distinct(), count)
 
     def starred(df) -> bool:
         """Whether every document has one smaller neighbour at most, and none if it has a larger one."""
@@ -621,7 +632,7 @@ def connected(links: DataFrame) -> DataFrame:
         large = ordered(both.join(least, "u").where("v > u"), "v", "m")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u")
-        edges = pinned(small.select("v", "m").union(small.select("u", "m")).toDF("u", "v").where("u != v").distinct())
+        edges = pinned(_in_few(small.select("v", "m").union(small.select("u", "m")).toDF("u", "v").where("u != v").distinct(), count))
     root = edges.select(F.col("v").alias("doc_id")).distinct()
     return edges.select(F.col("u").alias("doc_id"), F.col("v").alias("component_id")).union(
         root.select("doc_id", F.col("doc_id").alias("component_id")))
