@@ -4,8 +4,8 @@ A task takes the pre-tokens of a chunk of its documents that its worker does not
 know yet and replays the merges on all of them at once: an inverted index leads
 from each merge's rank to the positions of its pair in this small corpus; the
 lowest rank is taken, all its positions are merged, and only the pairs with the
-touched neighbours enter the index anew.  Ids of known pre-tokens, and of chunks
-of text between single spaces, are cached per worker, in bounded tables.
+touched neighbours enter the index anew.  A rank with many positions is merged by
+arrays.  Ids of known pre-tokens are cached per worker, in a bounded table.
 Decoding joins the bytes of the ids.
 
 A null text is empty and has no tokens.  Texts of any length are encoded whole.
@@ -19,6 +19,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+from array import array
 from bisect import bisect_right
 
 import numpy as np
@@ -28,7 +29,8 @@ from pyspark.sql import DataFrame
 
 from headway.llm.common import id_and_text, share_vocabulary
 
-CACHE_ROWS = 400_000       # entries of each of a worker's tables before it starts anew
+CACHE_ROWS = 600_000       # entries of a worker's table before it starts anew
+MANY = 16                  # positions of a rank that are merged by arrays
 CHUNK_CHARS = 4_000_000    # text of a chunk of documents; a longer document is a chunk of its own
 
 
@@ -47,35 +49,47 @@ class MergeReplay:
                 left, right = get(token[:k]), get(token[k:])
                 if left is not None and right is not None:
                     self.merged[left << 17 | right] = rank
-        of = np.array(self.bytes)
+        of = np.array(self.bytes, np.int32)
         self.byte_id = of
         self.byte_pair = np.full((256, 256), -1, np.int32)
         for x in range(256):
             for y in range(256):
                 self.byte_pair[x, y] = self.merged.get(int(of[x]) << 17 | int(of[y]), -1)
+        keys, to = np.array([*self.merged], np.int64), np.array([*self.merged.values()], np.int32)
+        left, right, most = (keys >> 17).astype(np.int32), (keys & (1 << 17) - 1).astype(np.int32), max(self.token)
+        # what follows, or comes before, each id in a pair, and what they merge to
+        self.follows, self.precedes = _pairs_by(left, right, to, most), _pairs_by(right, left, to, most)
+        # ids that merge further to a lower rank than their own: a word with one must not go on with its other pairs
+        self.unruly = {*left[to < left].tolist(), *right[to < right].tolist()}
+        self.ranked = np.full(most + 1, -1, np.int32)       # by neighbour, filled for one merge at a time
 
     def encode(self, words: list[bytes]) -> list[list[int]]:
         """Ids of each word.  A word that is a token is that token, as in the library."""
-        out: list[list[int] | None] = [None] * len(words)
-        owner = []
+        return [np.frombuffer(p, "<u4").tolist() for p in self.packed(words)]
+
+    def packed(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each word, as little-endian unsigned 32-bit integers."""
+        out = [b""] * len(words)
+        owner, whole = [], self.ranks.get
         for k, word in enumerate(words):
-            whole = self.ranks.get(word)
-            if whole is not None or not word:
-                out[k] = [whole] if word else []
-            else:
+            rank = whole(word)
+            if rank is not None:
+                out[k] = rank.to_bytes(4, "little")
+            elif word:
                 owner.append(k)
         if owner:
-            ids, after, starts = self._replay([words[k] for k in owner])
-            for at, k in zip(starts, owner):
-                own = []
-                while at >= 0:
-                    own.append(ids[at])
-                    at = after[at]
-                out[k] = own
+            ids, starts = self._replay([words[k] for k in owner])
+            left = ids >= 0
+            ends = 4 * np.cumsum(np.add.reduceat(left, starts, dtype=np.int64))
+            data, begin = ids[left].astype("<u4").tobytes(), 0
+            for k, end in zip(owner, ends.tolist()):
+                out[k] = data[begin:end]
+                begin = end
         return out
 
-    def _replay(self, words: list[bytes]) -> tuple[list[int], list[int], list[int]]:
-        """Merge all words at once; the ids by position, the next position in the word, the words' first positions."""
+    def _replay(self, words: list[bytes]) -> tuple[np.ndarray, list[int]]:
+        """Merge all words at once; the ids by position (-1 where a token has been merged into the one before),
+        the words' first positions."""
         data = np.frombuffer(b"".join(words), np.uint8)
         n = len(data)
         ends = np.cumsum([len(w) for w in words])
@@ -86,18 +100,30 @@ class MergeReplay:
         following, previous = np.arange(1, n + 1), np.arange(-1, n - 1)
         following[ends - 1] = -1
         previous[starts] = -1
-        ids, after, before = self.byte_id[data].tolist(), following.tolist(), previous.tolist()
-        # the inverted index: rank -> positions of pairs that merge to it, in order
+        # read and written by position here, and by many positions through `arrays`
+        ids, after, before = _array(self.byte_id[data]), _array(following), _array(previous)
+        now = _array(rank)              # rank of the pair that begins at each position, -1 if there is none
+        arrays = [np.frombuffer(x, np.int32) for x in (ids, after, before, now)]
+        # the inverted index: rank -> positions of pairs that merge to it
         at = np.flatnonzero(rank >= 0)
         at = at[np.argsort(rank[at], kind="stable")]
         found, first = np.unique(rank[at], return_index=True)
         index = dict(zip(found.tolist(), (x.tolist() for x in np.split(at, first[1:])))) if len(at) else {}
-        now = rank.tolist()             # rank of the pair that begins at each position, -1 if there is none
         heap = list(index)              # sorted, so a heap
         merged, push = self.merged.get, heapq.heappush
         while heap:
             rank = heapq.heappop(heap)
             positions = index.pop(rank)
+            if len(positions) >= MANY and rank not in self.unruly:
+                fresh = self._merge_all(rank, positions, *arrays)
+                if fresh is not None:
+                    for new, at in fresh:
+                        if new in index:
+                            index[new].append(at)
+                        else:
+                            index[new] = [at]
+                            push(heap, new)
+                    continue
             positions.sort()
             held = -1                   # up to here, a word waits for a lower rank that has come up in it
             for at in positions:
@@ -112,7 +138,7 @@ class MergeReplay:
                     continue
                 gone = after[at]
                 beyond, left, least = after[gone], before[at], rank
-                ids[at], now[gone], after[at], new = rank, -1, beyond, -1
+                ids[at], ids[gone], now[gone], after[at], new = rank, -1, -1, beyond, -1
                 if beyond >= 0:
                     before[beyond] = at
                     new = merged(rank << 17 | ids[beyond], -1)
@@ -138,61 +164,73 @@ class MergeReplay:
                 if least < rank:
                     k = bisect_right(starts, at)
                     held = starts[k] if k < len(starts) else n
-        return ids, after, starts
+        return arrays[0], starts
+
+    def _merge_all(self, rank: int, positions: list[int], ids, after, before, now):
+        """Merge the pairs of a rank at all its positions; the ranks and positions of the new pairs that merge further.
+
+        None, and nothing done, if two of the pairs share a token: then their order counts.
+        """
+        at = np.sort(np.array(positions, np.int32))
+        at = at[(now[at] == rank) & np.append(at[1:] != at[:-1], True)]
+        gone = after[at]
+        if (now[gone] == rank).any():
+            return None
+        beyond = after[gone]
+        ids[at], ids[gone], now[gone], after[at] = rank, -1, -1, beyond
+        inner = beyond >= 0
+        before[beyond[inner]] = at[inner]
+        now[at] = -1
+        ends, left = at[inner], before[at]
+        left = left[left >= 0]
+        # the left neighbours' pairs come last: where one is itself of this merge, both ways give the same
+        for pairs, here, neighbour in ((self.follows, ends, beyond[inner]), (self.precedes, left, left)):
+            starts, others, to = pairs
+            own = slice(starts[rank], starts[rank + 1])
+            self.ranked[others[own]] = to[own]
+            now[here] = self.ranked[ids[neighbour]]
+            self.ranked[others[own]] = -1
+        touched = np.concatenate([ends, left])
+        new = now[touched]
+        further = new >= 0
+        return zip(new[further].tolist(), touched[further].tolist())
+
+
+def _array(values: np.ndarray) -> array:
+    """Compact integers that are read one by one faster than numpy's."""
+    return array("i", values.astype(np.int32).tobytes())
+
+
+def _pairs_by(one: np.ndarray, other: np.ndarray, to: np.ndarray, most: int) -> tuple[list[int], np.ndarray, np.ndarray]:
+    """Pairs in the order of one side's ids: where each id's pairs begin, their other sides, what they merge to."""
+    order = np.argsort(one, kind="stable")
+    return np.searchsorted(one[order], np.arange(most + 2)).tolist(), other[order], to[order]
 
 
 class Encoder:
-    """Texts to packed ids (little-endian unsigned 32-bit), with the worker's tables."""
+    """Texts to packed ids (little-endian unsigned 32-bit), with the worker's table of pre-tokens."""
 
     def __init__(self, file: bytes, pattern: str):
         import regex
 
         self.replay = MergeReplay(file)
         self.pieces = regex.compile(pattern).findall
-        self.beside = regex.compile(r"\s \s?|\s\s").search   # a space beside white space
         self.words: dict[str, bytes] = {}        # pre-token -> packed ids
-        self.chunks: dict[str, bytes] = {}       # text from one single space to the next -> packed ids
 
-    def _learn(self, words: set[str]) -> None:
-        if len(self.words) + len(words) > CACHE_ROWS:
-            self.words.clear()
-        new = sorted(words)
-        for word, ids in zip(new, self.replay.encode([w.encode() for w in new])):
-            self.words[word] = np.array(ids, "<u4").tobytes()
+    def _learn(self, met: set[str]) -> None:
+        """Enter the pre-tokens of a chunk that the table lacks; a full table keeps those that the chunk has."""
+        words = self.words
+        new = sorted(met.difference(words))
+        if len(words) + len(new) > CACHE_ROWS:
+            words = self.words = {w: words[w] for w in met.intersection(words)}
+        words.update(zip(new, self.replay.packed([w.encode() for w in new])))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Packed ids of each text."""
-        # Between a visible character and a space with a visible character after it, no match can run on,
-        # so a text without other white space around its spaces falls into parts of their own.
-        parts = []
-        for text in texts:
-            if self._spaced(text):
-                first, *rest = text.split(" ")
-                parts.append([first, *(" " + p for p in rest)])
-            else:
-                parts.append([text])
-        known = self.chunks
-        if len(known) > CACHE_ROWS:
-            known.clear()
-        new = {p: self.pieces(p) for p in {p for own in parts for p in own if p not in known}}
-        if new:
-            local: dict[str, bytes] = {}
-            unknown = {w for own in new.values() for w in own if w not in self.words}
-            kept = {w: self.words[w] for own in new.values() for w in own if w in self.words}
-            self._learn(unknown)
-            local.update(kept)
-            for w in unknown:
-                local[w] = self.words[w]
-            for p, own in new.items():
-                ids = b"".join(map(local.__getitem__, own))
-                if len(p) <= 64:
-                    known[p] = ids
-                else:
-                    new[p] = ids            # long chunks are not kept
-        return [b"".join([known[p] if p in known else new[p] for p in own]) for own in parts]
-
-    def _spaced(self, text: str) -> bool:
-        return not self.beside(text)
+        parts = [self.pieces(text) for text in texts]
+        self._learn(set().union(*parts))
+        ids = self.words.__getitem__
+        return [b"".join(map(ids, own)) for own in parts]
 
     def decode(self, packed: bytes) -> bytes:
         return b"".join(map(self.replay.token.__getitem__, np.frombuffer(packed, "<u4").tolist()))

@@ -95,6 +95,57 @@ def test_merge_replay_on_random_words(reference_encoding):
     assert replay.encode([w.encode() for w in words]) == [reference_encoding.encode_ordinary(w) for w in words]
 
 
+def test_merge_replay_by_arrays_equals_one_by_one(monkeypatch):
+    """Rank files of random merges, also with ranks in no order, where a merge can bring up a lower rank."""
+    rng = random.Random(5)
+    for shuffled in (False, True) * 5:
+        tokens, pool = [bytes([b]) for b in range(256)], [b"a", b"b", b"c", b"d"]
+        for _ in range(60):
+            token = rng.choice(pool) + rng.choice(pool)
+            if token not in tokens and len(token) < 9:
+                tokens.append(token)
+                pool.append(token)
+        ids = list(range(len(tokens)))
+        if shuffled:
+            rng.shuffle(ids)
+        file = b"\n".join(base64.b64encode(t) + b" %d" % i for t, i in zip(tokens, ids))
+        words = [bytes(rng.choices(b"abcd", [5, 2, 1, 1], k=rng.randint(0, 14))) for _ in range(300)]
+        got = []
+        for many in (1, 3, 10**9):
+            monkeypatch.setattr(byte_bpe, "MANY", many)
+            got.append(byte_bpe.MergeReplay(file).encode(words))
+        assert got[0] == got[1] == got[2]
+
+
+def test_frequent_merges_cost_no_python_step_each():
+    """Ten times the words of the same pairs look up no more merges one by one."""
+    class Counted(dict):
+        calls = 0
+
+        def get(self, *key):
+            Counted.calls += 1
+            return dict.get(self, *key)
+
+    tokens = [*(bytes([b]) for b in range(256)), b"ab", b"cd", b"abcd"]
+    replay = byte_bpe.MergeReplay(b"\n".join(base64.b64encode(t) + b" %d" % i for i, t in enumerate(tokens)))
+    replay.merged = Counted(replay.merged)
+    calls = []
+    for copies in (100, 1000):
+        Counted.calls = 0
+        assert replay.encode([b"xabcdx"] * copies) == [[120, 258, 120]] * copies
+        calls.append(Counted.calls)
+    assert calls[0] == calls[1]
+
+
+def test_a_full_table_of_pre_tokens_keeps_those_of_the_chunk(reference_encoding, monkeypatch):
+    monkeypatch.setattr(byte_bpe, "CACHE_ROWS", 5)
+    with open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb") as f:
+        encoder = byte_bpe.Encoder(f.read(), public_tokenizers.PATTERN)
+    for texts in (["one two three four"], ["four five six", "", "two  two\n"], ["seven four"]):
+        assert [np.frombuffer(p, "<u4").tolist() for p in encoder.encode(texts)] == [
+            reference_encoding.encode_ordinary(t) for t in texts]
+    assert " four" in encoder.words and "one" not in encoder.words
+
 # 2 ------------------------------------------------------------------ language model
 
 def brute_lm(rows):
