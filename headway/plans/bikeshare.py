@@ -102,15 +102,22 @@ def station_locations(trips: DataFrame) -> DataFrame:
 
     Survivor: start role before end role, then earliest ``startTimeMs``, then
     arrondissement, latitude, longitude (partially aggregated: hot names are fine).
+
+    The earliest time of each place and role comes first, as plain numbers that
+    Spark aggregates by hash; comparing rows whole would sort every trip twice.
+    What is left are the places of each name.
     """
     def role(cols: Sequence[str], rank: int) -> Column:
         return F.struct(*[F.col(c).alias(n) for c, n in zip(cols, LOCATION_COLUMNS)],
                         F.lit(rank).alias("role"), F.col("startTimeMs").alias("t"))
 
     stacked = trips.select(F.inline(F.array(role(START_COLUMNS, 0), role(END_COLUMNS, 1))))
+    # a missing time is the earliest
+    earliest = F.when(F.max(F.col("t").isNull()), F.lit(None)).otherwise(F.min("t"))
+    places = stacked.groupBy(*LOCATION_COLUMNS, "role").agg(earliest.alias("t"))
     value = F.struct(*[F.col(c) for c in LOCATION_COLUMNS[1:]])
     ordering = F.struct("role", "t", *LOCATION_COLUMNS[1:])
-    return (stacked.groupBy("name").agg(F.min_by(value, ordering).alias("v"))
+    return (places.groupBy("name").agg(F.min_by(value, ordering).alias("v"))
             .select("name", "v.*"))
 
 

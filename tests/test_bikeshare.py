@@ -145,3 +145,19 @@ def test_pages_of_many_tags(spark):
     block = '<div class="document-row"><div><div></div></div>' + _year(2025) + '<a href="/x">x</a></div>'
     assert _entries(spark, "<div>" * 3000 + "</div>" * 2990 + block * 400) == [(2025, "/x")] * 400
     assert _entries(spark, "no blocks, but the words document-row") == []
+
+
+def test_station_places_are_aggregated_by_hash(spark):
+    """Trips are not sorted for their stations; a start comes before an end, a missing time before all others."""
+    trips = spark.createDataFrame([
+        ("A", "x", 1.0, 1.0, "B", "p", 2.0, 2.0, 5, 6.0),
+        ("A", "y", 1.5, 1.0, "B", "q", 2.0, 2.0, None, 6.0),
+        ("A", "y", 1.5, 1.0, "C", "r", 3.0, None, 1, 6.0),
+        ("D", "z", 4.0, 4.0, "A", "a", 0.0, 0.0, 0, 6.0),
+        ("D", None, 4.0, 4.0, None, "s", 0.0, 0.0, 0, 6.0)], TRIPS)
+    found = bk.station_locations(trips)
+    assert {tuple(r) for r in found.collect()} == {("A", "y", 1.5, 1.0), ("B", "q", 2.0, 2.0), ("C", "r", 3.0, None),
+                                                   ("D", None, 4.0, 4.0), (None, "s", 0.0, 0.0)}
+    lines = found._jdf.queryExecution().sparkPlan().toString().splitlines()
+    first = [line for line in lines if "Aggregate(" in line][-1]
+    assert "HashAggregate(" in first and "role" in first

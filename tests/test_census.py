@@ -112,6 +112,17 @@ def test_header_census_reads_first_lines_only(spark, scratch):
     assert groups == {("a", "b"): [big]} and missing == [gone, empty]
 
 
+def test_header_census_sends_no_rows_through_python(spark, scratch, monkeypatch):
+    """A worker that stops after a file's first row was still sent the whole file, a row a batch."""
+    def fails(*_, **__):
+        raise AssertionError("rows of the files go through Python")
+
+    paths = [_csv(scratch, f"{k}.csv", ["a", "b"][:k], [(1, "x")] * 10 * k) for k in (1, 2)]
+    for name in ("mapInArrow", "mapInPandas"):
+        monkeypatch.setattr(type(spark.range(1)), name, fails)
+    assert census.header_census(spark, paths) == ({("a",): paths[:1], ("a", "b"): paths[1:]}, [])
+
+
 def test_trip_files_by_header(spark, scratch):
     names = [*bk.REQUIRED_COLUMNS]
     row = ["A", "x", 45.0, -73.0, "B", "y", 45.5, -73.5, 1000, 61000.0]
