@@ -7,10 +7,11 @@ window keyed by ``trip_id`` would put a hot trip in one task.  Instead:
 
 1. ``slice_by_order`` range-partitions the frame on its total order, so each
    slice is a contiguous run of that order; a hot trip simply spans several
-   slices.  The tagged frame is written as a reliable checkpoint in
-   ``spark.checkpoint.dir``, so every branch reads the same slice of every row
-   (two independently planned range exchanges could sample different bounds),
-   lost executors cost nothing, and no plan stays registered in the session.
+   slices.  The tagged frame is written to ``spark.checkpoint.dir``, as a reliable
+   checkpoint (or as Parquet files: ``stored_slices``), so every branch reads the
+   same slice of every row (two independently planned range exchanges could sample
+   different bounds), lost executors cost nothing, and no plan stays registered in
+   the session.
 2. Inside a slice, ``lag``/``lead``/``max`` are ordinary windows partitioned by
    the slice id; one exchange by that id (slice k to task k) serves them all.
 3. Rows at the edge of a slice are completed from *edge tables* with at most
@@ -23,15 +24,23 @@ window keyed by ``trip_id`` would put a hot trip in one task.  Instead:
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import (ArrayType, CalendarIntervalType, DataType, MapType, NullType, StructType,
+                               UserDefinedType, VariantType)
 
 from ..session import ensure_checkpoint_dir, partition_count
 
 SLICE = "_slice"
 SLICES_CONF = "headway.slices"       # slice count of ordered steps (default: session.partition_count)
+WHILE_PINNED = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    # pinned rows are small in files: a task that sorts them for its slices' ends gets a million or so
+    "spark.sql.files.maxPartitionBytes": str(16 << 20),
+}
 
 
 def _cols(names: Sequence[str]) -> list[Column]:
@@ -43,12 +52,62 @@ def _ordering(order: Sequence[str]) -> Column:
     return F.struct(*_cols(order))
 
 
-def pin(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` once, as a reliable checkpoint, so every branch reads the same rows (and slice ids)."""
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` once, as a reliable checkpoint: a task for each task that wrote it."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def pin(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` once, as Parquet files, so every branch reads the same rows (and slice ids).
+
+    The files are in ``spark.checkpoint.dir`` and take less than half the disk of a
+    checkpoint; a branch reads the columns that it needs.  The exchanges that led to
+    them are deleted as soon as they are written, the files by ``unpin``.  A frame that
+    Parquet cannot hold is checkpointed.
+    """
+    if not _storable(df.schema):
+        return checkpointed(df)
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/pinned-{uuid.uuid4().hex}"
+    given = {key: spark.conf.get(key, None) for key in WHILE_PINNED}
+    for key, value in WHILE_PINNED.items():
+        spark.conf.set(key, value)
+    try:
+        # no dictionaries: most columns have too many values, and building them takes a fifth of the time
+        df.write.option("compression", "zstd").option("parquet.enable.dictionary", "false").parquet(path)
+    finally:
+        for key, value in given.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+    pinned = spark.read.schema(df.schema).parquet(path)
+    pinned._pinned_at = path
+    return pinned
+
+
+def unpin(*frames: DataFrame) -> None:
+    """Delete the files of pinned frames that no plan still to be run reads."""
+    for frame in frames:
+        if path := getattr(frame, "_pinned_at", None):
+            sc = frame.sparkSession.sparkContext
+            at = sc._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(sc._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def _storable(kind: DataType) -> bool:
+    """Whether Parquet holds values of this type as they are."""
+    if isinstance(kind, StructType):
+        names = {n.lower() for n in kind.names}
+        return 0 < len(names) == len(kind.names) and all(_storable(f.dataType) for f in kind.fields)
+    if isinstance(kind, ArrayType):
+        return _storable(kind.elementType)
+    if isinstance(kind, MapType):
+        return _storable(kind.keyType) and _storable(kind.valueType)
+    return not isinstance(kind, (NullType, CalendarIntervalType, UserDefinedType, VariantType))
+
+
 def slice_by_order(df: DataFrame, order: Sequence[str], num_slices: int | None = None) -> DataFrame:
     """Range-partition ``df`` on ``order`` (ascending, nulls first) and tag each row with its slice.
 
@@ -56,10 +115,18 @@ def slice_by_order(df: DataFrame, order: Sequence[str], num_slices: int | None =
     a task; windows take the frame ``by_slice``.
     ``order`` should be a total order (unique key) so neighbours are well defined.
     """
+    return checkpointed(_tagged(df, order, num_slices))
+
+
+def stored_slices(df: DataFrame, order: Sequence[str], num_slices: int | None = None) -> DataFrame:
+    """``slice_by_order`` as Parquet files (see ``pin``), whose tasks read parts of slices as files are dealt."""
+    return pin(_tagged(df, order, num_slices))
+
+
+def _tagged(df: DataFrame, order: Sequence[str], num_slices: int | None) -> DataFrame:
     n = num_slices or slice_count(df.sparkSession)
-    sliced = (df.repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in order])
-              .withColumn(SLICE, F.spark_partition_id()))
-    return pin(sliced)
+    return (df.repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in order])
+            .withColumn(SLICE, F.spark_partition_id()))
 
 
 def by_slice(df: DataFrame, num_slices: int | None = None) -> DataFrame:
@@ -152,7 +219,7 @@ def with_neighbour(base: DataFrame, order: Sequence[str], cols: Sequence[str], d
                    out: str) -> DataFrame:
     """``apply_neighbour`` with edges taken from ``base`` itself (``base`` is a sliced frame)."""
     prev = _check_direction(direction)
-    ends = slice_ends(base, order, prev_cols=cols if prev else (), next_cols=() if prev else cols)
+    ends = pin(slice_ends(base, order, prev_cols=cols if prev else (), next_cols=() if prev else cols))
     return apply_neighbour(by_slice(base), order, cols, direction, out, neighbour_edges(ends, direction))
 
 
@@ -218,7 +285,7 @@ def segmented_scan(base: DataFrame, order: Sequence[str], following: Sequence[st
     """The next row's ``following`` columns as struct ``out``, and the group's largest ``value`` as ``out_max``.
 
     One summary row per slice (first row, border groups with their maxima) is
-    aggregated from ``base``, combined in slice order, and checkpointed; then one
+    aggregated from ``base``, combined in slice order, and pinned; then one
     pass over the slices applies it.  ``base`` is a sliced frame that is pinned
     (or cheap): it is read once for the summary and once for the pass, and no
     step upstream of it runs again.  ``group`` is a prefix of ``order``.

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from ..functions.clock import DEFAULT_TZ, as_date, date_folder
-from ..operators.ordered import global_row_number, pin, slice_by_order
+from ..operators.ordered import checkpointed, global_row_number, slice_by_order
 from ..sinks import files
 from ..sources import census, gtfs
 from . import bikeshare as bk
@@ -79,7 +79,7 @@ def merge_day_job(spark: SparkSession, landing_dir: str, out_dir: str, day, sche
     untimed = fd.conform_polls(polls.withColumn("path", F.col("file_path"))).where(F.col("timefetch").isNull())
     rejects = bad.select("path", F.lit("not a Parquet file").alias("reason"), F.col("length").alias("n")).unionByName(
         untimed.groupBy("path").agg(F.count(F.lit(1)).alias("n")).withColumn("reason", F.lit("rows without a poll time")))
-    files.write_rejects(pin(rejects), f"{out_dir.rstrip('/')}_rejects", d.isoformat())
+    files.write_rejects(checkpointed(rejects), f"{out_dir.rstrip('/')}_rejects", d.isoformat())
     merged = fd.conform_polls(polls).where(F.col("timefetch").isNotNull())
     files.write_day_partitioned(_with_day(merged, d), out_dir, files_per_day=files_per_day)
 
@@ -171,7 +171,7 @@ def landed_messages(spark: SparkSession, raw_dir: str, out_dir: str) -> DataFram
            .select("value", path.alias("path"), fd.poll_time_from_path(path).alias("timefetch"))
            .withColumn("message", F.when(F.col("timefetch").isNotNull(), fd.parsed_message(F.col("value"))))
            .withColumn("value", F.when(F.col("message").isNull(), F.col("value"))))     # the text of rejects only
-    parsed = pin(raw)
+    parsed = checkpointed(raw)
     bad = F.col("message").isNull()
     folder = raw_dir.rstrip("/").rsplit("/", 1)[-1]
     files.write_rejects(parsed.where(bad).select("path", "value"), f"{out_dir.rstrip('/')}_rejects", folder)
@@ -249,7 +249,7 @@ def compact_landed_day(spark: SparkSession, landed_dir: str, days_dir: str, day,
     """
     d = as_date(day)
     total = _landed_versions(spark, landed_dir, d).agg(F.sum("bytes")).first()[0] or 0
-    rows = pin(read_landed_day(spark, landed_dir, days_dir, d))          # the day that is read is rewritten
+    rows = checkpointed(read_landed_day(spark, landed_dir, days_dir, d))          # the day that is read is rewritten
     n = files.file_count(rows.count(), at_least=-(-total // target_bytes))
     files.write_day_partitioned(rows, days_dir, files_per_day=n, salt_cols=tuple(
         c for c in rows.columns if rows.schema[c].dataType.typeName() not in ("map", "variant")))
@@ -290,7 +290,7 @@ def load_bike_trips(spark: SparkSession, csv_paths: Iterable[str], trips_path: s
     mark = others.agg(F.max("startTimeMs")).first()[0]
     increment = bk.high_water_increment(trips, mark=mark)
     # pin the increment: the trip rows and the station rows come from the same read
-    increment = pin(increment)
+    increment = checkpointed(increment)
     new_trips = bk.bike_trip_durations(increment)
     added = files.insert_if_absent(spark, bk.station_locations(increment), stations_path, "name", load)
     if load:

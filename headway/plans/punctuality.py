@@ -7,10 +7,11 @@ trip, however hot, lands in one task.  Per-stop results come from one
 partial-aggregating ``groupBy`` instead of group-bys joined back to detail.
 
 Shuffle plan of ``stop_punctuality``: one range exchange of the narrow polls
-(checkpointed) and one by slice for W1, positions x schedule on (trip, stop
-sequence) [J3], whose narrow rows are checkpointed, one exchange by slice for
-the next poll and the trip's last stop (a segmented scan: one summary row per
-slice, broadcast), and one partially aggregated exchange on (trip, stop sequence).
+and one by slice for W1, positions x schedule on (trip, stop sequence) [J3], one
+exchange by slice for the next poll and the trip's last stop (a segmented scan:
+one summary row per slice, broadcast), and one partially aggregated exchange on
+(trip, stop sequence).  After each of the first three the narrow rows are pinned,
+and what led to them is deleted: the disk holds one step at a time.
 """
 
 from __future__ import annotations
@@ -21,8 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.clock import DEFAULT_TZ, as_date, service_clock_to_epoch
-from ..operators.ordered import (first_last_keep, pin, segmented_scan, slice_by_order, with_group_ends,
-                                 with_neighbour)
+from ..operators.ordered import (first_last_keep, pin, segmented_scan, slice_by_order, stored_slices, unpin,
+                                 with_group_ends, with_neighbour)
 
 SEQ = "vehicle_currentStopSequence"
 STATUS = "vehicle_currentStatus"
@@ -110,15 +111,22 @@ def filter_positions(positions: DataFrame, exact: bool = False) -> DataFrame:
 
 # ---------------------------------------------------------------- C5
 
-def _on_schedule(positions: DataFrame, stu: DataFrame, exact: bool) -> DataFrame:
-    """W1/P7 over all polls, then J3 + P8 + P9; the rows keep their slice tag.
+def _kept_polls(positions: DataFrame, exact: bool) -> DataFrame:
+    """W1/P7 over all polls, pinned with their slice tag; the slices of all polls are deleted."""
+    sliced = stored_slices(positions, ORDER)
+    kept = pin(with_neighbour(sliced, ORDER, ["trip_id", SEQ], "prev", "_prev")
+               .where(_keep_polled("_prev", exact) & F.col("vehicle_timestamp").isNotNull()).drop("_prev"))
+    unpin(sliced)
+    return kept
+
+
+def _on_schedule(kept: DataFrame, stu: DataFrame) -> DataFrame:
+    """J3 + P8 + P9 of the kept polls; the rows keep their slice tag.
 
     W1 comes before the join, so a schedule key that occurs twice repeats the
     kept poll and cannot make its copy look unchanged.
     """
     schedule = stu.withColumnRenamed("stop_sequence", SEQ)
-    kept = (with_neighbour(slice_by_order(positions, ORDER), ORDER, ["trip_id", SEQ], "prev", "_prev")
-            .where(_keep_polled("_prev", exact) & F.col("vehicle_timestamp").isNotNull()).drop("_prev"))
     # null times are dropped by the coalesce: as a filter of its own, "is not null" would move down to
     # the scan of the schedule and work out the clock of every row a second time
     near = F.abs(F.col("timefetch") - F.col("arrival_time_unix")) <= POLL_WINDOW_S
@@ -127,7 +135,7 @@ def _on_schedule(positions: DataFrame, stu: DataFrame, exact: bool) -> DataFrame
 
 def positions_on_schedule(positions: DataFrame, stu: DataFrame, exact: bool = True) -> DataFrame:
     """J3 + P8 + P9: filtered polls matched to their scheduled stop within 2 h."""
-    return _on_schedule(positions, stu, exact).drop("_slice")
+    return _on_schedule(_kept_polls(positions, exact), stu).drop("_slice")
 
 
 NEXT_COLS = ["trip_id", "vehicle_vehicle_id", "vehicle_timestamp"]
@@ -138,7 +146,8 @@ NARROW = [*ORDER, "_slice", STATUS, "vehicle_vehicle_id", "vehicle_occupancyStat
 
 def _offsets(positions: DataFrame, stu: DataFrame, exact: bool, upto: str,
              columns: list[str] | None = None) -> DataFrame:
-    rows = _on_schedule(positions, stu, exact)
+    kept = _kept_polls(positions, exact)
+    rows = _on_schedule(kept, stu)
     arrival = F.col("arrival_time_unix")
     status = F.col(STATUS)
     # R1
@@ -147,6 +156,7 @@ def _offsets(positions: DataFrame, stu: DataFrame, exact: bool, upto: str,
         return rows.withColumn("offset", stopped)
     # J3 is evaluated here, once: the summary of the slices and the pass over them read its rows
     rows = pin(rows.select(*columns) if columns else rows)
+    unpin(kept)
     last_stop = {"group": ["trip_id"], "value": SEQ, "out_max": "_max_seq"} if upto == "last_stop" else {}
     rows = segmented_scan(rows, ORDER, NEXT_COLS, "_next", **last_stop).withColumn("offset", stopped)
     nxt = F.col("_next")
@@ -217,7 +227,8 @@ def segment_deltas(data_stops: DataFrame) -> DataFrame:
     wanted = [c for c in SEGMENT_COLUMNS if c in data_stops.columns]
     # pinned before it is sliced: a range exchange samples its input first, which would run C5 twice
     rows = pin(data_stops.where(F.col("offset").isNotNull()).select(*dict.fromkeys([*order, *wanted, "offset"])))
-    sliced = slice_by_order(rows, order)
+    sliced = stored_slices(rows, order)
+    unpin(rows)
     with_prev = with_neighbour(sliced, order, ["trip_id", "stop_id", "offset"], "prev", "_prev")
     prev = F.col("_prev")
     return (with_prev

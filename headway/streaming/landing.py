@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ..functions.clock import DEFAULT_TZ
-from ..operators.ordered import pin
+from ..operators.ordered import checkpointed
 from ..plans import bikeshare as bk
 from ..plans import feeds as fd
 from ..plans.jobs import poll_date, read_polls
@@ -52,7 +52,7 @@ def positions_landing_stream(spark: SparkSession, landing_dir: str, table_dir: s
         session = batch.sparkSession
         paths = sorted(r.path for r in batch.collect())          # names of the micro-batch's files
         groups, bad = census.census_of(session, paths)
-        rejects = pin(session.createDataFrame([(p, "not a Parquet file") for p in bad], "path string, reason string"))
+        rejects = checkpointed(session.createDataFrame([(p, "not a Parquet file") for p in bad], "path string, reason string"))
         files.write_rejects(rejects, f"{table_dir.rstrip('/')}_rejects", str(epoch_id))
         if not groups:
             return
@@ -83,11 +83,11 @@ def bike_trips_stream(spark: SparkSession, csv_dir: str, trips_path: str, statio
         session = batch.sparkSession
         paths = sorted(r.path for r in batch.collect())          # names of the micro-batch's files
         trips, skipped = gtfs.read_trip_csvs(session, paths)
-        rejects = pin(session.createDataFrame([(p,) for p in skipped], "path string"))
+        rejects = checkpointed(session.createDataFrame([(p,) for p in skipped], "path string"))
         files.write_rejects(rejects, f"{trips_path.rstrip('/')}_rejects", str(epoch_id))
         if trips is None:
             return
-        trips = pin(trips)
+        trips = checkpointed(trips)
         files.insert_if_absent(session, bk.station_locations(trips), stations_path, "name", f"batch-{epoch_id}")
         (bk.bike_trip_durations(trips).withColumn("load_batch", F.lit(epoch_id))
          .sortWithinPartitions("startTimeMs")
