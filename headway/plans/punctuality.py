@@ -145,7 +145,8 @@ NARROW = [*ORDER, "_slice", STATUS, "vehicle_vehicle_id", "vehicle_occupancyStat
 
 
 def _offsets(positions: DataFrame, stu: DataFrame, exact: bool, upto: str,
-             columns: list[str] | None = None) -> DataFrame:
+             columns: list[str] | None = None, spent: list[DataFrame] | None = None) -> DataFrame:
+    """The pinned frame that the result reads is added to ``spent``, for a caller that pins the result."""
     kept = _kept_polls(positions, exact)
     rows = _on_schedule(kept, stu)
     arrival = F.col("arrival_time_unix")
@@ -157,6 +158,8 @@ def _offsets(positions: DataFrame, stu: DataFrame, exact: bool, upto: str,
     # J3 is evaluated here, once: the summary of the slices and the pass over them read its rows
     rows = pin(rows.select(*columns) if columns else rows)
     unpin(kept)
+    if spent is not None:
+        spent.append(rows)
     last_stop = {"group": ["trip_id"], "value": SEQ, "out_max": "_max_seq"} if upto == "last_stop" else {}
     rows = segmented_scan(rows, ORDER, NEXT_COLS, "_next", **last_stop).withColumn("offset", stopped)
     nxt = F.col("_next")
@@ -181,7 +184,9 @@ def offsets(positions: DataFrame, stu: DataFrame, exact: bool = True, upto: str
 
 def arrival_departure_offsets(positions: DataFrame, stu: DataFrame, exact: bool = True) -> DataFrame:
     """W4 + A1 + P9: each kept poll with the first/last offset of its stop (before the 1800 s cut)."""
-    rows = pin(_offsets(positions, stu, exact, "last_stop"))
+    spent = []
+    rows = pin(_offsets(positions, stu, exact, "last_stop", spent=spent))
+    unpin(*spent)
     ended = with_group_ends(rows, ["trip_id", SEQ], ORDER, "offset", "arrival_time_offset", "departure_time_offset")
     return ended.where(F.abs(F.col("offset")) <= OFFSET_LIMIT_S).drop("_slice")
 

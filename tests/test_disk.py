@@ -42,13 +42,17 @@ def _inputs(spark):
     return polls, schedule
 
 
+def _arrival_departure(polls, schedule):
+    return pn.arrival_departure_offsets(polls, pn.stop_times_unix(schedule, DAY)), 2 * STOPS
+
+
 def _segments(polls, schedule):
     trips = schedule.select("trip_id", F.lit(7).alias("route_id"), F.lit("S").alias("shape_id"))
     return pn.segment_delays(pn.stop_punctuality(polls, schedule, DAY), trips), STOPS - STOPS // 10
 
 
 # frames with more than a row or two per slice that are left when the query is built
-@pytest.mark.parametrize("build, left", [(_segments, 2)])
+@pytest.mark.parametrize("build, left", [(_arrival_departure, 1), (_segments, 2)])
 def test_only_frames_that_the_result_reads_are_left(spark, build, left):
     folder = urlparse(spark.sparkContext.getCheckpointDir()).path
     spark.conf.set(od.SLICES_CONF, "5")
