@@ -345,6 +345,31 @@ def first_last_keep(df: DataFrame, group: Sequence[str], order: Sequence[str], v
     )
 
 
+def first_last_keep_by_slice(df: DataFrame, group: Sequence[str], order: Sequence[str], value: str,
+                             keep_when: Column, keep_cols: Sequence[str]) -> DataFrame:
+    """``first_last_keep`` of a frame ``by_slice``, without another exchange.
+
+    ``group`` followed by ``order`` is the order of the slices, so a group is in one
+    slice unless slice edges cut it.  What a slice knows of its groups is pinned;
+    only the cut groups, each slice's first or last, are combined, in slice order.
+    """
+    first, last = f"first_{value}", f"last_{value}"
+    pieces = pin(first_last_keep(df, [SLICE, *group], order, value, keep_when, keep_cols))
+    key = F.struct(*_cols(group))
+    ends = pin(pieces.groupBy(SLICE).agg(F.min(key).alias("head"), F.max(key).alias("tail")))
+    cut = (ends.select("head", F.lag("tail").over(Window.orderBy(SLICE)).alias("before"))
+           .where(F.col("head").eqNullSafe(F.col("before")))
+           .select(*[F.col(f"head.{g}").alias(f"_cut_{g}") for g in group]).distinct())
+    is_cut = F.lit(True)
+    for g in group:
+        is_cut = is_cut & F.col(g).eqNullSafe(F.col(f"_cut_{g}"))
+    cut = F.broadcast(cut)          # at most one group per slice edge
+    whole = pieces.join(cut, is_cut).groupBy(*group).agg(
+        F.min_by(first, SLICE).alias(first), F.max_by(last, SLICE).alias(last),
+        F.min_by("kept", F.when(F.col("kept").isNotNull(), F.col(SLICE))).alias("kept"))
+    return pieces.join(cut, is_cut, "left_anti").drop(SLICE).unionByName(whole)
+
+
 # ---------------------------------------------------------------- global row number
 
 def global_row_number(base: DataFrame, order: Sequence[str], out: str = "index") -> DataFrame:

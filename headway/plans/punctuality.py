@@ -9,9 +9,9 @@ partial-aggregating ``groupBy`` instead of group-bys joined back to detail.
 Shuffle plan of ``stop_punctuality``: one range exchange of the narrow polls
 and one by slice for W1, positions x schedule on (trip, stop sequence) [J3], one
 exchange by slice for the next poll and the trip's last stop (a segmented scan:
-one summary row per slice, broadcast), and one partially aggregated exchange on
-(trip, stop sequence).  After each of the first three the narrow rows are pinned,
-and what led to them is deleted: the disk holds one step at a time.
+one summary row per slice, broadcast) and the stops' results, of which only those
+that slice edges cut are combined.  After each of the four the narrow rows are
+pinned, and what led to them is deleted: the disk holds one step at a time.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.clock import DEFAULT_TZ, as_date, service_clock_to_epoch
-from ..operators.ordered import (first_last_keep, pin, segmented_scan, slice_by_order, stored_slices, unpin,
+from ..operators.ordered import (first_last_keep_by_slice, pin, segmented_scan, slice_by_order, stored_slices, unpin,
                                  with_group_ends, with_neighbour)
 
 SEQ = "vehicle_currentStopSequence"
@@ -147,6 +147,8 @@ NARROW = [*ORDER, "_slice", STATUS, "vehicle_vehicle_id", "vehicle_occupancyStat
 def _offsets(positions: DataFrame, stu: DataFrame, exact: bool, upto: str,
              columns: list[str] | None = None, spent: list[DataFrame] | None = None) -> DataFrame:
     """The pinned frame that the result reads is added to ``spent``, for a caller that pins the result."""
+    if columns:
+        positions = positions.select(*[c for c in positions.columns if c in columns])
     kept = _kept_polls(positions, exact)
     rows = _on_schedule(kept, stu)
     arrival = F.col("arrival_time_unix")
@@ -199,16 +201,18 @@ def stop_punctuality(positions: DataFrame, stop_times: DataFrame, day: str | dt.
     (``two_day_positions``); ``stop_times`` the day's filtered schedule.
     """
     stu = stop_times_unix(stop_times, day, tz)
-    rows = _offsets(positions, stu, exact, "last_stop", NARROW)
-    # W4 + A4 + the 1800 s cut in one partially aggregated pass per stop:
+    spent = []
+    rows = _offsets(positions, stu, exact, "last_stop", NARROW, spent)
+    # W4 + A4 + the 1800 s cut in one pass per stop, slice by slice:
     # first/last offset by poll order, and the earliest poll that survives the cut.
     # The schedule columns ride along (GTFS keys stop times by trip and sequence),
     # so J4 needs no second join with the schedule.
-    per_stop = first_last_keep(
+    per_stop = first_last_keep_by_slice(
         rows, ["trip_id", SEQ], WITHIN_STOP, "offset",
         keep_when=F.abs(F.col("offset")) <= OFFSET_LIMIT_S,
         keep_cols=["id", "vehicle_occupancyStatus", "vehicle_trip_routeId",
                    "arrival_time", "stop_id", "arrival_time_unix"])
+    unpin(*spent)
     kept = F.col("kept")
     return per_stop.where(kept.isNotNull()).select(
         "trip_id",

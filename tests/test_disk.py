@@ -1,6 +1,7 @@
 """What the ordered steps leave on disk: one step at a time, no exchange of a pinned frame, no frame that nothing reads."""
 
 import os
+import random
 import time
 from urllib.parse import urlparse
 
@@ -46,13 +47,17 @@ def _arrival_departure(polls, schedule):
     return pn.arrival_departure_offsets(polls, pn.stop_times_unix(schedule, DAY)), 2 * STOPS
 
 
+def _per_trip(polls, schedule):
+    return pn.stop_punctuality(polls, schedule, DAY, exact=False), STOPS
+
+
 def _segments(polls, schedule):
     trips = schedule.select("trip_id", F.lit(7).alias("route_id"), F.lit("S").alias("shape_id"))
     return pn.segment_delays(pn.stop_punctuality(polls, schedule, DAY), trips), STOPS - STOPS // 10
 
 
 # frames with more than a row or two per slice that are left when the query is built
-@pytest.mark.parametrize("build, left", [(_arrival_departure, 1), (_segments, 2)])
+@pytest.mark.parametrize("build, left", [(_arrival_departure, 1), (_per_trip, 1), (_segments, 2)])
 def test_only_frames_that_the_result_reads_are_left(spark, build, left):
     folder = urlparse(spark.sparkContext.getCheckpointDir()).path
     spark.conf.set(od.SLICES_CONF, "5")
@@ -84,3 +89,16 @@ def test_a_frame_that_parquet_cannot_hold_is_pinned_too(spark):
     pinned = od.pin(spark.range(3).select("id", F.lit(None).alias("nothing"), F.struct().alias("empty")))
     od.unpin(pinned)            # a checkpoint stays
     assert sorted(r.id for r in pinned.collect()) == [0, 1, 2] and pinned.first().nothing is None
+
+
+def test_first_last_keep_by_slice_equals_whole_frame(spark):
+    """Groups over many slices, groups whose kept row is in another slice than the first, null groups and values."""
+    rng = random.Random(7)
+    rows = [(rng.choice([1, 2, 2, 2, 2, 3, None]), rng.choice([1, 1, 1, 2]), i, rng.choice([None, *range(50)])) for i in range(400)]
+    df = spark.createDataFrame(rows, "g int, h int, k int, v int")
+    keep = F.col("v") > 47
+    want = sorted(map(str, od.first_last_keep(df, ["g", "h"], ["k"], "v", keep, ["k", "v"]).collect()))
+    for slices in (1, 7, 60):
+        sliced = od.by_slice(od.stored_slices(df, ["g", "h", "k"], slices), slices)
+        got = od.first_last_keep_by_slice(sliced, ["g", "h"], ["k"], "v", keep, ["k", "v"])
+        assert sorted(map(str, got.collect())) == want
